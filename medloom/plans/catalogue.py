@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from medloom.plans import citation_queries, registry_queries
+
+_PARTS = (citation_queries, registry_queries)
+QUERIES: dict = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
+ORACLE_SQL: dict = {k: s for part in _PARTS for k, s in part.ORACLE.items()}
