@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from medloom.plans import citation_queries, registry_queries
+from medloom.plans import citation_queries, graph_queries, registry_queries, task_queries, vector_queries
 
-_PARTS = (citation_queries, registry_queries)
+_PARTS = (citation_queries, registry_queries, graph_queries, vector_queries, task_queries)
 QUERIES: dict = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
 ORACLE_SQL: dict = {k: s for part in _PARTS for k, s in part.ORACLE.items()}
