@@ -19,9 +19,13 @@ PubmedData struct<ArticleIdList struct<ArticleId array<struct<_IdType string, _V
 """
 
 
+#: A start or end tag; the reader has resolved entities, so other signs are text.
+TAG = r"""</?[A-Za-z][\w:.-]*(?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*/?>"""
+
+
 def element_text(c: Column) -> Column:
     """All characters of an element that was read as raw inner XML."""
-    return F.xpath_string(F.concat(F.lit("<x>"), c, F.lit("</x>")), F.lit("x"))
+    return F.regexp_replace(c, TAG, "")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
