@@ -144,7 +144,10 @@ def plain_line_dedup(rows):
     codes = sorted({x for _, _, x in at})
 
     def mark(x):
-        bits = np.array([np.unpackbits(np.frombuffer(xxhash.xxh64_digest(w), np.uint8)).astype(int) * 2 - 1 for w in x.encode().split()]).sum(axis=0) > 0
+        words = x.encode().split()
+        telling = [w for w in words if len(w) >= 5]
+        used = telling if len(telling) >= 5 else words
+        bits = np.array([np.unpackbits(np.frombuffer(xxhash.xxh64_digest(w), np.uint8)).astype(int) * 2 - 1 for w in used]).sum(axis=0) > 0
         return int("".join("01"[int(b)] for b in bits), 2)
 
     long = [x for x in codes if len(x.split()) >= 5]
