@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from medloom.llm.textcols import WHITE, Memo, starts, units, utf8
+from medloom.llm.textcols import WHITE, Memo, held, starts, units, utf8
 
 #: Unicode white space, as the splitting pattern means it (the control characters 1C to 1F are none).
 SPACES = r"\t-\r \x85\xa0  -     　"
@@ -121,13 +121,8 @@ class ByteBpe:
         return self.table[index].tobytes()
 
 
-_models: dict = {}
-
-
 def model(ranks_path: str, pattern: str) -> ByteBpe:
-    if (ranks_path, pattern) not in _models:
-        _models[ranks_path, pattern] = ByteBpe(ranks_path, pattern)
-    return _models[ranks_path, pattern]
+    return held("bytes", (ranks_path, pattern), lambda: ByteBpe(ranks_path, pattern))
 
 
 def encode_documents(docs, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text"):

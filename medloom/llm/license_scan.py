@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm.license_rules import BASE, Rule, rules
-from medloom.llm.textcols import ALNUM, LOWER, column, slices, starts, utf8
+from medloom.llm.textcols import ALNUM, LOWER, column, held, slices, starts, utf8
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -77,9 +77,6 @@ class Scanner:
         return places, sorted(kept, key=lambda x: (x[1], x[2], x[0]))
 
 
-_scanner: list[Scanner] = []
-
-
 def license_scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns and, of the whole text: n_words, places (base phrases: label, word), found (detections after
     suppression: label, begin, end, confidence; in words), and score, 1 - the product of 1 - confidence over the
@@ -94,9 +91,7 @@ def license_scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str
     found_t = pa.list_(pa.struct([("label", pa.string()), ("begin", pa.int64()), ("end", pa.int64()), ("confidence", pa.float64())]))
 
     def run(batches):
-        if not _scanner:
-            _scanner.append(Scanner())
-        scanner = _scanner[0]
+        scanner = held("licences", "scanner", Scanner)
         for batch in batches:
             for piece in slices(batch, "__text"):
                 data, offsets = utf8(column(piece, "__text"))

@@ -14,7 +14,7 @@ ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x41, 0x5B), *range(0x80,
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +87,7 @@ def column(df_batch: pa.RecordBatch, name: str) -> pa.Array:
 class Memo:
     """Remembers about ``most`` to twice as many results; those not asked for lately go first."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 150_000):
         self.most, self.young, self.old = most, {}, {}
 
     def get(self, keys, make) -> dict:
@@ -105,3 +105,16 @@ class Memo:
             part = new[at : at + 20_000]
             young.update(zip(part, make(part), strict=True))
         return young
+
+
+_held: dict = {}
+
+
+def held(owner: str, key, make):
+    """What a worker keeps between tasks, made once; an operator's first call lets go of what another one kept."""
+    if _held.get("owner") != owner:
+        _held.clear()
+        _held["owner"] = owner
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medloom.llm.textcols import WHITE, Memo, column, slices, starts, units, utf8
+from medloom.llm.textcols import WHITE, Memo, column, held, slices, starts, units, utf8
 
 #: What stands before every pre-token.
 MARK = "▁"
@@ -154,9 +154,6 @@ class UnigramCounter:
         return add(real.astype(np.int64)).astype(np.int64), add(each).astype(np.int64)
 
 
-_counters: dict = {}
-
-
 def token_counts(docs: DataFrame, pieces: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns, n_words and n_tokens (long) of the whole text under the unigram scores of the vocabulary file.
 
@@ -167,11 +164,10 @@ def token_counts(docs: DataFrame, pieces: str, keep: tuple[str, ...] = ("doc_id"
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
 
     def run(batches):
-        if pieces not in _counters:
-            _counters[pieces] = UnigramCounter(piece_scores(pieces))
+        counter = held("pieces", pieces, lambda: UnigramCounter(piece_scores(pieces)))
         for batch in batches:
             for piece in slices(batch, "__text"):
-                words, tokens = _counters[pieces].batch(column(piece, "__text"))
+                words, tokens = counter.batch(column(piece, "__text"))
                 yield pa.RecordBatch.from_arrays([*(column(piece, k) for k in keep), pa.array(words), pa.array(tokens)], names=[*keep, "n_words", "n_tokens"])
 
     return source.mapInArrow(run, f"{own}, n_words bigint, n_tokens bigint")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medloom.llm.shared import new_path, partitions, store
-from medloom.llm.textcols import WHITE, Memo, column, gather, slices, starts, units, utf8
+from medloom.llm.textcols import WHITE, Memo, column, gather, held, slices, starts, units, utf8
 
 BLOCK = 1 << 16
 MAGIC = b"MLTB"
@@ -189,13 +189,8 @@ class WordCoder:
         return np.insert(ids, ends, self.end_id).astype(np.uint32), ends + np.arange(1, len(ends) + 1)
 
 
-_coders: dict = {}
-
-
 def coder(path: str, end_id: int | None) -> WordCoder:
-    if (path, end_id) not in _coders:
-        _coders[path, end_id] = WordCoder(path, end_id)
-    return _coders[path, end_id]
+    return held("words", (path, end_id), lambda: WordCoder(path, end_id))
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, vocabulary: int, end_id: int | None = 1, id_col: str = "doc_id", text: str = "text", files: int | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ FIT_ROWS = 4_000
 #: Bytes of all texts that a model is fitted on at most.
 FIT_BYTES = 16 << 20
 SIZES = (4, 6, 8)
-BUCKETS = 1 << 22
+BUCKETS = 1 << 21
 FEATURES = 20_000
 
 _LETTER = np.zeros(256, bool)
@@ -88,18 +88,19 @@ def fit(texts: pa.Array, toxic: np.ndarray, turns: int = 150) -> Model:
         text, _ = folded(data, offsets)
         with_gram[int(is_toxic)][np.unique(np.concatenate([gram_buckets(text, s) for s in SIZES]))] += 1
     n1, n0 = int(toxic.sum()), int((~toxic).sum())
-    p, q = with_gram[1], with_gram[0]
-    rate1, rate0 = (p + 1) / (n1 + 2), (q + 1) / (n0 + 2)
-    ratio = np.log(rate1 / rate0)
-    spread = np.sqrt(1 / (p + 1) + 1 / (q + 1))
-    telling = np.where((p + q >= 5) & (p > 0), np.abs(ratio) / spread, 0)
-    n = min(FEATURES, int((telling > 0).sum()))
+    some = np.flatnonzero((with_gram[1] > 0) & (with_gram[0] + with_gram[1] >= 5))
+    p, q = with_gram[1][some].astype(float), with_gram[0][some].astype(float)
+    ratio = np.log((p + 1) / (n1 + 2)) - np.log((q + 1) / (n0 + 2))
+    telling = np.abs(ratio) / np.sqrt(1 / (p + 1) + 1 / (q + 1))
+    n = min(FEATURES, len(some))
     if not n:
         return empty
-    chosen = np.argpartition(-telling, n - 1)[:n]
+    best = np.argpartition(-telling, n - 1)[:n]
+    chosen, ratio = some[best], ratio[best]
+    del with_gram, p, q, telling
     slot = np.zeros(BUCKETS, np.int32)
     slot[chosen] = np.arange(1, n + 1)
-    scale = np.concatenate([[0], ratio[chosen]])
+    scale = np.concatenate([[0], ratio])
     found = []
     for i, (data, offsets) in enumerate(rows):
         text, bounds = folded(data, offsets)
@@ -111,7 +112,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, turns: int = 150) -> Model:
     return Model(slot, weight * scale, bias)
 
 
-def _logistic(row, feature, value, y, n, turns, penalty: float = 2.0):
+def _logistic(row, feature, value, y, n, turns, penalty: float = 0.5):
     """Weights and bias by Adam steps over all rows; deterministic."""
     w, b = np.zeros(n), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     m, v, mb, vb = np.zeros(n), np.zeros(n), 0.0, 0.0
@@ -146,9 +147,11 @@ def fit_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col:
 
 def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text", score: str = "score") -> DataFrame:
     """``keep`` columns and ``score`` (0 to 1) of the whole text; null is empty.  The model, of a fixed size, is broadcast."""
-    name = fresh(docs, "__text")
-    source = docs.select(*keep, F.col(text).cast("string").alias(name))
-    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    # a text that is kept anyway is not sent twice
+    kept = text in keep and docs.schema[text].dataType.simpleString() == "string"
+    name = text if kept else fresh(docs, "__text")
+    source = docs.select(*keep) if kept else docs.select(*keep, F.col(text).cast("string").alias(name))
+    own = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     slots = np.flatnonzero(model.slot)
     sent = docs.sparkSession.sparkContext.broadcast((slots, model.slot[slots], model.weight, model.bias))
 
@@ -158,7 +161,7 @@ def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc
         slot[where] = which
         mine = Model(slot, weight, bias)
         for batch in batches:
-            for piece in slices(batch, name, 2 << 20):
+            for piece in slices(batch, name, 1 << 19):
                 scores = mine.scores(*utf8(column(piece, name)))
                 yield pa.RecordBatch.from_arrays([*(column(piece, k) for k in keep), pa.array(scores)], names=[*keep, score])
 
