@@ -31,14 +31,12 @@ def _escaped(c):
 
 
 def article_xml(spark, sf_dir):
-    """Documents written as article XML and read back by the reader."""
+    """Documents as article XML, parsed."""
     d = table(spark, sf_dir, "documents")
     d = d.withColumn("text", F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""))
     title = _escaped(F.substring_index("text", "\n", 1))
     xml = F.concat(F.lit("<PubmedArticle><MedlineCitation><PMID>"), "doc_id", F.lit("</PMID><Article><ArticleTitle>"), title, F.lit("</ArticleTitle><Abstract><AbstractText>"), _escaped(F.col("text")), F.lit("</AbstractText></Abstract><ArticleDate><Year>2020</Year><Month>Mar</Month></ArticleDate></Article></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType=\"doi\">10.1000/"), "doc_id", F.lit("</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"))
-    path = _folder(spark, "articles")
-    d.select(xml.alias("value")).write.text(path)
-    return articles.records(articles.read(spark, path)).select("identifier", "year", "published", F.size("abstract").alias("abstracts"), F.get("ids", 0)["value"].alias("doi"))
+    return articles.records(articles.parse(d.select(xml.alias("x")), "x")).select("identifier", "year", "published", F.size("abstract").alias("abstracts"), F.get("ids", 0)["value"].alias("doi"))
 
 
 def html_sections(spark, sf_dir):

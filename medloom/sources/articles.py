@@ -34,6 +34,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("origin", F.input_file_name())
 
 
+def parse(rows: DataFrame, xml: str, origin: str = "") -> DataFrame:
+    """Articles of a column that holds one each."""
+    return rows.select(F.from_xml(xml, SCHEMA, {"rowTag": "PubmedArticle"}).alias("a")).select("a.*", F.lit(origin).alias("origin"))
+
+
 def _date(prefix: str) -> Column:
     return S.partial_date(f"{prefix}.Year", F.col(f"{prefix}.Month"), F.col(f"{prefix}.Day"))
 
