@@ -152,7 +152,8 @@ def plain_line_dedup(rows):
 
     long = [x for x in codes if len(x.split()) >= 5]
     prints = {x: mark(x) for x in long}
-    links = [(a, b) for k, a in enumerate(long) for b in long[:k] if (prints[a] ^ prints[b]).bit_count() <= 3 and line_dedup.similar(a, b)]
+    shared = lambda x: sum(not x >> lo & (1 << hi - lo) - 1 for lo, hi in line_dedup.BLOCKS) >= 2
+    links = [(a, b) for k, a in enumerate(long) for b in long[:k] if (x := prints[a] ^ prints[b]).bit_count() <= 8 and shared(x) and line_dedup.similar(a, b)]
     group = union_find(links, codes)
     first = {}
     for d, n, x in sorted(at, key=lambda r: (r[0][:2], r[1])):
