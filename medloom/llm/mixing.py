@@ -37,24 +37,28 @@ def targets(sizes: list[tuple[str | None, int]], weights: dict[str | None, float
     return out
 
 
-def mix(docs: DataFrame, weights, keep: tuple[str, ...] = ("doc_id",), source: str = "source", text: str = "text", quality: Column | None = None, seed: int = 7, share: float = 1.0) -> DataFrame:
+def mix(docs: DataFrame, weights, keep: tuple[str, ...] = ("doc_id",), source: str = "source", text: str = "text", quality: Column | None = None, rate=None, seed: int = 7, share: float = 1.0) -> DataFrame:
     """``keep`` columns, size, source_size, target and taken of every document.
 
     ``weights`` is a function from the list of sources, in order of code points with null last, to a list of weights.
     A source whose target is e times its size and a rest takes all of its documents e times, and for the rest documents
     by ascending key -ln(u) / quality until the rest is used up: u is a hash of seed, source and document, so reruns
     agree.  The document that crosses the end is taken if that comes nearer to the target, the later one if not.
-    ``quality`` is a positive weight per document (null or not positive: 1).
+    ``quality`` is a positive weight per document (null or not positive: 1); or ``rate`` adds it as column __quality to
+    rows of the ``keep`` columns, so that a join for it moves no texts.
 
     Prefix sums need no source in one task: sizes are summed in cells of the key's range, the cell in which the rest
     ends is found from these sums, and only that cell's documents are sorted.  What reaches the driver is a size for
     each source.
     """
     u = (F.pmod(F.xxhash64(F.lit(seed), source, *keep, text), F.lit((1 << 40) - 1)) + F.lit(0.5)) / F.lit(float((1 << 40) - 1))
-    q = F.coalesce(quality, F.lit(1.0)).cast("double") if quality is not None else F.lit(1.0)
-    key = -F.log(u) / F.when((q > 0) & ~F.isnan(q), q).otherwise(F.lit(1.0))
     tie = F.xxhash64(F.lit(seed + 1), source, *keep, text)
-    rows = docs.select(*keep, F.col(source).alias("__source"), word_count(text).alias("size"), key.alias("__draw"), tie.alias("__tie"))
+    given = quality if quality is not None else F.lit(1.0)
+    rows = docs.select(*keep, F.col(source).alias("__source"), word_count(text).alias("size"), u.alias("__u"), tie.alias("__tie"), given.cast("double").alias("__quality"))
+    if rate is not None:
+        rows = rate(rows.drop("__quality"))
+    q = F.coalesce(F.col("__quality").cast("double"), F.lit(1.0))
+    rows = rows.withColumn("__draw", -F.log("__u") / F.when((q > 0) & ~F.isnan(q), q).otherwise(F.lit(1.0))).drop("__u", "__quality")
     rows = store(rows, "sizes")
     per_source = rows.groupBy("__source").agg(F.sum("size").cast("bigint").alias("source_size")).collect()
     order = sorted((r["__source"] for r in per_source), key=lambda s: (s is None, s.encode("utf-8", "surrogatepass") if s is not None else b""))

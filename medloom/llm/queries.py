@@ -86,15 +86,15 @@ def one_two_three(sources: list) -> list[float]:
 
 
 def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with the column quality: 2 for a document labelled good, 0.5 for one labelled bad, else 1."""
+    """``docs`` with the column __quality: 2 for a document labelled good, 0.5 for one labelled bad, else 1."""
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("__good"))
     quality = F.when(F.col("__good") == 1, 2.0).when(F.col("__good") == 0, 0.5).otherwise(1.0)
     return docs.join(known, "doc_id", "left").withColumn("__quality", quality).drop("__good")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_quality(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), _table(spark, sf_dir, "labels"))
-    mixed = mixing.mix(docs, one_two_three, quality=F.col("__quality"))
+    labels = _table(spark, sf_dir, "labels")
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), one_two_three, rate=lambda rows: with_quality(rows, labels))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
