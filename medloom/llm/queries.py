@@ -31,7 +31,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    left = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
     return left.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("bigint").alias("n_chars_left"), F.sha2("text", 256).alias("left_sha256"))
 
 
