@@ -92,3 +92,17 @@ def tanimoto_search(queries: DataFrame, prints: DataFrame, least: float) -> Data
     joined = prints.withColumn("bits", F.bit_count("fp").cast("int")).join(reach, "bits")
     score = tanimoto(F.col("q"), F.col("fp"))
     return joined.where(score >= least).select("query_id", "id", F.round(score, 6).alias("similarity"))
+
+
+def fingerprint_members(prints: DataFrame) -> DataFrame:
+    """``prints`` (id, fp): id and least, the least id of an equal fingerprint."""
+    return prints.join(prints.groupBy("fp").agg(F.min("id").alias("least")), "fp").select("id", "least")
+
+
+def tanimoto_links(prints: DataFrame, least: float) -> DataFrame:
+    """All fingerprints against all, itself included: query_id, id, similarity, once per pair of distinct fingerprints.
+
+    An end is the least id of its fingerprint (``fingerprint_members`` has the others), so copies do not multiply links.
+    """
+    one = prints.groupBy("fp").agg(F.min("id").alias("id"))
+    return tanimoto_search(one.select(F.col("id").alias("query_id"), F.col("fp").alias("q")), one, least)

@@ -85,6 +85,20 @@ def tanimoto_topk(spark, sf_dir):
     return tanimoto_pairs(spark, sf_dir).withColumn("rank", F.row_number().over(w)).where("rank <= 3")
 
 
+def _prints(spark, sf_dir):
+    return _vectors(spark, sf_dir).select("id", V.sign_bits(F.col("v")).alias("fp"))
+
+
+def tanimoto_members(spark, sf_dir):
+    """Each id with the least id of its fingerprint, which stands for it in ``tanimoto_links``."""
+    return V.fingerprint_members(_prints(spark, sf_dir))
+
+
+def tanimoto_links(spark, sf_dir):
+    """Similar-to edges of all fingerprints, by the reference's threshold; ends are ids of ``tanimoto_members``."""
+    return V.tanimoto_links(_prints(spark, sf_dir), 0.85)
+
+
 def match_similar(spark, sf_dir):
     """Similar-to edges of the embeddings, two hops from the even queries' labels."""
     e = tanimoto_pairs(spark, sf_dir).where("query_id <> id")
@@ -99,6 +113,7 @@ _S = f"{_V}, s0 AS (SELECT id, label, (generate_subscripts(v, 1) - 1)::INTEGER A
 _STOP = f"{_S}, ss AS (SELECT a.id AS query_id, b.id, round(sum(a.value * b.value), 6) AS score FROM s a JOIN s b ON a.index = b.index WHERE a.id % 100 = 0 GROUP BY 1, 2), stop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM ss) WHERE rank <= {K})"
 _CEN = "cen AS (SELECT label, index, round(avg(value), 6) AS value FROM s0 GROUP BY 1, 2)"
 _FP = f"{_V}, bits AS (SELECT id, bit_or(CASE WHEN x > 0 THEN CASE WHEN i = 64 THEN (-9223372036854775808)::BIGINT ELSE (1::BIGINT << (i - 1)::INTEGER) END ELSE 0::BIGINT END) AS fp FROM (SELECT id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM v) GROUP BY 1), pr AS (SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM bits a, bits b WHERE a.id % 100 = 0 AND bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.45)"
+_ALL = _FP[: _FP.index(", pr AS")]
 
 ORACLE = {
     "dense_cosine_topk": f"WITH {_TOP} SELECT * FROM top",
@@ -114,6 +129,8 @@ ORACLE = {
     "match_report": f"WITH {_TOP} SELECT t.query_id, a.label AS query_label, t.id, b.label AS hit_label, score FROM top t JOIN v a ON a.id = t.query_id JOIN v b ON b.id = t.id ORDER BY 1, score DESC, 3",
     "tanimoto_pairs": f"WITH {_FP} SELECT * FROM pr",
     "tanimoto_topk": f"WITH {_FP} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id)::INTEGER AS rank FROM pr) WHERE rank <= 3",
+    "tanimoto_members": f"WITH {_ALL} SELECT id, min(id) OVER (PARTITION BY fp) AS least FROM bits",
+    "tanimoto_links": f"WITH {_ALL}, one AS (SELECT fp, min(id) AS id FROM bits GROUP BY 1) SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM one a, one b WHERE bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.85",
     "match_similar": f"WITH {_FP} SELECT query_id, label, count(*) AS n, max(similarity) AS best FROM pr JOIN v USING (id) WHERE query_id <> id GROUP BY 1, 2",
 }
 QUERIES = {k: globals()[k] for k in ORACLE}
