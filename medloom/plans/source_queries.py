@@ -91,8 +91,8 @@ def chunk_nodes(spark, sf_dir):
 
 
 def soft_clusters(spark, sf_dir):
-    """Embeddings by label as documents' sections."""
-    e = table(spark, sf_dir, "embeddings").select(F.col("label").cast("bigint").alias("doc"), (F.col("vec_id") % 40).cast("string").alias("section"), F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.lit(300).alias("tokens"))
+    """Embeddings by label, a thousand ids at a time, as documents' sections: some 50 to 100 rows each."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("label").cast("bigint").alias("doc"), F.floor(F.col("vec_id") / 1000).cast("string").alias("section"), F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.lit(300).alias("tokens"))
     return clusters.soft_clusters(e)
 
 
