@@ -27,16 +27,18 @@ FAMILIES = [
         r"licensed under the apache (?:software )?license (?:version )?v?{v}", r"apache (?:software )?license (?:version )?v?{v}", r"spdx license identifier apache {v}",
         r"apache org licenses license {v}", r"under the terms of the apache license (?:version )?{v}", r"apache {v} licen[sc]e[d]?",
     ]),
-    ("apache-2.0", ("",), ("apache",), 30, 0.8, [r"licensed under the apache licen[sc]e", r"apache software foundation licen[sc]e", r"asl ?2(?: 0)?"]),
+    ("apache-2.0", ("",), ("apache",), 30, 0.8, [r"licensed under the apache licen[sc]e", r"apache software foundation licen[sc]e"]),
+    ("apache-2.0", ("",), ("asl",), 30, 0.8, [r"asl ?2(?: 0)?"]),
     ("apache", ("",), ("apache",), 50, 0.6, [r"apache(?: software)? licen[sc]e"]),
     ("mit", ("",), ("mit", "licen"), 10, 0.9, [
         r"(?:released|licensed|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?mit(?: x11)? licen[sc]e", r"spdx license identifier mit", r"mit(?: expat)? licen[sc]e",
         r"opensource org licenses mit", r"licen[sc]e mit", r"dual licensed under (?:the )?mit",
     ]),
     ("mit", ("",), ("permission", "free of charge"), 15, 0.95, [
-        r"permission is hereby granted free of charge to any person obtaining a copy", r"the above copyright notice and this permission notice shall be included in all copies",
-        r"to deal in the software without restriction",
+        r"permission is hereby granted free of charge to any person obtaining a copy",
     ]),
+    ("mit", ("",), ("permission notice",), 15, 0.95, [r"the above copyright notice and this permission notice shall be included in all copies"]),
+    ("mit", ("",), ("without restriction",), 15, 0.95, [r"to deal in the software without restriction"]),
     ("x11", ("",), ("x11", "licen"), 20, 0.8, [r"x11 licen[sc]e", r"spdx license identifier x11"]),
     ("gpl-{v}", ("1", "2", "3", "1 0", "2 0", "3 0"), ("gpl",), 10, 0.95, [
         r"spdx license identifier gpl {v}(?: only)?", r"gnu gpl (?:version |v)?{v}", r"gpl (?:version |v)?{v}", r"gnu org licenses gpl {v}",
@@ -62,14 +64,17 @@ FAMILIES = [
     ("agpl-{v}", ("1", "1 0", "3", "3 0"), ("agpl",), 6, 0.95, [r"spdx license identifier agpl {v}(?: only| or later)?", r"agpl ?v?{v}", r"gnu org licenses agpl {v}"]),
     ("agpl-{v}", ("1", "3"), ("affero",), 6, 0.95, [r"(?:gnu )?affero general public license (?:version|v) ?{v}"]),
     ("agpl", ("",), ("affero",), 20, 0.85, [r"(?:gnu )?affero general public license"]),
-    ("gfdl-{v}", ("1 1", "1 2", "1 3"), ("free documentation",), 10, 0.95, [r"(?:gnu )?free documentation license (?:version |v)?{v}", r"gfdl {v}"]),
+    ("gfdl-{v}", ("1 1", "1 2", "1 3"), ("free documentation",), 10, 0.95, [r"(?:gnu )?free documentation license (?:version |v)?{v}"]),
+    ("gfdl-{v}", ("1 1", "1 2", "1 3"), ("gfdl",), 10, 0.95, [r"gfdl {v}"]),
     ("gfdl", ("",), ("free documentation",), 30, 0.8, [r"(?:gnu )?free documentation license"]),
     ("mpl-{v}", ("1 0", "1 1", "2 0"), ("mozilla public",), 10, 0.95, [
-        r"mozilla public license (?:version |v )?{v}", r"subject to the terms of the mozilla public license v(?:ersion)? ?{v}", r"mozilla org (?:mpl|media mpl) {v}",
+        r"mozilla public license (?:version |v )?{v}", r"subject to the terms of the mozilla public license v(?:ersion)? ?{v}",
     ]),
+    ("mpl-{v}", ("1 0", "1 1", "2 0"), ("mozilla org",), 10, 0.95, [r"mozilla org (?:mpl|media mpl) {v}"]),
     ("mpl-{v}", ("1 0", "1 1", "2 0"), ("mpl",), 12, 0.9, [r"spdx license identifier mpl {v}", r"mpl ?v?{v}"]),
     ("mpl", ("",), ("mozilla public",), 30, 0.8, [r"mozilla public license"]),
-    ("epl-{v}", ("1 0", "2 0"), ("eclipse",), 10, 0.95, [r"eclipse public license (?:version |v ?)?{v}", r"eclipse org legal epl v{v}", r"spdx license identifier epl {v}"]),
+    ("epl-{v}", ("1 0", "2 0"), ("eclipse",), 10, 0.95, [r"eclipse public license (?:version |v ?)?{v}", r"eclipse org legal epl v{v}"]),
+    ("epl-{v}", ("1 0", "2 0"), ("spdx license identifier epl",), 10, 0.95, [r"spdx license identifier epl {v}"]),
     ("epl", ("",), ("eclipse",), 30, 0.8, [r"eclipse public license"]),
     ("edl-1.0", ("",), ("eclipse",), 20, 0.85, [r"eclipse distribution license"]),
     ("cddl-{v}", ("1 0", "1 1"), ("cddl",), 10, 0.9, [r"cddl (?:version |v)?{v}", r"spdx license identifier cddl {v}"]),
@@ -78,7 +83,8 @@ FAMILIES = [
     ("eupl-{v}", ("1 0", "1 1", "1 2"), ("eupl",), 10, 0.9, [r"eupl (?:version |v)?{v}", r"spdx license identifier eupl {v}"]),
     ("eupl", ("",), ("european union public",), 20, 0.85, [r"european union public licen[sc]e"]),
     ("bsd-{v}-clause", ("0", "1", "2", "3", "4"), ("bsd",), 10, 0.9, [r"bsd {v} clause", r"{v} clause bsd", r"spdx license identifier bsd {v} clause", r"opensource org licenses bsd {v} clause"]),
-    ("bsd-2-clause", ("",), ("bsd",), 15, 0.9, [r"simplified bsd licen[sc]e", r"freebsd licen[sc]e", r"two clause bsd"]),
+    ("bsd-2-clause", ("",), ("bsd",), 15, 0.9, [r"simplified bsd licen[sc]e", r"two clause bsd"]),
+    ("bsd-2-clause", ("",), ("freebsd",), 15, 0.9, [r"freebsd licen[sc]e"]),
     ("bsd-3-clause", ("",), ("bsd",), 15, 0.9, [r"(?:new|modified|revised) bsd licen[sc]e", r"three clause bsd"]),
     ("bsd-4-clause", ("",), ("bsd",), 15, 0.9, [r"(?:original|old) bsd licen[sc]e", r"four clause bsd"]),
     ("bsd-3-clause", ("",), ("endorse",), 12, 0.9, [r"neither the name of [^\n]{1,120}? may be used to endorse or promote products", r"names? of [^\n]{1,80}? contributors may be used to endorse or promote products"]),
@@ -93,14 +99,16 @@ FAMILIES = [
     ("zlib", ("",), ("zlib",), 20, 0.8, [r"zlib(?: libpng)? licen[sc]e", r"spdx license identifier zlib"]),
     ("zlib", ("",), ("as is", "express or implied"), 25, 0.8, [r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"]),
     ("libpng", ("",), ("libpng",), 30, 0.7, [r"libpng licen[sc]e"]),
-    ("bsl-1.0", ("",), ("boost",), 15, 0.9, [r"boost software license(?: version)?(?: 1 0)?", r"boost org license 1 0 txt", r"spdx license identifier bsl 1 0"]),
+    ("bsl-1.0", ("",), ("boost",), 15, 0.9, [r"boost software license(?: version)?(?: 1 0)?", r"boost org license 1 0 txt"]),
+    ("bsl-1.0", ("",), ("spdx license identifier bsl",), 15, 0.9, [r"spdx license identifier bsl 1 0"]),
     ("unlicense", ("",), ("unlicense",), 15, 0.9, [r"the unlicense", r"unlicense org", r"spdx license identifier unlicense"]),
     ("unlicense", ("",), ("public domain",), 18, 0.85, [r"this is free and unencumbered software released into the public domain"]),
     ("wtfpl", ("",), ("wtfpl",), 15, 0.9, [r"wtfpl(?: version)?(?: 2)?"]),
     ("beerware", ("",), ("beer",), 25, 0.7, [r"beer ?ware licen[sc]e", r"buy me a beer in return"]),
     ("artistic-{v}", ("1 0", "2 0"), ("artistic",), 10, 0.9, [r"artistic license (?:version )?{v}", r"spdx license identifier artistic {v}"]),
     ("artistic", ("",), ("artistic",), 30, 0.75, [r"artistic licen[sc]e"]),
-    ("psf-2.0", ("",), ("python",), 20, 0.85, [r"python software foundation license(?: version)?(?: 2)?", r"psf license agreement"]),
+    ("psf-2.0", ("",), ("python",), 20, 0.85, [r"python software foundation license(?: version)?(?: 2)?"]),
+    ("psf-2.0", ("",), ("psf license",), 20, 0.85, [r"psf license agreement"]),
     ("php-{v}", ("3 0", "3 01"), ("php",), 10, 0.9, [r"php license (?:version |v)?{v}"]),
     ("ruby", ("",), ("ruby", "same terms"), 25, 0.75, [r"same terms as ruby"]),
     ("perl", ("",), ("perl", "same terms"), 25, 0.75, [r"same terms as perl(?: itself)?"]),
@@ -117,7 +125,8 @@ FAMILIES = [
     ("odbl-1.0", ("",), ("open database",), 15, 0.85, [r"open database license(?: v| version)?(?: 1 0)?"]),
     ("odc-by-1.0", ("",), ("open data commons",), 15, 0.85, [r"open data commons attribution license"]),
     ("pddl-1.0", ("",), ("public domain dedication",), 25, 0.8, [r"open data commons public domain dedication"]),
-    ("cc0-1.0", ("",), ("cc0",), 10, 0.9, [r"cc0(?: 1 0)?(?: universal)?", r"creativecommons org publicdomain zero 1 0"]),
+    ("cc0-1.0", ("",), ("cc0",), 10, 0.9, [r"cc0(?: 1 0)?(?: universal)?"]),
+    ("cc0-1.0", ("",), ("creativecommons org publicdomain",), 10, 0.9, [r"creativecommons org publicdomain zero 1 0"]),
     ("cc0-1.0", ("",), ("public domain dedication",), 20, 0.85, [r"creative commons (?:zero )?public domain dedication"]),
     ("cc-by-nc-nd-{v}", ("1 0", "2 0", "2 5", "3 0", "4 0", "4"), ("cc by nc nd",), 4, 0.95, [r"cc by nc nd {v}"]),
     ("cc-by-nc-sa-{v}", ("1 0", "2 0", "2 5", "3 0", "4 0", "4"), ("cc by nc sa",), 4, 0.95, [r"cc by nc sa {v}"]),
@@ -134,15 +143,18 @@ FAMILIES = [
     ("cc-{v}", ("by", "by nc", "by sa", "by nd", "by nc sa", "by nc nd"), ("creativecommons",), 10, 0.95, [r"creativecommons org licenses {v}(?: \d)*"]),
     ("cc-by-nc-nd", ("",), ("creative commons", "noncommercial"), 8, 0.9, [r"creative commons attribution noncommercial no ?deriv(?:ative)?s?"]),
     ("cc-by-nc-sa", ("",), ("creative commons", "noncommercial"), 8, 0.9, [r"creative commons attribution noncommercial share ?alike"]),
-    ("cc-by-nc", ("",), ("creative commons", "noncommercial"), 12, 0.9, [r"creative commons attribution non ?commercial"]),
+    ("cc-by-nc", ("",), ("creative commons", "noncommercial"), 12, 0.9, [r"creative commons attribution noncommercial"]),
+    ("cc-by-nc", ("",), ("creative commons", "non commercial"), 12, 0.9, [r"creative commons attribution non commercial"]),
     ("cc-by-sa", ("",), ("creative commons",), 12, 0.9, [r"creative commons attribution share ?alike"]),
     ("cc-by-nd", ("",), ("creative commons",), 12, 0.9, [r"creative commons attribution no ?deriv(?:ative)?s?"]),
     ("cc-by", ("",), ("creative commons",), 30, 0.85, [r"creative commons attribution(?: \d)*"]),
     ("creative-commons", ("",), ("creative commons",), 70, 0.6, [r"creative commons(?: licen[sc]e)?"]),
     ("public-domain", ("",), ("public domain",), 60, 0.7, [r"(?:released|placed|dedicated|is|are) (?:in|into|to) the public domain", r"public domain (?:software|work|mark)"]),
     ("copyleft", ("",), ("copyleft",), 70, 0.5, [r"copyleft"]),
-    ("proprietary", ("",), ("proprietary",), 50, 0.6, [r"proprietary and confidential", r"confidential and proprietary", r"unauthori[sz]ed (?:copying|use|reproduction) [^\n]{0,80}? (?:is strictly )?prohibited"]),
-    ("commercial", ("",), ("commercial",), 60, 0.5, [r"commercial licen[sc]e (?:agreement|terms)", r"for non ?commercial use only"]),
+    ("proprietary", ("",), ("proprietary",), 50, 0.6, [r"proprietary and confidential", r"confidential and proprietary"]),
+    ("proprietary", ("",), ("unauthori",), 50, 0.6, [r"unauthori[sz]ed (?:copying|use|reproduction) [^\n]{0,80}? (?:is strictly )?prohibited"]),
+    ("commercial", ("",), ("commercial",), 60, 0.5, [r"commercial licen[sc]e (?:agreement|terms)", r"for non commercial use only"]),
+    ("commercial", ("",), ("noncommercial",), 60, 0.5, [r"for noncommercial use only"]),
     ("eula", ("",), ("license agreement",), 50, 0.6, [r"end user license agreement", r"software license agreement"]),
     ("trademark", ("",), ("trademark",), 70, 0.4, [r"registered trademarks? of", r"trademarks? of [^\n]{1,40}? (?:inc|corporation|ltd|gmbh)"]),
     ("warranty-disclaimer", ("",), ("warrant",), 65, 0.5, [r"without warrant(?:y|ies) of any kind", r"without warranties or conditions of any kind", r"provided as is without warrant"]),

@@ -36,8 +36,6 @@ class Scanner:
         begins, ends = at[:, 0] - at[:, 1] + 1, at[:, 0] + 1
         row = np.searchsorted(offsets, begins, "right") - 1
         fits = (ends <= offsets[row + 1]) & ((begins == offsets[row]) | ~ALNUM[data[begins - 1]])
-        # the shortest gate words count as whole words only
-        fits &= (at[:, 1] > 4) | (ends == offsets[row + 1]) | ~ALNUM[data[np.minimum(ends, len(data) - 1)]]
         hit = np.zeros(len(offsets) - 1, bool)
         hit[row[fits]] = True
         return hit
