@@ -90,12 +90,13 @@ class Memo:
     def __init__(self, most: int = 150_000):
         self.most, self.young, self.old = most, {}, {}
 
-    def get(self, keys, make) -> dict:
-        """A mapping that holds all ``keys``; ``make(list of keys)`` gives the results that are not remembered."""
+    def get(self, keys, make, distinct: bool = False) -> dict:
+        """A mapping that holds all ``keys``; ``make(list of keys)`` gives the results that are not remembered.
+        ``distinct``: no key comes twice."""
         if len(self.young) > self.most:
             self.young, self.old = {}, self.young
         young, old, new = self.young, self.old, []
-        for k in set(keys):
+        for k in keys if distinct else set(keys):
             if k not in young:
                 if k in old:
                     young[k] = old[k]

@@ -18,18 +18,25 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from medloom.llm.byte_bpe import byte_letters
 from medloom.llm.shared import new_path, partitions, store
-from medloom.llm.textcols import WHITE, Memo, column, gather, held, slices, starts, units, utf8
+from medloom.llm.textcols import LOWER, WHITE, Memo, column, gather, held, slices, starts, units, utf8
 
 BLOCK = 1 << 16
+#: Documents that a reader hands on at a time.
+READ_ROWS = 2_000
+#: Text of one file at most, about.
+FILE_BYTES = 64 << 20
 MAGIC = b"MLTB"
 
 
@@ -63,7 +70,7 @@ class Writer:
         self.out = self.files.open_output_stream(self.own)
         self.out.write(MAGIC + bytes([width]))
         self.width, self.at, self.left, self.n = width, len(MAGIC) + 1, np.zeros(0, np.uint32), 0
-        self.blocks, self.first, self.ids = [], [], []
+        self.blocks, self.first, self.ids, self.null = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
 
     def _block(self, ids: np.ndarray) -> None:
         raw = pack(ids, self.width)
@@ -71,10 +78,11 @@ class Writer:
         self.at += len(raw)
         self.out.write(raw)
 
-    def add(self, doc_ids: list, ids: np.ndarray, ends: np.ndarray) -> None:
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
         """``ends``: where each document's tokens end in ``ids``."""
         self.first.append(self.n + np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)])
-        self.ids.append(doc_ids)
+        self.ids.append(pc.fill_null(doc_ids, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        self.null.append(doc_ids.is_null().to_numpy(zero_copy_only=False))
         self.n += len(ids)
         self.left = np.concatenate([self.left, ids])
         whole = len(self.left) // BLOCK * BLOCK
@@ -85,10 +93,10 @@ class Writer:
     def close(self) -> None:
         if len(self.left):
             self._block(self.left)
-        ids = [x for part in self.ids for x in part]
-        first = np.append(np.concatenate(self.first) if self.first else np.zeros(0, np.int64), self.n)
+        ids, null = np.concatenate(self.ids), np.concatenate(self.null)
+        first = np.append(np.concatenate(self.first), self.n)
         self.out.write(np.array(self.blocks, "<i8").tobytes() + first.astype("<i8").tobytes())
-        self.out.write(np.array([x or 0 for x in ids], "<i8").tobytes() + bytes(x is None for x in ids))
+        self.out.write(ids.astype("<i8").tobytes() + null.astype(np.uint8).tobytes())
         self.out.write(np.array([self.width, BLOCK, self.n, len(ids), len(self.blocks)], "<i8").tobytes())
         self.out.close()
         self.files.move(self.own, self.path)
@@ -108,7 +116,7 @@ class Reader:
         self.first = np.frombuffer(raw, "<i8", docs + 1, 8 * blocks)
         ids = np.frombuffer(raw, "<i8", docs, 8 * (blocks + docs + 1))
         null = np.frombuffer(raw, np.uint8, docs, 8 * (blocks + docs + 1) + 8 * docs)
-        self.ids = [None if z else i for i, z in zip(ids.tolist(), null.tolist(), strict=True)]
+        self.ids = pa.array(ids, mask=null.astype(bool))
         self.payload_end = size - 40 - index
 
     def tokens(self, begin: int, end: int) -> np.ndarray:
@@ -127,33 +135,45 @@ class Reader:
         return self.tokens(int(self.first[i]), int(self.first[i + 1]))
 
     def documents(self):
-        """(document id, tokens) of every document, reading each block once."""
+        """The tokens of every document in turn, reading each block once."""
         from_block, held = -1, np.zeros(0, np.uint32)
-        for i, doc_id in enumerate(self.ids):
+        for i in range(len(self.ids)):
             begin, end = int(self.first[i]), int(self.first[i + 1])
             if begin == end:
-                yield doc_id, held[:0]
+                yield held[:0]
                 continue
             a, b = begin // self.block, (end - 1) // self.block
             if a == b:
                 if a != from_block:
                     from_block, held = a, self.tokens(a * self.block, min(self.n, (a + 1) * self.block))
-                yield doc_id, held[begin - a * self.block : end - a * self.block]
+                yield held[begin - a * self.block : end - a * self.block]
             else:
                 found = self.tokens(begin, min(self.n, (b + 1) * self.block))
                 from_block, held = b, found[b * self.block - begin :]
-                yield doc_id, found[: end - begin]
+                yield found[: end - begin]
 
 
-#: A word of ASCII letters and the marks behind it, which are a token run of their own.
-PLAIN = re.compile(rb"([A-Za-z]+)([.,;:!?]*)[ \t\n\r\x0b\x0c]*\Z")
+#: Kinds of bytes in texts: white, letter (ASCII, and the two bytes of Latin-1 letters), digit, mark, and what only the
+#: library's own steps may cut (apostrophes begin contractions, "<" special tokens).
+_KIND = np.full(256, 4, np.uint8)
+_KIND[WHITE] = 0
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, *range(0x80, 0xC0)]] = 1
+_KIND[0x30:0x3A] = 2
+_KIND[[x for x in range(0x21, 0x7F) if not chr(x).isalnum() and chr(x) not in "'<"]] = 3
+_KIND[[0x97, 0xB7]] = 4  # the second bytes of the multiplication and division signs
+#: Lower case, also of the second byte of Latin-1 letters.
+_SMALL = LOWER.copy()
+_SMALL[0x80:0x9F] += 0x20
+#: A run of lower-case letters of these.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z")
 
 
 class WordCoder:
     """Encodes batches through a tokenizer that lower-cases, drops white space and never joins across it.
 
-    Each distinct word is encoded once and remembered for a while; plain ASCII words go to the library's model, the
-    others through all of its steps.
+    Words of ASCII and Latin-1 letters, digits and marks are put in lower case and cut where the kind changes, as the
+    tokenizer does; other words stay whole.  Each distinct piece is encoded once and remembered for a while: runs of
+    letters go to the library's model, the others through all of its steps.
     """
 
     def __init__(self, path: str, end_id: int | None):
@@ -161,28 +181,50 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end_id, self.memo = end_id, Memo()
+        self.letters = dict(enumerate(byte_letters()))
+        self.end_id, self.memo = end_id, Memo(80_000)
 
     def _make(self, words: list[bytes]) -> list[bytes]:
-        plain = [w.isalpha() and w.isascii() for w in words]
-        model = self.tokenizer.model
-        rest = iter(self.tokenizer.encode_batch_fast([w.decode() for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False))
-        return [np.array([t.id for t in model.tokenize(w.decode())] if p else next(rest).ids, np.uint32).tobytes() for w, p in zip(words, plain, strict=True)]
+        model, letters = self.tokenizer.model, self.letters
+        spelt = [w.decode("latin-1").translate(letters) if _LETTERS.match(w) else None for w in words]
+        rest = iter(self.tokenizer.encode_batch_fast([w.decode() for w, s in zip(words, spelt, strict=True) if s is None], add_special_tokens=False))
+        return [array("I", [t.id for t in model.tokenize(s)] if s is not None else next(rest).ids).tobytes() for s in spelt]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids (with the end id) end."""
         data, offsets = utf8(texts)
-        which, words, per_row = units(data, offsets, starts(~WHITE[data], offsets))
-        match = PLAIN.match
-        keys = [(m[1].lower(), m[2]) if (m := match(w)) else (w.strip(b" \t\n\r\x0b\x0c"), b"") for w in words]
-        known = self.memo.get([x for pair in keys for x in pair], self._make)
-        found = [known[a] + known[b] if b else known[a] for a, b in keys]
+        kind = _KIND[data]
+        solid = kind > 0
+        begins = starts(solid, offsets)
+        whole = np.zeros(len(begins), bool)
+        whole[np.searchsorted(begins, np.flatnonzero(kind == 4), "right") - 1] = True
+        odd = np.flatnonzero(whole)
+        change = solid.copy()
+        change[:1] = False
+        change[1:] &= kind[1:] != kind[:-1]
+        change[begins] = False
+        change = np.flatnonzero(change)
+        change = change[~whole[np.searchsorted(begins, change, "right") - 1]] if len(begins) else change
+        cut = np.zeros(len(data), bool)
+        cut[begins] = cut[change] = True
+        small = _SMALL[data]
+        if len(odd):  # their bytes stay as they are
+            ends = np.append(begins[1:], len(data))[odd]
+            as_is = np.zeros(len(data) + 1, np.int8)
+            as_is[begins[odd]] += 1
+            as_is[ends] -= 1
+            as_is = np.cumsum(as_is[:-1], dtype=np.int8).view(bool)
+            small[as_is] = data[as_is]
+        before = np.concatenate([[0], np.cumsum(solid)])
+        which, words, per_row = units(small[solid], before[offsets], before[np.flatnonzero(cut)])
+        known = self.memo.get(words, self._make, distinct=True)
+        found = [known[w] for w in words]
         length = np.fromiter(map(len, found), np.int64, len(found)) // 4
         parts = np.frombuffer(b"".join(found), np.uint32)
         begin = np.cumsum(length) - length
         sizes = length[which] if len(which) else np.zeros(0, np.int64)
-        before = np.concatenate([[0], np.cumsum(sizes)])
-        ends = before[per_row[1:]]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        ends = total[per_row[1:]]
         ids = gather(parts, begin, length, which)[0] if len(which) else np.zeros(0, np.uint32)
         if self.end_id is None:
             return ids, ends
@@ -196,13 +238,14 @@ def coder(path: str, end_id: int | None) -> WordCoder:
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, vocabulary: int, end_id: int | None = 1, id_col: str = "doc_id", text: str = "text", files: int | None = None) -> DataFrame:
     """Write the ids of all documents under ``folder`` in ascending ``id_col`` order; returns the list of files.
 
-    Range partitions of the ids become files, numbered in order.  A task that is run again writes under another name
+    Range partitions of the ids become files, numbered in order: as many as there are shuffle partitions, and more where
+    a file would take more than ``FILE_BYTES`` of text.  A task that is run again writes under another name
     and only the attempt that Spark commits is listed, so a lost executor leaves no wrong entry.  The list has part
     (int), path, n_docs and n_tokens (long).  Null texts are empty documents, null ids come first, rows that repeat an
     id are ordered by their text's hash; an empty table gives an empty list.
     ``folder`` is a URI that all executors reach (file://, hdfs:// or another that pyarrow opens).
     """
-    n = files or partitions(docs.sparkSession)
+    n = files or max(partitions(docs.sparkSession), -(-(docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0) // FILE_BYTES))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange(n, F.col("id").asc_nulls_first(), F.col("tie")).sortWithinPartitions(F.col("id").asc_nulls_first(), "tie")
@@ -216,10 +259,10 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, vocabulary:
         encoder = coder(tokenizer, end_id)
         docs_n = 0
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", 2 << 20):
                 made = made or Writer(uri, width)
                 ids, ends = encoder.encode(column(piece, "text"))
-                made.add(column(piece, "id").to_pylist(), ids, ends)
+                made.add(column(piece, "id"), ids, ends)
                 docs_n += len(piece)
         if made:
             made.close()
@@ -239,13 +282,13 @@ def read_token_files(listed: DataFrame, digest, fields: str, id_col: str = "doc_
     def run(batches):
         for batch in batches:
             for uri, start in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist(), strict=True):
-                reader = Reader(uri)
-                out: list[list] = [[], [], [], *([] for _ in names)]
-                for i, (doc_id, ids) in enumerate(reader.documents()):
-                    for to, x in zip(out, (doc_id, start + int(reader.first[i]), len(ids), *digest(ids)), strict=True):
-                        to.append(x)
-                for at in range(0, len(out[0]), 10_000):
-                    yield pa.RecordBatch.from_pydict(dict(zip((id_col, "start", "n_tokens", *names), (x[at : at + 10_000] for x in out), strict=True)))
+                reader, out = Reader(uri), []
+                for i, ids in enumerate(reader.documents()):
+                    out.append((len(ids), *digest(ids)))
+                    if len(out) == READ_ROWS or i + 1 == len(reader.ids):
+                        at = slice(i + 1 - len(out), i + 1)
+                        yield pa.RecordBatch.from_arrays([reader.ids[at], pa.array(start + reader.first[at]), *map(pa.array, zip(*out, strict=True))], names=[id_col, "start", "n_tokens", *names])
+                        out = []
 
     return placed.mapInArrow(run, schema)
 

@@ -356,20 +356,42 @@ def test_token_files_round_trip(spark, odd, none, tmp_path):
     first = files.orderBy("part").first()["path"]
     reader = token_files.Reader(first)
     some = list(reader.documents())
-    assert all((reader.document(k) == ids).all() for k, (_, ids) in enumerate(some))
+    assert all((reader.document(k) == ids).all() for k, ids in enumerate(some))
     empty = token_files.write_token_files(none, path, f"file://{tmp_path}/e", queries.WORD_IDS)
     assert token_files.read_token_files(empty, lambda ids: (0,), "z bigint").count() == 0
 
 
+def test_words_are_cut_as_the_library_cuts_them():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, own, rng = Tokenizer.from_file(path), token_files.WordCoder(path, 1), random.Random(3)
+    parts = ["ab", "Über", "ß", "ÿ", "×", "÷", "it's", "'S", "'", "12", "٣", ".", "...", "!?", "é", "e\u0301", "J\u030c", "İ", "Σ", "ΑΣ", "日本", "🙂", "<|endoftext|>", "<", "|", "\x1c", "\x00", "\xa0", "\u2003", "\x85", " ", "  ", "\n", "\t", "\u200b", "A", "Z", "\x7f", "ª", "µ", "ſ", "K"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(6000)]
+    ids, ends = own.encode(pa.array([*texts, None]))
+    got = np.split(ids, ends[:-1])
+    for t, g in zip([*texts, ""], got, strict=True):
+        assert g.tolist() == [*tok.encode(t, add_special_tokens=False).ids, 1], repr(t)
+
+
+def test_token_file_query(spark):
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect())
+    want, at = [], 0
+    for i, t in rows:
+        ids = np.array([*tok.encode(t, add_special_tokens=False).ids, 1], "<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert sorted(map(tuple, queries.op8_token_files(spark, SMALL).collect())) == want
+
+
 @pytest.mark.parametrize("width", [1, 3, 8, 11, 16, 17, 31, 32])
 def test_bit_packing(width, tmp_path):
     ids = np.random.default_rng(width).integers(0, 1 << width, 200_001).astype(np.uint32)
     assert (token_files.unpack(token_files.pack(ids, width), width, len(ids)) == ids).all()
     w = token_files.Writer(f"file://{tmp_path}/x.bin", width)
-    w.add([1, None, 3], ids, np.array([0, 150_000, len(ids)]))
+    w.add(pa.array([1, None, 3], pa.int64()), ids, np.array([0, 150_000, len(ids)]))
     w.close()
     r = token_files.Reader(f"file://{tmp_path}/x.bin")
-    assert [i for i, _ in r.documents()] == [1, None, 3] and (np.concatenate([x for _, x in r.documents()]) == ids).all()
+    assert r.ids.to_pylist() == [1, None, 3] and (np.concatenate(list(r.documents())) == ids).all()
     assert (r.tokens(65_530, 140_000) == ids[65_530:140_000]).all()
     assert token_files.width_of(49_408) == 16 and token_files.width_of(2) == 1
 
