@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-import os
+import gc
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Parquet bytes of a table that a join may broadcast.
+BROADCAST_BYTES = 16 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset, the warehouse, or in local mode a temporary folder."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, the warehouse, or in local mode a temporary folder.
+    A folder without a scheme is one of the default file system, as Spark itself takes it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
-        found = tempfile.mkdtemp(prefix="medloom-") if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/_medloom"
+        found = f"file://{tempfile.mkdtemp(prefix='medloom-')}" if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/_medloom"
         spark.conf.set("spark.checkpoint.dir", found)
-    return found if "://" in found or found.startswith("file:") else f"file://{os.path.abspath(found)}"
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(found)
+    files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    return re.sub("^file:/(?!//)", "file:///", path.makeQualified(files.getUri(), files.getWorkingDirectory()).toString())
 
 
 def new_path(spark: SparkSession, what: str) -> str:
@@ -29,19 +37,49 @@ def store(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, what)
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    return stored(spark, path, df.schema)
+
+
+def stored(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The Parquet table in a folder of the shared one, which may have no file at all."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(sc._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    out = spark.read.schema(schema).parquet(path)
     out._medloom_path = path
     return out
 
 
+def _folder(df: DataFrame):
+    """Hadoop's file system and path of what ``store`` wrote, or two Nones."""
+    path = getattr(df, "_medloom_path", None)
+    if not path:
+        return None, None
+    sc = df.sparkSession.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(sc._jsc.hadoopConfiguration()), where
+
+
 def drop_stored(*frames: DataFrame) -> None:
     """Delete what ``store`` wrote once nothing will read it again."""
     for df in frames:
-        path = getattr(df, "_medloom_path", None)
-        if path:
-            sc = df.sparkSession.sparkContext
-            where = sc._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+        files, where = _folder(df)
+        if files:
+            files.delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def small_or_hashed(df: DataFrame, table: DataFrame | None = None, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table (or columns of one, ``table``) for a join: to be broadcast if its files take up to ``most`` bytes,
+    else to be shuffled and hashed."""
+    files, where = _folder(df if table is None else table)
+    return F.broadcast(df) if files and files.getContentSummary(where).getLength() <= most else df.hint("shuffle_hash")
 
 
 def partitions(spark: SparkSession) -> int:
