@@ -22,13 +22,10 @@ def usable(vector: str) -> Column:
 
 
 def classes(rows: DataFrame, vector: str, id_col: str, most: int) -> DataFrame:
-    """Equal vectors as one row: vec, n, ids (the ``most`` smallest), ascending.  Null ids are left out of ids.
+    """Equal vectors as one row: vec, ids (the ``most`` smallest distinct ones, ascending).  Null ids are left out.
 
-    The ranks are cut before the shuffle as well, so a vector that a third of all rows hold costs ``most`` rows a task.
+    The ranks are cut before the shuffle as well, so a vector that a third of all rows hold costs ``most`` ids a task.
     """
-    base = rows.select(F.col(vector).alias("vec"), F.col(id_col).alias("id"))
-    counted = base.groupBy("vec").agg(F.count("*").alias("n"), F.min("id").alias("least"))
-    if most == 1:
-        return counted.select("vec", "n", "least")
-    ranked = base.where("id is not null").withColumn("r", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("r") <= most)
-    return ranked.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    base = rows.select(F.col(vector).alias("vec"), F.col(id_col).alias("id")).where("id is not null")
+    ranked = base.withColumn("r", F.dense_rank().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("r") <= most)
+    return ranked.groupBy("vec").agg(F.sort_array(F.collect_set("id")).alias("ids"))
