@@ -2,7 +2,7 @@
 
 A text is reduced to its words (ASCII letters in lower case, digits, every non-ASCII character), one space apart; the
 patterns are written for that form, so "Version 2.0," reads "version 2 0".  In a pattern ``{v}`` stands for each of the
-family's versions in turn, and in a label too.
+family's versions in turn, and in a label too, where a whole number gets a zero: "gpl 2" and "gpl 2 0" are one licence.
 """
 
 from __future__ import annotations
@@ -158,8 +158,68 @@ FAMILIES = [
     ("eula", ("",), ("license agreement",), 50, 0.6, [r"end user license agreement", r"software license agreement"]),
     ("trademark", ("",), ("trademark",), 70, 0.4, [r"registered trademarks? of", r"trademarks? of [^\n]{1,40}? (?:inc|corporation|ltd|gmbh)"]),
     ("warranty-disclaimer", ("",), ("warrant",), 65, 0.5, [r"without warrant(?:y|ies) of any kind", r"without warranties or conditions of any kind", r"provided as is without warrant"]),
-    ("reserved", ("",), ("rights reserved",), 80, 0.6, [r"all rights reserved", r"(?:some|no) rights reserved"]),
-    ("copyright", ("",), ("copyright",), 90, 0.4, [r"copyright(?: c)? (?:19|20)\d\d(?: (?:19|20)\d\d)?", r"copyright c\b"]),
+    ("reserved", ("",), ("rights reserved",), 80, 0.6, [r"all rights reserved"]),
+    ("some-rights-reserved", ("",), ("rights reserved",), 80, 0.6, [r"some rights reserved"]),
+    ("no-rights-reserved", ("",), ("rights reserved",), 80, 0.6, [r"no rights reserved"]),
+    ("copyright", ("",), ("copyright",), 90, 0.4, [r"copyright(?: c)? (?:19|20)\d\d(?: (?:19|20)\d\d)?", r"copyright c", r"copyright notice"]),
+    ("apache-2.0", ("",), ("apache software foundation",), 20, 0.9, [r"licensed to the apache software foundation(?: asf)? under one or more contributor license agreements"]),
+    ("apache-2.0", ("",), ("in compliance with the license",), 25, 0.85, [r"you may not use this file except in compliance with the license"]),
+    ("apache-2.0", ("",), ("applicable law",), 25, 0.8, [r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"]),
+    ("gpl", ("",), ("free software",), 45, 0.7, [r"this program is free software you can redistribute it and or modify", r"this program is free software it may be used copied modified"]),
+    ("gpl", ("",), ("in the hope that",), 48, 0.7, [r"distributed in the hope that it will be useful but without any warranty"]),
+    ("gpl", ("",), ("should have received",), 42, 0.8, [r"you should have received a copy of the gnu general public license"]),
+    ("lgpl", ("",), ("should have received",), 22, 0.85, [r"you should have received a copy of the gnu (?:lesser|library) general public license"]),
+    ("agpl", ("",), ("should have received",), 22, 0.85, [r"you should have received a copy of the gnu affero general public license"]),
+    ("gfdl", ("",), ("modify this document",), 25, 0.85, [r"permission is granted to copy distribute and or modify this document"]),
+    ("gnu-all-permissive", ("",), ("without royalty",), 25, 0.8, [r"in any medium without royalty provided the copyright notice and this notice are preserved"]),
+    ("mpl-2.0", ("",), ("source code form",), 12, 0.95, [r"this source code form is subject to the terms of the mozilla public license"]),
+    ("mpl-2.0", ("",), ("secondary licenses",), 20, 0.85, [r"incompatible with secondary licenses"]),
+    ("epl", ("",), ("accompanying materials",), 35, 0.7, [r"this program and the accompanying materials are made available under the terms of the eclipse public license"]),
+    ("mit-0", ("",), ("no attribution",), 8, 0.9, [r"mit no attribution(?: licen[sc]e)?"]),
+    ("mit-0", ("",), ("spdx license identifier mit 0",), 8, 0.95, [r"spdx license identifier mit 0"]),
+    ("0bsd", ("",), ("0bsd",), 10, 0.9, [r"0bsd(?: licen[sc]e)?"]),
+    ("0bsd", ("",), ("zero clause bsd",), 10, 0.9, [r"(?:bsd )?zero clause bsd(?: licen[sc]e)?"]),
+    ("json", ("",), ("not evil",), 15, 0.9, [r"the software shall be used for good not evil"]),
+    ("qpl-1.0", ("",), ("q public",), 20, 0.85, [r"(?:the )?q public license(?: version)?(?: 1 0)?"]),
+    ("sleepycat", ("",), ("sleepycat",), 20, 0.85, [r"sleepycat licen[sc]e"]),
+    ("vim", ("",), ("vim",), 25, 0.75, [r"vim licen[sc]e"]),
+    ("w3c", ("",), ("w3c",), 20, 0.85, [r"w3c software (?:notice and )?licen[sc]e", r"w3c software and document (?:notice and )?licen[sc]e"]),
+    ("xfree86", ("",), ("xfree86",), 20, 0.8, [r"xfree86 licen[sc]e"]),
+    ("zpl-{v}", ("1 1", "2 0", "2 1"), ("zope public",), 10, 0.9, [r"zope public license(?: zpl)? (?:version |v ?)?{v}"]),
+    ("zpl", ("",), ("zope public",), 30, 0.8, [r"zope public licen[sc]e"]),
+    ("unicode", ("",), ("unicode",), 20, 0.85, [r"unicode licen[sc]e (?:agreement|v3)", r"unicode inc license agreement data files and software"]),
+    ("icu", ("",), ("icu licen",), 25, 0.8, [r"icu licen[sc]e"]),
+    ("postgresql", ("",), ("postgresql",), 20, 0.8, [r"postgresql licen[sc]e"]),
+    ("hpnd", ("",), ("historical permission",), 20, 0.85, [r"historical permission notice and disclaimer"]),
+    ("lppl-{v}", ("1 0", "1 1", "1 2", "1 3a", "1 3c"), ("latex project public",), 10, 0.9, [r"latex project public license (?:version |v ?)?{v}"]),
+    ("lppl", ("",), ("lppl",), 30, 0.8, [r"lppl(?: version| v)?(?: 1(?: \d[ac]?)?)?"]),
+    ("lppl", ("",), ("latex project public",), 30, 0.8, [r"latex project public licen[sc]e"]),
+    ("mulanpsl-{v}", ("1", "2"), ("mulan",), 10, 0.9, [r"mulan permissive software license(?: v| version )?{v}", r"mulan psl ?v?{v}"]),
+    ("cecill-{v}", ("1 0", "1 1", "2 0", "2 1"), ("cecill",), 10, 0.9, [r"cecill (?:version |v ?)?{v}"]),
+    ("cecill", ("",), ("cecill",), 30, 0.8, [r"cecill(?: [bc])? (?:free software )?licen[sc]e"]),
+    ("nasa-1.3", ("",), ("nasa open source",), 20, 0.85, [r"nasa open source agreement(?: version)?(?: 1 3)?"]),
+    ("rpl-{v}", ("1 1", "1 5"), ("reciprocal public",), 10, 0.9, [r"reciprocal public license (?:version |v ?)?{v}"]),
+    ("sspl-1.0", ("",), ("server side public",), 15, 0.9, [r"server side public license(?: version| v)?(?: 1)?"]),
+    ("sspl-1.0", ("",), ("sspl",), 20, 0.85, [r"sspl(?: v?1(?: 0)?)?"]),
+    ("busl-1.1", ("",), ("business source",), 15, 0.9, [r"business source license(?: version)?(?: 1 1)?"]),
+    ("elastic-2.0", ("",), ("elastic licen",), 15, 0.85, [r"elastic licen[sc]e(?: v?2(?: 0)?)?"]),
+    ("commons-clause", ("",), ("commons clause",), 15, 0.9, [r"commons clause(?: licen[sc]e)? condition", r"commons clause"]),
+    ("blueoak-1.0.0", ("",), ("blue oak",), 15, 0.9, [r"blue oak model licen[sc]e"]),
+    ("polyform", ("",), ("polyform",), 15, 0.9, [r"polyform (?:noncommercial|shield|strict|small business|free trial|internal use) licen[sc]e"]),
+    ("parity", ("",), ("parity public",), 20, 0.85, [r"(?:the )?parity public licen[sc]e"]),
+    ("ogl-uk", ("",), ("open government",), 15, 0.9, [r"open government licen[sc]e(?: v ?[123](?: 0)?)?"]),
+    ("lal", ("",), ("free art",), 20, 0.85, [r"free art licen[sc]e"]),
+    ("cdla", ("",), ("community data",), 15, 0.9, [r"community data license agreement(?: (?:permissive|sharing))?"]),
+    ("opl-1.0", ("",), ("open publication",), 20, 0.85, [r"open publication licen[sc]e"]),
+    ("apsl-{v}", ("1 0", "1 1", "1 2", "2 0"), ("apple public source",), 10, 0.9, [r"apple public source license (?:version |v ?)?{v}"]),
+    ("ipl-1.0", ("",), ("ibm public",), 20, 0.85, [r"ibm public license(?: version)?(?: 1 0)?"]),
+    ("ecl-2.0", ("",), ("educational community",), 20, 0.85, [r"educational community license(?: version)?(?: 2 0)?"]),
+    ("sissl", ("",), ("sun industry standards",), 20, 0.85, [r"sun industry standards source licen[sc]e"]),
+    ("openrail", ("",), ("openrail",), 20, 0.85, [r"(?:creativeml |bigscience |bigcode )?openrail(?: m)?(?: licen[sc]e)?"]),
+    ("rail", ("",), ("responsible ai",), 20, 0.85, [r"responsible ai licen[sc]e"]),
+    ("cc0-1.0", ("",), ("creative commons zero",), 15, 0.9, [r"creative commons zero(?: 1 0)?(?: universal)?"]),
+    ("creative-commons", ("",), ("licensed under a creative",), 65, 0.7, [r"licensed under a creative commons"]),
+    ("trade-secret", ("",), ("trade secret",), 70, 0.4, [r"contains? (?:the )?(?:confidential and )?trade secrets?(?: of)?"]),
     ("spdx", ("",), ("spdx",), 95, 0.6, [r"spdx license identifier [a-z0-9]+(?: \d)*"]),
 ]
 
@@ -167,11 +227,19 @@ FAMILIES = [
 BASE = [("cc-by", ("cc", "by")), ("gpl", ("general", "public", "license")), ("reserved", ("all", "rights", "reserved"))]
 
 
+def _label(label: str, version: str) -> str:
+    """The family's label with a version: "2 0" is 2.0, "3" 3.0 and "by nc" by-nc."""
+    if version.isdigit() and label.endswith(("-{v}", "-{v}-or-later")) and not label.startswith("mulan"):
+        version += " 0"
+    return label.replace("{v}", version.replace(" ", "-" if version.startswith("by") else "."))
+
+
 def rules() -> list[Rule]:
-    """Every pattern of every version of every family, strongest first."""
+    """Every pattern of every version of every family, strongest first; of equals those of the longer version first.
+
+    A match begins and ends where words do: at spaces, or the text's ends."""
     out = []
     for label, versions, keywords, priority, confidence, patterns in FAMILIES:
-        for v in versions:
-            name = label.replace("{v}", v.replace(" ", "-" if "creativecommons" in keywords else "."))
-            out += [Rule(name, re.compile(rf"\b(?:{p.replace('{v}', v)})\b"), tuple(k.replace("{v}", v) for k in keywords), priority, confidence) for p in patterns]
+        for v in sorted(versions, key=len, reverse=True):
+            out += [Rule(_label(label, v), re.compile(rf"(?<![^ ])(?:{p.replace('{v}', v)})(?![^ ])"), tuple(k.replace("{v}", v) for k in keywords), priority, confidence) for p in patterns]
     return sorted(out, key=lambda r: r.priority)

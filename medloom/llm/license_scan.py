@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm.license_rules import BASE, Rule, rules
+from medloom.llm.shared import fresh
 from medloom.llm.textcols import ALNUM, LOWER, column, held, slices, starts, utf8
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -80,10 +81,11 @@ def license_scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str
     suppression: label, begin, end, confidence; in words), and score, 1 - the product of 1 - confidence over the
     distinct labels' best detections (0 without any).
 
-    A null or empty text has no words.  One pass, no shuffle; a text without a gate word costs one automaton step a
-    byte.
+    A null or empty text has no words; rows that repeat are scanned alike.  One pass, no shuffle; a text without a gate
+    word costs one automaton step a byte.
     """
-    source = docs.select(*keep, F.col(text).cast("string").alias("__text"))
+    whole = fresh(docs, "whole_text")
+    source = docs.select(*keep, F.col(text).cast("string").alias(whole))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
     places_t = pa.list_(pa.struct([("label", pa.string()), ("word", pa.int64())]))
     found_t = pa.list_(pa.struct([("label", pa.string()), ("begin", pa.int64()), ("end", pa.int64()), ("confidence", pa.float64())]))
@@ -91,8 +93,8 @@ def license_scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str
     def run(batches):
         scanner = held("licences", "scanner", Scanner)
         for batch in batches:
-            for piece in slices(batch, "__text"):
-                data, offsets = utf8(column(piece, "__text"))
+            for piece in slices(batch, whole, 1 << 20):
+                data, offsets = utf8(column(piece, whole))
                 n_words = np.diff(np.searchsorted(starts(ALNUM[data], offsets), offsets))
                 lower = LOWER[data]
                 hit = scanner.texts(lower, offsets)
