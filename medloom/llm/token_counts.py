@@ -9,13 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medloom.llm.shared import fresh
 from medloom.llm.textcols import WHITE, Memo, column, held, slices, starts, units, utf8
 
 #: What stands before every pre-token.
 MARK = "▁"
-#: Pre-tokens of more characters are computed one by one.
-LONG = 48
-_PRIME = np.uint64(0x100000001B3)
 
 
 def piece_scores(path: str) -> dict[str, float]:
@@ -35,139 +33,85 @@ class UnigramCounter:
     """
 
     def __init__(self, scores: dict[str, float], floor: float = 10.0):
-        self.scores = dict(scores)
-        self.longest = max(map(len, self.scores), default=1)
-        self.unknown = min(self.scores.values(), default=0.0) - floor
-        codes = sorted((int(self._code(p)), len(p), s) for p, s in self.scores.items())
-        if len({(c, n) for c, n, _ in codes}) < len(codes):
-            raise ValueError("two pieces share a code")
-        self.codes = [np.array([c for c, n, _ in codes if n == k], np.uint64) for k in range(self.longest + 1)]
-        self.values = [np.array([s for _, n, s in codes if n == k]) for k in range(self.longest + 1)]
-        self.powers = np.array([pow(int(_PRIME), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
-        self.memo = Memo()
-
-    @staticmethod
-    def _code(piece: str) -> np.uint64:
-        out = 0
-        for ch in piece:
-            out = (out * int(_PRIME) + ord(ch) + 1) & 0xFFFFFFFFFFFFFFFF
-        return np.uint64(out)
-
-    def one(self, word: str) -> int:
-        """The count of one pre-token by the plain programme."""
-        best = [(0.0, 0)]
-        get = self.scores.get
-        for end in range(1, len(word) + 1):
-            found = None
-            for begin in range(max(0, end - self.longest), end):
-                s = get(word[begin:end])
-                n = 1
-                if s is None:
-                    if end - begin > 1:
-                        continue
-                    n = len(word[begin].encode("utf-8", "surrogatepass"))
-                    s = self.unknown * n
-                x = (best[begin][0] + s, best[begin][1] - n)
-                if found is None or x > found:
-                    found = x
-            best.append(found)
-        return -best[-1][1]
-
-    def trie(self, words: list[str]) -> np.ndarray:
-        """Counts of distinct sorted words of at most ``LONG`` characters.
-
-        Row i of the sorted words shares the trie path of row i - 1 for their common prefix; only the nodes behind it
-        are new, and each new node is computed once, all nodes of a depth together.
+        self.unknown = min(scores.values(), default=0.0) - floor
+        # pieces by their characters from the last to the first: what ends at a place is found in one walk
+        self.root: dict = {}
+        for piece, score in scores.items():
+            node = self.root
+            for ch in reversed(piece):
+                node = node.setdefault(ch, {})
+            node[""] = score
+        self.memo = Memo(80_000)
+
+    def sorted_counts(self, words: list[str]) -> list[int]:
+        """Counts of words in ascending order.
+
+        They are paths of a trie, walked depth first: a word shares the forward scores of its common prefix with the
+        word before it, and only the nodes behind that prefix are computed, each once; the end of a word gives its
+        count.
         """
-        n = len(words)
-        length = np.fromiter(map(len, words), np.int64, n)
-        depth = int(length.max())
-        chars = np.zeros((n, depth), np.uint32)
-        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        chars[np.arange(depth) < length[:, None]] = flat
-        new = np.arange(depth) < length[:, None]
-        if n > 1:
-            differs = np.logical_or.accumulate(chars[1:] != chars[:-1], axis=1)
-            new[1:] &= differs
-        owner = np.zeros((n, depth + 1), np.int32)  # the row that computed the node at a depth
-        owner[:, 1:] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32)[:, None], 0), axis=0)
-        code = np.zeros((n, depth + 1), np.uint64)
-        score = np.zeros((n, depth + 1))
-        count = np.zeros((n, depth + 1), np.int32)
-        for d in range(1, depth + 1):
-            rows = np.flatnonzero(new[:, d - 1])
-            if not len(rows):
-                continue
-            ch = chars[rows, d - 1]
-            above = owner[rows, d - 1]
-            here = code[above, d - 1] * _PRIME + ch.astype(np.uint64) + np.uint64(1)
-            code[rows, d] = here
-            size = 1 + (ch > 0x7F).astype(np.int32) + (ch > 0x7FF) + (ch > 0xFFFF)
-            best = np.full(len(rows), -np.inf)
-            tokens = np.zeros(len(rows), np.int32)
-            for k in range(1, min(d, self.longest) + 1):
-                start = owner[rows, d - k]
-                before = score[start, d - k]
-                sub = here - code[start, d - k] * self.powers[k]
-                known = self.codes[k]
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, sub), len(known) - 1)
-                    hit = known[at] == sub
-                    s = np.where(hit, self.values[k][at], -np.inf)
-                else:
-                    hit, s = np.zeros(len(rows), bool), np.full(len(rows), -np.inf)
-                add = np.ones(len(rows), np.int32)
-                if k == 1:
-                    s = np.where(hit, s, self.unknown * size)
-                    add = np.where(hit, 1, size)
-                total, held = before + s, count[start, d - k] + add
-                better = (total > best) | ((total == best) & (held < tokens))
-                best = np.where(better, total, best)
-                tokens = np.where(better, held, tokens)
-            score[rows, d], count[rows, d] = best, tokens
-        last = owner[np.arange(n), length]
-        return count[last, length]
+        out, score, count, before = [], [0.0], [0], ""
+        root, unknown = self.root, self.unknown
+        for word in words:
+            shared, most = 0, min(len(word), len(before))
+            while shared < most and word[shared] == before[shared]:
+                shared += 1
+            del score[shared + 1 :], count[shared + 1 :]
+            for end in range(shared, len(word)):
+                best, tokens, node, begin = None, 0, root, end
+                while begin >= 0 and (node := node.get(word[begin])) is not None:
+                    if "" in node:
+                        s, n = score[begin] + node[""], count[begin] + 1
+                        if best is None or s > best or s == best and n < tokens:
+                            best, tokens = s, n
+                    begin -= 1
+                if "" not in root.get(word[end], ()):
+                    size = len(word[end].encode("utf-8", "surrogatepass"))
+                    s, n = score[end] + unknown * size, count[end] + size
+                    if best is None or s > best or s == best and n < tokens:
+                        best, tokens = s, n
+                score.append(best)
+                count.append(tokens)
+            out.append(count[-1])
+            before = word
+        return out
 
     def counts(self, words: list[bytes]) -> list[int]:
         """Token counts of distinct words."""
         text = [MARK + w.decode() for w in words]
+        order = sorted(range(len(text)), key=text.__getitem__)
         out = [0] * len(words)
-        short = sorted((t, i) for i, t in enumerate(text) if len(t) <= LONG)
-        for at in range(0, len(short), 10_000):
-            part = short[at : at + 10_000]
-            for (_, i), c in zip(part, self.trie([t for t, _ in part]).tolist(), strict=True):
-                out[i] = c
-        for i, t in enumerate(text):
-            if len(t) > LONG:
-                out[i] = self.one(t)
+        for i, n in zip(order, self.sorted_counts([text[i] for i in order]), strict=True):
+            out[i] = n
         return out
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Pre-tokens and tokens of every text; pre-tokens are what ASCII white space separates."""
         data, offsets = utf8(texts)
-        which, cut, per_row = units(data, offsets, starts(~WHITE[data], offsets))
-        words = [w.strip(b" \t\n\r\x0b\x0c") for w in cut]
-        known = self.memo.get((w for w in words if w), self.counts)
-        each = np.fromiter((known[w] if w else 0 for w in words), np.int64, len(words))
-        real = np.fromiter((bool(w) for w in words), bool, len(words))
-        add = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[which]) if len(which) else []])[per_row])
-        return add(real.astype(np.int64)).astype(np.int64), add(each).astype(np.int64)
+        solid = ~WHITE[data]
+        before = np.concatenate([[0], np.cumsum(solid)])
+        which, words, per_row = units(data[solid], before[offsets], before[starts(solid, offsets)])
+        known = self.memo.get(words, self.counts, distinct=True)
+        each = np.fromiter((known[w] for w in words), np.int64, len(words))
+        tokens = np.concatenate([[0], np.cumsum(each[which])]) if len(which) else np.zeros(1, np.int64)
+        return np.diff(per_row).astype(np.int64), np.diff(tokens[per_row])
 
 
 def token_counts(docs: DataFrame, pieces: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns, n_words and n_tokens (long) of the whole text under the unigram scores of the vocabulary file.
 
     Distinct pre-tokens of a run of texts go through the trie together and are remembered for the next ones (a bounded
-    number); nothing is shuffled.  A null, empty or blank text has none of either.
+    number); nothing is shuffled.  A null, empty or blank text has none of either; rows that repeat have equal counts.
     """
-    source = docs.select(*keep, F.col(text).cast("string").alias("__text"))
+    whole = fresh(docs, "whole_text")
+    source = docs.select(*keep, F.col(text).cast("string").alias(whole))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
 
     def run(batches):
         counter = held("pieces", pieces, lambda: UnigramCounter(piece_scores(pieces)))
         for batch in batches:
-            for piece in slices(batch, "__text"):
-                words, tokens = counter.batch(column(piece, "__text"))
+            for piece in slices(batch, whole, 2 << 20):
+                words, tokens = counter.batch(column(piece, whole))
                 yield pa.RecordBatch.from_arrays([*(column(piece, k) for k in keep), pa.array(words), pa.array(tokens)], names=[*keep, "n_words", "n_tokens"])
 
     return source.mapInArrow(run, f"{own}, n_words bigint, n_tokens bigint")

@@ -112,22 +112,58 @@ def test_far_cells_never_meet():
 # 2 ---------------------------------------------------------------------------------------------------------------
 
 
-def test_token_counts_against_the_plain_programme(spark, odd, none):
+EXTREMES = {}
+
+
+def plain_count(scores, word, floor=10.0):
+    """Tokens of one pre-token: all segmentations by their ends."""
+    if id(scores) not in EXTREMES:
+        EXTREMES[id(scores)] = scores, max(map(len, scores)), min(scores.values())
+    _, longest, least = EXTREMES[id(scores)]
+    unknown = least - floor
+    best = [(0.0, 0)]
+    for end in range(1, len(word) + 1):
+        options = [(best[b][0] + scores[word[b:end]], best[b][1] - 1) for b in range(max(0, end - longest), end) if word[b:end] in scores]
+        if word[end - 1] not in scores:
+            n = len(word[end - 1].encode("utf-8", "surrogatepass"))
+            options.append((best[end - 1][0] + unknown * n, best[end - 1][1] - n))
+        best.append(max(options))
+    return -best[-1][1]
+
+
+def test_token_counts_against_the_plain_programme(spark, odd, none, tmp_path):
     path = public_tokenizers.path("piece_bpe_32k.model")
-    plain = token_counts.UnigramCounter(token_counts.piece_scores(path))
-    count = lambda t: sum(plain.one(token_counts.MARK + w.decode()) for w in (t or "").encode().split())
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    for r in token_counts.token_counts(docs, path).collect():
+    scores = token_counts.piece_scores(path)
+    count = lambda t: sum(plain_count(scores, token_counts.MARK + w.decode()) for w in (t or "").encode().split())
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    for r in queries.op2_token_counts(spark, SMALL).collect():
         assert (r["n_words"], r["n_tokens"]) == (len(texts[r["doc_id"]].encode().split()), count(texts[r["doc_id"]]))
     assert Counter(r["n_tokens"] for r in token_counts.token_counts(odd, path).collect()) == Counter(count(t) for _, t, _ in ODD)
     assert token_counts.token_counts(none, path).count() == 0
+    named = odd.withColumn("whole_text", F.lit(1))
+    assert token_counts.token_counts(named, path, keep=("doc_id", "whole_text", "__key")).count() == len(ODD)
 
 
 def test_trie_shares_prefixes():
-    c = token_counts.UnigramCounter({"▁a": -1.0, "ab": -1.5, "b": -2.0, "▁ab": -4.0, "c": -1.0, "abc": -9.0})
-    words = sorted(["▁a", "▁ab", "▁abc", "▁abcab", "▁b", "▁ü"])
-    assert c.trie(words).tolist() == [c.one(w) for w in words]
+    scores = {"▁a": -1.0, "ab": -1.5, "b": -2.0, "▁ab": -4.0, "c": -1.0, "abc": -9.0}
+    words = sorted(["▁a", "▁ab", "▁abc", "▁abcab", "▁b", "▁ü", "▁" + "abc" * 3000, "▁" + "abc" * 3000 + "ü", "", "a", "▁🙂b"])
+    assert token_counts.UnigramCounter(scores).sorted_counts(words) == [plain_count(scores, w) for w in words]
+
+
+def test_token_counts_as_a_sentencepiece_unigram_model():
+    """The library's own programme over a model of the same pieces and scores, where it knows every character."""
+    import sentencepiece
+
+    scores = token_counts.piece_scores(public_tokenizers.path("piece_bpe_32k.model"))
+    f, v = byte_bpe._field, byte_bpe._varint
+    pieces = [f(1, 2, f(1, 2, p.encode()) + f(2, 5, np.float32(s).tobytes()) + f(3, 0, v(1))) for p, s in scores.items()]
+    pieces.append(f(1, 2, f(1, 2, b"<unk>") + f(2, 5, np.float32(0).tobytes()) + f(3, 0, v(2))))
+    trainer = f(3, 0, v(1)) + f(4, 0, v(len(pieces))) + f(40, 0, v(len(scores))) + b"".join(f(k, 0, v((1 << 64) - 1)) for k in (41, 42, 43))
+    normaliser = f(1, 2, b"identity") + b"".join(f(k, 0, v(0)) for k in (3, 4, 5))
+    library = sentencepiece.SentencePieceProcessor(model_proto=b"".join(pieces) + f(2, 2, trainer) + f(3, 2, normaliser))
+    rng = random.Random(2)
+    words = sorted({token_counts.MARK + "".join(rng.choices("abcdefghilmnoprstuvw", k=rng.randint(1, 30))) for _ in range(3000)})
+    assert token_counts.UnigramCounter(scores).sorted_counts(words) == [len(x) for x in library.encode(words, num_threads=1)]
 
 
 # 3 ---------------------------------------------------------------------------------------------------------------
