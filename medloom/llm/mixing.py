@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medloom.llm.shared import store
+from medloom.llm.shared import drop_stored, small_or_hashed, store
 
 #: No source is taken more often than this.
 MOST_EPOCHS = 3
-#: Share of a source that one histogram cell holds at most, about.
-CELLS = 4096
+#: Cells of the keys between one power of two and the next: one holds some thousandth of a source at most, whatever the
+#: quality weights are.
+CELLS = 256
 
 
 def word_count(text: str) -> Column:
@@ -18,74 +21,75 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def targets(sizes: list[tuple[str | None, int]], weights: dict[str | None, float], share: float = 1.0, most: float = MOST_EPOCHS) -> dict[str | None, float]:
-    """Words to take from each source: ``share`` of all sizes dealt by weight, no source above ``most`` times its own;
-    what is over is dealt anew by weight among the others until no source is above."""
-    left = {s for s, n in sizes}
-    size = dict(sizes)
-    budget, out = share * sum(size.values()), {}
-    while left:
-        total = sum(weights[s] for s in left)
-        per = budget / total if total else 0.0
-        above = {s for s in left if per * weights[s] > most * size[s]}
-        if not above:
-            return out | {s: per * weights[s] for s in left}
-        for s in above:
-            out[s] = float(most * size[s])
-            budget -= out[s]
-        left -= above
-    return out
-
-
-def mix(docs: DataFrame, weights, keep: tuple[str, ...] = ("doc_id",), source: str = "source", text: str = "text", quality: Column | None = None, rate=None, seed: int = 7, share: float = 1.0) -> DataFrame:
-    """``keep`` columns, size, source_size, target and taken of every document.
-
-    ``weights`` is a function from the list of sources, in order of code points with null last, to a list of weights.
-    A source whose target is e times its size and a rest takes all of its documents e times, and for the rest documents
-    by ascending key -ln(u) / quality until the rest is used up: u is a hash of seed, source and document, so reruns
-    agree.  The document that crosses the end is taken if that comes nearer to the target, the later one if not.
-    ``quality`` is a positive weight per document (null or not positive: 1); or ``rate`` adds it as column __quality to
-    rows of the ``keep`` columns, so that a join for it moves no texts.
-
-    Prefix sums need no source in one task: sizes are summed in cells of the key's range, the cell in which the rest
-    ends is found from these sums, and only that cell's documents are sorted.  What reaches the driver is a size for
-    each source.
+def targets(sources: DataFrame, share: float = 1.0, most: float = MOST_EPOCHS) -> DataFrame:
+    """``sources`` (source, source_size, weight) with target: ``share`` of all sizes dealt by weight, no source above
+    ``most`` times its own; what is over is dealt anew by weight among the others until no source is above.
+
+    Sources reach their bound in the order of bound / weight.  So with the first k at theirs, the others get their weight
+    times (budget - those bounds) / (weights left); the first whose bound is not below that fixes the rate for all that
+    follow.  The running sums are over the table of sources, one row each.
+    """
+    bound = F.col("source_size") * F.lit(float(most))
+    ordered = sources.withColumn("bound", bound).withColumn("reach", F.when(F.col("weight") > 0, F.col("bound") / F.col("weight")).otherwise(F.lit(float("inf"))))
+    everyone = Window.partitionBy(F.lit(0))
+    ascending = everyone.orderBy("reach", F.col("source").asc_nulls_last())
+    earlier = ascending.rowsBetween(Window.unboundedPreceding, -1)
+    left = F.sum("weight").over(everyone) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))
+    budget = F.sum("source_size").over(everyone) * F.lit(float(share)) - F.coalesce(F.sum("bound").over(earlier), F.lit(0.0))
+    rated = ordered.withColumn("at", F.row_number().over(ascending)).withColumn("rate", F.when(left > 0, budget / left))
+    rated = rated.withColumn("rate", F.min(F.when(F.col("reach") >= F.col("rate"), F.struct("at", "rate"))).over(everyone)["rate"])
+    return rated.select("source", "source_size", "weight", F.coalesce(F.least("bound", F.greatest(F.col("rate"), F.lit(0.0)) * F.col("weight")), F.col("bound")).alias("target"))
+
+
+def one_two_three(place: Column) -> Column:
+    """Weights 1, 2, 3, 1, 2, 3 and so on by the place of a source, from 0."""
+    return (place % 3 + 1).cast("double")
+
+
+def mix(docs: DataFrame, weights: Callable[[Column], Column] = one_two_three, keep: tuple[str, ...] = ("doc_id",), source: str = "source", text: str = "text", quality: DataFrame | None = None, on: str = "doc_id", seed: int = 7, share: float = 1.0) -> DataFrame:
+    """``keep`` columns, size, source_size, target, taken and times of every document.
+
+    ``weights`` gives the weight of a source by its place, from 0, in the order of code points with null last.  A source
+    whose target is e times its size and a rest takes all of its documents e times, and for the rest documents by
+    ascending key -ln(u) / quality until the rest is used up: u is a hash of seed, source and document, so reruns agree.
+    The document that crosses the end is taken if that comes nearer to the target, the later one if not.  ``quality`` has
+    a positive weight (quality) by ``on``, one of the ``keep`` columns; null, not positive or none: 1.  Rows that repeat
+    have equal keys and are told apart by no more than their order.
+
+    Prefix sums need no source in one task: sizes are summed in cells of the key's range, the cell in which the rest ends
+    is found from these sums, and only that cell's documents are sorted.  Nothing reaches the driver; the windows over
+    sources alone hold one row for each.
     """
     u = (F.pmod(F.xxhash64(F.lit(seed), source, *keep, text), F.lit((1 << 40) - 1)) + F.lit(0.5)) / F.lit(float((1 << 40) - 1))
     tie = F.xxhash64(F.lit(seed + 1), source, *keep, text)
-    given = quality if quality is not None else F.lit(1.0)
-    rows = docs.select(*keep, F.col(source).alias("__source"), word_count(text).alias("size"), u.alias("__u"), tie.alias("__tie"), given.cast("double").alias("__quality"))
-    if rate is not None:
-        rows = rate(rows.drop("__quality"))
-    q = F.coalesce(F.col("__quality").cast("double"), F.lit(1.0))
-    rows = rows.withColumn("__draw", -F.log("__u") / F.when((q > 0) & ~F.isnan(q), q).otherwise(F.lit(1.0))).drop("__u", "__quality")
-    rows = store(rows, "sizes")
-    per_source = rows.groupBy("__source").agg(F.sum("size").cast("bigint").alias("source_size")).collect()
-    order = sorted((r["__source"] for r in per_source), key=lambda s: (s is None, s.encode("utf-8", "surrogatepass") if s is not None else b""))
-    by_source = {r["__source"]: int(r["source_size"] or 0) for r in per_source}
-    weight = dict(zip(order, weights(order), strict=True))
-    target = targets([(s, by_source[s]) for s in order], weight, share)
-    plan = [(s, by_source[s], float(target[s]), int(target[s] // by_source[s]) if by_source[s] else 0) for s in order]
-    plan = [(s, n, t, e, max(0.0, t - e * n)) for s, n, t, e in plan]
-    spark = docs.sparkSession
-    goals = spark.createDataFrame(plan, "__s string, source_size bigint, target double, __epochs int, __rest double")
-    # the number of sources is that of the collected sizes
-    rows = rows.join(F.broadcast(goals) if len(plan) <= 10_000 else goals, F.col("__source").eqNullSafe(F.col("__s")))
-    # exponential keys: equal cells of 1 - exp(-key) hold equal shares of a source of quality 1
-    cell = F.floor((1 - F.exp(-F.col("__draw"))) * CELLS).cast("int")
-    rows = rows.withColumn("__cell", F.least(cell, F.lit(CELLS - 1)))
-    sums = rows.groupBy("__s", "__cell").agg(F.sum("size").alias("n"), F.first("__rest").alias("__rest"))
-    before = F.sum("n").over(Window.partitionBy("__s").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1))
-    cells = sums.withColumn("before", F.coalesce(before, F.lit(0)))
-    ends = cells.where((F.col("before") < F.col("__rest")) & (F.col("before") + F.col("n") >= F.col("__rest")))
-    ends = store(ends.groupBy("__s").agg(F.min("__cell").alias("__end"), F.min_by("before", "__cell").alias("__before")), "ends")
-    ends = F.broadcast(ends.withColumnRenamed("__s", "__t")) if len(plan) <= 10_000 else ends.withColumnRenamed("__s", "__t")
-    rows = rows.join(ends, F.col("__s").eqNullSafe(F.col("__t")), "left").drop("__t")
-    sure = rows.where("__end is null or __cell <> __end").withColumn("__more", (F.coalesce(F.col("__cell") < F.col("__end"), F.lit(False))).cast("int"))
+    rows = docs.select(F.struct(*keep).alias("kept"), F.col(source).cast("string").alias("source"), word_count(text).alias("size"), u.alias("u"), tie.alias("tie"))
+    if quality is None:
+        rows = rows.withColumn("q", F.lit(1.0))
+    else:
+        rows = rows.withColumn("on", F.col("kept")[on]).join(quality.select(F.col(on).alias("on"), F.col("quality").cast("double").alias("q")), "on", "left").drop("on")
+    q = F.coalesce(F.col("q"), F.lit(1.0))
+    rows = store(rows.select("kept", "source", "size", "tie", (-F.log("u") / F.when((q > 0) & ~F.isnan(q), q).otherwise(F.lit(1.0))).alias("draw")), "sizes")
+    sizes = rows.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())) - 1
+    goals = targets(sizes.withColumn("weight", weights(place).cast("double")), share)
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
+    goals = goals.withColumn("epochs", epochs)
+    goals = store(goals.select(F.col("source").alias("s"), "source_size", "target", "epochs", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest")), "goals")
+    cell = F.floor(F.log2("draw") * CELLS).cast("int").alias("cell")
+    sums = rows.groupBy("source", cell).agg(F.sum("size").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+    cells = sums.withColumn("before", F.coalesce(before, F.lit(0))).join(small_or_hashed(goals.select("s", "rest"), goals), F.col("source").eqNullSafe(F.col("s")))
+    ends = cells.where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("n") >= F.col("rest")))
+    ends = store(ends.groupBy("s").agg(F.min("cell").alias("end"), F.min_by("before", "cell").alias("before")), "ends")
+    plan = store(goals.join(ends.withColumnRenamed("s", "t"), F.col("s").eqNullSafe(F.col("t")), "left").drop("t"), "plan")
+    drop_stored(goals, ends)
+    rows = rows.join(small_or_hashed(plan), F.col("source").eqNullSafe(F.col("s"))).withColumn("cell", cell)
+    sure = rows.where("end is null or cell <> end").withColumn("more", F.coalesce(F.col("cell") < F.col("end"), F.lit(False)).cast("int"))
     # within the last cell: the order of keys, ties by hash, then by size
-    w = Window.partitionBy("__s", "__cell").orderBy("__draw", "__tie", "size").rowsBetween(Window.unboundedPreceding, -1)
-    edge = rows.where("__cell = __end").withColumn("__sum", F.col("__before") + F.coalesce(F.sum("size").over(w), F.lit(0)))
-    edge = edge.withColumn("__more", (F.col("__sum") + F.col("size") / 2 <= F.col("__rest")).cast("int"))
-    out = sure.select(*keep, "size", "source_size", "target", "__epochs", "__more").unionByName(edge.select(*keep, "size", "source_size", "target", "__epochs", "__more"))
-    times = F.least(F.col("__epochs") + F.col("__more"), F.lit(MOST_EPOCHS))
-    return out.select(*keep, "size", "source_size", "target", (F.col("size") * times).cast("bigint").alias("taken"), times.cast("int").alias("times"))
+    w = Window.partitionBy("source").orderBy("draw", "tie", "size").rowsBetween(Window.unboundedPreceding, -1)
+    edge = rows.where("cell = end").withColumn("sum", F.col("before") + F.coalesce(F.sum("size").over(w), F.lit(0)))
+    edge = edge.withColumn("more", (F.col("sum") + F.col("size") / 2 <= F.col("rest")).cast("int"))
+    columns = ["kept", "size", "source_size", "target", "epochs", "more"]
+    out = sure.select(*columns).unionByName(edge.select(*columns))
+    times = F.least(F.col("epochs") + F.col("more"), F.lit(MOST_EPOCHS))
+    return out.select("kept.*", "size", "source_size", "target", (F.col("size") * times).cast("bigint").alias("taken"), times.cast("int").alias("times"))

@@ -81,20 +81,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-def one_two_three(sources: list) -> list[float]:
-    return [float(i % 3 + 1) for i in range(len(sources))]
-
-
-def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with the column __quality: 2 for a document labelled good, 0.5 for one labelled bad, else 1."""
-    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("__good"))
-    quality = F.when(F.col("__good") == 1, 2.0).when(F.col("__good") == 0, 0.5).otherwise(1.0)
-    return docs.join(known, "doc_id", "left").withColumn("__quality", quality).drop("__good")
+def quality_of(labels: DataFrame) -> DataFrame:
+    """quality by doc_id: 2 for a document labelled good, 0.5 for one labelled bad."""
+    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("good"))
+    return known.select("doc_id", F.when(F.col("good") == 1, 2.0).when(F.col("good") == 0, 0.5).alias("quality"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = _table(spark, sf_dir, "labels")
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"), one_two_three, rate=lambda rows: with_quality(rows, labels))
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), quality=quality_of(_table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

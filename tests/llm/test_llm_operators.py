@@ -610,42 +610,88 @@ def test_byte_bpe_as_tiktoken(spark, odd, none):
 # 10 --------------------------------------------------------------------------------------------------------------
 
 
-def test_targets():
-    assert mixing.targets([("a", 100), ("b", 100), ("c", 100)], {"a": 1.0, "b": 2.0, "c": 3.0}) == {"a": 50.0, "b": 100.0, "c": 150.0}
-    capped = mixing.targets([("a", 10), ("b", 990)], {"a": 1.0, "b": 1.0})
-    assert capped == {"a": 30.0, "b": 970.0}
-    assert mixing.targets([("a", 0), (None, 0)], {"a": 1.0, None: 2.0}) == {"a": 0.0, None: 0.0}
-    assert mixing.targets([], {}) == {}
+def plain_targets(sizes, weights, most=3):
+    """Dealt by weight; what is over is dealt anew among the others until no source is above."""
+    left, budget, out = set(sizes), sum(sizes.values()), {}
+    while left:
+        total = sum(weights[s] for s in left)
+        above = {s for s in left if budget * weights[s] / total > most * sizes[s]}
+        if not above:
+            return out | {s: budget * weights[s] / total for s in left}
+        out |= {s: most * sizes[s] for s in above}
+        budget -= sum(out[s] for s in above)
+        left -= above
+    return out
+
+
+def test_targets(spark):
+    rng = random.Random(4)
+    for sizes in ({"a": 100, "b": 100, "c": 100}, {"a": 10, "b": 990, None: 3}, {"a": 0, None: 0}, {"a": 5}, {f"s{k}": int(10 ** rng.uniform(0, 5)) for k in range(40)}):
+        weights = {s: k % 3 + 1.0 for k, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+        rows = spark.createDataFrame([(s, n, weights[s]) for s, n in sizes.items()], "source string, source_size bigint, weight double")
+        assert {r["source"]: r["target"] for r in mixing.targets(rows).collect()} == pytest.approx(plain_targets(sizes, weights))
+    assert mixing.targets(rows.limit(0)).count() == 0
+
+
+def plain_mix(rows, keys, quality):
+    """Times that each row is taken: whole epochs, then by key until the rest is used up."""
+    size = [len((t or "").split()) for _, t, _ in rows]
+    total = Counter()
+    for n, (_, _, s) in zip(size, rows, strict=True):
+        total[s] += n
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    target = plain_targets(dict(total), {s: k % 3 + 1.0 for k, s in enumerate(order)})
+    out = []
+    for s in order:
+        mine = sorted((-np.log(keys[i][0]) / quality.get(rows[i][0], 1.0), keys[i][1], size[i], i) for i in range(len(rows)) if rows[i][2] == s)
+        epochs = int(target[s] // total[s]) if total[s] else 0
+        rest, done = target[s] - epochs * total[s], 0
+        for _, _, n, i in mine:
+            out.append((rows[i][0], n, total[s], n * min(3, epochs + (done < rest and done + n / 2 <= rest))))
+            done += n
+    return out, target
 
 
-def test_mix_comes_near_its_targets(spark, odd, none, tmp_path):
+def test_mix_against_a_plain_version(spark, odd, none, tmp_path):
     rng = random.Random(3)
-    rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["s1"] * 9 + ["s2", "Ω", "s10", None])) for i in range(3000)] + [(3001, None, "s1"), (3002, "", "solo"), (4000, "w w", "s2"), (4000, "w w", "s2")]
+    rows = [(i, " ".join(["w"] * rng.randint(0, 40)) + f" {i}", rng.choice(["s1"] * 9 + ["s2", "Ω", "s10", None])) for i in range(3000)] + [(3001, None, "s1"), (3002, "", "solo")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
-    got = mixing.mix(df, queries.one_two_three).collect()
-    again = mixing.mix(df.repartition(7), queries.one_two_three).collect()
-    assert Counter(map(tuple, got)) == Counter(map(tuple, again)) and len(got) == len(rows)
-    size = Counter()
-    for _, t, s in rows:
-        size[s] += len((t or "").split())
-    order = sorted(size, key=lambda s: (s is None, s or ""))
-    want = mixing.targets([(s, size[s]) for s in order], {s: k % 3 + 1.0 for k, s in enumerate(order)})
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, rng.choice([0, 1, None])) for i in range(0, 3000, 3)] + [(None, 1)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = queries.op10_mixing(spark, str(tmp_path)).collect()
+    drawn = {r["doc_id"]: (r["u"], r["tie"]) for r in df.select("doc_id", ((F.pmod(F.xxhash64(F.lit(7), "source", "doc_id", "text"), F.lit((1 << 40) - 1)) + 0.5) / float((1 << 40) - 1)).alias("u"), F.xxhash64(F.lit(8), "source", "doc_id", "text").alias("tie")).collect()}
+    want, target = plain_mix(rows, [drawn[i] for i, _, _ in rows], {i: {1: 2.0, 0: 0.5, None: 1.0}[q] for i, q in labels if i is not None})
+    assert Counter((r["doc_id"], r["size"], r["source_size"], r["taken"]) for r in got) == Counter(want)
     source = {i: s for i, _, s in rows}
     taken = Counter()
     for r in got:
-        assert r["source_size"] == size[source[r["doc_id"]]] and abs(r["target"] - want[source[r["doc_id"]]]) < 1e-6 and r["taken"] <= 3 * r["size"]
+        assert r["target"] == pytest.approx(target[source[r["doc_id"]]]) and r["taken"] <= 3 * r["size"]
         taken[source[r["doc_id"]]] += r["taken"]
-    assert all(abs(taken[s] - want[s]) <= 40 for s in order)
-    assert mixing.mix(odd, queries.one_two_three).count() == len(ODD) and mixing.mix(none, queries.one_two_three).count() == 0
+    assert all(abs(taken[s] - target[s]) <= 41 for s in target)
+    again = mixing.mix(df.repartition(7), quality=queries.quality_of(spark.createDataFrame(labels, "doc_id bigint, quality int")))
+    assert Counter((r["doc_id"], r["taken"]) for r in again.collect()) == Counter((r["doc_id"], r["taken"]) for r in got)
+    assert mixing.mix(odd).count() == len(ODD) and mixing.mix(none).count() == 0
+    clash = odd.select("doc_id", "text", "source", *(F.lit(1).alias(c) for c in ("kept", "s", "cell", "q", "u", "draw", "end", "rest", "more")))
+    out = mixing.mix(clash, keep=("doc_id", "kept", "s", "cell", "q", "u", "draw", "end", "rest", "more"))
+    assert out.count() == len(ODD) and out.columns[1:4] == ["kept", "s", "cell"]
 
 
 def test_better_documents_are_taken_more_often(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), (F.col("id") % 2).cast("string").alias("source"))
-    got = mixing.mix(df, lambda s: [1.0, 3.0], quality=F.when(F.col("doc_id") % 4 < 2, 4.0).otherwise(1.0))
+    quality = df.select("doc_id", F.when(F.col("doc_id") % 4 < 2, 4.0).otherwise(1.0).alias("quality"))
+    got = mixing.mix(df, lambda place: place * 2 + 1, quality=quality)
     counts = {r["good"]: r["n"] for r in got.where("times = 1 and doc_id % 2 = 0").groupBy((F.col("doc_id") % 4 < 2).alias("good")).agg(F.count("*").alias("n")).collect()}
     assert counts[True] > 2 * counts[False]
 
 
+def test_no_cell_holds_much_of_a_source(spark):
+    """Whatever the weights: also where all are small, and keys are large."""
+    rows = spark.range(40_000).select((-F.log(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40)) / F.lit(0.001)).alias("draw"))
+    most = rows.groupBy(F.floor(F.log2("draw") * mixing.CELLS)).count().agg(F.max("count")).first()[0]
+    assert most < 0.003 * 40_000
+
+
 # the pipeline ----------------------------------------------------------------------------------------------------
 
 
