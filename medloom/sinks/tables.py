@@ -6,6 +6,8 @@ import uuid
 from collections.abc import Callable
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -22,8 +24,26 @@ def _fs(df: DataFrame, path: str):
     return where.getFileSystem(sc._jsc.hadoopConfiguration()), sc._jvm.org.apache.hadoop.fs.Path
 
 
+def _renamed(files, a, b) -> None:
+    if not files.rename(a, b):
+        raise OSError(f"could not rename {a} to {b}")
+
+
+def recover(df: DataFrame, path: str) -> None:
+    """Put back the table that a writer had set aside when it was lost: ``path.previous`` is the table as long as there
+    is none at ``path``, and left over where there is one."""
+    files, Path = _fs(df, path)
+    previous = Path(f"{path.rstrip('/')}.previous")
+    if files.exists(previous):
+        if files.exists(Path(path)):
+            files.delete(previous, True)
+        else:
+            _renamed(files, previous, Path(path))
+
+
 def read_or_empty(df: DataFrame, path: str) -> DataFrame:
     """What is stored at ``path``, with the columns of ``df``; nothing yet is empty."""
+    recover(df, path)
     try:
         return df.sparkSession.read.schema(df.schema).parquet(path)
     except AnalysisException as e:
@@ -32,6 +52,22 @@ def read_or_empty(df: DataFrame, path: str) -> DataFrame:
         return df.limit(0)
 
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """Write ``df``, which may read the table at ``path``, in that table's place.
+
+    It is written beside the table first; then the table is set aside as ``path.previous``, the new one takes its place,
+    and the old one goes.  A writer lost at any step leaves the old table or the new one, never none (``recover``)."""
+    files, Path = _fs(df, path)
+    beside, previous = (Path(f"{path.rstrip('/')}.{x}") for x in (uuid.uuid4().hex, "previous"))
+    df.write.parquet(beside.toString())
+    recover(df, path)
+    if files.exists(Path(path)):
+        _renamed(files, Path(path), previous)
+    _renamed(files, beside, Path(path))
+    if files.exists(previous):
+        files.delete(previous, True)
+
+
 def append(path: str) -> Sink:
     return lambda df: df.write.mode("append").parquet(path)
 
@@ -72,23 +108,8 @@ def counted(sink: Sink, key: str | None = None) -> Callable[[DataFrame], dict]:
 
 
 def keyed(path: str, keys: list[str], order: list[str] | None = None) -> Sink:
-    """Insert or update by key: the merged table is written beside the old one and takes its place by renaming, so a
-    failed write leaves the old one."""
-
-    def write(df: DataFrame) -> None:
-        merged = upsert(read_or_empty(df, path), df, keys, order)
-        beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-        merged.write.parquet(beside)
-        fs, Path = _fs(df, path)
-        old = f"{beside}.old"
-        had = fs.exists(Path(path))
-        if had:
-            fs.rename(Path(path), Path(old))
-        fs.rename(Path(beside), Path(path))
-        if had:
-            fs.delete(Path(old), True)
-
-    return write
+    """Insert or update by key; a failed write leaves the old table."""
+    return lambda df: replace_table(upsert(read_or_empty(df, path), df, keys, order), path)
 
 
 def declared(table: Table, path: str) -> Sink:
@@ -109,15 +130,11 @@ def insert_missing(path: str, keys: list[str]) -> Sink:
 
 
 def replace_keys(path: str, keys: list[str]) -> Sink:
-    """All stored rows of the keys that come go, then the new rows are added."""
+    """All stored rows of the keys that come go, then the new rows are added; a failed write leaves the old table."""
 
     def write(df: DataFrame) -> None:
         rest = read_or_empty(df, path).join(df.select(*keys).distinct(), keys, "left_anti")
-        beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-        rest.unionByName(df).write.parquet(beside)
-        fs, Path = _fs(df, path)
-        fs.delete(Path(path), True)
-        fs.rename(Path(beside), Path(path))
+        replace_table(rest.unionByName(df), path)
 
     return write
 
@@ -128,6 +145,61 @@ def copy_checked(source: DataFrame, path: str, keys: list[str]) -> tuple[int, in
     return source.select(*keys).distinct().count(), source.sparkSession.read.parquet(path).count()
 
 
+def pairs(path: str, key: str, value: str) -> Sink:
+    """Key and value as text, the last value of a key."""
+    text = lambda df: df.select(F.col(key).cast("string").alias("key"), F.col(value).cast("string").alias("value"))
+    return mapped(text, keyed(path, ["key"], ["value"]))
+
+
+def points(path: str, payload: list[str], id_col: str = "id") -> Sink:
+    """Vector points by id: ``text_dense`` (array<float>), ``text_sparse`` (index and value) and a payload of text."""
+
+    def shape(df: DataFrame) -> DataFrame:
+        entries = [x for c in payload for x in (F.lit(c), F.col(c).cast("string"))]
+        return df.select(F.col(id_col).alias("id"), F.col("dense").cast("array<float>").alias("text_dense"), F.col("sparse").alias("text_sparse"), F.create_map(*entries).alias("payload"))
+
+    def write(df: DataFrame) -> None:
+        new = shape(df)
+        replace_table(read_or_empty(new, path).join(new.select("id"), "id", "left_anti").unionByName(new), path)
+
+    return write
+
+
+def put_objects(rows: DataFrame, folder: str, name: str = "name", content: str = "content") -> DataFrame:
+    """Each row's content as an object of its name under ``folder`` (a URI that all executors reach): name and size.
+
+    An object is written under another name and moved, so a task that is run again, or lost, leaves whole objects."""
+
+    def run(batches):
+        files, base = fs.FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
+        for batch in batches:
+            names, contents = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (name, content))
+            for n, c in zip(names, contents, strict=True):
+                whole = f"{base}/{n}"
+                files.create_dir(whole.rpartition("/")[0], recursive=True)
+                with files.open_output_stream(part := f"{whole}.{uuid.uuid4().hex}.tmp") as out:
+                    out.write(c or b"")
+                files.move(part, whole)
+            yield pa.RecordBatch.from_pydict({"name": names, "size": pa.array([len(c or b"") for c in contents], pa.int64())})
+
+    return rows.select(F.col(name).alias(name), F.col(content).cast("binary").alias(content)).mapInArrow(run, "name string, size bigint")
+
+
+def delete_objects(rows: DataFrame, folder: str, name: str = "name") -> DataFrame:
+    """The names of which an object was there, and is gone."""
+
+    def run(batches):
+        files, base = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            there = [n for n in batch.column(batch.schema.get_field_index(name)).to_pylist() if files.get_file_info(f"{base}/{n}").type == fs.FileType.File]
+            for n in there:
+                files.delete_file(f"{base}/{n}")
+            yield pa.RecordBatch.from_pydict({"name": pa.array(there, pa.string())})
+
+    return rows.select(name).mapInArrow(run, "name string")
+
+
 def tab_index(path: str) -> Sink:
     return lambda df: df.write.mode("overwrite").csv(path, sep="\t")
 

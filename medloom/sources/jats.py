@@ -15,8 +15,7 @@ _ARROW = pa.schema([
     ("contents", pa.list_(pa.struct([("id", pa.string()), ("section", pa.string()), ("tag", pa.string()), ("text", pa.string()), ("columns", pa.list_(pa.string())), ("rows", pa.list_(pa.list_(pa.string())))]))),
 ])
 
-#: Elements whose tags go while their text stays, and elements that go with their text (what follows them stays).
-DISSOLVED = {"sup", "sub", "italic", "bold", "ext-link", "xref", "supplementary-material", "named-content", "underline", "sc", "monospace"}
+#: Elements that go with their text; of all others inside a paragraph the tags go and the text stays.
 REMOVED = {"disp-formula", "inline-formula", "tex-math", "graphic", "inline-graphic"}
 DATE_ORDER = ("epub", "ppub", "collection", None)
 

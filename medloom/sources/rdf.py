@@ -19,18 +19,22 @@ _ARROW = pa.schema([("graph", pa.string()), ("uri", pa.string()), ("s", pa.strin
 
 
 def ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """Line by line and splittable; comments and blank lines go."""
+    """Line by line and splittable; comments and blank lines go.  Blank nodes keep their names (_:x); a backslash in a
+    literal goes and the character behind it stays, whatever it is."""
     lines = spark.read.text(path).where(F.col("value").rlike(r"^\s*[<_]"))
     part = lambda pattern: F.regexp_extract("value", pattern, 1)
     some = lambda c: F.when(c != "", c)
-    head = r"^\s*<[^>]*>\s*<[^>]*>\s*"
+    bare = lambda c: F.regexp_replace(c, "^<|>$", "")
+    term = r"(?:<[^>]*>|_:[^\s<>\"]+)"
+    head = rf"^\s*{term}\s*<[^>]*>\s*"
     literal = F.col("value").rlike(head + '"')
     value = F.regexp_replace(part(head + r'"((?:[^"\\]|\\.)*)"'), r"\\(.)", "$1")
     lit = F.struct(value.alias("value"), some(part(r'"@([A-Za-z0-9-]+)\s*\.\s*$')).alias("lang"), some(part(r'"\^\^<([^>]*)>\s*\.\s*$')).alias("datatype"))
-    return lines.select(F.lit("").alias("graph"), F.lit(None).cast("string").alias("uri"), part(r"^\s*<([^>]*)>").alias("s"), part(r"^\s*<[^>]*>\s*<([^>]*)>").alias("p"), some(part(head + r"<([^>]*)>")).alias("o"), F.when(literal, lit).alias("lit"))
+    o = F.regexp_replace(part(rf"{head}({term})"), r"\.$", "")
+    return lines.select(F.lit("").alias("graph"), F.lit(None).cast("string").alias("uri"), bare(part(rf"^\s*({term})")).alias("s"), part(rf"^\s*{term}\s*<([^>]*)>").alias("p"), some(bare(o)).alias("o"), F.when(literal, lit).alias("lit"))
 
 
-_TOKEN = re.compile(r'''\s+|\#[^\n]*|(?P<iri><[^<>\s]*>)|(?P<long>"""(?:[^"\\]|\\.|"(?!""))*"""|\'\'\'(?:[^'\\]|\\.|'(?!\'\'))*\'\'\')|(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<word>@?[^\s<>"'{};,^]+)|(?P<mark>\^\^|[{};,])''', re.S)
+_TOKEN = re.compile(r'''\s+|\#[^\n]*|(?P<iri><[^<>\s]*>)|(?P<long>"""(?:[^"\\]|\\.|"(?!""))*"""|\'\'\'(?:[^'\\]|\\.|'(?!\'\'))*\'\'\')|(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')|(?P<word>@?[^\s<>"'{};,^\[\]()]+)|(?P<mark>\^\^|[{};,\[\]()])''', re.S)
 
 
 def _tokens(text: str):
@@ -55,12 +59,13 @@ def _tokens(text: str):
 
 def parse_turtle(text: str) -> list[dict]:
     """Triples of a Turtle or TriG text: prefixes, ``a``, lists by ; and ,, typed, tagged and long literals, named graphs,
-    and subjects urn:triple:s:p:o that name the triple they spell."""
+    blank nodes by name (_:x) and in brackets (_:anon1, _:anon2 in the order of their opening), and subjects
+    urn:triple:s:p:o that name the triple they spell.  Collections in parentheses are an error."""
     prefixes: dict[str, str] = {}
     base = ""
     out: list[dict] = []
     tokens = list(_tokens(text))
-    i, graph = 0, ""
+    i, graph, anonymous = 0, "", 0
 
     def name(word: str) -> str:
         if word.startswith("<"):
@@ -87,10 +92,42 @@ def parse_turtle(text: str) -> list[dict]:
                 else:
                     i += 1
             return None, lit
+        if (kind, word) == ("mark", "["):
+            nonlocal anonymous
+            anonymous += 1
+            blank = f"_:anon{anonymous}"
+            if tokens[i] != ("mark", "]"):
+                parts(blank)
+            if i >= len(tokens) or tokens[i] != ("mark", "]"):
+                raise ValueError("a bracket is not closed")
+            i += 1
+            return blank, None
         if kind == "mark":
             raise ValueError(f"unexpected {word!r}")
         return name(word), None
 
+    def parts(subject: str) -> None:
+        """Verbs and objects of a subject, up to what ends them."""
+        nonlocal i
+        while True:
+            if tokens[i] == ("word", "a"):
+                verb, i = TYPE, i + 1
+            else:
+                verb, _ = node()
+            while True:
+                o, lit = node()
+                out.append({"graph": graph, "uri": None, "s": subject, "p": verb, "o": o, "lit": lit})
+                if i < len(tokens) and tokens[i] == ("mark", ","):
+                    i += 1
+                    continue
+                break
+            if i < len(tokens) and tokens[i] == ("mark", ";"):
+                while i < len(tokens) and tokens[i] == ("mark", ";"):
+                    i += 1
+                if i < len(tokens) and tokens[i] not in (("mark", "."), ("mark", "}"), ("mark", "]")):
+                    continue
+            break
+
     while i < len(tokens):
         kind, word = tokens[i]
         low = word.lower().lstrip("@")
@@ -120,24 +157,8 @@ def parse_turtle(text: str) -> list[dict]:
             i += 1
             continue
         subject, _ = node()
-        while True:
-            if tokens[i] == ("word", "a"):
-                verb, i = TYPE, i + 1
-            else:
-                verb, _ = node()
-            while True:
-                o, lit = node()
-                out.append({"graph": graph, "uri": None, "s": subject, "p": verb, "o": o, "lit": lit})
-                if i < len(tokens) and tokens[i] == ("mark", ","):
-                    i += 1
-                    continue
-                break
-            if i < len(tokens) and tokens[i] == ("mark", ";"):
-                while i < len(tokens) and tokens[i] == ("mark", ";"):
-                    i += 1
-                if i < len(tokens) and tokens[i] not in (("mark", "."), ("mark", "}")):
-                    continue
-            break
+        if i < len(tokens) and tokens[i] not in (("mark", "."), ("mark", "}")):
+            parts(subject)
     return out
 
 

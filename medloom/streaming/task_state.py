@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from medloom.operators.tasks import current_state
-from medloom.sinks.tables import keyed
+from medloom.sinks.tables import read_or_empty, replace_table
 
 
 def event_stream(spark: SparkSession, path: str, schema, per_batch: int | None = None) -> DataFrame:
@@ -21,16 +20,9 @@ def keep_states(events: DataFrame, path: str, checkpoint: str, key: str = "name"
 
     def fold(batch: DataFrame, _: int) -> None:
         newest = batch.groupBy(key).agg(F.max_by(F.struct("state", *order), F.struct(*order)).alias("r")).select(key, "r.*")
-        spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = newest.limit(0)
-        both = old.unionByName(newest)
+        both = read_or_empty(newest, path).unionByName(newest)
         best = both.groupBy(key).agg(F.max_by(F.struct("state", *order), F.struct(*order)).alias("r")).select(key, "r.*")
-        keyed(path, [key], list(order))(best)
+        replace_table(best, path)
 
     return events.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -38,7 +30,3 @@ def keep_states(events: DataFrame, path: str, checkpoint: str, key: str = "name"
 def windowed_counts(events: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Counts per window and type with a watermark (an extension)."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"))
-
-
-def same_as_batch(events: DataFrame, key: str = "name") -> DataFrame:
-    return current_state(events, key, "state", ["timestamp", "event_id"])
