@@ -79,7 +79,3 @@ def band(counts: DataFrame, table: DataFrame, year: int, low: int, high: int) ->
 def not_logged(chosen: DataFrame, log: DataFrame, key: str = "identifier") -> DataFrame:
     """Those not in the log yet, most cited first."""
     return chosen.join(log.select(key), key, "left_anti").orderBy(F.desc("citationcount"), key)
-
-
-def percentile_of(p: Column) -> Column:
-    return F.lit(100) - p

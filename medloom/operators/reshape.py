@@ -52,5 +52,16 @@ def grouped_sections(paragraphs: DataFrame, key: str, section: str, text: str, d
     return g.select(key, "head", F.array_join(F.transform("parts", lambda p: p["t"]), "").alias("section_text"))
 
 
-def normalised(rows: DataFrame, group: str, score: str) -> DataFrame:
-    return rows.withColumn(score, F.col(score) / F.max(score).over(Window.partitionBy(group)))
+def runs(rows: DataFrame, key: str, order: list[str], within: str) -> DataFrame:
+    """Rows with run, the number (from 0) of the stretch of equal ``key`` that a row is in, in the order of ``order``
+    within each value of ``within``."""
+    w = Window.partitionBy(within).orderBy(*order)
+    new = (~F.col(key).eqNullSafe(F.lag(key).over(w))) & (F.row_number().over(w) > 1)
+    return rows.withColumn("__new", new.cast("int")).withColumn("run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+
+
+def split_on_change(rows: DataFrame, key: str, order: list[str], within: str, text: str) -> DataFrame:
+    """A document for each run: within, run, the key, and its texts in order, line by line."""
+    g = runs(rows, key, order, within).groupBy(within, "run", key)
+    joined = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("__text"))))
+    return g.agg(F.array_join(F.transform(joined, lambda x: x["__text"]), "\n").alias("document"), F.count("*").alias("n"))

@@ -94,9 +94,52 @@ def pending(rows: DataFrame, log: DataFrame, key: str, stamp: str, now: Column)
     return upsert(log, recent, [key], ["status"])
 
 
+def full_text_jobs(tasks: DataFrame, results: DataFrame, location: Column) -> DataFrame:
+    """Full-text tasks (identifier, location, year, state, timestamp) after a run over ``results`` (identifier, status).
+
+    Queued and failed tasks alone are worked on: Ok completes one and sets its location, Unavailable makes it
+    unavailable, any other status fails it; without a result a task stays as it is."""
+    work = F.col("state").isin(STATES["Queued"], STATES["Failed"]) & F.col("status").isNotNull()
+    state = F.when(F.col("status") == "Ok", STATES["Completed"]).when(F.col("status") == "Unavailable", STATES["Unavailable"]).otherwise(STATES["Failed"])
+    j = tasks.join(results.select("identifier", "status"), "identifier", "left")
+    done = work & (F.col("status") == "Ok")
+    return j.select("identifier", F.when(done, location).otherwise(F.col("location")).alias("location"), "year", F.when(work, state).otherwise(F.col("state")).cast("smallint").alias("state"), "timestamp")
+
+
+#: States of a row in a vector log (fixed values).
+LOG = {"PENDING": 0, "IN_PROGRESS": 1, "COMPLETED": 2, "FAILED": 3}
+
+
+def taken(log: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The log with the rows in progress that a page takes up."""
+    return upsert(log, rows.select(key, F.lit(LOG["IN_PROGRESS"]).cast("smallint").alias("status")), [key], ["status"])
+
+
+def finished(log: DataFrame, results: DataFrame, key: str) -> DataFrame:
+    """The log with the outcome (key, ok) of rows in progress: completed or failed; other rows stay."""
+    j = log.join(results.groupBy(key).agg(F.bool_and("ok").alias("ok")), key, "left")
+    state = F.when(F.col("ok"), LOG["COMPLETED"]).otherwise(LOG["FAILED"])
+    return j.select(key, F.when((F.col("status") == LOG["IN_PROGRESS"]) & F.col("ok").isNotNull(), state).otherwise(F.col("status")).cast("smallint").alias("status"))
+
+
 def unfinished(log: DataFrame, done: int, key: str) -> DataFrame:
     return log.where(F.col("status") != done).orderBy(key)
 
 
+def of_ids(rows: DataFrame, key: str, ids: DataFrame | list) -> DataFrame:
+    """Rows of the ids: a short list as a literal one, a table by a semi join."""
+    return rows.where(F.col(key).isin(ids)) if isinstance(ids, list) else rows.join(ids.select(key).distinct(), key, "left_semi")
+
+
+def sample_of(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """``n`` rows by a hash of seed and key: the same ones whatever the partitions."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+
+
+def map_by_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """A row for each key, the last by ``order``."""
+    return last_wins(rows, [key], order)
+
+
 def ranked_latest(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return rows.withColumn("rank", F.rank().over(Window.partitionBy(key).orderBy(*order))).where("rank = 1").drop("rank")

@@ -33,44 +33,134 @@ def verb_statistics(triples: DataFrame) -> DataFrame:
     return triples.groupBy("p").agg(F.count("*").alias("n"), F.count_distinct("s").alias("subjects"), F.count_distinct("o").alias("objects"), F.count("lit").alias("literals"))
 
 
-def closure(triples: DataFrame, verbs: list[str], starts: DataFrame, most: int = 64) -> DataFrame:
+def _edges(triples: DataFrame, verbs: list[str]) -> DataFrame:
+    return triples.where(F.col("p").isin(verbs) & F.col("o").isNotNull()).select("s", "o").distinct()
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """A round's rows, computed once: written to the checkpoint folder, which ends their lineage, or kept in memory where
+    the session has none."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() or df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.persist()
+
+
+def _step(frontier: DataFrame, found: DataFrame, edges: DataFrame, frm: str, to: str) -> DataFrame:
+    """(start, node) one edge further that are not found yet."""
+    next_ = frontier.join(edges, F.col("node") == F.col(frm)).select("start", F.col(to).alias("node")).distinct()
+    return _settled(next_.join(found, ["start", "node"], "left_anti"))
+
+
+def closure(triples: DataFrame, verbs: list[str], starts: DataFrame) -> DataFrame:
     """(start, node) for all nodes reachable from each start over the verbs, the start included; cycles end it.
 
-    A frontier of new pairs is joined to the edges until none is new; the pairs found are persisted to the shared folder
-    of the session every few rounds by ``checkpoint`` where one is set, so that the lineage stays short.
+    A frontier of new pairs is joined to the edges until none is new, however far that is.
     """
-    edges = triples.where(F.col("p").isin(verbs) & F.col("o").isNotNull()).select("s", "o").distinct()
-    found = starts.select(F.col("start"), F.col("start").alias("node")).distinct()
-    frontier = found
-    for k in range(most):
-        new = frontier.join(edges, F.col("node") == F.col("s")).select("start", F.col("o").alias("node")).distinct().join(found, ["start", "node"], "left_anti")
-        if found.sparkSession.sparkContext.getCheckpointDir():
-            new = new.checkpoint()
-        else:
-            new = new.persist()
-        if new.isEmpty():
-            break
-        found = found.unionByName(new)
-        frontier = new
-    else:
-        raise RuntimeError("the closure is deeper than allowed")
-    return found
+    edges = _settled(_edges(triples, verbs))
+    found = frontier = starts.select(F.col("start"), F.col("start").alias("node")).distinct()
+    while True:
+        frontier = _step(frontier, found, edges, "s", "o")
+        if frontier.isEmpty():
+            return found
+        found = _settled(found.unionByName(frontier))
 
 
 def is_related(triples: DataFrame, verbs: list[str], pairs: DataFrame) -> DataFrame:
-    """Pairs (source, target): whether the target is reached; every node reaches itself."""
-    reach = closure(triples, verbs, pairs.select(F.col("source").alias("start")))
-    hit = reach.select(F.col("start").alias("source"), F.col("node").alias("target"), F.lit(True).alias("hit"))
-    return pairs.join(hit, ["source", "target"], "left").select("source", "target", F.coalesce("hit", F.col("source") == F.col("target")).alias("related"))
+    """Pairs (source, target): whether the target is reached; every node reaches itself.
+
+    Two frontiers grow towards each other, one edge a round each, from the ends of pairs that have not met; they stop
+    where all have, or where neither has a new node.
+    """
+    edges = _settled(_edges(triples, verbs))
+    left = pairs.select("source", "target").where("source is not null and target is not null").distinct()
+    ends = lambda c: left.select(F.col(c).alias("start"), F.col(c).alias("node")).distinct()
+    down, up = ends("source"), ends("target")
+    low, high = down, up
+    met = None
+    while True:
+        a = down.select(F.col("start").alias("source"), "node")
+        hit = left.join(a, "source").join(up.select(F.col("start").alias("target"), "node"), ["target", "node"]).select("source", "target").distinct()
+        hit = _settled(hit)
+        met = hit if met is None else _settled(met.unionByName(hit))
+        left = _settled(left.join(hit, ["source", "target"], "left_anti"))
+        if left.isEmpty():
+            break
+        low = _step(low.join(left.select(F.col("source").alias("start")).distinct(), "start", "left_semi"), down, edges, "s", "o")
+        high = _step(high.join(left.select(F.col("target").alias("start")).distinct(), "start", "left_semi"), up, edges, "o", "s")
+        if low.isEmpty() or high.isEmpty():
+            # one side is whole: what is not met there by the other is met nowhere, but for the other's rest
+            if low.isEmpty() and high.isEmpty():
+                break
+        down, up = _settled(down.unionByName(low)), _settled(up.unionByName(high))
+    known = met.withColumn("hit", F.lit(True))
+    return pairs.join(known, ["source", "target"], "left").select("source", "target", F.coalesce("hit", F.col("source") == F.col("target")).alias("related"))
+
+
+def assert_and_name(triples: DataFrame, named: DataFrame) -> DataFrame:
+    """``named`` (uri, s, p, o) added: an anonymous triple of the same parts gets the name, one that has that name stays as
+    it is, and one of another name stands beside the new one."""
+    parts = ["s", "p", "o"]
+    new = named.select("uri", *parts).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"n_{c}")) for c in parts]
+    renamed = new.select(*[F.col(c).alias(f"n_{c}") for c in parts]).distinct()
+    plain = F.col("uri").isNull() & F.col("lit").isNull()
+    rest = triples.where(~plain).unionByName(triples.where(plain).join(renamed, same, "left_anti"))
+    there = triples.where("uri is not null and lit is null").select("uri", *parts)
+    fresh = new.join(there, ["uri", *parts], "left_anti")
+    return rest.select(*COLUMNS).unionByName(fresh.withColumn("lit", F.lit(None).cast("string")).select(*COLUMNS))
+
+
+def _matched(triples: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    o = other.select(*[F.col(c).alias(f"o_{c}") for c in COLUMNS]).distinct()
+    return triples.join(o, [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in COLUMNS], how)
+
+
+def add_all(triples: DataFrame, other: DataFrame) -> DataFrame:
+    """Both; what is there already is not added again."""
+    new = other.select(*COLUMNS).distinct()
+    return triples.select(*COLUMNS).unionByName(_matched(new, triples, "left_anti"))
+
+
+def remove_all(triples: DataFrame, other: DataFrame) -> DataFrame:
+    """Without the triples of ``other``, by all of their parts."""
+    return _matched(triples.select(*COLUMNS), other, "left_anti")
+
+
+def contains_all(triples: DataFrame, other: DataFrame) -> DataFrame:
+    """One row: how many distinct triples of ``other`` are missing, and whether none is."""
+    missing = F.count(F.lit(1))
+    return _matched(other.select(*COLUMNS).distinct(), triples, "left_anti").agg(missing.alias("missing"), (missing == 0).alias("contains"))
+
+
+def first_match(triples: DataFrame, **parts) -> DataFrame:
+    """The first triple of a pattern in the order of its parts."""
+    return pattern(triples, **parts).orderBy(*[F.col(c).asc_nulls_last() for c in ("s", "p", "o", "lit", "uri")]).limit(1)
+
+
+def terms(labels: DataFrame, concept: str = "concept", label: str = "label", text: str = "text", preferred: str = "preferred") -> DataFrame:
+    """Three triples for each label of a concept: the concept's type, its preferred or alternative label, and the label's
+    literal form."""
+    e = lambda s, p, o, lit: F.struct(s.alias("s"), p.alias("p"), o.alias("o"), lit.alias("lit"))
+    none = F.lit(None).cast("string")
+    verb = F.when(F.col(preferred), F.lit("skosxl:prefLabel")).otherwise(F.lit("skosxl:altLabel"))
+    three = F.array(
+        e(F.col(concept), F.lit("rdf:type"), F.lit("skos:Concept"), none), e(F.col(concept), verb, F.col(label), none), e(F.col(label), F.lit("skosxl:literalForm"), none, F.col(text)),
+    )
+    return labels.select(F.explode(three).alias("t")).select(none.alias("uri"), "t.*").distinct().select(*COLUMNS)
 
 
 def replace_uri(triples: DataFrame, old: str, new: str) -> DataFrame:
-    """``old`` as ``new`` in every position, with the number of replacements of each triple."""
+    """``old`` as ``new`` in every position, with the number of replacements of each triple; ``merged`` asserts the result
+    anew."""
     hits = sum((F.coalesce((F.col(c) == old).cast("int"), F.lit(0)) for c in ("uri", "s", "p", "o")), F.lit(0))
     changed = {c: F.when(F.col(c) == old, F.lit(new)).otherwise(F.col(c)) for c in ("uri", "s", "p", "o")}
     return triples.withColumn("replaced", hits).withColumns(changed)
 
 
+def merged(replaced: DataFrame) -> DataFrame:
+    """Triples that a replacement has made equal, once: named ones as they are, others only where none has a name."""
+    changed = replaced.select(*COLUMNS)
+    return assert_triples(changed.where("uri is not null").distinct(), changed.where("uri is null"))
+
+
 def remove_uri(triples: DataFrame, uri: str) -> DataFrame:
     keep = ~F.greatest(*[F.coalesce(F.col(c) == uri, F.lit(False)) for c in ("uri", "s", "p", "o")])
     return triples.where(keep)

@@ -11,11 +11,18 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    """Null where a vector is zero."""
+    return F.try_divide(dot(a, b), length(a) * length(b))
+
+
+def length(v: Column) -> Column:
+    return F.sqrt(dot(v, v))
 
 
 #: Queries that are sent to every task at most.
 FEW = 2048
+#: Parts that the vectors of one index are dealt to.
+SALT = 8
 
 
 def _meet(queries: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -31,13 +38,66 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """A stated set of queries (query_id, q) against all vectors (id, v): query_id, id, score, rank.
 
     A set of at most ``FEW`` queries goes to the vectors, which are not moved; a larger one is cut into blocks of that
-    many, and the vectors meet each block by an equi-join.  Each task cuts its ranks before the shuffle.
+    many, and the vectors meet each block by an equi-join.  Lengths are computed once a vector; each task cuts its ranks
+    before the shuffle.  Zero vectors are like nothing: they find nothing and are not found.
     """
-    scored = _meet(queries, vectors).select("query_id", "id", F.round(cosine(F.col("q"), F.col("v")), 6).alias("score"))
+    q = queries.withColumn("q_length", length(F.col("q"))).where("q_length > 0")
+    v = vectors.withColumn("v_length", length(F.col("v"))).where("v_length > 0")
+    scored = _meet(q, v).select("query_id", "id", F.round(dot(F.col("q"), F.col("v")) / (F.col("q_length") * F.col("v_length")), 6).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def two_stage(queries: DataFrame, members: DataFrame, sparse: DataFrame, cluster: str, k: int = 5) -> DataFrame:
+    """Clusters first, their members then: query_id, id, dense and sparse (scores divided by the query's best, to six
+    places), in_dense and in_sparse (1 where the member's cluster is among the ``k`` best by that score).
+
+    ``queries``: query_id, q; ``members``: id, v, the cluster; ``sparse``: id, index, value of all members, queries
+    among them by their id.  Zero vectors have a dense score of 0.
+    """
+    centroid = dense_centroids(members, cluster).groupBy(cluster).agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("c"))
+    centroid = centroid.select(F.col(cluster).alias("id"), F.transform("c", lambda x: x["value"]).alias("v"))
+    dense_hits = cosine_topk(queries, centroid, k).select("query_id", F.col("id").alias(cluster), F.lit(1).alias("d"), F.lit(0).alias("s"))
+    sparse_queries = sparse.join(F.broadcast(queries.select(F.col("query_id").alias("id"))), "id").withColumnRenamed("id", "query_id")
+    sums = sparse_centroids(sparse.join(members.select("id", cluster), "id"), cluster).withColumnRenamed(cluster, "id")
+    sparse_hits = sparse_dot_topk(sparse_queries, sums, k).select("query_id", F.col("id").alias(cluster), F.lit(0).alias("d"), F.lit(1).alias("s"))
+    hits = dense_hits.unionByName(sparse_hits).groupBy("query_id", cluster).agg(F.max("d").alias("in_dense"), F.max("s").alias("in_sparse"))
+    found = hits.join(members, cluster).join(queries, "query_id")
+    found = found.select("query_id", "id", "in_dense", "in_sparse", F.coalesce(cosine(F.col("q"), F.col("v")), F.lit(0.0)).alias("dense"))
+    shared = sparse_queries.select("query_id", "index", F.col("value").alias("qv")).join(sparse, "index").groupBy("query_id", "id").agg(F.sum(F.col("qv") * F.col("value")).alias("sparse"))
+    scored = found.join(shared, ["query_id", "id"], "left").withColumn("sparse", F.coalesce("sparse", F.lit(0.0)))
+    best = Window.partitionBy("query_id")
+    part = lambda c: F.round(F.coalesce(F.try_divide(F.col(c), F.max(c).over(best)), F.lit(0.0)), 6).alias(c)
+    return scored.select("query_id", "id", part("dense"), part("sparse"), "in_dense", "in_sparse")
+
+
+def cluster_nodes(members: DataFrame, sparse: DataFrame, cluster: str, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """A node for each cluster - members (ids, ascending), dense (its mean) and sparse (index and value) - and its members'
+    texts: cluster, id, text.  ``members``: id, v, the cluster and the text; ``sparse``: id, index, value."""
+    ids = members.groupBy(cluster).agg(F.sort_array(F.collect_list("id")).alias("members"))
+    dense = dense_centroids(members, cluster).groupBy(cluster).agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("dense"))
+    sums = sparse_centroids(sparse.join(members.select("id", cluster), "id"), cluster)
+    sums = sums.groupBy(cluster).agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("sparse"))
+    nodes = ids.join(dense, cluster).join(sums, cluster, "left")
+    nodes = nodes.select(cluster, "members", F.transform("dense", lambda x: x["value"]).alias("dense"), F.coalesce("sparse", F.array().cast("array<struct<index:int,value:double>>")).alias("sparse"))
+    return nodes, members.select(cluster, "id", text)
+
+
+def scroll(points: DataFrame, payload: dict[str, str], most: int, order: str = "id") -> DataFrame:
+    """The first ``most`` points whose payload (a map) has the values."""
+    out = points
+    for key, value in payload.items():
+        out = out.where(F.try_element_at("payload", F.lit(key)) == value)
+    return out.orderBy(order).limit(most)
+
+
+def with_payload(points: DataFrame, changes: dict[str, Column | None]) -> DataFrame:
+    """Points with payload entries set, or dropped where None; vectors stay as they are."""
+    kept = F.map_filter("payload", lambda k, _: ~k.isin(list(changes)))
+    new = [x for k, c in changes.items() if c is not None for x in (F.lit(k), c.cast("string"))]
+    return points.withColumn("payload", F.map_concat(kept, F.create_map(*new)) if new else kept)
+
+
 def to_sparse(vectors: DataFrame, least: float) -> DataFrame:
     """Long form: id, index (from 0), value of the components above ``least``."""
     long = vectors.select("id", F.posexplode("v").alias("index", "value")).withColumn("value", F.col("value").cast("double"))
@@ -45,9 +105,12 @@ def to_sparse(vectors: DataFrame, least: float) -> DataFrame:
 
 
 def sparse_dot_topk(queries: DataFrame, sparse: DataFrame, k: int) -> DataFrame:
-    """Dot products over shared indexes (an equi-join), best k of each query."""
-    q = queries.select("query_id", "index", F.col("value").alias("qv"))
-    scored = q.join(sparse, "index").groupBy("query_id", "id").agg(F.round(F.sum(F.col("qv") * F.col("value")), 6).alias("score"))
+    """Dot products over shared indexes, best k of each query.
+
+    An index that many vectors have is dealt to ``SALT`` partitions by the vector's id; the queries, a stated set, go to
+    each of them.  Sums are partial before they meet."""
+    q = queries.select("query_id", "index", F.col("value").alias("qv"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    scored = q.join(sparse.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int")), ["index", "salt"]).groupBy("query_id", "id").agg(F.round(F.sum(F.col("qv") * F.col("value")), 6).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -79,7 +142,8 @@ def sign_bits(v: Column) -> Column:
 
 
 def tanimoto(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseAND(b)) / F.bit_count(a.bitwiseOR(b))
+    """Null where neither has a bit set."""
+    return F.try_divide(F.bit_count(a.bitwiseAND(b)), F.bit_count(a.bitwiseOR(b)))
 
 
 def tanimoto_search(queries: DataFrame, prints: DataFrame, least: float) -> DataFrame:

@@ -41,6 +41,11 @@ def index(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def separated(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
+    """A separated table with a header line, quoted by "; lines may stand within quotes."""
+    return spark.read.csv(path, sep=sep, schema=schema, header=True, quote='"', escape='"', multiLine=True)
+
+
 def listing(spark: SparkSession, folder: str, only: list[str] | None = None, ignored: list[str] | None = None) -> DataFrame:
     """name, path, remote (time stamp), suffix of a folder's files, by suffix; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.col("modificationTime").cast("timestamp_ntz").alias("remote"), "length")
@@ -55,6 +60,11 @@ def newest(files: DataFrame, containing: str) -> DataFrame:
     return files.where(F.contains("name", F.lit(containing))).orderBy(F.desc("name")).limit(1)
 
 
+def first_matching(files: DataFrame, containing: str, order: str = "position") -> DataFrame:
+    """The first of a page's links that contains a text."""
+    return files.where(F.contains("name", F.lit(containing))).orderBy(order).limit(1)
+
+
 def archive_entries(spark: SparkSession, path: str, ending: str | None = None, first: bool = False) -> DataFrame:
     """archive, position, name and content of the files in tar archives, plain or gzipped; only names with an ending, or
     only each archive's first such file.  An archive is one task's work."""
