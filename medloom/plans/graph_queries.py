@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medloom.operators import graph as G
+from medloom.plans.vector_queries import SIMILAR_SQL, compound_links
 from medloom.session import table
 
 PHASES = {None: "Unknown", 1: "Early phase", 5: "Phase 1", 10: "Phase 2", 20: "Phase 3", 30: "Phase 4", 50: "Approved"}
@@ -14,9 +15,16 @@ def _parts(spark, sf_dir):
     return table(spark, sf_dir, "part")
 
 
-def _pairs(spark, sf_dir):
-    """Part and supplier pairs of returned lines."""
-    return table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_partkey", "l_suppkey", "l_linestatus").distinct()
+def _mechanisms(spark, sf_dir):
+    """One for each compound, action and way of its lines, with their least target."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_partkey", "l_returnflag", "l_linestatus").agg(F.min("l_suppkey").alias("l_suppkey"))
+
+
+def _indications(spark, sf_dir):
+    """One for each compound and priority of the orders that hold it."""
+    li, o = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_partkey", "o_orderpriority").distinct()
 
 
 def compound_info(spark, sf_dir):
@@ -41,7 +49,7 @@ def compound_synonyms(spark, sf_dir):
 def mechanism_info(spark, sf_dir):
     """A chain of full joins kept to rows of the first table."""
     p = _parts(spark, sf_dir)
-    m = _pairs(spark, sf_dir)
+    m = _mechanisms(spark, sf_dir)
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
@@ -51,10 +59,19 @@ def mechanism_info(spark, sf_dir):
 
 
 def indication_info(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_partkey").distinct()
-    j = o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "full").join(_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"), "full")
-    return G.stringify(j.where("o_orderkey is not null").select("o_orderkey", F.col("o_orderpriority").alias("mesh_heading"), "p_partkey", "p_name"))
+    i = _indications(spark, sf_dir)
+    j = i.join(_parts(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"), "full")
+    return G.stringify(j.where("l_partkey is not null").select(F.col("o_orderpriority").alias("mesh_heading"), "p_partkey", "p_name", "p_brand"))
+
+
+MECHANISM = ["action_type", "mechanism_of_action", "reference_type", "compound_name", "compound_key", "source_name", "source_description"]
+INDICATION = ["mesh_heading", "reference_type", "compound_name", "compound_key", "source_name", "source_description"]
+
+
+def _similar(spark, sf_dir):
+    """Similar-to edges of compounds by the fingerprints of their vectors, with the similarity."""
+    name = lambda c: F.concat(F.col(c).cast("string"), F.lit("_compound"))
+    return compound_links(spark, sf_dir).where("query_id <> id").select(F.lit("similar_to").alias("type"), name("query_id").alias("src"), name("id").alias("dst"), "similarity")
 
 
 def _graph(spark, sf_dir):
@@ -62,18 +79,44 @@ def _graph(spark, sf_dir):
     t = G.stringify(table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"), "left").select("s_suppkey", F.col("s_name").alias("target_name"), F.col("n_name").alias("organism")))
     cv, ce = G.attribute_graph(c, "p_partkey", "compound_details", ["molecule_name", "chembl_id", "molecule_type"], suffix="_compound")
     tv, te = G.attribute_graph(t, "s_suppkey", "target_details", ["target_name", "organism"], suffix="_target")
-    m = G.stringify(_pairs(spark, sf_dir)).withColumn("uid", F.concat_ws("-", "l_partkey", "l_suppkey", "l_linestatus"))
-    mv, me = G.attribute_graph(m, "uid", "drug_mechanism", ["l_linestatus"])
+    parts = _parts(spark, sf_dir)
     compound = F.concat(F.col("l_partkey"), F.lit("_compound"))
+    m = _mechanisms(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    places = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    m = m.join(places, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    m = G.stringify(m.select("l_partkey", "l_suppkey", *(F.col(c).alias(n) for c, n in zip(["l_returnflag", "l_linestatus", "p_type", "p_name", "p_brand", "n_name", "r_name"], MECHANISM, strict=True))))
+    m = m.withColumn("uid", F.concat_ws("-", "l_partkey", "action_type", "mechanism_of_action"))
+    mv, me = G.attribute_graph(m, "uid", "drug_mechanism", MECHANISM, suffix="_mechanism")
     target = F.when(F.col("l_suppkey") != "", F.concat(F.col("l_suppkey"), F.lit("_target"))).otherwise("")
+    i = _indications(spark, sf_dir).join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").withColumn("price", F.round("p_retailprice", 2).cast("int"))
+    i = G.stringify(i.select("l_partkey", *(F.col(c).alias(n) for c, n in zip(["o_orderpriority", "p_type", "p_name", "p_brand", "p_size", "price"], INDICATION, strict=True))))
+    i = i.withColumn("uid", F.concat_ws("-", "l_partkey", "mesh_heading"))
+    iv, ie = G.attribute_graph(i, "uid", "drug_indication", INDICATION, suffix="_indication")
     syn = compound_synonyms(spark, sf_dir).select(F.col("synonym"), F.col("p_partkey").cast("string").alias("k"))
-    sv = syn.select(F.lit("molecule_synonym").alias("tag"), F.lower("synonym").alias("id"), F.col("synonym").alias("value")).groupBy("tag", "id").agg(F.min("value").alias("value"))
-    vertices = cv.unionByName(tv).unionByName(mv).unionByName(sv)
-    edges = ce.unionByName(te).unionByName(me)
-    edges = edges.unionByName(G.link_edges(m, "compound_of", compound, F.col("uid"))).unionByName(G.link_edges(m, "target_of", target, F.col("uid")))
+    sv = syn.select(F.lit("molecule_synonym").alias("tag"), F.lower("synonym").alias("id"), F.col("synonym").alias("value"))
+    # a value of several entities is one vertex
+    vertices = cv.unionByName(tv).unionByName(mv).unionByName(iv).unionByName(sv).groupBy("tag", "id").agg(F.min("value").alias("value"))
+    edges = ce.unionByName(te).unionByName(me).unionByName(ie)
+    mechanism, indication = F.concat("uid", F.lit("_mechanism")), F.concat("uid", F.lit("_indication"))
+    edges = edges.unionByName(G.link_edges(m, "compound_of", compound, mechanism)).unionByName(G.link_edges(m, "target_of", target, mechanism)).unionByName(G.link_edges(i, "compound_of", compound, indication))
+    edges = edges.unionByName(_similar(spark, sf_dir).drop("similarity"))
     return vertices, edges.unionByName(G.link_edges(syn, "synonym_of", F.col("synonym"), F.concat(F.col("k"), F.lit("_compound"))))
 
 
+def graph_similar_edges(spark, sf_dir):
+    return _similar(spark, sf_dir)
+
+
+def match_similar_compounds(spark, sf_dir):
+    """A value's compounds, and those that are similar to them."""
+    _, e = _graph(spark, sf_dir)
+    c = G.hop(_start(spark, BRANDS), e, "has_parent").select(F.col("next").alias("id"))
+    return G.hop(c, e, "similar_to").select(F.col("id").alias("compound"), F.col("next").alias("similar")).distinct()
+
+
+BRANDS = [f"brand#{a}{b}" for a in range(1, 6) for b in range(1, 6)]
+
+
 def graph_vertices(spark, sf_dir):
     return _graph(spark, sf_dir)[0]
 
@@ -105,7 +148,7 @@ def match_synonyms(spark, sf_dir):
 
 
 def match_indications(spark, sf_dir):
-    """Two hops over edges of any type."""
+    """A value's compounds, and what they are of by edges of any type: mechanisms and indications."""
     _, e = _graph(spark, sf_dir)
     one = G.hop(_start(spark, ["brand#22"]), e).select("id", F.col("next").alias("mid"))
     return G.hop(one.withColumnRenamed("id", "input").withColumnRenamed("mid", "id"), e).select("input", F.col("id").alias("mid"), F.col("next").alias("found")).distinct()
@@ -119,17 +162,24 @@ def match_mechanism_targets(spark, sf_dir):
     return G.hop(m, e, "target_of", reverse=True).select("compound", F.col("id").alias("mechanism"), F.col("next").alias("target")).distinct()
 
 
-_PAIRS = "pairs AS (SELECT DISTINCT l_partkey, l_suppkey, l_linestatus FROM lineitem WHERE l_returnflag = 'R')"
+_PAIRS = "pairs AS (SELECT l_partkey, min(l_suppkey) AS l_suppkey, l_returnflag, l_linestatus FROM lineitem GROUP BY 1, 3, 4)"
+_IND = "ind AS (SELECT DISTINCT l_partkey, o_orderpriority FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 _SYN = "syn AS (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS synonym FROM part), syns AS (SELECT * FROM syn WHERE synonym <> '')"
-_GRAPH = f"""{_PAIRS}, {_SYN}, c AS (SELECT p_partkey || '_compound' AS root, unnest(['molecule_name', 'chembl_id', 'molecule_type']) AS tag, unnest([p_name, p_brand, p_type]) AS value FROM part),
+_GRAPH = f"""{_PAIRS}, {_IND}, {_SYN}, {SIMILAR_SQL}, c AS (SELECT p_partkey || '_compound' AS root, unnest(['molecule_name', 'chembl_id', 'molecule_type']) AS tag, unnest([p_name, p_brand, p_type]) AS value FROM part),
     t AS (SELECT s_suppkey || '_target' AS root, unnest(['target_name', 'organism']) AS tag, unnest([s_name, n_name]) AS value FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
-    m AS (SELECT l_partkey || '-' || l_suppkey || '-' || lower(l_linestatus) AS root, 'l_linestatus' AS tag, l_linestatus AS value, l_partkey, l_suppkey FROM pairs),
-    vals AS (SELECT root, tag, value FROM c UNION ALL SELECT root, tag, value FROM t UNION ALL SELECT root, tag, value FROM m),
-    v AS (SELECT tag, lower(value) AS id, min(value) AS value FROM vals WHERE value <> '' GROUP BY 1, 2
+    m AS (SELECT l_partkey || '-' || lower(l_returnflag) || '-' || lower(l_linestatus) || '_mechanism' AS root, l_partkey, l_suppkey, l_returnflag, l_linestatus, p_type, p_name, p_brand, n_name, r_name
+        FROM pairs LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN (supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) ON l_suppkey = s_suppkey),
+    i AS (SELECT l_partkey || '-' || lower(o_orderpriority) || '_indication' AS root, l_partkey, o_orderpriority, p_type, p_name, p_brand, p_size, trunc(round(p_retailprice, 2))::INTEGER AS price FROM ind LEFT JOIN part ON l_partkey = p_partkey),
+    sim AS (SELECT query_id || '_compound' AS src, id || '_compound' AS dst, similarity FROM links WHERE query_id <> id),
+    vals AS (SELECT root, tag, value FROM c UNION ALL SELECT root, tag, value FROM t
+        UNION ALL SELECT root, unnest(['action_type', 'mechanism_of_action', 'reference_type', 'compound_name', 'compound_key', 'source_name', 'source_description']), unnest([l_returnflag, l_linestatus, p_type, p_name, p_brand, n_name, r_name]) FROM m
+        UNION ALL SELECT root, unnest(['mesh_heading', 'reference_type', 'compound_name', 'compound_key', 'source_name', 'source_description']), unnest([o_orderpriority, p_type, p_name, p_brand, p_size::VARCHAR, price::VARCHAR]) FROM i),
+    v AS (SELECT tag, id, min(value) AS value FROM (SELECT tag, lower(value) AS id, value FROM vals WHERE value <> ''
         UNION ALL SELECT 'compound_details', p_partkey || '_compound', p_partkey || '_compound' FROM part UNION ALL SELECT 'target_details', s_suppkey || '_target', s_suppkey || '_target' FROM supplier
-        UNION ALL SELECT DISTINCT 'drug_mechanism', root, root FROM m UNION ALL SELECT 'molecule_synonym', lower(synonym), min(synonym) FROM syns GROUP BY 2),
+        UNION ALL SELECT 'drug_mechanism', root, root FROM m UNION ALL SELECT 'drug_indication', root, root FROM i UNION ALL SELECT 'molecule_synonym', lower(synonym), synonym FROM syns) GROUP BY 1, 2),
     e AS (SELECT DISTINCT 'has_parent' AS type, lower(value) AS src, root AS dst FROM vals WHERE value <> ''
         UNION ALL SELECT DISTINCT 'compound_of', l_partkey || '_compound', root FROM m UNION ALL SELECT DISTINCT 'target_of', l_suppkey || '_target', root FROM m
+        UNION ALL SELECT DISTINCT 'compound_of', l_partkey || '_compound', root FROM i UNION ALL SELECT 'similar_to', src, dst FROM sim
         UNION ALL SELECT DISTINCT 'synonym_of', lower(synonym), p_partkey || '_compound' FROM syns)"""
 
 ORACLE = {
@@ -141,8 +191,10 @@ ORACLE = {
     "compound_synonyms": f"WITH {_SYN} SELECT * FROM syns",
     "mechanism_info": f"""WITH {_PAIRS} SELECT p_partkey::VARCHAR AS p_partkey, p_name, coalesce(s_suppkey::VARCHAR, '') AS tid, coalesce(n_name, '') AS n_name, coalesce(r_name, '') AS r_name, coalesce(l_linestatus, '') AS l_linestatus
         FROM part FULL JOIN pairs ON p_partkey = l_partkey FULL JOIN supplier ON l_suppkey = s_suppkey FULL JOIN nation ON s_nationkey = n_nationkey FULL JOIN region ON n_regionkey = r_regionkey WHERE p_partkey IS NOT NULL AND p_name IS NOT NULL""",
-    "indication_info": """SELECT o_orderkey::VARCHAR AS o_orderkey, coalesce(o_orderpriority, '') AS mesh_heading, coalesce(p_partkey::VARCHAR, '') AS p_partkey, coalesce(p_name, '') AS p_name
-        FROM orders FULL JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber = 1) l ON o_orderkey = l_orderkey FULL JOIN part ON l_partkey = p_partkey WHERE o_orderkey IS NOT NULL""",
+    "indication_info": f"""WITH {_IND} SELECT o_orderpriority AS mesh_heading, coalesce(p_partkey::VARCHAR, '') AS p_partkey, coalesce(p_name, '') AS p_name, coalesce(p_brand, '') AS p_brand
+        FROM ind FULL JOIN part ON l_partkey = p_partkey WHERE l_partkey IS NOT NULL""",
+    "graph_similar_edges": f"WITH {_GRAPH} SELECT 'similar_to' AS type, src, dst, similarity FROM sim",
+    "match_similar_compounds": f"WITH {_GRAPH} SELECT DISTINCT a.dst AS compound, b.dst AS similar FROM e a JOIN e b ON a.dst = b.src AND b.type = 'similar_to' WHERE a.type = 'has_parent' AND regexp_matches(a.src, '^brand#[1-5][1-5]$')",
     "graph_vertices": f"WITH {_GRAPH} SELECT * FROM v",
     "graph_edges": f"WITH {_GRAPH} SELECT * FROM e",
     "graph_tag_counts": f"WITH {_GRAPH} SELECT tag AS name, count(*) AS n FROM v GROUP BY 1 UNION ALL SELECT type, count(*) FROM e GROUP BY 1",

@@ -3,7 +3,7 @@ session's shared folder."""
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -11,22 +11,27 @@ from pyspark.sql import functions as F
 
 from medloom.operators import clusters, nodes
 from medloom.operators import reshape as X
+from medloom.plans.text_queries import WORDS
 from medloom.session import table
-from medloom.sinks.tables import as_xml
+from medloom.sinks.tables import as_xml, put_objects
 from medloom.sources import articles, jats, rdf
 from medloom.streaming import task_state
 
 
-def _folder(spark, what: str) -> str:
+def folder(spark, what: str) -> str:
+    """A new folder in the shared one; a shared folder without a scheme is one of the default file system."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
-        base = tempfile.gettempdir() if local else spark.conf.get("spark.sql.warehouse.dir")
-    base = base if ":" in base else f"file://{os.path.abspath(base)}"
+        base = f"file://{tempfile.gettempdir()}" if local else spark.conf.get("spark.sql.warehouse.dir")
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    base = re.sub("^file:/(?!//)", "file:///", path.makeQualified(files.getUri(), files.getWorkingDirectory()).toString())
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def _escaped(c):
+def escaped(c):
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
@@ -34,8 +39,8 @@ def article_xml(spark, sf_dir):
     """Documents as article XML, parsed."""
     d = table(spark, sf_dir, "documents")
     d = d.withColumn("text", F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""))
-    title = _escaped(F.substring_index("text", "\n", 1))
-    xml = F.concat(F.lit("<PubmedArticle><MedlineCitation><PMID>"), "doc_id", F.lit("</PMID><Article><ArticleTitle>"), title, F.lit("</ArticleTitle><Abstract><AbstractText>"), _escaped(F.col("text")), F.lit("</AbstractText></Abstract><ArticleDate><Year>2020</Year><Month>Mar</Month></ArticleDate></Article></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType=\"doi\">10.1000/"), "doc_id", F.lit("</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"))
+    title = escaped(F.substring_index("text", "\n", 1))
+    xml = F.concat(F.lit("<PubmedArticle><MedlineCitation><PMID>"), "doc_id", F.lit("</PMID><Article><ArticleTitle>"), title, F.lit("</ArticleTitle><Abstract><AbstractText>"), escaped(F.col("text")), F.lit("</AbstractText></Abstract><ArticleDate><Year>2020</Year><Month>Mar</Month></ArticleDate></Article></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType=\"doi\">10.1000/"), "doc_id", F.lit("</ArticleId></ArticleIdList></PubmedData></PubmedArticle>"))
     return articles.records(articles.parse(d.select(xml.alias("x")), "x")).select("identifier", "year", "published", F.size("abstract").alias("abstracts"), F.get("ids", 0)["value"].alias("doi"))
 
 
@@ -51,7 +56,7 @@ def html_sections(spark, sf_dir):
 def jats_sections(spark, sf_dir):
     """Documents as full texts: their lines are paragraphs of sections; parsed, then grouped by section."""
     d = table(spark, sf_dir, "documents")
-    lines = F.transform(F.split(_escaped(F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")), "\n"), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>")))
+    lines = F.transform(F.split(escaped(F.regexp_replace("text", r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")), "\n"), lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>")))
     xml = F.concat(F.lit('<article><front><article-meta><article-id pub-id-type="pmc">PMC'), "doc_id", F.lit("</article-id></article-meta></front><body><sec><title>Text</title>"), F.array_join(lines, ""), F.lit("</sec></body></article>"))
     parsed = jats.parse_column(d.select(xml.alias("x")), "x")
     grouped = X.grouped_sections(jats.paragraphs(parsed).withColumn("id", F.substring_index("id", ".", 2)), "pmcid", "id", "text", 1)
@@ -62,17 +67,37 @@ def turtle_parse(spark, sf_dir):
     """Nations written as Turtle and parsed."""
     n = table(spark, sf_dir, "nation")
     ttl = F.concat(F.lit("@prefix ex: <http://example.org/> .\nex:n"), "n_nationkey", F.lit(" a ex:Nation ; ex:name \""), "n_name", F.lit('"@en ; ex:region ex:r'), "n_regionkey", F.lit(" ."))
-    path = _folder(spark, "turtle")
+    path = folder(spark, "turtle")
     n.select(ttl.alias("value")).write.text(path)
     return rdf.turtle(spark, path).select("s", "p", "o", F.col("lit.value").alias("value"), F.col("lit.lang").alias("lang"))
 
 
+def turtle_blank(spark, sf_dir):
+    """Nations as blank nodes in brackets, with a nested one."""
+    n = table(spark, sf_dir, "nation")
+    ttl = F.concat(F.lit("@prefix ex: <http://example.org/> .\nex:n"), "n_nationkey", F.lit(' ex:place [ ex:name "'), "n_name", F.lit('" ; ex:in [ ex:region ex:r'), "n_regionkey", F.lit(" ] ] , _:x"), "n_nationkey", F.lit(" ."))
+    path = folder(spark, "blank")
+    put_objects(n.select(F.concat("n_nationkey", F.lit(".ttl")).alias("name"), ttl.alias("content")), path).write.format("noop").mode("overwrite").save()
+    return rdf.turtle(spark, path).select("s", "p", "o", F.col("lit.value").alias("value"))
+
+
+def ntriples_blank(spark, sf_dir):
+    """Customers as N-Triples with blank subjects and objects."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("k"), F.col("c_nationkey").cast("string").alias("n"), "c_name")
+    of = lambda s, o: F.concat(s, F.lit("\t<http://example.org/p>\t"), o, F.lit(" ."))
+    blank, iri = F.concat(F.lit("_:c"), "k"), F.concat(F.lit("<http://example.org/n"), "n", F.lit(">"))
+    lines = c.select(F.explode(F.array(of(blank, iri), of(iri, blank), of(blank, F.concat(F.lit('"a \\"b\\" '), "c_name", F.lit('"@en'))))).alias("value"))
+    path = folder(spark, "ntriples")
+    lines.write.text(path)
+    return rdf.ntriples(spark, path).select("s", "p", "o", F.col("lit.value").alias("value"), F.col("lit.lang").alias("lang"))
+
+
 def jsonld_parse(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     doc = F.to_json(F.struct(F.struct(F.lit("http://example.org/").alias("ex")).alias("@context"), F.concat(F.lit("ex:s"), "s_suppkey").alias("@id"), F.lit("ex:Supplier").alias("@type"), F.col("s_name").alias("ex:name"), F.col("s_nationkey").alias("ex:nation")))
-    one = s.agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(doc)), ","), F.lit("]")).alias("value"))
-    path = _folder(spark, "jsonld")
-    one.write.text(path)
+    path = folder(spark, "jsonld")
+    named = s.select(F.concat("s_suppkey", F.lit(".json")).alias("name"), doc.alias("content"))
+    put_objects(named, path).write.format("noop").mode("overwrite").save()
     return rdf.jsonld(spark, path).select("s", "p", "o", F.col("lit.value").alias("value"), F.col("lit.datatype").alias("datatype"))
 
 
@@ -90,6 +115,11 @@ def chunk_nodes(spark, sf_dir):
     return made.select("node_id", "record_id", F.md5("text").alias("text_md5"), F.size("dense").alias("dims"), F.size("sparse").alias("terms"))
 
 
+def chunk_node_ids(spark, sf_dir):
+    """The nodes but for their terms: ids, texts and the length of their vectors."""
+    return chunk_nodes(spark, sf_dir).drop("terms")
+
+
 def soft_clusters(spark, sf_dir):
     """Embeddings by label, a thousand ids at a time, as documents' sections: some 50 to 100 rows each."""
     e = table(spark, sf_dir, "embeddings").select(F.col("label").cast("bigint").alias("doc"), F.floor(F.col("vec_id") / 1000).cast("string").alias("section"), F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.lit(300).alias("tokens"))
@@ -98,26 +128,38 @@ def soft_clusters(spark, sf_dir):
 
 def stream_task_state(spark, sf_dir):
     """Events streamed in, states kept by upsert: equal to the batch's."""
-    path, check = _folder(spark, "states"), _folder(spark, "stream")
+    path, check = folder(spark, "states"), folder(spark, "stream")
     events = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet" + ("" if _is_folder(spark, f"{sf_dir}/events.parquet") else "*"))
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet" + ("" if _isfolder(spark, f"{sf_dir}/events.parquet") else "*"))
     state = F.pmod(F.length("event_type") + F.col("event_id"), F.lit(5)).cast("smallint")
     tasks = stream.select(F.col("user_id").cast("string").alias("name"), state.alias("state"), F.col("ts").alias("timestamp"), "event_id")
     task_state.keep_states(tasks, path, check).awaitTermination()
     return spark.read.parquet(path).select("name", "state", "timestamp")
 
 
-def _is_folder(spark, path: str) -> bool:
+def _isfolder(spark, path: str) -> bool:
     sc = spark.sparkContext
     where = sc._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
-NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "jsonld_parse", "rdf_xml", "chunk_nodes", "soft_clusters", "stream_task_state")
+NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "rdf_xml", "chunk_nodes", "chunk_node_ids", "soft_clusters", "stream_task_state")
+_CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 ORACLE = {
+    "html_sections": r"""WITH b AS (SELECT page_id, regexp_extract_all(html, '(?is)(<(?:h[1-6]|p|li|td|title)\b[^>]*>.*?</(?:h[1-6]|p|li|td|title)>)', 1) AS blocks FROM pages),
+        e AS (SELECT page_id, (generate_subscripts(blocks, 1) - 1)::INTEGER AS position, unnest(blocks) AS block FROM b)
+        SELECT page_id, position, lower(regexp_extract(block, '^<(\w+)', 1)) AS tag, trim(regexp_replace(regexp_replace(block, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM e""",
     "article_xml": "SELECT doc_id AS identifier, 2020 AS year, '2020-03-01' AS published, 1 AS abstracts, '10.1000/' || doc_id AS doi FROM documents",
     "turtle_parse": """SELECT 'http://example.org/n' || n_nationkey AS s, unnest(['http://www.w3.org/1999/02/22-rdf-syntax-ns#type', 'http://example.org/name', 'http://example.org/region']) AS p,
         unnest(['http://example.org/Nation', NULL, 'http://example.org/r' || n_regionkey]) AS o, unnest([NULL, n_name, NULL]) AS value, unnest([NULL, 'en', NULL]) AS lang FROM nation""",
+    "chunk_node_ids": f"""WITH w AS (SELECT doc_id + 1 AS k, {WORDS} AS w FROM documents WHERE doc_id + 1 > 0 AND length(trim(text)) > 0), s AS (SELECT k, w, unnest(range(0, greatest(0, ceil((len(w) - 50) / 974.0)::BIGINT - 1) + 1)) AS position FROM w WHERE len(w) > 0)
+        SELECT sha256('parent|' || k || '|' || position) AS node_id, k AS record_id, md5(array_to_string(w[position * 974 + 1 : position * 974 + 1024], ' ')) AS text_md5, 64 AS dims FROM s""",
+    "jats_sections": r"""WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g'), chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+        SELECT 'PMC' || doc_id AS pmcid, '2' AS head, md5(string_agg(trim(regexp_replace(x, '\s+', ' ', 'g')), '' ORDER BY i)) AS text_md5 FROM p GROUP BY doc_id""",
+    "turtle_blank": """SELECT unnest(['http://example.org/n' || n_nationkey, 'http://example.org/n' || n_nationkey, '_:anon1', '_:anon1', '_:anon2']) AS s, 'http://example.org/' || unnest(['place', 'place', 'name', 'in', 'region']) AS p,
+        unnest(['_:anon1', '_:x' || n_nationkey, NULL, '_:anon2', 'http://example.org/r' || n_regionkey]) AS o, unnest([NULL, NULL, n_name, NULL, NULL]) AS value FROM nation""",
+    "ntriples_blank": """SELECT unnest(['_:c' || c_custkey, 'http://example.org/n' || c_nationkey, '_:c' || c_custkey]) AS s, 'http://example.org/p' AS p, unnest(['http://example.org/n' || c_nationkey, '_:c' || c_custkey, NULL]) AS o,
+        unnest([NULL, NULL, 'a "b" ' || c_name]) AS value, unnest([NULL, NULL, 'en']) AS lang FROM customer""",
     "jsonld_parse": """SELECT 'http://example.org/s' || s_suppkey AS s, unnest(['http://www.w3.org/1999/02/22-rdf-syntax-ns#type', 'http://example.org/name', 'http://example.org/nation']) AS p,
         unnest(['http://example.org/Supplier', NULL, NULL]) AS o, unnest([NULL, s_name, s_nationkey::VARCHAR]) AS value, unnest([NULL, 'http://www.w3.org/2001/XMLSchema#string', 'http://www.w3.org/2001/XMLSchema#integer']) AS datatype FROM supplier""",
     "rdf_xml": """SELECT '<rdf:Description rdf:about="n:' || n_nationkey || '">' || chr(10) || '  <ex:broader rdf:resource="r:' || n_regionkey || '"/>' || chr(10) || '  <ex:name>' || n_name || '</ex:name>' || chr(10) || '</rdf:Description>' AS value FROM nation""",

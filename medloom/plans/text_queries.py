@@ -32,7 +32,7 @@ def author_display_name(spark, sf_dir):
 
 
 def month_lookup(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.lower(F.substring("text", 1, 3)).alias("word"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.lower(F.regexp_extract("text", "^[^ ]*", 0)).alias("word"))
     m = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.date_format("o_orderdate", "MMM").alias("word"))
     return d.unionByName(m).select("doc_id", "word", S.month_number("word").alias("month"))
 
@@ -128,15 +128,6 @@ def section_group(spark, sf_dir):
     return X.grouped_sections(li.distinct(), "l_orderkey", "section", "t", 2)
 
 
-def filelist_parse(spark, sf_dir):
-    """Seven-column lines kept, others counted away; made from orders, every tenth line short."""
-    o = table(spark, sf_dir, "orders")
-    line = F.concat_ws("\t", F.concat(F.lit("a/"), "o_orderkey"), F.lit("cite"), F.concat(F.lit("PMC"), "o_custkey"), F.lit("2020-01-01 00:00:00"), F.col("o_orderkey").cast("string"), F.col("o_orderstatus"), F.lit("no"))
-    line = F.when(F.col("o_orderkey") % 10 == 0, F.substring_index(line, "\t", 6)).otherwise(line)
-    parts = F.split(line, "\t")
-    good = o.select(parts.alias("x")).where(F.size("x") == 7)
-    return good.select(F.col("x")[0].alias("articlefile"), F.col("x")[2].alias("pmcid"), F.col("x")[4].try_cast("bigint").alias("pmid"), F.col("x")[5].alias("license"))
-
 
 def daily_windows(spark, sf_dir):
     """Tumbling windows over events (an extension)."""
@@ -148,7 +139,7 @@ _MAIL = r"[A-Za-z0-9!#$%&''*+/=?^_`{|}~.-]+@[A-Za-z0-9!#$%&''*+/=?^_`{|}~-]+(?:\
 _RAWDOI = "CASE WHEN doc_id % 3 = 0 THEN 'https://doi.org/10.1000%2Fx' || doc_id WHEN doc_id % 3 = 1 THEN 'doi: 10.1000 /x' || doc_id ELSE 'none' END"
 _MONTHS = "mo AS (SELECT unnest(['january','february','march','april','may','june','july','august','september','october','november','december']) AS m, unnest(range(0, 12))::INTEGER AS k), pre AS (SELECT p, min(k) AS k FROM (SELECT m[1:n] AS p, k FROM mo, (SELECT unnest(range(1, 10)) AS n) WHERE n <= length(m)) GROUP BY p HAVING count(*) = 1)"
 _URI = "CASE WHEN doc_id % 3 = 0 THEN 'http://example.org/src/' || doc_id WHEN doc_id % 3 = 1 THEN 'http://example.org/' || source ELSE 'urn:' || doc_id END"
-_WORDS = r"list_filter(string_split_regex(text, '[ \t\n\x0b\f\r]+'), lambda x: x <> '')"
+WORDS = r"list_filter(string_split_regex(text, '[ \t\n\x0b\f\r]+'), lambda x: x <> '')"
 
 ORACLE = {
     "trim_fields": "SELECT p_partkey, p_name[1:7] AS name, array_to_string(list_transform(string_split(p_name, ' '), lambda x: x[1:3]), ',') AS words FROM part",
@@ -156,7 +147,7 @@ ORACLE = {
         FROM (SELECT *, 'PMC' || o_orderkey AS i FROM orders)""",
     "fulltext_location": "SELECT o_orderkey, 'bulk/PMC' || substr(lpad(substr('PMC' || o_orderkey, 4, 10), 9, '0'), 1, 3) || 'xxxxxx/PMC' || o_orderkey || '.xml' AS path FROM orders",
     "author_display_name": "SELECT c_custkey, CASE c_custkey % 3 WHEN 1 THEN 'Jane ' ELSE 'JK ' END || c_name AS name FROM customer",
-    "month_lookup": f"WITH {_MONTHS}, w AS (SELECT doc_id, lower(text[1:3]) AS word FROM documents UNION ALL SELECT o_orderkey, strftime(o_orderdate, '%b') FROM orders) SELECT doc_id, word, k AS month FROM w LEFT JOIN pre ON lower(trim(word)) = p",
+    "month_lookup": f"WITH {_MONTHS}, w AS (SELECT doc_id, lower(regexp_extract(text, '^[^ ]*')) AS word FROM documents UNION ALL SELECT o_orderkey, strftime(o_orderdate, '%b') FROM orders) SELECT doc_id, word, k AS month FROM w LEFT JOIN pre ON lower(trim(word)) = p",
     "partial_date": """SELECT o_orderkey, strftime(make_date(year(o_orderdate), CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE month(o_orderdate) END, CASE WHEN o_orderkey % 2 = 0 THEN day(o_orderdate) ELSE 1 END), '%Y-%m-%d') AS published FROM orders""",
     "email_extract": f"SELECT doc_id, array_to_string(m, ';') AS mails FROM (SELECT doc_id, regexp_extract_all(text, '{_MAIL}') AS m FROM documents) WHERE len(m) > 0",
     "email_strip": rf"SELECT doc_id, trim(regexp_replace(text, '\(?(?:(?:[Ee]-?mail|Electronic address):\s*)?{_MAIL}\)?', '', 'g'), ' ') AS stripped FROM documents WHERE regexp_matches(text, '{_MAIL}')",
@@ -176,11 +167,10 @@ ORACLE = {
         SELECT doc_id, (generate_subscripts(l, 1) - 1)::INTEGER AS ordinal, unnest(l) AS field FROM x WHERE len(l) > 0 UNION ALL SELECT doc_id, NULL, NULL FROM x WHERE len(l) = 0""",
     "references_explode": "SELECT o_orderkey, 0 AS ordinal, o_custkey::VARCHAR AS reference FROM orders UNION ALL SELECT o_orderkey, 1, o_orderstatus FROM orders",
     "link_pairs": "SELECT o_orderkey, o_orderkey::VARCHAR AS source, o_custkey::VARCHAR AS target FROM orders WHERE o_orderstatus = 'F'",
-    "chunk_words": f"""WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents), s AS (SELECT doc_id, w, unnest(range(0, greatest(0, ceil((len(w) - 30) / 482.0)::BIGINT - 1) + 1)) AS position FROM w WHERE len(w) > 0)
+    "chunk_words": f"""WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents), s AS (SELECT doc_id, w, unnest(range(0, greatest(0, ceil((len(w) - 30) / 482.0)::BIGINT - 1) + 1)) AS position FROM w WHERE len(w) > 0)
         SELECT doc_id, position::INTEGER AS position, md5(array_to_string(w[position * 482 + 1 : position * 482 + 512], ' ')) AS chunk_md5 FROM s""",
     "section_group": """WITH x AS (SELECT DISTINCT l_orderkey, l_suppkey % 2 AS a, l_linenumber AS b, l_partkey AS c, l_returnflag || l_linestatus AS t FROM lineitem)
         SELECT l_orderkey, a || '.' || b AS head, string_agg(t, '' ORDER BY c, t) AS section_text FROM x GROUP BY l_orderkey, a, b""",
-    "filelist_parse": "SELECT 'a/' || o_orderkey AS articlefile, 'PMC' || o_custkey AS pmcid, o_orderkey AS pmid, o_orderstatus AS license FROM orders WHERE o_orderkey % 10 <> 0",
     "daily_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2",
 }
 QUERIES = {k: globals()[k] for k in ORACLE}

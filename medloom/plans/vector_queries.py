@@ -55,15 +55,50 @@ def topk_overlap(spark, sf_dir):
 
 
 def two_stage_search(spark, sf_dir):
-    """Clusters by centroid, members of the clusters found, both scores divided by the query's best."""
+    """Five clusters by the dense and five by the sparse centroid, members of both, both scores and where each came from."""
     v = _vectors(spark, sf_dir)
-    centroid = V.dense_centroids(v, "label").groupBy("label").agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("c"))
-    centroid = centroid.select(F.col("label").cast("bigint").alias("id"), F.transform("c", lambda x: x["value"]).alias("v"))
-    hits = V.cosine_topk(_queries(v), centroid, 2).select("query_id", F.col("id").alias("label"))
-    members = hits.join(v, "label").join(_queries(v), "query_id")
-    scored = members.select("query_id", "id", V.cosine(F.col("q"), F.col("v")).alias("dense"))
-    best = Window.partitionBy("query_id")
-    return scored.select("query_id", "id", F.round(F.col("dense") / F.max("dense").over(best), 6).alias("score"))
+    return V.two_stage(_queries(v), v, _sparse(spark, sf_dir), "label")
+
+
+def _cluster_nodes(spark, sf_dir):
+    v = _vectors(spark, sf_dir).withColumn("text", F.concat(F.lit("node "), "id"))
+    return V.cluster_nodes(v, V.to_sparse(v, 0.1), "label")
+
+
+def cluster_nodes(spark, sf_dir):
+    """Members, and both centroids as numbers of entries and sums."""
+    n = _cluster_nodes(spark, sf_dir)[0]
+    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda s, x: s + x), 4)
+    return n.select("label", F.array_join(F.transform("members", lambda x: x.cast("string")), ",").alias("members"), F.size("dense").alias("dims"), total(F.col("dense")).alias("dense_sum"), F.size("sparse").alias("terms"), total(F.transform("sparse", lambda x: x["value"])).alias("sparse_sum"))
+
+
+def cluster_texts(spark, sf_dir):
+    return _cluster_nodes(spark, sf_dir)[1]
+
+
+def _points(spark, sf_dir):
+    return _vectors(spark, sf_dir).select("id", F.col("v").alias("text_dense"), F.create_map(F.lit("_node_type"), F.when(F.col("id") % 2 == 0, "parent").otherwise("child"), F.lit("label"), F.col("label").cast("string")).alias("payload"))
+
+
+def scroll_points(spark, sf_dir):
+    return V.scroll(_points(spark, sf_dir), {"_node_type": "child"}, 5000).select("id", F.col("payload")["label"].alias("label"))
+
+
+def payload_rewrite(spark, sf_dir):
+    p = V.with_payload(_points(spark, sf_dir), {"label": None, "origin": F.concat(F.lit("o"), "id")})
+    return p.select("id", F.array_join(F.array_sort(F.map_keys("payload")), ",").alias("keys"), F.col("payload")["origin"].alias("origin"), F.size("text_dense").alias("dims"))
+
+
+def zero_vector_topk(spark, sf_dir):
+    """Every tenth vector is zero: it finds nothing and is not found."""
+    v = _vectors(spark, sf_dir).select("id", F.when(F.col("id") % 10 == 0, F.transform("v", lambda x: x * 0)).otherwise(F.col("v")).alias("v"))
+    return V.cosine_topk(v.where("id % 50 in (0, 1)").select(F.col("id").alias("query_id"), F.col("v").alias("q")), v, K)
+
+
+def empty_prints(spark, sf_dir):
+    """Fingerprints without a bit are similar to none, each other included."""
+    p = _prints(spark, sf_dir).withColumn("fp", F.when(F.col("id") % 10 == 0, F.lit(0).cast("bigint")).otherwise(F.col("fp")))
+    return V.tanimoto_search(p.select(F.col("id").alias("query_id"), F.col("fp").alias("q")).where("query_id % 50 in (0, 1)"), p, 0.45)
 
 
 def match_report(spark, sf_dir):
@@ -99,6 +134,14 @@ def tanimoto_links(spark, sf_dir):
     return V.tanimoto_links(_prints(spark, sf_dir), 0.85)
 
 
+#: Least similarity of compounds in the graph: random vectors stand in for structures, of which few pairs come near 0.85.
+COMPOUND_LEAST = 0.6
+
+
+def compound_links(spark, sf_dir):
+    return V.tanimoto_links(_prints(spark, sf_dir), COMPOUND_LEAST)
+
+
 def match_similar(spark, sf_dir):
     """Similar-to edges of the embeddings, two hops from the even queries' labels."""
     e = tanimoto_pairs(spark, sf_dir).where("query_id <> id")
@@ -112,25 +155,41 @@ _TOP = f"{_V}, sc AS (SELECT a.id AS query_id, b.id, round({_COS.format('a.v', '
 _S = f"{_V}, s0 AS (SELECT id, label, (generate_subscripts(v, 1) - 1)::INTEGER AS index, unnest(v) AS value FROM v), s AS (SELECT * FROM s0 WHERE value > 0.1)"
 _STOP = f"{_S}, ss AS (SELECT a.id AS query_id, b.id, round(sum(a.value * b.value), 6) AS score FROM s a JOIN s b ON a.index = b.index WHERE a.id % 100 = 0 GROUP BY 1, 2), stop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM ss) WHERE rank <= {K})"
 _CEN = "cen AS (SELECT label, index, round(avg(value), 6) AS value FROM s0 GROUP BY 1, 2)"
+_SCEN = """mem AS (SELECT label, id, count(*) AS dims, pow(sum(value * value), 1.0::DOUBLE / count(*)) AS len FROM s GROUP BY 1, 2), av AS (SELECT label, floor(avg(dims)) AS keep, avg(len) AS avg_len FROM mem GROUP BY 1),
+        sums AS (SELECT label, index, sum(value) AS total FROM s GROUP BY 1, 2), stop5 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(total, 9) DESC, index) AS rn FROM sums) JOIN av USING (label) WHERE rn <= keep),
+        own AS (SELECT label, pow(sum(total * total), 1.0::DOUBLE / count(*)) AS own_len FROM stop5 GROUP BY 1), scen AS (SELECT label, index, round(total * avg_len / own_len, 6) AS value FROM stop5 JOIN own USING (label))"""
 _FP = f"{_V}, bits AS (SELECT id, bit_or(CASE WHEN x > 0 THEN CASE WHEN i = 64 THEN (-9223372036854775808)::BIGINT ELSE (1::BIGINT << (i - 1)::INTEGER) END ELSE 0::BIGINT END) AS fp FROM (SELECT id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM v) GROUP BY 1), pr AS (SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM bits a, bits b WHERE a.id % 100 = 0 AND bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.45)"
 _ALL = _FP[: _FP.index(", pr AS")]
+_LINKS = "one AS (SELECT fp, min(id) AS id FROM bits GROUP BY 1), links AS (SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM one a, one b WHERE bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.85)"
+#: The similarity join as common table expressions whose names do not clash with those of other queries.
+SIMILAR_SQL = f"{_ALL}, {_LINKS}".replace(">= 0.85", f">= {COMPOUND_LEAST}").replace("v AS (", "vv AS (", 1).replace("FROM v)", "FROM vv)")
 
 ORACLE = {
     "dense_cosine_topk": f"WITH {_TOP} SELECT * FROM top",
     "dense_centroids": f"WITH {_S}, {_CEN} SELECT * FROM cen",
     "sparse_vectors": f"WITH {_S} SELECT id, index, round(value, 6) AS value FROM s",
     "sparse_dot_topk": f"WITH {_STOP} SELECT * FROM stop",
-    "sparse_centroids": f"""WITH {_S}, mem AS (SELECT label, id, count(*) AS dims, pow(sum(value * value), 1.0::DOUBLE / count(*)) AS len FROM s GROUP BY 1, 2), av AS (SELECT label, floor(avg(dims)) AS keep, avg(len) AS avg_len FROM mem GROUP BY 1),
-        sums AS (SELECT label, index, sum(value) AS total FROM s GROUP BY 1, 2), top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY round(total, 9) DESC, index) AS rn FROM sums) JOIN av USING (label) WHERE rn <= keep),
-        own AS (SELECT label, pow(sum(total * total), 1.0::DOUBLE / count(*)) AS own_len FROM top GROUP BY 1) SELECT label, index, round(total * avg_len / own_len, 6) AS value FROM top JOIN own USING (label)""",
+    "sparse_centroids": f"WITH {_S}, {_SCEN} SELECT * FROM scen",
     "topk_overlap": f"WITH {_TOP}, {_STOP[len(_V) + 2:]} SELECT t.query_id, count(u.id) AS overlap FROM top t LEFT JOIN stop u ON t.query_id = u.query_id AND t.id = u.id GROUP BY 1",
-    "two_stage_search": f"""WITH {_S}, {_CEN}, cv AS (SELECT label, list(value ORDER BY index) AS c FROM cen GROUP BY 1), ch AS (SELECT * FROM (SELECT a.id AS query_id, a.v AS q, label, row_number() OVER (PARTITION BY a.id ORDER BY round({_COS.format('a.v', 'c')}, 6) DESC, label) AS rn FROM (SELECT id, v FROM v WHERE id % 100 = 0) a, cv) WHERE rn <= 2),
-        sc AS (SELECT query_id, v.id, {_COS.format('q', 'v.v')} AS dense FROM ch JOIN v ON ch.label = v.label) SELECT query_id, id, round(dense / max(dense) OVER (PARTITION BY query_id), 6) AS score FROM sc""",
+    "two_stage_search": f"""WITH {_S}, {_CEN}, {_SCEN}, q AS (SELECT id AS query_id, v AS q FROM v WHERE id % 100 = 0), cv AS (SELECT label, list(value ORDER BY index) AS c FROM cen GROUP BY 1),
+        dh AS (SELECT query_id, label FROM (SELECT query_id, label, row_number() OVER (PARTITION BY query_id ORDER BY round({_COS.format('q', 'c')}, 6) DESC, label) AS rn FROM q, cv) WHERE rn <= 5),
+        sq AS (SELECT s.id AS query_id, index, value AS qv FROM s JOIN q ON s.id = q.query_id), sh AS (SELECT query_id, label FROM (SELECT query_id, label, row_number() OVER (PARTITION BY query_id ORDER BY round(sum(qv * value), 6) DESC, label) AS rn FROM sq JOIN scen USING (index) GROUP BY 1, 2) WHERE rn <= 5),
+        h AS (SELECT query_id, label, max(d) AS in_dense, max(p) AS in_sparse FROM (SELECT *, 1 AS d, 0 AS p FROM dh UNION ALL SELECT *, 0, 1 FROM sh) GROUP BY 1, 2),
+        dp AS (SELECT query_id, s.id, sum(qv * value) AS sparse FROM sq JOIN s USING (index) GROUP BY 1, 2), sc AS (SELECT h.query_id, v.id, in_dense, in_sparse, {_COS.format('q.q', 'v.v')} AS dense, coalesce(sparse, 0) AS sparse FROM h JOIN v USING (label) JOIN q USING (query_id) LEFT JOIN dp ON dp.query_id = h.query_id AND dp.id = v.id)
+        SELECT query_id, id, round(dense / max(dense) OVER (PARTITION BY query_id), 6) AS dense, round(sparse / max(sparse) OVER (PARTITION BY query_id), 6) AS sparse, in_dense, in_sparse FROM sc""",
+    "cluster_nodes": f"""WITH {_S}, {_CEN}, {_SCEN} SELECT label, members, dims, dense_sum, coalesce(terms, 0)::INTEGER AS terms, coalesce(sparse_sum, 0) AS sparse_sum FROM (SELECT label, string_agg(id::VARCHAR, ',' ORDER BY id) AS members FROM v GROUP BY 1)
+        JOIN (SELECT label, count(*)::INTEGER AS dims, round(sum(value ORDER BY index), 4) AS dense_sum FROM cen GROUP BY 1) USING (label) LEFT JOIN (SELECT label, count(*) AS terms, round(sum(value ORDER BY index), 4) AS sparse_sum FROM scen GROUP BY 1) USING (label)""",
+    "cluster_texts": f"WITH {_V} SELECT label, id, 'node ' || id AS text FROM v",
+    "scroll_points": f"WITH {_V} SELECT id, label::VARCHAR AS label FROM v WHERE id % 2 = 1 ORDER BY id LIMIT 5000",
+    "payload_rewrite": f"WITH {_V} SELECT id, '_node_type,origin' AS keys, 'o' || id AS origin, len(v)::INTEGER AS dims FROM v",
+    "zero_vector_topk": f"""WITH {_V}, sc AS (SELECT a.id AS query_id, b.id, round({_COS.format('a.v', 'b.v')}, 6) AS score FROM v a, v b WHERE a.id % 50 = 1 AND b.id % 10 <> 0)
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM sc) WHERE rank <= {K}""",
+    "empty_prints": f"WITH {_ALL} SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM bits a, bits b WHERE a.id % 50 = 1 AND b.id % 10 <> 0 AND bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.45",
     "match_report": f"WITH {_TOP} SELECT t.query_id, a.label AS query_label, t.id, b.label AS hit_label, score FROM top t JOIN v a ON a.id = t.query_id JOIN v b ON b.id = t.id ORDER BY 1, score DESC, 3",
     "tanimoto_pairs": f"WITH {_FP} SELECT * FROM pr",
     "tanimoto_topk": f"WITH {_FP} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id)::INTEGER AS rank FROM pr) WHERE rank <= 3",
     "tanimoto_members": f"WITH {_ALL} SELECT id, min(id) OVER (PARTITION BY fp) AS least FROM bits",
-    "tanimoto_links": f"WITH {_ALL}, one AS (SELECT fp, min(id) AS id FROM bits GROUP BY 1) SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM one a, one b WHERE bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.85",
+    "tanimoto_links": f"WITH {_ALL}, {_LINKS} SELECT * FROM links",
     "match_similar": f"WITH {_FP} SELECT query_id, label, count(*) AS n, max(similarity) AS best FROM pr JOIN v USING (id) WHERE query_id <> id GROUP BY 1, 2",
 }
 QUERIES = {k: globals()[k] for k in ORACLE}
