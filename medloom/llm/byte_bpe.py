@@ -137,7 +137,7 @@ def decode_documents(coded, ranks_path: str, pattern: str, keep: tuple[str, ...]
 
 def round_trip(docs, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text"):
     """``keep`` columns, n_tokens, ids_sha256 and decoded_sha256: documents encoded, then decoded from those ids, in one
-    pass.  A null text is empty; nothing is shuffled, and a batch of texts is all that a task holds."""
+    pass.  A null text is empty, rows that repeat have equal digests; nothing is shuffled, and a batch of texts is all that a task holds."""
     from hashlib import sha256
 
     def both(m, texts):
@@ -150,17 +150,20 @@ def round_trip(docs, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("do
 def _map(df, ranks_path, pattern, keep, name, fields, work, as_text=True):
     from pyspark.sql import functions as F
 
+    from medloom.llm.shared import fresh, text_batches
     from medloom.llm.textcols import column, slices
 
-    source = df.select(*keep, F.col(name).cast("string").alias("__in") if as_text else F.col(name).alias("__in"))
+    text_batches(df.sparkSession)
+    own = fresh(df, "whole_text")
+    source = df.select(*keep, F.col(name).cast("string").alias(own) if as_text else F.col(name).alias(own))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]), fields])
     names = [x.split()[0] for x in fields.split(", ")]
 
     def run(batches):
         coder = model(ranks_path, pattern)
         for batch in batches:
-            for piece in slices(batch, "__in") if as_text else [batch]:
-                done = work(coder, column(piece, "__in"))
+            for piece in slices(batch, own, 2 << 20) if as_text else [batch]:
+                done = work(coder, column(piece, own))
                 yield pa.RecordBatch.from_arrays([*(column(piece, k) for k in keep), *(pa.array(x) for x in done)], names=[*keep, *names])
 
     return source.mapInArrow(run, schema)

@@ -13,12 +13,12 @@ from medloom.llm.components import components
 from medloom.llm.shared import drop_stored, store
 from medloom.llm.vectors import matrix, usable
 
-#: Vectors of a tile at most, about.
-TILE = 4096
-#: Vectors that the rotation and the cells are fitted on at most; they decide speed, never results.
-FIT_ROWS = 8192
+#: Vectors of a tile at most, about: what is sent is the square of all vectors over this.
+TILE = 16_384
+#: Vectors that the rotation and the cells are fitted on at most, and their bytes; they decide speed, never results.
+FIT_ROWS, FIT_BYTES = 16_384, 32 << 20
 #: Cells of the leading components at most.
-CELLS = 256
+CELLS = 512
 
 
 class Frame:
@@ -34,7 +34,7 @@ class Frame:
         rotated = sample @ self.rotation
         self.cuts: list[tuple[int, int, float]] = []  # of inner nodes: node, component, value
         self.boxes: list[np.ndarray] = []
-        depth = max(0, min(int(math.log2(cells)) if cells > 1 else 0, 8))
+        depth = max(0, min(int(math.log2(cells)) if cells > 1 else 0, int(math.log2(CELLS))))
         free = np.stack([np.full(dim, -np.inf), np.full(dim, np.inf)])
         self.tree = self._split(rotated, free, depth)
 
@@ -71,8 +71,11 @@ class Frame:
         """For each cell those, itself included, that hold unit vectors of the threshold's cosine or more."""
         most = 2 - 2 * threshold + 1e-9
         low, high = np.stack([b[0] for b in self.boxes]), np.stack([b[1] for b in self.boxes])
-        gap = [np.maximum(0, np.maximum(low - h, lo - high)) for lo, h in zip(low, high, strict=True)]
-        return [np.flatnonzero((np.where(np.isfinite(g), g, 0) ** 2).sum(axis=1) <= most).tolist() for g in gap]
+        out = []
+        for lo, hi in zip(low, high, strict=True):
+            gap = np.maximum(0, np.maximum(low - hi, lo - high))
+            out.append(np.flatnonzero((np.where(np.isfinite(gap), gap, 0) ** 2).sum(axis=1) <= most).tolist())
+        return out
 
 
 def tile_links(a: np.ndarray, b: np.ndarray | None, lead: int, threshold: float, wa: np.ndarray, wb: np.ndarray, exact) -> tuple[np.ndarray, ...]:
@@ -95,8 +98,8 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, lead: int, threshold: float,
     rest_a = [np.sqrt(np.maximum(0, (a[:, k:] ** 2).sum(axis=1))) for k in steps]
     rest_b = rest_a if own else [np.sqrt(np.maximum(0, (b[:, k:] ** 2).sum(axis=1))) for k in steps]
     lead_b = np.ascontiguousarray(b[:, :lead].T)
-    for at in range(0, na, 512):
-        rows = slice(at, min(na, at + 512))
+    for at in range(0, na, 256):
+        rows = slice(at, min(na, at + 256))
         from_b = at if own else 0  # below the diagonal of a tile with itself nothing is new
         part = a[rows, :lead] @ lead_b[:, from_b:]
         i, j = np.nonzero(part >= low - rest_a[0][rows, None] * rest_b[0][None, from_b:])
@@ -175,7 +178,7 @@ def embedding_groups(rows: DataFrame, id_col: str = "vec_id", vector: str = "emb
 
 def _dimension(nodes: DataFrame, dim: int, count: int, threshold: float) -> DataFrame:
     spark = nodes.sparkSession
-    sample = nodes.select("vec").orderBy(F.xxhash64("node", F.lit(1)), "node").limit(FIT_ROWS).toArrow().column("vec").combine_chunks()
+    sample = nodes.select("vec").orderBy(F.xxhash64("node", F.lit(1)), "node").limit(min(FIT_ROWS, FIT_BYTES // (8 * dim) + 1)).toArrow().column("vec").combine_chunks()
     x = matrix(sample)
     x /= np.linalg.norm(x / np.abs(x).max(axis=1, keepdims=True), axis=1, keepdims=True) * np.abs(x).max(axis=1, keepdims=True)
     frame = Frame(x, min(CELLS, max(1, count // TILE)))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm.license_rules import BASE, Rule, rules
-from medloom.llm.shared import fresh
+from medloom.llm.shared import fresh, text_batches
 from medloom.llm.textcols import ALNUM, LOWER, column, held, slices, starts, utf8
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -84,6 +84,7 @@ def license_scan(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str
     A null or empty text has no words; rows that repeat are scanned alike.  One pass, no shuffle; a text without a gate
     word costs one automaton step a byte.
     """
+    text_batches(docs.sparkSession)
     whole = fresh(docs, "whole_text")
     source = docs.select(*keep, F.col(text).cast("string").alias(whole))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])

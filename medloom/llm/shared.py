@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Parquet bytes of a table that a join may broadcast.
 BROADCAST_BYTES = 16 << 20
 
@@ -82,6 +83,13 @@ def small_or_hashed(df: DataFrame, table: DataFrame | None = None, most: int = B
     return F.broadcast(df) if files and files.getContentSummary(where).getLength() <= most else df.hint("shuffle_hash")
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Arrow batches of fewer rows, where the session has Spark's default: the rows are whole texts, and a batch is held by
+    the executor and by its Python worker, more than once while it grows."""
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, "1000")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

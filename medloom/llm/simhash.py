@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medloom.llm.components import components
-from medloom.llm.shared import drop_stored, fresh, row_key, store
+from medloom.llm.shared import drop_stored, fresh, row_key, store, text_batches
 from medloom.llm.textcols import column
 
 SEED = 42
@@ -44,12 +44,14 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     Words are runs of anything but ASCII white space.  A text of fewer words than a shingle is one shingle; a text
     without words, or a null one, has fingerprint 0.
     """
-    source = docs.select(*keep, F.col(text).cast("string").alias("__text"))
+    text_batches(docs.sparkSession)
+    whole = fresh(docs, "whole_text")
+    source = docs.select(*keep, F.col(text).cast("string").alias(whole))
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in source.schema.fields[:-1])}, fp bigint"
 
     def run(batches):
         for batch in batches:
-            found = [fingerprint(t, shingle) for t in (x.as_py() for x in column(batch, "__text"))]
+            found = [fingerprint(t, shingle) for t in (x.as_py() for x in column(batch, whole))]
             yield pa.RecordBatch.from_arrays([*(column(batch, k) for k in keep), pa.array(found, pa.int64())], names=[*keep, "fp"])
 
     return source.mapInArrow(run, schema)

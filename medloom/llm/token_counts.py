@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medloom.llm.shared import fresh
+from medloom.llm.shared import fresh, text_batches
 from medloom.llm.textcols import WHITE, Memo, column, held, slices, starts, units, utf8
 
 #: What stands before every pre-token.
@@ -103,6 +103,7 @@ def token_counts(docs: DataFrame, pieces: str, keep: tuple[str, ...] = ("doc_id"
     Distinct pre-tokens of a run of texts go through the trie together and are remembered for the next ones (a bounded
     number); nothing is shuffled.  A null, empty or blank text has none of either; rows that repeat have equal counts.
     """
+    text_batches(docs.sparkSession)
     whole = fresh(docs, "whole_text")
     source = docs.select(*keep, F.col(text).cast("string").alias(whole))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medloom.llm.byte_bpe import byte_letters
-from medloom.llm.shared import new_path, partitions, store
+from medloom.llm.shared import new_path, partitions, store, text_batches
 from medloom.llm.textcols import LOWER, WHITE, Memo, column, gather, held, slices, starts, units, utf8
 
 BLOCK = 1 << 16
@@ -245,6 +245,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, vocabulary:
     id are ordered by their text's hash; an empty table gives an empty list.
     ``folder`` is a URI that all executors reach (file://, hdfs:// or another that pyarrow opens).
     """
+    text_batches(docs.sparkSession)
     n = files or max(partitions(docs.sparkSession), -(-(docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0) // FILE_BYTES))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medloom.llm.shared import drop_stored, fresh, store
+from medloom.llm.shared import drop_stored, fresh, store, text_batches
 from medloom.llm.textcols import column, held, slices, utf8
 
 #: Labelled rows that a model is fitted on at most: those of least hash of id and text.
@@ -208,6 +208,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col:
 def score_documents(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text", score: str = "score") -> DataFrame:
     """``keep`` columns and ``score`` (0 to 1) of the whole text; null is empty.  The model, of a fixed size, is broadcast.
     Rows that repeat have one score."""
+    text_batches(docs.sparkSession)
     # a text that is kept anyway is not sent twice
     kept = text in keep and docs.schema[text].dataType.simpleString() == "string"
     name = text if kept else fresh(docs, "__text")

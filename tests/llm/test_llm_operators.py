@@ -97,6 +97,16 @@ def test_embedding_groups_against_all_pairs(spark, monkeypatch):
     assert embedding_dedup.embedding_groups(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 
 
+def test_embedding_query_against_all_pairs(spark):
+    rows = [(r["vec_id"], np.array(r["embedding"], float)) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
+    unit = np.stack([v / np.linalg.norm(v) for _, v in rows])
+    links = [(a, b) for a, b in np.argwhere(unit @ unit.T >= 0.9).tolist() if b < a]
+    group, degree = union_find(links, range(len(rows))), Counter(x for p in links for x in p)
+    least = {g: min(rows[m][0] for m in group if group[m] == g) for g in set(group.values())}
+    got = {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in queries.op1_embedding_dedup(spark, "/root/testdata/sf0.01").collect()}
+    assert got == {(i, degree[k], least[group[k]], i == least[group[k]]) for k, (i, _) in enumerate(rows)}
+
+
 def test_far_cells_never_meet():
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(8, 12))
@@ -218,6 +228,9 @@ def test_line_dedup_against_all_pairs(spark, odd, none):
     left = lambda found: sum(n * len((t or "").split("\n")) for (_, t), n in found.items())
     got = Counter((r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
     assert left(plain_line_dedup(rows)) <= left(got) <= left(plain_line_dedup(rows)) + 3
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    got = Counter((r["doc_id"], r["left_sha256"], r["n_chars_left"]) for r in queries.op3_line_dedup(spark, SMALL).collect())
+    assert got == Counter({(i, hashlib.sha256(t.encode()).hexdigest(), len(t)): n for (i, t), n in plain_line_dedup(rows).items()})
     out = line_dedup.dedup_lines(odd)
     assert out.count() == len(ODD) and out.columns[:6] == ["doc_id", "source", "__key", "score", "fp", "text"]
     assert {r["text"] for r in out.where("doc_id = 10").collect()} == {"line one is here today\n\nline 2"}
@@ -601,6 +614,12 @@ def test_byte_bpe_as_tiktoken(spark, odd, none):
     coded = byte_bpe.encode_documents(odd, ranks, pattern)
     assert Counter(r["text"] for r in byte_bpe.decode_documents(coded, ranks, pattern).collect()) == Counter(t or "" for _, t, _ in ODD)
     assert byte_bpe.round_trip(none, ranks, pattern).count() == 0
+    ids = {r["doc_id"]: tuple(r)[1:] for r in queries.op9_byte_bpe(spark, SMALL).collect()}
+    for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        raw = np.array(want.encode_ordinary(r["text"]), "<u4").tobytes()
+        assert ids[r["doc_id"]] == (len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256(r["text"].encode()).hexdigest())
+    clash = odd.withColumn("whole_text", F.lit(2))
+    assert byte_bpe.round_trip(clash, ranks, pattern, keep=("doc_id", "whole_text")).count() == len(ODD)
     rng = random.Random(8)
     for _ in range(300):
         t = "".join(rng.choices(" \n\t\xa0 　\x1c\x85ab'sté1,.日🙂", k=rng.randint(0, 25)))
