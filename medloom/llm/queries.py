@@ -92,7 +92,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_counts, op3_line_dedup, op4_license_scan, op5_nearest_neighbours, op6_simhash_dedup, op7_toxicity, op8_token_files, op9_byte_bpe, op10_mixing)}
+def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op4 that SQL can say: words and base places."""
+    return op4_license_scan(spark, sf_dir).drop("labels", "score")
+
+
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op10 that SQL can say: sizes and targets, and that none is taken more than three times."""
+    return op10_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("taken") <= 3 * F.col("size")).alias("within"))
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_counts, op3_line_dedup, op4_license_scan, op5_nearest_neighbours, op6_simhash_dedup, op7_toxicity, op8_token_files, op9_byte_bpe, op10_mixing, license_places, mixing_targets)}
 
 ORACLE_SQL = {
     "op1_embedding_dedup": """
@@ -105,4 +115,21 @@ ORACLE_SQL = {
         SELECT least.u AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, least.u = component_id AS kept
         FROM least LEFT JOIN degree USING (u)
     """,
+    "license_places": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        p AS (SELECT doc_id, len(w) AS n_words, list_filter(range(1, len(w) + 1), lambda i: w[i] = 'cc' AND w[i + 1] = 'by') AS a,
+            list_filter(range(1, len(w) + 1), lambda i: w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license') AS b,
+            list_filter(range(1, len(w) + 1), lambda i: w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved') AS c FROM w)
+        SELECT doc_id, n_words::BIGINT AS n_words, (len(a) + len(b) + len(c))::BIGINT AS n_base, list_min(a || b || c) - 1 AS first_word, list_max(a || b || c) - 1 AS last_word,
+            concat_ws(',', CASE WHEN len(a) > 0 THEN 'cc-by' END, CASE WHEN len(b) > 0 THEN 'gpl' END, CASE WHEN len(c) > 0 THEN 'reserved' END) AS base_labels FROM p
+    """,
+    "mixing_targets": r"""
+        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS n FROM d GROUP BY 1), w AS (SELECT source, n, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM s),
+        o AS (SELECT *, 3.0 * n / w AS reach, row_number() OVER (ORDER BY 3.0 * n / w, source NULLS LAST) AS k FROM w),
+        r AS (SELECT *, (sum(n) OVER () - coalesce(sum(3 * n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+            / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS rate FROM o),
+        t AS (SELECT source, n, least(3.0 * n, w * (SELECT min_by(rate, k) FROM r WHERE reach >= rate)) AS target FROM r)
+        SELECT doc_id, size, n AS source_size, round(target, 6) AS target, true AS within FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+    """,
 }
