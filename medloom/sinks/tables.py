@@ -9,13 +9,15 @@ from xml.sax.saxutils import escape
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from medloom.operators.tasks import upsert
 from medloom.schema import Table
 
 Sink = Callable[[DataFrame], None]
+#: Statements of one element of RDF/XML at most.
+STATEMENTS = 1000
 
 
 def _fs(df: DataFrame, path: str):
@@ -214,7 +216,8 @@ def assertion_log(path: str, origin: str) -> Sink:
 
 
 def as_xml(prefix: str = "ex") -> Callable[[DataFrame], DataFrame]:
-    """A description element per subject, verbs and objects in order, as rows of text."""
+    """A description element per subject, verbs and objects in order, as rows of text; a subject of more than
+    ``STATEMENTS`` has several elements, which say the same together."""
 
     def quote(c):
         return F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit(escape("&"))), F.lit("<"), F.lit(escape("<"))), F.lit(">"), F.lit(escape(">"))), F.lit('"'), F.lit("&quot;"))
@@ -222,7 +225,8 @@ def as_xml(prefix: str = "ex") -> Callable[[DataFrame], DataFrame]:
     def convert(df: DataFrame) -> DataFrame:
         verb = F.concat(F.lit(f"{prefix}:"), F.col("p"))
         one = F.when(F.col("o").isNotNull(), F.concat(F.lit("  <"), verb, F.lit(' rdf:resource="'), quote(F.col("o")), F.lit('"/>'))).otherwise(F.concat(F.lit("  <"), verb, F.lit(">"), quote(F.coalesce("lit", F.lit(""))), F.lit("</"), verb, F.lit(">")))
-        g = df.groupBy("s").agg(F.sort_array(F.collect_list(one)).alias("x"))
+        numbered = df.select("s", one.alias("one")).withColumn("part", F.floor((F.row_number().over(Window.partitionBy("s").orderBy("one")) - 1) / STATEMENTS))
+        g = numbered.groupBy("s", "part").agg(F.sort_array(F.collect_list("one")).alias("x"))
         return g.select(F.concat(F.lit('<rdf:Description rdf:about="'), quote(F.col("s")), F.lit('">\n'), F.array_join("x", "\n"), F.lit("\n</rdf:Description>")).alias("value"))
 
     return convert

@@ -122,3 +122,10 @@ def test_brackets_and_collections_in_turtle():
     for bad in ("e:a e:b ( e:c ) .", "[ e:a e:b "):
         with pytest.raises((ValueError, IndexError)):
             rdf.parse_turtle(bad)
+
+
+def test_a_subject_of_many_statements_has_several_elements(spark, monkeypatch):
+    monkeypatch.setattr(tables, "STATEMENTS", 3)
+    t = spark.createDataFrame([("a", "p", None, f"{k}") for k in range(7)] + [("b", "p", "o", None)], "s string, p string, o string, lit string")
+    got = [r["value"] for r in tables.as_xml()(t).collect()]
+    assert sorted(x.count("<ex:p") for x in got if 'about="a"' in x) == [1, 3, 3] and sum('about="b"' in x for x in got) == 1
