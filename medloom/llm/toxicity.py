@@ -21,6 +21,7 @@ FIT_ROWS = 4_000
 FIT_BYTES = 16 << 20
 #: Characters of an n-gram.
 SIZES = (4, 6, 8)
+#: Features at most; by cross-validation on labelled rows that are not held out.
 FEATURES = 8_000
 #: Texts with an n-gram, at least, for it to be a feature.
 LEAST_TEXTS = 5
