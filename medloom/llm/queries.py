@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import ann, byte_bpe, embedding_dedup, license_scan, line_dedup, mixing, simhash, token_counts, token_files, toxicity
+from medloom.llm import ann, byte_bpe, embedding_dedup, hard_negatives, license_scan, line_dedup, mixing, simhash, spelling, token_counts, token_files, toxicity
 
 #: Ids of the word tokenizer.
 WORD_IDS = 49_408
@@ -92,6 +92,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    rows = _table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull() & F.forall("embedding", finite))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("bigint"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", whole.alias("vec"), label.alias("label")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"), shortest=7, fewest=2, times=10, every=31).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def license_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op4 that SQL can say: words and base places."""
     return op4_license_scan(spark, sf_dir).drop("labels", "score")
@@ -102,7 +114,7 @@ def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("taken") <= 3 * F.col("size")).alias("within"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_counts, op3_line_dedup, op4_license_scan, op5_nearest_neighbours, op6_simhash_dedup, op7_toxicity, op8_token_files, op9_byte_bpe, op10_mixing, license_places, mixing_targets)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_counts, op3_line_dedup, op4_license_scan, op5_nearest_neighbours, op6_simhash_dedup, op7_toxicity, op8_token_files, op9_byte_bpe, op10_mixing, op11_hard_negatives, op13_spelling_variants, license_places, mixing_targets)}
 
 ORACLE_SQL = {
     "op1_embedding_dedup": """
@@ -115,6 +127,30 @@ ORACLE_SQL = {
         SELECT least.u AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, least.u = component_id AS kept
         FROM least LEFT JOIN degree USING (u)
     """,
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+            FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+    """,
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+        r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+        d AS (SELECT doc_id, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+        b AS (SELECT *, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS bytes FROM d),
+        h AS (SELECT run, n, xor(list_reduce([4294967295] || bytes, lambda a, x: xor(a >> 8, t.t[(xor(a, x) & 255) + 1])), 4294967295) AS h FROM b, t),
+        c AS (SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+        w AS (SELECT word, sum(n)::BIGINT AS n FROM c WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+        v AS (SELECT word, n, k, substring(word, 1, k - 1) || substring(word, k + 1) AS less FROM (SELECT *, unnest(range(1, length(word) + 1)) AS k FROM w)),
+        e AS (SELECT DISTINCT v.word AS a, w.word AS b, w.n FROM v JOIN w ON v.less = w.word UNION SELECT DISTINCT w.word, v.word, v.n FROM v JOIN w ON v.less = w.word
+            UNION SELECT DISTINCT x.word, y.word, y.n FROM v x JOIN v y ON x.k = y.k AND x.less = y.less AND x.word <> y.word),
+        g AS (SELECT a, count(*) AS n_near, max(n) AS most, arg_min(b, (-n, encode(b))) AS best FROM e GROUP BY a),
+        f AS (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= 10 * n THEN best END AS form, CASE WHEN most >= 10 * n THEN most END AS form_n FROM w LEFT JOIN g ON word = a),
+        u AS (SELECT word, word AS root, form AS further FROM f UNION ALL SELECT u.word, f.word, f.form FROM u JOIN f ON u.further = f.word)
+        SELECT word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, root FROM u WHERE further IS NULL) USING (word)
+    """,
     "license_places": r"""
         WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
         p AS (SELECT doc_id, len(w) AS n_words, list_filter(range(1, len(w) + 1), lambda i: w[i] = 'cc' AND w[i + 1] = 'by') AS a,
