@@ -21,12 +21,12 @@ _LOW, _HIGH = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of integer rows as longs: exact wherever a long holds them, at its ends beyond."""
-    size = lambda x: float(np.abs(x.astype(np.float64)).max(initial=0))
-    most = size(a) * size(b) * max(1, a.shape[1])
-    if most >= 2**53 and most < 2**62:
+    size = lambda x: float(np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)).max(initial=0))
+    most = size(a) * size(b)
+    if 2**52 <= most < 9.2e18:
         return a.astype(np.int64) @ b.astype(np.int64).T
     found = a.astype(np.float64) @ b.astype(np.float64).T
-    return found.astype(np.int64) if most < 2**53 else np.where(np.abs(found) < 9.2e18, np.clip(found, -9.2e18, 9.2e18).astype(np.int64), np.where(found > 0, _HIGH, _LOW))
+    return found.astype(np.int64) if most < 2**52 else np.where(np.abs(found) < 9.2e18, np.clip(found, -9.2e18, 9.2e18).astype(np.int64), np.where(found > 0, _HIGH, _LOW))
 
 
 class Tree:

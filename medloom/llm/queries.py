@@ -10,12 +10,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medloom.llm import ann, byte_bpe, embedding_dedup, hard_negatives, license_scan, line_dedup, mixing, simhash, spelling, token_counts, token_files, toxicity
+from medloom.llm import ann, byte_bpe, embedding_dedup, hard_negatives, license_scan, line_dedup, mixing, quality, simhash, spelling, token_counts, token_files, toxicity
 
 #: Ids of the word tokenizer.
 WORD_IDS = 49_408
 #: A text is predicted toxic from this score on.
 TOXIC_FROM = 0.3
+#: A text is predicted good from this score on.
+GOOD_FROM = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +102,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows.select("vec_id", whole.alias("vec"), label.alias("label")))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit_model(docs.select("doc_id", "text"), _table(spark, sf_dir, "labels").where(~held_out("doc_id")))
+    scored = quality.score_documents(docs, model)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"), shortest=7, fewest=2, times=10, every=31).select("word", "form", "root", "n", "n_near", "form_n")
 
@@ -114,7 +123,7 @@ def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("taken") <= 3 * F.col("size")).alias("within"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_counts, op3_line_dedup, op4_license_scan, op5_nearest_neighbours, op6_simhash_dedup, op7_toxicity, op8_token_files, op9_byte_bpe, op10_mixing, op11_hard_negatives, op13_spelling_variants, license_places, mixing_targets)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_counts, op3_line_dedup, op4_license_scan, op5_nearest_neighbours, op6_simhash_dedup, op7_toxicity, op8_token_files, op9_byte_bpe, op10_mixing, op11_hard_negatives, op12_quality, op13_spelling_variants, license_places, mixing_targets)}
 
 ORACLE_SQL = {
     "op1_embedding_dedup": """
