@@ -1,4 +1,4 @@
-"""Dense, sparse and binary vectors: similarity, top-k, centroids, two-stage search."""
+"""Dense and sparse vectors: similarity, top-k, centroids, two-stage search."""
 
 from __future__ import annotations
 
@@ -134,39 +134,3 @@ def sparse_centroids(sparse: DataFrame, cluster: str) -> DataFrame:
     top = sums.withColumn("rn", F.row_number().over(w)).join(average, cluster).where("rn <= keep")
     own = top.groupBy(cluster).agg(F.pow(F.sum(F.col("total") * F.col("total")), F.lit(1.0) / F.count("*")).alias("own_len"))
     return top.join(own, cluster).select(cluster, "index", F.round(F.col("total") * F.col("avg_len") / F.col("own_len"), 6).alias("value"))
-
-
-def sign_bits(v: Column) -> Column:
-    """A fingerprint: bit i is set where component i is positive."""
-    return F.aggregate(F.transform(v, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))), F.lit(0).cast("bigint"), lambda s, x: s.bitwiseOR(x))
-
-
-def tanimoto(a: Column, b: Column) -> Column:
-    """Null where neither has a bit set."""
-    return F.try_divide(F.bit_count(a.bitwiseAND(b)), F.bit_count(a.bitwiseOR(b)))
-
-
-def tanimoto_search(queries: DataFrame, prints: DataFrame, least: float) -> DataFrame:
-    """A stated set of queries (query_id, q) against all fingerprints (id, fp), with the similarity.
-
-    Bands of the number of set bits make the join an equality: a fingerprint with n bits can only reach the threshold
-    with one of between n * least and n / least bits.
-    """
-    reach = queries.withColumn("n", F.bit_count("q")).withColumn("bits", F.explode(F.sequence(F.ceil(F.col("n") * least).cast("int"), F.floor(F.col("n") / least).cast("int"))))
-    joined = prints.withColumn("bits", F.bit_count("fp").cast("int")).join(reach, "bits")
-    score = tanimoto(F.col("q"), F.col("fp"))
-    return joined.where(score >= least).select("query_id", "id", F.round(score, 6).alias("similarity"))
-
-
-def fingerprint_members(prints: DataFrame) -> DataFrame:
-    """``prints`` (id, fp): id and least, the least id of an equal fingerprint."""
-    return prints.join(prints.groupBy("fp").agg(F.min("id").alias("least")), "fp").select("id", "least")
-
-
-def tanimoto_links(prints: DataFrame, least: float) -> DataFrame:
-    """All fingerprints against all, itself included: query_id, id, similarity, once per pair of distinct fingerprints.
-
-    An end is the least id of its fingerprint (``fingerprint_members`` has the others), so copies do not multiply links.
-    """
-    one = prints.groupBy("fp").agg(F.min("id").alias("id"))
-    return tanimoto_search(one.select(F.col("id").alias("query_id"), F.col("fp").alias("q")), one, least)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medloom.operators import graph as G
-from medloom.plans.vector_queries import SIMILAR_SQL, compound_links
+from medloom.plans.vector_queries import SIMILAR_SQL, tanimoto_links
 from medloom.session import table
 
 PHASES = {None: "Unknown", 1: "Early phase", 5: "Phase 1", 10: "Phase 2", 20: "Phase 3", 30: "Phase 4", 50: "Approved"}
@@ -69,9 +69,9 @@ INDICATION = ["mesh_heading", "reference_type", "compound_name", "compound_key",
 
 
 def _similar(spark, sf_dir):
-    """Similar-to edges of compounds by the fingerprints of their vectors, with the similarity."""
+    """Similar-to edges of compounds by their fingerprints, with the similarity."""
     name = lambda c: F.concat(F.col(c).cast("string"), F.lit("_compound"))
-    return compound_links(spark, sf_dir).where("query_id <> id").select(F.lit("similar_to").alias("type"), name("query_id").alias("src"), name("id").alias("dst"), "similarity")
+    return tanimoto_links(spark, sf_dir).where("query_id <> id").select(F.lit("similar_to").alias("type"), name("query_id").alias("src"), name("id").alias("dst"), "similarity")
 
 
 def _graph(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from medloom.operators import fingerprints as P
 from medloom.operators import vectors as V
 from medloom.session import table
 
@@ -90,15 +91,16 @@ def payload_rewrite(spark, sf_dir):
 
 
 def zero_vector_topk(spark, sf_dir):
-    """Every tenth vector is zero: it finds nothing and is not found."""
-    v = _vectors(spark, sf_dir).select("id", F.when(F.col("id") % 10 == 0, F.transform("v", lambda x: x * 0)).otherwise(F.col("v")).alias("v"))
-    return V.cosine_topk(v.where("id % 50 in (0, 1)").select(F.col("id").alias("query_id"), F.col("v").alias("q")), v, K)
+    """Every third vector is zero: it finds nothing and is not found."""
+    v = _vectors(spark, sf_dir).select("id", F.when(F.col("id") % 3 == 0, F.transform("v", lambda x: x * 0)).otherwise(F.col("v")).alias("v"))
+    return V.cosine_topk(_queries(v), v, K)
 
 
 def empty_prints(spark, sf_dir):
     """Fingerprints without a bit are similar to none, each other included."""
-    p = _prints(spark, sf_dir).withColumn("fp", F.when(F.col("id") % 10 == 0, F.lit(0).cast("bigint")).otherwise(F.col("fp")))
-    return V.tanimoto_search(p.select(F.col("id").alias("query_id"), F.col("fp").alias("q")).where("query_id % 50 in (0, 1)"), p, 0.45)
+    none = F.transform("fp", lambda w: F.lit(0).cast("bigint"))
+    p = _prints(spark, sf_dir).withColumn("fp", F.when(F.col("id") % 3 == 0, none).otherwise(F.col("fp")))
+    return P.search(p.select(F.col("id").alias("query_id"), F.col("fp").alias("q")).where("query_id % 100 = 0"), p, 0.45)
 
 
 def match_report(spark, sf_dir):
@@ -110,9 +112,13 @@ def match_report(spark, sf_dir):
     return hits.join(q, "query_id").join(names.withColumnRenamed("label", "hit_label"), "id").select("query_id", "query_label", "id", "hit_label", "score").orderBy("query_id", F.desc("score"), "id")
 
 
+def _prints(spark, sf_dir):
+    return _vectors(spark, sf_dir).select("id", P.sign_bits(F.col("v")).alias("fp"))
+
+
 def tanimoto_pairs(spark, sf_dir):
-    p = _vectors(spark, sf_dir).select("id", V.sign_bits(F.col("v")).alias("fp"))
-    return V.tanimoto_search(p.select(F.col("id").alias("query_id"), F.col("fp").alias("q")).where("query_id % 100 = 0"), p, 0.45)
+    p = _prints(spark, sf_dir)
+    return P.search(p.select(F.col("id").alias("query_id"), F.col("fp").alias("q")).where("query_id % 100 = 0"), p, 0.45)
 
 
 def tanimoto_topk(spark, sf_dir):
@@ -120,30 +126,34 @@ def tanimoto_topk(spark, sf_dir):
     return tanimoto_pairs(spark, sf_dir).withColumn("rank", F.row_number().over(w)).where("rank <= 3")
 
 
-def _prints(spark, sf_dir):
-    return _vectors(spark, sf_dir).select("id", V.sign_bits(F.col("v")).alias("fp"))
-
+#: Bits of a compound's fingerprint: sixteen levels for each of 64 components.
+COMPOUND_BITS = 1024
 
-def tanimoto_members(spark, sf_dir):
-    """Each id with the least id of its fingerprint, which stands for it in ``tanimoto_links``."""
-    return V.fingerprint_members(_prints(spark, sf_dir))
 
-
-def tanimoto_links(spark, sf_dir):
-    """Similar-to edges of all fingerprints, by the reference's threshold; ends are ids of ``tanimoto_members``."""
-    return V.tanimoto_links(_prints(spark, sf_dir), 0.85)
+def compound_prints(spark, sf_dir):
+    """Fingerprints of parts as compounds, of which a family shares a vector: the first has the vector's levels, a bit a
+    component, the others have a few components the other way round."""
+    v = _vectors(spark, sf_dir)
+    parts = table(spark, sf_dir, "part").select("p_partkey").join(v.agg(F.count("*").alias("n")))
+    parts = parts.select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % F.col("n")).alias("family"), F.expr("p_partkey div n").alias("k"))
+    both = parts.join(v.select(F.col("id").alias("family"), "v"), "family")
+    turned = lambda x, i: F.when((F.col("k") > 0) & ((i + F.col("k") * 5) % 16 == 0), -x.cast("double")).otherwise(x.cast("double"))
+    level = lambda x, i: (i * 16 + F.least(F.lit(15), F.greatest(F.lit(0), F.floor((turned(x, i) + 0.4) / 0.05)))).cast("int")
+    return both.select("id", P.words_of(F.transform("v", level), COMPOUND_BITS).alias("fp"))
 
 
-#: Least similarity of compounds in the graph: random vectors stand in for structures, of which few pairs come near 0.85.
-COMPOUND_LEAST = 0.6
+def tanimoto_members(spark, sf_dir):
+    """Each compound with the least id of its fingerprint, which stands for it in ``tanimoto_links``."""
+    return P.members(compound_prints(spark, sf_dir))
 
 
-def compound_links(spark, sf_dir):
-    return V.tanimoto_links(_prints(spark, sf_dir), COMPOUND_LEAST)
+def tanimoto_links(spark, sf_dir):
+    """Similar-to edges of all compounds, by the usual threshold; ends are ids of ``tanimoto_members``."""
+    return P.links(compound_prints(spark, sf_dir), 0.85)
 
 
 def match_similar(spark, sf_dir):
-    """Similar-to edges of the embeddings, two hops from the even queries' labels."""
+    """Similar vectors of the queries (ids divisible by 100), counted by label."""
     e = tanimoto_pairs(spark, sf_dir).where("query_id <> id")
     v = _vectors(spark, sf_dir).select("id", "label")
     return e.join(v, "id").groupBy("query_id", "label").agg(F.count("*").alias("n"), F.max("similarity").alias("best"))
@@ -160,9 +170,12 @@ _SCEN = """mem AS (SELECT label, id, count(*) AS dims, pow(sum(value * value), 1
         own AS (SELECT label, pow(sum(total * total), 1.0::DOUBLE / count(*)) AS own_len FROM stop5 GROUP BY 1), scen AS (SELECT label, index, round(total * avg_len / own_len, 6) AS value FROM stop5 JOIN own USING (label))"""
 _FP = f"{_V}, bits AS (SELECT id, bit_or(CASE WHEN x > 0 THEN CASE WHEN i = 64 THEN (-9223372036854775808)::BIGINT ELSE (1::BIGINT << (i - 1)::INTEGER) END ELSE 0::BIGINT END) AS fp FROM (SELECT id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM v) GROUP BY 1), pr AS (SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM bits a, bits b WHERE a.id % 100 = 0 AND bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.45)"
 _ALL = _FP[: _FP.index(", pr AS")]
-_LINKS = "one AS (SELECT fp, min(id) AS id FROM bits GROUP BY 1), links AS (SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM one a, one b WHERE bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.85)"
-#: The similarity join as common table expressions whose names do not clash with those of other queries.
-SIMILAR_SQL = f"{_ALL}, {_LINKS}".replace(">= 0.85", f">= {COMPOUND_LEAST}").replace("v AS (", "vv AS (", 1).replace("FROM v)", "FROM vv)")
+_COMPOUND = """cfam AS (SELECT p_partkey AS id, p_partkey // n AS k, embedding::DOUBLE[] AS v FROM part, (SELECT count(*) AS n FROM embeddings) JOIN embeddings ON vec_id = p_partkey % n),
+        cbits AS (SELECT id, list_transform(range(0, len(v)), lambda i: 16 * i + least(15, greatest(0, floor(((CASE WHEN k > 0 AND (i + 5 * k) % 16 = 0 THEN -v[i + 1] ELSE v[i + 1] END) + 0.4::DOUBLE) / 0.05::DOUBLE)))::INTEGER) AS bits FROM cfam),
+        cone AS (SELECT bits, min(id) AS id FROM cbits GROUP BY 1), clong AS (SELECT id, len(bits) AS n, unnest(bits) AS bit FROM cone), cpair AS (SELECT a.id AS query_id, b.id, a.n + b.n AS n, count(*) AS c FROM clong a JOIN clong b USING (bit) GROUP BY ALL),
+        links AS (SELECT query_id, id, round(c / (n - c), 6) AS similarity FROM cpair WHERE c / (n - c) >= 0.85)"""
+#: The similarity join as common table expressions.
+SIMILAR_SQL = _COMPOUND
 
 ORACLE = {
     "dense_cosine_topk": f"WITH {_TOP} SELECT * FROM top",
@@ -182,14 +195,14 @@ ORACLE = {
     "cluster_texts": f"WITH {_V} SELECT label, id, 'node ' || id AS text FROM v",
     "scroll_points": f"WITH {_V} SELECT id, label::VARCHAR AS label FROM v WHERE id % 2 = 1 ORDER BY id LIMIT 5000",
     "payload_rewrite": f"WITH {_V} SELECT id, '_node_type,origin' AS keys, 'o' || id AS origin, len(v)::INTEGER AS dims FROM v",
-    "zero_vector_topk": f"""WITH {_V}, sc AS (SELECT a.id AS query_id, b.id, round({_COS.format('a.v', 'b.v')}, 6) AS score FROM v a, v b WHERE a.id % 50 = 1 AND b.id % 10 <> 0)
+    "zero_vector_topk": f"""WITH {_V}, sc AS (SELECT a.id AS query_id, b.id, round({_COS.format('a.v', 'b.v')}, 6) AS score FROM v a, v b WHERE a.id % 100 = 0 AND a.id % 3 <> 0 AND b.id % 3 <> 0)
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM sc) WHERE rank <= {K}""",
-    "empty_prints": f"WITH {_ALL} SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM bits a, bits b WHERE a.id % 50 = 1 AND b.id % 10 <> 0 AND bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.45",
+    "empty_prints": f"WITH {_ALL} SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM bits a, bits b WHERE a.id % 100 = 0 AND a.id % 3 <> 0 AND b.id % 3 <> 0 AND bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.45",
     "match_report": f"WITH {_TOP} SELECT t.query_id, a.label AS query_label, t.id, b.label AS hit_label, score FROM top t JOIN v a ON a.id = t.query_id JOIN v b ON b.id = t.id ORDER BY 1, score DESC, 3",
     "tanimoto_pairs": f"WITH {_FP} SELECT * FROM pr",
     "tanimoto_topk": f"WITH {_FP} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id)::INTEGER AS rank FROM pr) WHERE rank <= 3",
-    "tanimoto_members": f"WITH {_ALL} SELECT id, min(id) OVER (PARTITION BY fp) AS least FROM bits",
-    "tanimoto_links": f"WITH {_ALL}, {_LINKS} SELECT * FROM links",
+    "tanimoto_members": f"WITH {_COMPOUND} SELECT id, min(id) OVER (PARTITION BY bits) AS least FROM cbits",
+    "tanimoto_links": f"WITH {_COMPOUND} SELECT * FROM links",
     "match_similar": f"WITH {_FP} SELECT query_id, label, count(*) AS n, max(similarity) AS best FROM pr JOIN v USING (id) WHERE query_id <> id GROUP BY 1, 2",
 }
 QUERIES = {k: globals()[k] for k in ORACLE}

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medloom.functions import text as S
-from medloom.operators import tasks, triples, vectors
+from medloom.operators import fingerprints, tasks, triples, vectors
 from medloom.sinks import tables
 from medloom.sources import rdf
 
@@ -78,8 +78,8 @@ def test_zero_vectors_and_empty_prints(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [0.5, 0.5])], "id int, v array<double>")
     got = vectors.cosine_topk(v.select(F.col("id").alias("query_id"), F.col("v").alias("q")), v, 5)
     assert {(r["query_id"], r["id"]) for r in got.collect()} == {(1, 1), (1, 3), (3, 1), (3, 3)}
-    p = spark.createDataFrame([(1, 0), (2, 0), (3, 7), (4, 3)], "id int, fp bigint")
-    assert rows(vectors.tanimoto_search(p.select(F.col("id").alias("query_id"), F.col("fp").alias("q")), p, 0.5)) == [(3, 3, 1.0), (3, 4, 0.666667), (4, 3, 0.666667), (4, 4, 1.0)]
+    p = spark.createDataFrame([(1, [0]), (2, [0]), (3, [7]), (4, [3])], "id int, fp array<bigint>")
+    assert rows(fingerprints.search(p.select(F.col("id").alias("query_id"), F.col("fp").alias("q")), p, 0.5)) == [(3, 3, 1.0), (3, 4, 0.666667), (4, 3, 0.666667), (4, 4, 1.0)]
     assert rows(v.select(vectors.cosine(F.col("v"), F.array(F.lit(0.0), F.lit(0.0))).alias("x"))) == [(None,)] * 3
 
 
