@@ -265,6 +265,8 @@ def near_words(words: DataFrame) -> DataFrame:
     through every shard.  What is sent grows with the square of the vocabulary over the size of a shard; most words leave
     a foreign shard at its root."""
     total = words.count()
+    if not total:
+        return words.select("word", F.lit(0).cast("bigint").alias("n_near"), F.lit(None).cast("struct<less: bigint, form: string>").alias("best"))
     shards, blocks = max(1, -(-total // SHARD)), max(1, -(-total // BLOCK))
     # the first six letters as a number, each by its place among the letters
     point = F.transform(F.split(F.substring("word", 1, 6), ""), lambda c: F.ascii(c).cast("bigint"))
@@ -291,8 +293,10 @@ def near_words(words: DataFrame) -> DataFrame:
 
     tries = store(ranged.withColumn("part", F.pmod(F.xxhash64("word"), parts).cast("int")).groupBy("span", "part").applyInArrow(shard, "shard int, part int, t_codes binary, t_begin binary, t_n binary"), "tries")
     dealt = store(ranged.withColumn("block", F.pmod(F.xxhash64("word"), F.lit(blocks)).cast("int")).groupBy("block").applyInArrow(block, "block int, codes binary, begin binary, n binary"), "blocks")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    both = tries.withColumn("block", every).join(dealt.hint("shuffle_hash"), "block")
+    # a pair of a shard and a block is a key of its own, so that pairs are tasks
+    cut = [F.struct(F.lit(k).alias("shard"), F.lit(p).alias("part")) for k, n in sorted(sizes.items()) for p in range(n)]
+    sent = dealt.withColumn("pair", F.explode(F.array(*cut))).select("*", "pair.*").drop("pair")
+    both = tries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(sent.hint("shuffle_hash"), ["shard", "part", "block"])
 
     def walk(batches):
         for batch in batches:
