@@ -11,6 +11,7 @@ from medloom.plans.source_queries import folder
 from medloom.plans.triple_queries import triples_build
 from medloom.session import table
 from medloom.sinks import tables as W
+from medloom.sinks.keyed import KeyedTable
 
 
 def _orders(spark, sf_dir):
@@ -27,6 +28,10 @@ def _back(spark, path):
     return spark.read.parquet(path)
 
 
+def _stored(spark, path):
+    return KeyedTable(spark, path).read()
+
+
 def sink_append(spark, sf_dir):
     """Two writes; the second goes to a sink that keeps nothing as well."""
     a, b = _halves(spark, sf_dir)
@@ -42,7 +47,7 @@ def sink_keyed(spark, sf_dir):
     path = folder(spark, "keyed")
     for rows in (a, b):
         W.keyed(path, ["o_orderkey"])(rows)
-    return _back(spark, path)
+    return _stored(spark, path)
 
 
 def sink_insert_missing(spark, sf_dir):
@@ -50,7 +55,7 @@ def sink_insert_missing(spark, sf_dir):
     path = folder(spark, "missing")
     for rows in (a, b):
         W.insert_missing(path, ["o_orderkey"])(rows)
-    return _back(spark, path)
+    return _stored(spark, path)
 
 
 def sink_replace_keys(spark, sf_dir):
@@ -59,7 +64,7 @@ def sink_replace_keys(spark, sf_dir):
     path = folder(spark, "replace")
     for rows in (a, b.where("o_orderkey % 4 = 0")):
         W.replace_keys(path, ["o_custkey"])(rows)
-    return _back(spark, path)
+    return _stored(spark, path)
 
 
 def sink_mapped(spark, sf_dir):
@@ -83,13 +88,13 @@ def sink_declared(spark, sf_dir):
     rows = li.select(F.col("l_partkey").alias("article_id"), F.col("l_orderkey").cast("string").alias("reference"), F.lit(0).alias("reference_type"), F.col("l_linenumber").alias("ordinal"), F.when(F.col("l_linenumber") > 3, F.repeat(F.lit("c"), 600)).alias("citation"))
     path = folder(spark, "declared")
     W.declared(schema.REFERENCES, path)(rows)
-    return _back(spark, path).withColumn("citation", F.length("citation"))
+    return _stored(spark, path).withColumn("citation", F.length("citation"))
 
 
 def sink_pairs(spark, sf_dir):
     path = folder(spark, "pairs")
     W.pairs(path, "c_custkey", "c_acctbal")(table(spark, sf_dir, "customer"))
-    return _back(spark, path).select("key", F.col("value").cast("double").alias("value"))
+    return _stored(spark, path).select("key", F.col("value").cast("double").alias("value"))
 
 
 def sink_points(spark, sf_dir):
@@ -99,7 +104,7 @@ def sink_points(spark, sf_dir):
     sink = W.points(path, ["label"])
     sink(v)
     sink(v.where("id % 7 = 0").withColumn("label", F.col("label") + 100))
-    return _back(spark, path).select("id", F.size("text_dense").alias("dims"), F.size("text_sparse").alias("terms"), F.col("payload")["label"].alias("label"))
+    return _stored(spark, path).select("id", F.array_join(F.transform("text_dense", lambda x: F.format_number(x.cast("double"), 6)), ",").alias("dense"), F.array_join(F.transform("text_sparse", lambda x: F.concat_ws(":", x["index"].cast("string"), F.format_number(x["value"], 6))), ",").alias("sparse"), F.col("payload")["label"].alias("label"))
 
 
 def sink_objects(spark, sf_dir):
@@ -126,13 +131,32 @@ def sink_assertions(spark, sf_dir):
 
 
 def writer_lost(spark, sf_dir):
-    """A table whose writer was lost after it had set the old one aside: what is read is the old one."""
-    a, _ = _halves(spark, sf_dir)
-    path = folder(spark, "lost")
-    W.keyed(path, ["o_orderkey"])(a)
-    files, Path = W._fs(a, path)
-    files.rename(Path(path), Path(f"{path}.previous"))
-    return W.read_or_empty(a, path)
+    """A table whose second writer was lost after its data were written and before they had a version: the old rows."""
+    a, b = _halves(spark, sf_dir)
+    t = KeyedTable(spark, folder(spark, "lost"), ["o_orderkey"])
+    t.upsert(a)
+    b.write.parquet(f"{t.path}/data/lost")
+    return t.read()
+
+
+def sink_stamped(spark, sf_dir):
+    """Customers that change: the stamp moves where a row does."""
+    c = table(spark, sf_dir, "customer")
+    t = KeyedTable(spark, folder(spark, "stamped"), ["c_custkey"])
+    t.upsert(c.select("c_custkey", "c_mktsegment", "c_nationkey", F.lit("2020-01-01").alias("updated_at")))
+    new = c.where("c_custkey % 3 <> 0").select("c_custkey", F.when(F.col("c_acctbal") < 0, F.lit("CLOSED")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"), F.when(F.col("c_custkey") % 7 == 0, F.lit(None).cast("int")).otherwise(F.col("c_nationkey")).alias("c_nationkey"), F.lit("").alias("updated_at"))
+    t.upsert_stamped(new, "updated_at", F.lit("2024-06-01"))
+    return t.read()
+
+
+def sink_deleted(spark, sf_dir):
+    """Orders of some customers removed by key, and what an older version still has."""
+    o = _orders(spark, sf_dir)
+    t = KeyedTable(spark, folder(spark, "deleted"), ["o_custkey"], buckets=16)
+    first = t.replace(o)
+    t.delete(o.where("o_custkey % 4 = 0").select("o_custkey"))
+    now = t.read().select("o_orderkey", F.lit(True).alias("there"))
+    return t.read(first).select("o_orderkey").join(now, "o_orderkey", "left").select("o_orderkey", F.coalesce("there", F.lit(False)).alias("there"))
 
 
 def full_text_jobs(spark, sf_dir):
@@ -196,11 +220,15 @@ ORACLE = {
     "sink_counted": "SELECT count(*) AS total, count(*) FILTER (o_orderkey % 2 = 0) AS keyed, count(*) AS source, count(*) AS stored FROM orders",
     "sink_declared": """SELECT l_partkey AS article_id, l_orderkey::VARCHAR AS reference, 0::SMALLINT AS reference_type, max(l_linenumber) AS ordinal, CASE WHEN max(l_linenumber) > 3 THEN 500 ELSE 0 END::INTEGER AS citation FROM lineitem GROUP BY 1, 2""",
     "sink_pairs": "SELECT c_custkey::VARCHAR AS key, c_acctbal AS value FROM customer",
-    "sink_points": "SELECT vec_id AS id, len(embedding)::INTEGER AS dims, 3 AS terms, CASE WHEN vec_id % 7 = 0 THEN label + 100 ELSE label END::VARCHAR AS label FROM embeddings",
+    "sink_points": "SELECT vec_id AS id, array_to_string(list_transform(embedding, lambda x: format('{:.6f}', x::DOUBLE)), ',') AS dense, array_to_string(list_transform([0, 1, 2], lambda i: i || ':' || format('{:.6f}', embedding[i + 1]::DOUBLE)), ',') AS sparse, CASE WHEN vec_id % 7 = 0 THEN label + 100 ELSE label END::VARCHAR AS label FROM embeddings",
     "sink_objects": "SELECT 'd' || s_nationkey || '/o' || s_suppkey AS name, s_name AS content FROM supplier WHERE s_suppkey % 3 <> 0",
     "sink_json": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "sink_assertions": f"WITH {_T} SELECT 'here' AS origin, uri, s, p, coalesce(o, lit) AS o FROM t",
     "writer_lost": f"WITH {_A} SELECT * FROM a",
+    "sink_stamped": """WITH n AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'CLOSED' ELSE c_mktsegment END AS s, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END AS k FROM customer WHERE c_custkey % 3 <> 0)
+        SELECT c.c_custkey, CASE WHEN n.c_custkey IS NULL THEN c_mktsegment ELSE s END AS c_mktsegment, CASE WHEN n.c_custkey IS NULL THEN c_nationkey ELSE k END AS c_nationkey,
+        CASE WHEN n.c_custkey IS NOT NULL AND (s IS DISTINCT FROM c_mktsegment OR k IS DISTINCT FROM c_nationkey) THEN '2024-06-01' ELSE '2020-01-01' END AS updated_at FROM customer c LEFT JOIN n USING (c_custkey)""",
+    "sink_deleted": "SELECT o_orderkey, o_custkey % 4 <> 0 AS there FROM orders",
     "full_text_jobs": """WITH j AS (SELECT 'PMC' || o_orderkey AS identifier, year(o_orderdate)::SMALLINT AS year, o_orderkey % 5 AS state, o_orderkey % 4 AS r FROM orders)
         SELECT identifier, CASE WHEN state IN (0, 3) AND r = 0 THEN 'data/' || year || '/' || identifier END AS location, year, CASE WHEN state IN (0, 3) THEN CASE r WHEN 0 THEN 2 WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE state END ELSE state END::SMALLINT AS state FROM j""",
     "vector_log_states": """WITH l AS (SELECT o_orderkey, o_orderkey % 4 AS status FROM orders), p AS (SELECT * FROM l WHERE status <> 2 ORDER BY o_orderkey LIMIT 500)

@@ -13,6 +13,7 @@ from medloom.operators import clusters, nodes
 from medloom.operators import reshape as X
 from medloom.plans.text_queries import WORDS
 from medloom.session import table
+from medloom.sinks.keyed import KeyedTable
 from medloom.sinks.tables import as_xml, put_objects
 from medloom.sources import articles, jats, rdf
 from medloom.streaming import task_state
@@ -134,7 +135,7 @@ def stream_task_state(spark, sf_dir):
     state = F.pmod(F.length("event_type") + F.col("event_id"), F.lit(5)).cast("smallint")
     tasks = stream.select(F.col("user_id").cast("string").alias("name"), state.alias("state"), F.col("ts").alias("timestamp"), "event_id")
     task_state.keep_states(tasks, path, check).awaitTermination()
-    return spark.read.parquet(path).select("name", "state", "timestamp")
+    return KeyedTable(spark, path).read().select("name", "state", "timestamp")
 
 
 def _isfolder(spark, path: str) -> bool:

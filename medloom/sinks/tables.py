@@ -8,68 +8,25 @@ from xml.sax.saxutils import escape
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from medloom.operators.tasks import upsert
 from medloom.schema import Table
+from medloom.sinks.keyed import KeyedTable
 
 Sink = Callable[[DataFrame], None]
 #: Statements of one element of RDF/XML at most.
 STATEMENTS = 1000
 
 
-def _fs(df: DataFrame, path: str):
-    sc = df.sparkSession.sparkContext
-    where = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(sc._jsc.hadoopConfiguration()), sc._jvm.org.apache.hadoop.fs.Path
-
-
-def _renamed(files, a, b) -> None:
-    if not files.rename(a, b):
-        raise OSError(f"could not rename {a} to {b}")
-
-
-def recover(df: DataFrame, path: str) -> None:
-    """Put back the table that a writer had set aside when it was lost: ``path.previous`` is the table as long as there
-    is none at ``path``, and left over where there is one."""
-    files, Path = _fs(df, path)
-    previous = Path(f"{path.rstrip('/')}.previous")
-    if files.exists(previous):
-        if files.exists(Path(path)):
-            files.delete(previous, True)
-        else:
-            _renamed(files, previous, Path(path))
-
-
 def read_or_empty(df: DataFrame, path: str) -> DataFrame:
-    """What is stored at ``path``, with the columns of ``df``; nothing yet is empty."""
-    recover(df, path)
+    """What a writer by key has stored at ``path``, with the columns of ``df``; nothing yet is empty."""
     try:
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+        return KeyedTable(df.sparkSession, path).read().select(*df.columns)
+    except FileNotFoundError:
         return df.limit(0)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Write ``df``, which may read the table at ``path``, in that table's place.
-
-    It is written beside the table first; then the table is set aside as ``path.previous``, the new one takes its place,
-    and the old one goes.  A writer lost at any step leaves the old table or the new one, never none (``recover``)."""
-    files, Path = _fs(df, path)
-    beside, previous = (Path(f"{path.rstrip('/')}.{x}") for x in (uuid.uuid4().hex, "previous"))
-    df.write.parquet(beside.toString())
-    recover(df, path)
-    if files.exists(Path(path)):
-        _renamed(files, Path(path), previous)
-    _renamed(files, beside, Path(path))
-    if files.exists(previous):
-        files.delete(previous, True)
-
-
 def append(path: str) -> Sink:
     return lambda df: df.write.mode("append").parquet(path)
 
@@ -110,8 +67,8 @@ def counted(sink: Sink, key: str | None = None) -> Callable[[DataFrame], dict]:
 
 
 def keyed(path: str, keys: list[str], order: list[str] | None = None) -> Sink:
-    """Insert or update by key; a failed write leaves the old table."""
-    return lambda df: replace_table(upsert(read_or_empty(df, path), df, keys, order), path)
+    """Insert or update by key, in the buckets of the keys that come; a failed write leaves the old table."""
+    return lambda df: KeyedTable(df.sparkSession, path, keys).upsert(df, order)
 
 
 def declared(table: Table, path: str) -> Sink:
@@ -122,29 +79,18 @@ def declared(table: Table, path: str) -> Sink:
 
 def insert_missing(path: str, keys: list[str]) -> Sink:
     """Insert if not exists: the first row of a key stays."""
-
-    def write(df: DataFrame) -> None:
-        rest = [c for c in df.columns if c not in keys]
-        new = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("r")).select(*[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in df.columns])
-        new.join(read_or_empty(df, path).select(*keys), keys, "left_anti").write.mode("append").parquet(path)
-
-    return write
+    return lambda df: KeyedTable(df.sparkSession, path, keys).insert_missing(df)
 
 
 def replace_keys(path: str, keys: list[str]) -> Sink:
     """All stored rows of the keys that come go, then the new rows are added; a failed write leaves the old table."""
-
-    def write(df: DataFrame) -> None:
-        rest = read_or_empty(df, path).join(df.select(*keys).distinct(), keys, "left_anti")
-        replace_table(rest.unionByName(df), path)
-
-    return write
+    return lambda df: KeyedTable(df.sparkSession, path, keys).replace(df)
 
 
 def copy_checked(source: DataFrame, path: str, keys: list[str]) -> tuple[int, int]:
     """Upsert a table and compare the numbers of rows: of the source and of what is stored."""
     keyed(path, keys)(source)
-    return source.select(*keys).distinct().count(), source.sparkSession.read.parquet(path).count()
+    return source.select(*keys).distinct().count(), KeyedTable(source.sparkSession, path).read().count()
 
 
 def pairs(path: str, key: str, value: str) -> Sink:
@@ -160,11 +106,7 @@ def points(path: str, payload: list[str], id_col: str = "id") -> Sink:
         entries = [x for c in payload for x in (F.lit(c), F.col(c).cast("string"))]
         return df.select(F.col(id_col).alias("id"), F.col("dense").cast("array<float>").alias("text_dense"), F.col("sparse").alias("text_sparse"), F.create_map(*entries).alias("payload"))
 
-    def write(df: DataFrame) -> None:
-        new = shape(df)
-        replace_table(read_or_empty(new, path).join(new.select("id"), "id", "left_anti").unionByName(new), path)
-
-    return write
+    return mapped(shape, replace_keys(path, ["id"]))
 
 
 def put_objects(rows: DataFrame, folder: str, name: str = "name", content: str = "content") -> DataFrame:

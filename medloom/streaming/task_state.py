@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from medloom.sinks.tables import read_or_empty, replace_table
+from medloom.sinks.keyed import KeyedTable
 
 
 def event_stream(spark: SparkSession, path: str, schema, per_batch: int | None = None) -> DataFrame:
@@ -15,14 +15,12 @@ def event_stream(spark: SparkSession, path: str, schema, per_batch: int | None =
 
 
 def keep_states(events: DataFrame, path: str, checkpoint: str, key: str = "name", order: tuple[str, ...] = ("timestamp", "event_id")) -> StreamingQuery:
-    """Current state per key at ``path``: each micro-batch is reduced to one row per key and upserted; a batch that is
-    run again gives the same table.  Late rows never replace newer ones."""
+    """Current state per key in a keyed table at ``path``: each micro-batch is reduced to one row per key and put in, which
+    rewrites the buckets of its keys; a batch that is run again gives the same table.  Late rows never replace newer ones."""
 
     def fold(batch: DataFrame, _: int) -> None:
         newest = batch.groupBy(key).agg(F.max_by(F.struct("state", *order), F.struct(*order)).alias("r")).select(key, "r.*")
-        both = read_or_empty(newest, path).unionByName(newest)
-        best = both.groupBy(key).agg(F.max_by(F.struct("state", *order), F.struct(*order)).alias("r")).select(key, "r.*")
-        replace_table(best, path)
+        KeyedTable(batch.sparkSession, path, [key]).keep_greatest(newest, list(order))
 
     return events.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
