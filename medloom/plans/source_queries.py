@@ -127,15 +127,30 @@ def soft_clusters(spark, sf_dir):
     return clusters.soft_clusters(e)
 
 
-def stream_task_state(spark, sf_dir):
-    """Events streamed in, states kept by upsert: equal to the batch's."""
-    path, check = folder(spark, "states"), folder(spark, "stream")
-    events = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet" + ("" if _isfolder(spark, f"{sf_dir}/events.parquet") else "*"))
+def _events(spark, sf_dir):
+    """The events as a stream; all that are there come in one batch."""
+    path = f"{sf_dir}/events.parquet"
+    return spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(path if _isfolder(spark, path) else f"{path}*")
+
+
+def _task_events(events):
     state = F.pmod(F.length("event_type") + F.col("event_id"), F.lit(5)).cast("smallint")
-    tasks = stream.select(F.col("user_id").cast("string").alias("name"), state.alias("state"), F.col("ts").alias("timestamp"), "event_id")
-    task_state.keep_states(tasks, path, check).awaitTermination()
-    return KeyedTable(spark, path).read().select("name", "state", "timestamp")
+    return events.select(F.col("user_id").cast("string").alias("name"), state.alias("state"), F.col("ts").alias("timestamp"), F.col("event_id").alias("version"))
+
+
+def stream_task_state(spark, sf_dir):
+    """Events streamed in, states kept in a state store and written by key; tasks stuck in progress are queued again."""
+    path = folder(spark, "states")
+    task_state.keep_states(_task_events(_events(spark, sf_dir)), path, folder(spark, "stream"), "2 days").awaitTermination()
+    return KeyedTable(spark, path).read().withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def stream_windows(spark, sf_dir):
+    """Events an hour and type, of the windows that the watermark has closed."""
+    path = folder(spark, "windows")
+    counts = task_state.windowed_counts(_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")))
+    counts.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", folder(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("start timestamp, event_type string, n bigint").parquet(path).withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 def _isfolder(spark, path: str) -> bool:
@@ -144,7 +159,7 @@ def _isfolder(spark, path: str) -> bool:
     return where.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
-NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "rdf_xml", "chunk_nodes", "chunk_node_ids", "soft_clusters", "stream_task_state")
+NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "rdf_xml", "chunk_nodes", "chunk_node_ids", "soft_clusters", "stream_task_state", "stream_windows")
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 ORACLE = {
     "html_sections": r"""WITH b AS (SELECT page_id, regexp_extract_all(html, '(?is)(<(?:h[1-6]|p|li|td|title)\b[^>]*>.*?</(?:h[1-6]|p|li|td|title)>)', 1) AS blocks FROM pages),
@@ -164,7 +179,9 @@ ORACLE = {
     "jsonld_parse": """SELECT 'http://example.org/s' || s_suppkey AS s, unnest(['http://www.w3.org/1999/02/22-rdf-syntax-ns#type', 'http://example.org/name', 'http://example.org/nation']) AS p,
         unnest(['http://example.org/Supplier', NULL, NULL]) AS o, unnest([NULL, s_name, s_nationkey::VARCHAR]) AS value, unnest([NULL, 'http://www.w3.org/2001/XMLSchema#string', 'http://www.w3.org/2001/XMLSchema#integer']) AS datatype FROM supplier""",
     "rdf_xml": """SELECT '<rdf:Description rdf:about="n:' || n_nationkey || '">' || chr(10) || '  <ex:broader rdf:resource="r:' || n_regionkey || '"/>' || chr(10) || '  <ex:name>' || n_name || '</ex:name>' || chr(10) || '</rdf:Description>' AS value FROM nation""",
-    "stream_task_state": """WITH t AS (SELECT user_id::VARCHAR AS name, ((length(event_type) + event_id) % 5)::SMALLINT AS state, ts AS timestamp, event_id FROM events)
-        SELECT name, state, timestamp FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY timestamp DESC, event_id DESC) AS rn FROM t) WHERE rn = 1""",
+    "stream_task_state": """WITH t AS (SELECT user_id::VARCHAR AS name, ((length(event_type) + event_id) % 5)::SMALLINT AS state, ts AS timestamp, event_id AS version FROM events),
+        n AS (SELECT *, state = 1 AND timestamp + INTERVAL 2 DAY <= (SELECT max(timestamp) FROM t) AS timed_out FROM t QUALIFY row_number() OVER (PARTITION BY name ORDER BY timestamp DESC, version DESC) = 1)
+        SELECT name, CASE WHEN timed_out THEN 0 ELSE state END::SMALLINT AS state, CASE WHEN timed_out THEN timestamp + INTERVAL 2 DAY ELSE timestamp END AS timestamp, version, timed_out FROM n""",
+    "stream_windows": """SELECT * FROM (SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2) WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
 }
 QUERIES = {k: globals()[k] for k in NAMES}

@@ -2,29 +2,126 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from medloom.operators.tasks import STATES
 from medloom.sinks.keyed import KeyedTable
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Rows that leave the state: a task, its new state, since when, which version, and whether a timer changed it.
+CHANGES = "name string, state smallint, timestamp timestamp, version bigint, timed_out boolean"
+
 
 def event_stream(spark: SparkSession, path: str, schema, per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     return (reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader).parquet(path)
 
 
-def keep_states(events: DataFrame, path: str, checkpoint: str, key: str = "name", order: tuple[str, ...] = ("timestamp", "event_id")) -> StreamingQuery:
-    """Current state per key in a keyed table at ``path``: each micro-batch is reduced to one row per key and put in, which
-    rewrites the buckets of its keys; a batch that is run again gives the same table.  Late rows never replace newer ones."""
+@contextmanager
+def _state_in_rocks(spark: SparkSession):
+    """A query that starts inside keeps its state in RocksDB; the session is left as it was."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+
+
+class TaskMachine(StatefulProcessor):
+    """Of each task the row of greatest time and version, kept in the state store.
+
+    A row that is older than what is kept changes nothing.  A task that comes to be in progress gets a timer ``stuck_ms``
+    after its time; if the watermark passes it and the task is still as it was, the task is queued again as of the
+    timer's time.  A newer row replaces the timer.  Only changes are handed on."""
+
+    def __init__(self, stuck_ms: int):
+        self.stuck_ms = stuck_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.current = handle.getValueState("current", "state int, at bigint, version bigint")
+
+    def _due(self, at: int) -> int:
+        """When a task that is in progress since ``at`` (microseconds) is stuck, in whole milliseconds."""
+        return -(-at // 1000) + self.stuck_ms
+
+    def _changed(self, name: str, timed_out: bool) -> pd.DataFrame:
+        state, at, version = self.current.get()
+        time = datetime.fromtimestamp(at // 1_000_000, timezone.utc).replace(tzinfo=None, microsecond=at % 1_000_000)
+        return pd.DataFrame({"name": [name], "state": pd.array([state], "Int16"), "timestamp": [time], "version": [version], "timed_out": [timed_out]})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best = None
+        for batch in rows:
+            micros = batch["timestamp"].astype("datetime64[us]").astype("int64")
+            order = batch.assign(micros=micros).sort_values(["micros", "version", "state"]).iloc[-1]
+            found = (int(order["micros"]), int(order["version"]), int(order["state"]))
+            best = found if best is None or found > best else best
+        if self.current.exists():
+            state, at, version = self.current.get()
+            if best <= (at, version, state):
+                return
+        self.current.update((best[2], best[0], best[1]))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if best[2] == STATES["InProgress"]:
+            self.handle.registerTimer(self._due(best[0]))
+        yield self._changed(key[0], False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        state, at, version = self.current.get()
+        if state == STATES["InProgress"] and self._due(at) == expiredTimerInfo.getExpiryTimeInMs():
+            self.current.update((STATES["Queued"], at + self.stuck_ms * 1000, version))
+            yield self._changed(key[0], True)
+
+    def close(self) -> None:
+        pass
+
+
+def state_changes(events: DataFrame, stuck: str, late: str) -> DataFrame:
+    """Changes (``CHANGES``) of the tasks in a stream of name, state, timestamp and version.
+
+    Rows that are ``late`` behind the newest one seen in earlier batches do not count (Spark leaves them out); null names, states, times
+    and versions do not count.  A task that is in progress for ``stuck`` without news is queued again."""
+    spark = events.sparkSession
+    stuck_ms = int(spark.sql(f"SELECT cast(unix_millis(timestamp'1970-01-01 00:00:00+00:00' + interval {stuck}) AS bigint)").first()[0])
+    rows = events.select(F.col("name").cast("string").alias("name"), F.col("state").cast("int").alias("state"), F.col("timestamp").cast("timestamp").alias("timestamp"), F.col("version").cast("bigint").alias("version")).dropna()
+    return rows.withWatermark("timestamp", late).groupBy("name").transformWithStateInPandas(statefulProcessor=TaskMachine(stuck_ms), outputStructType=CHANGES, outputMode="Update", timeMode="EventTime")
+
+
+def keep_states(events: DataFrame, path: str, checkpoint: str, stuck: str = "1 day", late: str = "0 seconds", buckets: int = 64) -> StreamingQuery:
+    """Current state of each task in a keyed table at ``path``: name, state, timestamp, version and timed_out.
+
+    The states are in the stream's state store, of which the checkpoint has the versions; a restart goes on from there.
+    A micro-batch writes the buckets of the tasks that it changes, and a batch that is run again gives the same table."""
 
     def fold(batch: DataFrame, _: int) -> None:
-        newest = batch.groupBy(key).agg(F.max_by(F.struct("state", *order), F.struct(*order)).alias("r")).select(key, "r.*")
-        KeyedTable(batch.sparkSession, path, [key]).keep_greatest(newest, list(order))
+        KeyedTable(batch.sparkSession, path, ["name"], buckets).keep_greatest(batch, ["timestamp", "version", "timed_out", "state"])
+
+    with _state_in_rocks(events.sparkSession):
+        return state_changes(events, stuck, late).writeStream.foreachBatch(fold).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
 
-    return events.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def batch_states(events: DataFrame, stuck: str, late: str) -> DataFrame:
+    """What ``keep_states`` comes to if all events come in one batch."""
+    rows = events.select(F.col("name").cast("string").alias("name"), F.col("state").cast("smallint").alias("state"), F.col("timestamp").cast("timestamp").alias("timestamp"), F.col("version").cast("bigint").alias("version")).dropna()
+    newest = rows.groupBy("name").agg(F.max(F.struct("timestamp", "version", "state")).alias("r")).select("name", "r.*")
+    mark = rows.agg((F.max("timestamp") - F.expr(f"interval {late}")).alias("mark"))
+    due = F.col("timestamp") + F.expr(f"interval {stuck}")
+    out = (F.col("state") == STATES["InProgress"]) & (due <= F.col("mark"))
+    both = newest.join(F.broadcast(mark))
+    return both.select("name", F.when(out, F.lit(STATES["Queued"])).otherwise(F.col("state")).cast("smallint").alias("state"), F.when(out, due).otherwise(F.col("timestamp")).alias("timestamp"), "version", out.alias("timed_out"))
 
 
 def windowed_counts(events: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
-    """Counts per window and type with a watermark (an extension)."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"))
+    """Counts per window and type with a watermark (an extension): start, event_type, n of windows that are over."""
+    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "event_type", "n")
