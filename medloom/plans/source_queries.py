@@ -3,10 +3,12 @@ session's shared folder."""
 
 from __future__ import annotations
 
+import gzip
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from medloom.operators import clusters, nodes
@@ -102,6 +104,40 @@ def jsonld_parse(spark, sf_dir):
     return rdf.jsonld(spark, path).select("s", "p", "o", F.col("lit.value").alias("value"), F.col("lit.datatype").alias("datatype"))
 
 
+def trix_parse(spark, sf_dir):
+    """Customers as TriX, a graph for each nation, in files that are cut in ranges of 64 KB."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name", "c_mktsegment", "c_acctbal")
+    uri = lambda *x: F.concat(F.lit("<uri>http://example.org/"), *[F.lit(y) if isinstance(y, str) else y for y in x], F.lit("</uri>"))
+    triple = lambda *x: F.concat(F.lit("<triple>"), *x, F.lit("</triple>\n"))
+    s = uri("c", F.col("c_custkey"))
+    each = F.concat(triple(s, uri("in"), uri("s", F.col("c_mktsegment"))), triple(s, uri("name"), F.lit('<plainLiteral xml:lang="en">'), F.concat(F.col("c_name"), F.lit(" &amp; &lt;co&gt;")), F.lit("</plainLiteral>")), triple(s, uri("key"), F.lit('<typedLiteral datatype="http://www.w3.org/2001/XMLSchema#integer">'), F.col("c_custkey").cast("string"), F.lit("</typedLiteral>")))
+    part = F.floor(F.col("c_custkey") / 1000)
+    rows = c.select(part.alias("part"), F.col("c_nationkey").alias("nation"), F.struct(F.col("c_custkey").alias("k"), each.alias("x")).alias("t"))
+    graphs = rows.groupBy("part", "nation").agg(F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["x"]), "").alias("x"))
+    files = graphs.groupBy("part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nation", F.concat(F.lit("<graph>"), uri("n", F.col("nation")), F.lit("\n"), F.col("x"), F.lit("</graph>\n")).alias("g")))), lambda t: t["g"]), "").alias("g"))
+    path = folder(spark, "trix")
+    whole = files.select(F.concat(F.col("part").cast("string"), F.lit(".xml")).alias("name"), F.concat(F.lit('<TriX xmlns="http://www.w3.org/2004/03/trix/trix-1/">\n'), F.col("g"), F.lit("</TriX>")).alias("content"))
+    put_objects(whole, path).write.format("noop").mode("overwrite").save()
+    return rdf.trix(spark, path, 1 << 16).select("graph", "s", "p", "o", F.col("lit.value").alias("value"), F.col("lit.lang").alias("lang"), F.col("lit.datatype").alias("datatype"))
+
+
+def article_split(spark, sf_dir):
+    """Article files of gzip members of some 50 documents, read in ranges of 64 KB: title and digest of each abstract."""
+    d = table(spark, sf_dir, "documents").withColumn("text", F.regexp_replace("text", _CONTROL, " "))
+    xml = F.concat(F.lit("<PubmedArticle><MedlineCitation><PMID>"), "doc_id", F.lit("</PMID><Article><ArticleTitle>On <i>"), "lang", F.lit("</i></ArticleTitle><Abstract><AbstractText>"), escaped(F.col("text")), F.lit("</AbstractText></Abstract></Article></MedlineCitation></PubmedArticle>"))
+    path = folder(spark, "members")
+
+    def pack(key, part):
+        texts = part.column("x").to_pylist()
+        members = [gzip.compress("\n".join(texts[i : i + 50]).encode()) for i in range(0, len(texts), 50)]
+        return pa.table({"name": [f"m{key[0].as_py()}.xml.gz"], "content": [gzip.compress(b"<PubmedArticleSet>") + b"".join(members) + gzip.compress(b"</PubmedArticleSet>")]})
+
+    files = d.select(F.floor(F.col("doc_id") / 500).alias("g"), xml.alias("x")).groupBy("g").applyInArrow(pack, "name string, content binary")
+    put_objects(files, path).write.format("noop").mode("overwrite").save()
+    plain = lambda c: F.trim(F.regexp_replace(c, r"[ \t\r\n]+", " "))
+    return articles.records(articles.read_split(spark, path, 1 << 16)).select("identifier", "title", F.md5(plain(F.get("abstract", 0))).alias("text_md5"))
+
+
 def rdf_xml(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     t = n.select(F.concat(F.lit("n:"), "n_nationkey").alias("s"), F.lit("name").alias("p"), F.lit(None).cast("string").alias("o"), F.col("n_name").alias("lit"))
@@ -159,7 +195,7 @@ def _isfolder(spark, path: str) -> bool:
     return where.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
-NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "rdf_xml", "chunk_nodes", "chunk_node_ids", "soft_clusters", "stream_task_state", "stream_windows")
+NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "soft_clusters", "stream_task_state", "stream_windows")
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 ORACLE = {
     "html_sections": r"""WITH b AS (SELECT page_id, regexp_extract_all(html, '(?is)(<(?:h[1-6]|p|li|td|title)\b[^>]*>.*?</(?:h[1-6]|p|li|td|title)>)', 1) AS blocks FROM pages),
@@ -178,6 +214,9 @@ ORACLE = {
         unnest([NULL, NULL, 'a "b" ' || c_name]) AS value, unnest([NULL, NULL, 'en']) AS lang FROM customer""",
     "jsonld_parse": """SELECT 'http://example.org/s' || s_suppkey AS s, unnest(['http://www.w3.org/1999/02/22-rdf-syntax-ns#type', 'http://example.org/name', 'http://example.org/nation']) AS p,
         unnest(['http://example.org/Supplier', NULL, NULL]) AS o, unnest([NULL, s_name, s_nationkey::VARCHAR]) AS value, unnest([NULL, 'http://www.w3.org/2001/XMLSchema#string', 'http://www.w3.org/2001/XMLSchema#integer']) AS datatype FROM supplier""",
+    "trix_parse": """SELECT 'http://example.org/n' || c_nationkey AS graph, 'http://example.org/c' || c_custkey AS s, 'http://example.org/' || unnest(['in', 'name', 'key']) AS p, unnest(['http://example.org/s' || c_mktsegment, NULL, NULL]) AS o,
+        unnest([NULL, c_name || ' & <co>', c_custkey::VARCHAR]) AS value, unnest([NULL, 'en', NULL]) AS lang, unnest([NULL, NULL, 'http://www.w3.org/2001/XMLSchema#integer']) AS datatype FROM customer""",
+    "article_split": r"SELECT doc_id AS identifier, 'On ' || lang AS title, md5(trim(regexp_replace(regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'))) AS text_md5 FROM documents",
     "rdf_xml": """SELECT '<rdf:Description rdf:about="n:' || n_nationkey || '">' || chr(10) || '  <ex:broader rdf:resource="r:' || n_regionkey || '"/>' || chr(10) || '  <ex:name>' || n_name || '</ex:name>' || chr(10) || '</rdf:Description>' AS value FROM nation""",
     "stream_task_state": """WITH t AS (SELECT user_id::VARCHAR AS name, ((length(event_type) + event_id) % 5)::SMALLINT AS state, ts AS timestamp, event_id AS version FROM events),
         n AS (SELECT *, state = 1 AND timestamp + INTERVAL 2 DAY <= (SELECT max(timestamp) FROM t) AS timed_out FROM t QUALIFY row_number() OVER (PARTITION BY name ORDER BY timestamp DESC, version DESC) = 1)

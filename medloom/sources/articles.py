@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medloom.functions import text as S
+from medloom.sources.split import SPLIT
+from medloom.sources.split import records as records_in
 
 #: Shape of the files: elements as fields, attributes with an underscore; a mixed element is declared as text.
 SCHEMA = """
@@ -34,9 +36,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("origin", F.input_file_name())
 
 
-def parse(rows: DataFrame, xml: str, origin: str = "") -> DataFrame:
+def parse(rows: DataFrame, xml: str, origin: Column | str = "") -> DataFrame:
     """Articles of a column that holds one each."""
-    return rows.select(F.from_xml(xml, SCHEMA, {"rowTag": "PubmedArticle"}).alias("a")).select("a.*", F.lit(origin).alias("origin"))
+    origin = F.lit(origin) if isinstance(origin, str) else origin
+    return rows.select(F.from_xml(xml, SCHEMA, {"rowTag": "PubmedArticle"}).alias("a"), origin.alias("origin")).select("a.*", "origin")
+
+
+def read_split(spark: SparkSession, path: str, split: int = SPLIT) -> DataFrame:
+    """As ``read``, but large files are read by several tasks, gzipped ones too if they have several members."""
+    return parse(records_in(spark, path, r"<PubmedArticle[\s>]", "</PubmedArticle>", split=split), "record", F.col("file"))
 
 
 def _date(prefix: str) -> Column:

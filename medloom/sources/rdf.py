@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medloom.sources.split import SPLIT, records
+
 SCHEMA = "graph string, uri string, s string, p string, o string, lit struct<value:string,lang:string,datatype:string>"
 TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 STRING = "http://www.w3.org/2001/XMLSchema#string"
@@ -267,4 +269,24 @@ def _whole(parse):
     return load
 
 
-turtle, trix, jsonld = _whole(parse_turtle), _whole(parse_trix), _whole(parse_jsonld)
+turtle, trix_zipped, jsonld = _whole(parse_turtle), _whole(parse_trix), _whole(parse_jsonld)
+
+
+def trix(spark: SparkSession, path: str, split: int = SPLIT) -> DataFrame:
+    """Triples of plain or gzipped files, of which large ones are read by several tasks; the graph of a triple is the uri
+    that its graph begins with.  A zipped file is one task's work."""
+    if path.endswith(".zip"):
+        return trix_zipped(spark, path)
+    graph = r"<(?:\w+:)?graph\b[^>]*>\s*(?:<(?:\w+:)?uri>([^<]*)</(?:\w+:)?uri>)?"
+    found = records(spark, path, r"<(?:\w+:)?triple\b", "triple>", graph, split)
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for graph, record in zip(batch.column("context").to_pylist(), batch.column("record").to_pylist(), strict=True):
+                bare = re.sub(r"(</?)\w+:(?=\w+[\s>/])", r"\1", record)
+                own = f"<TriX><graph><uri>{graph or ''}</uri>{bare}</graph></TriX>"
+                rows += named_triples(parse_trix(own))
+            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+
+    return found.select("context", "record").mapInArrow(run, SCHEMA)

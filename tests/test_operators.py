@@ -12,6 +12,7 @@ from medloom import schema
 from medloom.functions import text as S
 from medloom.operators import citations, clusters, graph, nodes, registry, reshape, tasks, triples, vectors
 from medloom.sinks import tables
+from medloom.sinks.keyed import KeyedTable
 from medloom.sources import articles, files, jats, rdf
 
 
@@ -37,13 +38,13 @@ def test_upsert_twice_is_once(spark, tmp_path):
     new = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, None, 1)], "k int, v string, n int")
     for _ in range(2):
         tables.keyed(path, ["k"], ["n"])(new)
-        assert rows(spark.read.parquet(path)) == [(1, "b", 2), (2, None, 1)]
+        assert rows(KeyedTable(spark, path).read()) == [(1, "b", 2), (2, None, 1)]
     tables.keyed(path, ["k"])(spark.createDataFrame([(2, "z", 0), (3, "y", 0)], "k int, v string, n int"))
-    assert rows(spark.read.parquet(path)) == [(1, "b", 2), (2, "z", 0), (3, "y", 0)]
+    assert rows(KeyedTable(spark, path).read()) == [(1, "b", 2), (2, "z", 0), (3, "y", 0)]
     tables.insert_missing(path, ["k"])(spark.createDataFrame([(3, "no", 9), (4, "w", 9)], "k int, v string, n int"))
-    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == {1: "b", 2: "z", 3: "y", 4: "w"}
+    assert {r["k"]: r["v"] for r in KeyedTable(spark, path).read().collect()} == {1: "b", 2: "z", 3: "y", 4: "w"}
     tables.replace_keys(path, ["k"])(spark.createDataFrame([(4, "p", 1), (4, "q", 2)], "k int, v string, n int"))
-    assert spark.read.parquet(path).where("k = 4").count() == 2 and spark.read.parquet(path).count() == 5
+    assert KeyedTable(spark, path).read().where("k = 4").count() == 2 and KeyedTable(spark, path).read().count() == 5
 
 
 def test_tee_and_counts(spark, tmp_path):
@@ -63,7 +64,7 @@ def test_declared_table(spark, tmp_path):
     out = schema.TASKS.project(df)
     assert out.columns == ["name", "state", "job", "timestamp"] and rows(out) == [("x" * 60, 2, "job", None)]
     tables.declared(schema.TASKS, str(tmp_path / "t"))(df)
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+    assert KeyedTable(spark, str(tmp_path / "t")).read().count() == 1
 
 
 def test_states(spark):
