@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from medloom.operators import paging
 from medloom.operators import tasks as T
+from medloom.plans.source_queries import folder
 from medloom.session import table
 
 LINE = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -105,9 +107,23 @@ def vector_log_batch(spark, sf_dir):
 
 
 def page_of_table(spark, sf_dir):
-    """The third page of 1000 (the page is the operator's)."""
+    """The third page of 1000 (the page is the operator's), read by its range of the key."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return T.page(o, ["o_orderkey"], 1000, 2)
+    return paging.pages(o, ["o_orderkey"], folder(spark, "pages"), 1000).page(2)
+
+
+def pages_of_table(spark, sf_dir):
+    """All pages of 1000 by a key of two columns: their first keys and their numbers of rows."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    return paging.pages(o, ["o_custkey", "o_orderkey"], folder(spark, "pages"), 1000).checked()
+
+
+def id_partitions(spark, sf_dir):
+    """Orders in partitions of 500 ids, each one group's work: a digest of its ids, in order."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    parts = paging.partitions(o, ["o_orderkey"], folder(spark, "ids"), 500)
+    ids = F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: x.cast("string")), ",")
+    return parts.groupBy("partition").agg(F.count("*").alias("n"), F.md5(ids).alias("ids_md5"))
 
 
 _T = "t AS (SELECT user_id::VARCHAR AS name, ((length(event_type) + event_id) % 5)::SMALLINT AS state, ts AS timestamp, event_id FROM events)"
@@ -135,6 +151,8 @@ ORACLE = {
     "link_location_update": f"WITH {_L}, m AS (SELECT pmc, max(pubmed)::VARCHAR AS location FROM la GROUP BY 1) SELECT 'PMC' || c_custkey AS pmc, coalesce(location, 'none') AS location FROM customer LEFT JOIN m ON pmc = 'PMC' || c_custkey",
     "vector_log_pending": f"WITH {_PEND} SELECT * FROM p",
     "vector_log_batch": f"WITH {_PEND} SELECT * FROM p WHERE status <> 2 ORDER BY o_orderkey",
+    "pages_of_table": "SELECT page, count(*) AS n, min_by(o_custkey, r) AS o_custkey, min_by(o_orderkey, r) AS o_orderkey FROM (SELECT *, row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS r, (row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1) // 1000 AS page FROM orders) GROUP BY 1",
+    "id_partitions": "SELECT partition, count(*) AS n, md5(string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey)) AS ids_md5 FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS partition FROM orders) GROUP BY 1",
     "page_of_table": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 2000",
 }
 QUERIES = {k: globals()[k] for k in ORACLE}
