@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from medloom.operators import clusters, nodes
 from medloom.operators import reshape as X
-from medloom.plans.text_queries import WORDS
+from medloom.plans.text_queries import sentence_chunks
 from medloom.session import table
 from medloom.sinks.keyed import KeyedTable
 from medloom.sinks.tables import as_xml, put_objects
@@ -157,6 +157,33 @@ def chunk_node_ids(spark, sf_dir):
     return chunk_nodes(spark, sf_dir).drop("terms")
 
 
+def _marked(text: str):
+    """No vector for a text with a certain word, as a service that fails would have it."""
+    return None if "the" in text.split() and "and" in text.split() and len(text) % 7 == 0 else nodes.hashed_vector(text)
+
+
+def _child_results(spark, sf_dir):
+    """Documents as records: some with a bad abstract, without a location, without a full text, or with an empty one."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), "text")
+    records = d.select("record_id", (F.col("record_id") % 11 != 0).alias("abstract_ok"))
+    locations = d.where("record_id % 7 <> 0").select("record_id", F.concat(F.lit("at/"), "record_id").alias("location"))
+    sections = d.where("record_id % 5 <> 0").select("record_id", F.lit("1").alias("head"), F.when(F.col("record_id") % 13 == 0, F.lit(" ")).otherwise(F.col("text")).alias("section_text"))
+    index, results = folder(spark, "nodes"), folder(spark, "results")
+    counts = nodes.ingest_children(records, locations, sections, index, results, dense=_marked)
+    return spark.read.schema("record_id bigint, code smallint, n_nodes bigint").parquet(results), counts
+
+
+def child_results(spark, sf_dir):
+    """The outcome of each record's full text."""
+    return _child_results(spark, sf_dir)[0]
+
+
+def child_counters(spark, sf_dir):
+    """How many records came to each code, as counted while results were written."""
+    counts = _child_results(spark, sf_dir)[1]
+    return spark.createDataFrame([(k, counts[k]) for k in ("records", "nodes", *nodes.CODES)], "name string, n bigint")
+
+
 def soft_clusters(spark, sf_dir):
     """Embeddings by label, a thousand ids at a time, as documents' sections: some 50 to 100 rows each."""
     e = table(spark, sf_dir, "embeddings").select(F.col("label").cast("bigint").alias("doc"), F.floor(F.col("vec_id") / 1000).cast("string").alias("section"), F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.lit(300).alias("tokens"))
@@ -195,7 +222,10 @@ def _isfolder(spark, path: str) -> bool:
     return where.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
 
 
-NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "soft_clusters", "stream_task_state", "stream_windows")
+_CHILD = f"""{sentence_chunks("record_id", "(SELECT doc_id AS record_id, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE text END AS text FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 11 <> 0)", 512, 30)},
+    made AS (SELECT record_id, count(*) AS n, count(*) FILTER (length(chunk) % 7 = 0 AND list_contains(string_split(chunk, ' '), 'the') AND list_contains(string_split(chunk, ' '), 'and')) AS bad FROM chunk GROUP BY 1),
+    coded AS (SELECT doc_id AS record_id, CASE WHEN doc_id % 11 = 0 THEN -4 WHEN doc_id % 7 = 0 THEN -3 WHEN doc_id % 5 = 0 THEN -2 WHEN n IS NULL THEN -5 WHEN bad > 0 THEN -6 ELSE 1 END::SMALLINT AS code, coalesce(n, 0) AS n_nodes FROM documents LEFT JOIN made ON record_id = doc_id)"""
+NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "child_results", "child_counters", "soft_clusters", "stream_task_state", "stream_windows")
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 ORACLE = {
     "html_sections": r"""WITH b AS (SELECT page_id, regexp_extract_all(html, '(?is)(<(?:h[1-6]|p|li|td|title)\b[^>]*>.*?</(?:h[1-6]|p|li|td|title)>)', 1) AS blocks FROM pages),
@@ -204,8 +234,10 @@ ORACLE = {
     "article_xml": "SELECT doc_id AS identifier, 2020 AS year, '2020-03-01' AS published, 1 AS abstracts, '10.1000/' || doc_id AS doi FROM documents",
     "turtle_parse": """SELECT 'http://example.org/n' || n_nationkey AS s, unnest(['http://www.w3.org/1999/02/22-rdf-syntax-ns#type', 'http://example.org/name', 'http://example.org/region']) AS p,
         unnest(['http://example.org/Nation', NULL, 'http://example.org/r' || n_regionkey]) AS o, unnest([NULL, n_name, NULL]) AS value, unnest([NULL, 'en', NULL]) AS lang FROM nation""",
-    "chunk_node_ids": f"""WITH w AS (SELECT doc_id + 1 AS k, {WORDS} AS w FROM documents WHERE doc_id + 1 > 0 AND length(trim(text)) > 0), s AS (SELECT k, w, unnest(range(0, greatest(0, ceil((len(w) - 50) / 974.0)::BIGINT - 1) + 1)) AS position FROM w WHERE len(w) > 0)
-        SELECT sha256('parent|' || k || '|' || position) AS node_id, k AS record_id, md5(array_to_string(w[position * 974 + 1 : position * 974 + 1024], ' ')) AS text_md5, 64 AS dims FROM s""",
+    "chunk_node_ids": f"""WITH RECURSIVE {sentence_chunks("k", "(SELECT doc_id + 1 AS k, text FROM documents WHERE doc_id + 1 > 0 AND length(trim(text)) > 0)", 1024, 50)}
+        SELECT sha256('parent|' || k || '|' || position) AS node_id, k AS record_id, md5(chunk) AS text_md5, 64 AS dims FROM chunk""",
+    "child_results": f"WITH RECURSIVE {_CHILD} SELECT record_id, code, n_nodes FROM coded",
+    "child_counters": f"WITH RECURSIVE {_CHILD} SELECT 'records' AS name, count(*) AS n FROM coded UNION ALL SELECT 'nodes', sum(n_nodes)::BIGINT FROM coded UNION ALL SELECT name, count(record_id) FROM (VALUES {', '.join(f"('{k}', {v})" for k, v in nodes.CODES.items())}) c(name, code) LEFT JOIN coded USING (code) GROUP BY 1",
     "jats_sections": r"""WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g'), chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
         SELECT 'PMC' || doc_id AS pmcid, '2' AS head, md5(string_agg(trim(regexp_replace(x, '\s+', ' ', 'g')), '' ORDER BY i)) AS text_md5 FROM p GROUP BY doc_id""",
     "turtle_blank": """SELECT unnest(['http://example.org/n' || n_nationkey, 'http://example.org/n' || n_nationkey, '_:anon1', '_:anon1', '_:anon2']) AS s, 'http://example.org/' || unnest(['place', 'place', 'name', 'in', 'region']) AS p,

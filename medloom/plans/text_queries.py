@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from medloom.functions import text as S
 from medloom.operators import reshape as X
+from medloom.operators import sentences
 from medloom.operators.tasks import STATES
 from medloom.session import table
 
@@ -123,6 +124,12 @@ def chunk_words(spark, sf_dir):
     return d.select("doc_id", "w.position", F.md5("w.chunk").alias("chunk_md5"))
 
 
+def chunk_sentences(spark, sf_dir):
+    """Documents in chunks of whole sentences, of at most 512 words and an overlap of at most 30."""
+    made = sentences.chunked(table(spark, sf_dir, "documents"), "text", ["doc_id"], 512, 30)
+    return made.select("doc_id", "position", F.md5("chunk").alias("chunk_md5"))
+
+
 def section_group(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", F.concat_ws(".", F.col("l_suppkey") % 2, F.col("l_linenumber"), F.col("l_partkey")).alias("section"), F.concat("l_returnflag", "l_linestatus").alias("t"))
     return X.grouped_sections(li.distinct(), "l_orderkey", "section", "t", 2)
@@ -139,6 +146,20 @@ _MAIL = r"[A-Za-z0-9!#$%&''*+/=?^_`{|}~.-]+@[A-Za-z0-9!#$%&''*+/=?^_`{|}~-]+(?:\
 _RAWDOI = "CASE WHEN doc_id % 3 = 0 THEN 'https://doi.org/10.1000%2Fx' || doc_id WHEN doc_id % 3 = 1 THEN 'doi: 10.1000 /x' || doc_id ELSE 'none' END"
 _MONTHS = "mo AS (SELECT unnest(['january','february','march','april','may','june','july','august','september','october','november','december']) AS m, unnest(range(0, 12))::INTEGER AS k), pre AS (SELECT p, min(k) AS k FROM (SELECT m[1:n] AS p, k FROM mo, (SELECT unnest(range(1, 10)) AS n) WHERE n <= length(m)) GROUP BY p HAVING count(*) = 1)"
 _URI = "CASE WHEN doc_id % 3 = 0 THEN 'http://example.org/src/' || doc_id WHEN doc_id % 3 = 1 THEN 'http://example.org/' || source ELSE 'urn:' || doc_id END"
+def sentence_chunks(key, source, size, overlap, text="text"):
+    """Chunks of whole sentences as common table expressions; ``chunk`` has key, position and chunk."""
+    listed = ", ".join(f"'{a}'" for a in sentences.ABBREVIATIONS)
+    opening, closing, initial, quotes = (x.replace("'", "''") for x in (sentences.OPENING, sentences.CLOSING, sentences.INITIAL, sentences.QUOTES))
+    return f"""sw AS (SELECT {key}, {WORDS.replace("text", text)} AS w FROM {source}),
+        se AS (SELECT {key}, w, list_filter(range(0, len(w)), lambda i: i = len(w) - 1 OR (regexp_matches(w[i + 1], '{closing}') AND NOT list_contains([{listed}], lower(regexp_replace(w[i + 1], '{quotes}', '')))
+            AND NOT regexp_matches(w[i + 1], '{initial}') AND regexp_matches(w[i + 2], '{opening}'))) AS ends FROM sw WHERE len(w) > 0),
+        sc AS (SELECT {key}, 0 AS position, 0::BIGINT AS f, coalesce(list_max(list_filter(ends, lambda y: y < {size})), ends[1]) AS l FROM se
+            UNION ALL SELECT {key}, position + 1, f, coalesce(list_max(list_filter(ends, lambda y: y >= x AND y - f < {size})), x) FROM (
+                SELECT {key}, position, ends, x, coalesce(list_min(list_filter(ends, lambda y: y >= c.f AND y < c.l AND c.l - y <= {overlap} AND x - y <= {size})), c.l) + 1 AS f
+                FROM (SELECT sc.*, ends, list_min(list_filter(ends, lambda y: y > sc.l)) AS x FROM sc JOIN se USING ({key}) WHERE sc.l < len(w) - 1) c)),
+        chunk AS (SELECT {key}, position::INTEGER AS position, array_to_string(w[f + 1 : l + 1], ' ') AS chunk FROM sc JOIN se USING ({key}))"""
+
+
 WORDS = r"list_filter(string_split_regex(text, '[ \t\n\x0b\f\r]+'), lambda x: x <> '')"
 
 ORACLE = {
@@ -169,6 +190,7 @@ ORACLE = {
     "link_pairs": "SELECT o_orderkey, o_orderkey::VARCHAR AS source, o_custkey::VARCHAR AS target FROM orders WHERE o_orderstatus = 'F'",
     "chunk_words": f"""WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents), s AS (SELECT doc_id, w, unnest(range(0, greatest(0, ceil((len(w) - 30) / 482.0)::BIGINT - 1) + 1)) AS position FROM w WHERE len(w) > 0)
         SELECT doc_id, position::INTEGER AS position, md5(array_to_string(w[position * 482 + 1 : position * 482 + 512], ' ')) AS chunk_md5 FROM s""",
+    "chunk_sentences": f"WITH RECURSIVE {sentence_chunks('doc_id', 'documents', 512, 30)} SELECT doc_id, position, md5(chunk) AS chunk_md5 FROM chunk",
     "section_group": """WITH x AS (SELECT DISTINCT l_orderkey, l_suppkey % 2 AS a, l_linenumber AS b, l_partkey AS c, l_returnflag || l_linestatus AS t FROM lineitem)
         SELECT l_orderkey, a || '.' || b AS head, string_agg(t, '' ORDER BY c, t) AS section_text FROM x GROUP BY l_orderkey, a, b""",
     "daily_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2",
