@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import math
+import heapq
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits that a pair has to share in its prefixes at most, and tokens that a fingerprint may give for that.
-TOGETHER, TOKENS = 3, 400
+from medloom.operators.triples import settled
+
 #: Queries that are sent to every task at most.
 FEW = 2048
 
@@ -71,68 +75,94 @@ def members(prints: DataFrame) -> DataFrame:
     return prints.join(prints.groupBy("fp").agg(F.min("id").alias("least")), "fp").select("id", "least")
 
 
-def _least_of(n: Column, least: float) -> Column:
-    """Bits that a fingerprint of ``n`` bits shares with any that is similar enough, at least."""
-    return F.ceil(n * least - 1e-9).cast("int")
+def _bits(fp: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and number of every bit that is set, in the order of rows."""
+    size = pc.fill_null(pc.list_value_length(fp), 0).to_numpy(zero_copy_only=False)
+    flat = fp.flatten().to_numpy(zero_copy_only=False).astype("<i8").view(np.uint8).reshape(-1, 8)
+    word, bit = np.nonzero(np.unpackbits(flat, axis=1, bitorder="little"))
+    row = np.repeat(np.arange(len(fp)), size)
+    first = np.repeat(np.cumsum(size) - size, size)
+    return row[word], 64 * (word - first[word]) + bit
+
+
+def _parts(n: int, least: float) -> int:
+    """Into how many parts the bits fall where the larger fingerprint has ``n``: one more than can differ."""
+    return int(2 * n * (1 - least) / (1 + least) + 1e-9) + 1
 
 
-def _level(n: Column, least: float) -> Column:
-    """How many bits of its prefix a fingerprint of ``n`` bits is looked up by: as many, up to ``TOGETHER``, as it shares
-    with every similar one and as give no more than ``TOKENS`` tokens."""
-    out = F.lit(1)
-    for k in range(2, TOGETHER + 1):
-        longest = next(p for p in range(k, 10_000) if math.comb(p + 1, k) > TOKENS)
-        fits = (_least_of(n, least) >= k) & (n - _least_of(n, least) + k <= longest)
-        out = F.when(fits, F.lit(k)).otherwise(out)
+def _dealt(seen: dict[int, int], parts: int) -> np.ndarray:
+    """The part of every bit, such that parts have about as many set bits: the most frequent first, to the part that has
+    least."""
+    out, heap = np.zeros(max(seen, default=0) + 1, np.int64), [(0, p) for p in range(parts)]
+    for bit in sorted(seen, key=lambda b: (-seen[b], b)):
+        load, part = heapq.heappop(heap)
+        out[bit] = part
+        heapq.heappush(heap, (load + seen[bit], part))
     return out
 
 
-def _groups(prefix: Column, size: int) -> Column:
-    """All groups of ``size`` bits of a prefix, in its order."""
-    groups = F.transform(F.sequence(F.lit(0), F.size(prefix) - 1), lambda i: F.array(i))
-    behind = lambda g: F.filter(F.sequence(F.lit(0), F.size(prefix) - 1), lambda j: j > F.element_at(g, -1))
-    for _ in range(size - 1):
-        groups = F.flatten(F.transform(groups, lambda g: F.transform(behind(g), lambda j: F.concat(g, F.array(j)))))
-    return F.transform(groups, lambda g: F.transform(g, lambda i: F.get(prefix, i)))
-
-
-def tokens(prints: DataFrame, least: float) -> DataFrame:
-    """id, n, level, prefix and key of every fingerprint that has a bit: what similar ones meet by.
-
-    Bits are ordered from the rarest on.  Two sets that share at least o bits share k of the first |set| - o + k bits of
-    each; o follows from the threshold and a fingerprint's own size, so the keys are the groups of k bits of that prefix.
-    k falls with the size, and a pair meets by the k of its larger member: a fingerprint gives the groups of each k that
-    a similar one of its size or more may have."""
-    listed = prints.select("id", bits_of(F.col("fp")).alias("bits")).where(F.size("bits") > 0)
-    # one number for each bit of the width
-    seen = {r["bit"]: r["n"] for r in listed.select(F.explode("bits").alias("bit")).groupBy("bit").agg(F.count("*").alias("n")).collect()}
-    count = F.split(F.lit(",".join(str(seen.get(k, 0)) for k in range(max(seen, default=0) + 1))), ",").cast("array<bigint>")
-    rare = F.transform(F.array_sort(F.transform("bits", lambda b: F.struct(F.get(count, b).alias("n"), b.alias("b")))), lambda x: x["b"])
-    sized = listed.select("id", F.size("bits").alias("n"), rare.alias("rare"))
-    levels = F.array_distinct(F.transform(F.sequence(F.col("n"), F.floor(F.col("n") / least + 1e-9).cast("int")), lambda x: _level(x, least)))
-    each = sized.select("id", "n", "rare", F.explode(levels).alias("level"))
-    # a smaller set than the level has fewer bits than a pair of that level shares
-    each = each.where(F.col("n") >= F.col("level")).select("id", "n", "level", F.slice("rare", F.lit(1), F.least(F.col("n"), F.col("n") - _least_of(F.col("n"), least) + F.col("level"))).alias("prefix"))
-    groups = F.lit(None).cast("array<array<int>>")
-    for k in range(1, TOGETHER + 1):
-        groups = F.when(F.col("level") == k, _groups(F.col("prefix"), k)).otherwise(groups)
-    return each.select("id", "n", "level", "prefix", F.explode(groups).alias("group")).withColumn("key", F.xxhash64("level", "group")).drop("group")
+def bit_counts(prints: DataFrame) -> dict[int, int]:
+    """How many fingerprints have each bit: one number for each bit of the width."""
+
+    def run(batches):
+        for batch in batches:
+            many = np.bincount(_bits(batch.column("fp"))[1])
+            some = np.flatnonzero(many)
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(many[some].astype(np.int64))], names=["bit", "n"])
+
+    return {r["bit"]: r["n"] for r in prints.select("fp").mapInArrow(run, "bit int, n bigint").groupBy("bit").agg(F.sum("n").alias("n")).collect()}
+
+
+def signatures(prints: DataFrame, least: float) -> DataFrame:
+    """key, id, n and parts of every fingerprint that has a bit: what similar ones meet by.
+
+    Two sets with a similarity of ``least`` differ in at most d = (|a| + |b|) (1 - least) / (1 + least) bits, so if all bits
+    are dealt to d + 1 parts, the sets are the same in one of them: the keys are the contents of the parts.  d follows
+    from the larger set: a fingerprint gives the keys of each number of parts that a similar one of its size or more may
+    ask for.  Bits are dealt so that each part has about as many that are set."""
+    kind = prints.schema["id"].dataType.simpleString()
+    seen = bit_counts(prints)
+    dealt: dict[int, np.ndarray] = {}
+
+    def run(batches):
+        mark = np.array([xxhash.xxh64_intdigest(b.to_bytes(4, "little")) for b in range(max(seen, default=0) + 1)], np.uint64)
+        for batch in batches:
+            row, bit = _bits(batch.column("fp"))
+            n = np.bincount(row, minlength=len(batch))
+            lists: dict[int, list[int]] = {}
+            for size in np.unique(n[n > 0]).tolist():
+                for k in {_parts(m, least) for m in range(size, int(size / least + 1e-9) + 1)}:
+                    lists.setdefault(k, []).append(size)
+            for k, sizes in lists.items():
+                if k not in dealt:
+                    dealt[k] = _dealt(seen, k)
+                own = np.isin(n, sizes)
+                rows = np.flatnonzero(own)
+                place = np.cumsum(own) - 1
+                mine = own[row]
+                content = np.zeros(len(rows) * k, np.uint64)
+                np.add.at(content, place[row[mine]] * k + dealt[k][bit[mine]], mark[bit[mine]])
+                salt = np.array([xxhash.xxh64_intdigest(b"%d,%d" % (k, p)) for p in range(k)], np.uint64)
+                key = (content.reshape(-1, k) ^ salt) * np.uint64(0x9E3779B97F4A7C15)
+                at = np.repeat(rows, k)
+                yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), batch.column("id").take(pa.array(at)), pa.array(n[at].astype(np.int32)), pa.array(np.full(len(at), k, np.int32))], names=["key", "id", "n", "parts"])
+
+    return prints.select("id", "fp").mapInArrow(run, f"key bigint, id {kind}, n int, parts int")
 
 
 def links(prints: DataFrame, least: float) -> DataFrame:
-    """All fingerprints (id, fp) against all, itself included: query_id, id, similarity of those from ``least`` (over 0) on, once
-    per ordered pair of distinct fingerprints; those without a bit are like none.
+    """All fingerprints (id, fp) against all, itself included: query_id, id, similarity of those from ``least`` (over 0)
+    on, once per ordered pair of distinct fingerprints; those without a bit are like none.
 
     An end is the least id of its fingerprint (``members`` has the others), so copies do not multiply links.  Candidates
-    share a group of their rarest bits (``tokens``) and are compared where their first common group is the key that they
-    meet by, so each pair comes once; sizes that rule the threshold out are left first.  Similarities are exact."""
-    one = prints.groupBy("fp").agg(F.min("id").alias("id")).select("id", "fp")
-    given = tokens(one, least)
-    a, b = (given.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "level", "prefix")]) for x in "ab")
+    have the same bits in one part (``signatures``) and sizes that allow the threshold; similarities are exact."""
+    one = settled(prints.groupBy("fp").agg(F.min("id").alias("id")).select("id", "fp"))
+    given = signatures(one, least)
+    a, b = (given.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("id", "n", "parts")]) for x in "ab")
     low, high = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    met = a.join(b, "key").where((F.col("a_id") < F.col("b_id")) & (F.col("a_level") == F.col("b_level")) & (low >= _least_of(high, least)) & (F.col("a_level") == _level(high, least)))
-    first = F.slice(F.array_intersect("a_prefix", "b_prefix"), F.lit(1), F.col("a_level"))
-    met = met.where(F.xxhash64("a_level", first) == F.col("key")).select("a_id", "b_id")
+    asked = F.floor(2 * high * (1 - least) / (1 + least) + 1e-9) + 1
+    near = (F.col("a_id") < F.col("b_id")) & (F.col("a_parts") == F.col("b_parts")) & (low >= high * least - 1e-9) & (F.col("a_parts") == asked)
+    met = a.join(b, "key").where(near).select("a_id", "b_id").distinct()
     full = met.join(one.select(F.col("id").alias("a_id"), F.col("fp").alias("a_fp")), "a_id").join(one.select(F.col("id").alias("b_id"), F.col("fp").alias("b_fp")), "b_id")
     found = full.withColumn("score", tanimoto(F.col("a_fp"), F.col("b_fp"))).where(F.col("score") >= least).select("a_id", "b_id", F.round("score", 6).alias("similarity"))
     both = found.select(F.explode(F.array(F.struct(F.col("a_id").alias("query_id"), F.col("b_id").alias("id")), F.struct(F.col("b_id").alias("query_id"), F.col("a_id").alias("id")))).alias("p"), "similarity").select("p.*", "similarity")

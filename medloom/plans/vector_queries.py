@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -137,9 +139,20 @@ def compound_prints(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey").join(v.agg(F.count("*").alias("n")))
     parts = parts.select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % F.col("n")).alias("family"), F.expr("p_partkey div n").alias("k"))
     both = parts.join(v.select(F.col("id").alias("family"), "v"), "family")
-    turned = lambda x, i: F.when((F.col("k") > 0) & ((i + F.col("k") * 5) % 16 == 0), -x.cast("double")).otherwise(x.cast("double"))
-    level = lambda x, i: (i * 16 + F.least(F.lit(15), F.greatest(F.lit(0), F.floor((turned(x, i) + 0.4) / 0.05)))).cast("int")
-    return both.select("id", P.words_of(F.transform("v", level), COMPOUND_BITS).alias("fp"))
+
+    def run(batches):
+        for batch in batches:
+            size = np.asarray(batch.column("v").value_lengths())
+            x = batch.column("v").flatten().to_numpy().astype(np.float64)
+            row = np.repeat(np.arange(len(batch)), size)
+            i = np.arange(len(x)) - np.repeat(np.cumsum(size) - size, size)
+            k = batch.column("k").to_numpy()[row]
+            bit = 16 * i + np.clip(np.floor((np.where((k > 0) & ((i + 5 * k) % 16 == 0), -x, x) + 0.4) / 0.05), 0, 15).astype(np.int64)
+            words = np.zeros((len(batch), COMPOUND_BITS // 64), np.uint64)
+            np.bitwise_or.at(words, (row, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(np.arange(len(batch) + 1, dtype=np.int32) * words.shape[1], pa.array(words.view(np.int64).reshape(-1)))], names=["id", "fp"])
+
+    return both.select("id", "k", "v").mapInArrow(run, "id bigint, fp array<bigint>")
 
 
 def tanimoto_members(spark, sf_dir):
