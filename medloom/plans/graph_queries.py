@@ -74,7 +74,8 @@ def _similar(spark, sf_dir):
     return tanimoto_links(spark, sf_dir).where("query_id <> id").select(F.lit("similar_to").alias("type"), name("query_id").alias("src"), name("id").alias("dst"), "similarity")
 
 
-def _graph(spark, sf_dir):
+def _graph(spark, sf_dir, similar=True):
+    """Vertices and edges; the similarity join is left out where it is not asked for."""
     c = G.stringify(_parts(spark, sf_dir).select("p_partkey", F.col("p_name").alias("molecule_name"), F.col("p_brand").alias("chembl_id"), F.col("p_type").alias("molecule_type")))
     t = G.stringify(table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"), "left").select("s_suppkey", F.col("s_name").alias("target_name"), F.col("n_name").alias("organism")))
     cv, ce = G.attribute_graph(c, "p_partkey", "compound_details", ["molecule_name", "chembl_id", "molecule_type"], suffix="_compound")
@@ -99,7 +100,8 @@ def _graph(spark, sf_dir):
     edges = ce.unionByName(te).unionByName(me).unionByName(ie)
     mechanism, indication = F.concat("uid", F.lit("_mechanism")), F.concat("uid", F.lit("_indication"))
     edges = edges.unionByName(G.link_edges(m, "compound_of", compound, mechanism)).unionByName(G.link_edges(m, "target_of", target, mechanism)).unionByName(G.link_edges(i, "compound_of", compound, indication))
-    edges = edges.unionByName(_similar(spark, sf_dir).drop("similarity"))
+    if similar:
+        edges = edges.unionByName(_similar(spark, sf_dir).drop("similarity"))
     return vertices, edges.unionByName(G.link_edges(syn, "synonym_of", F.col("synonym"), F.concat(F.col("k"), F.lit("_compound"))))
 
 
@@ -110,7 +112,7 @@ def graph_similar_edges(spark, sf_dir):
 def match_similar_compounds(spark, sf_dir):
     """A value's compounds, and those that are similar to them."""
     _, e = _graph(spark, sf_dir)
-    c = G.hop(_start(spark, BRANDS), e, "has_parent").select(F.col("next").alias("id"))
+    c = _first(e, BRANDS, "has_parent").select(F.col("next").alias("id"))
     return G.hop(c, e, "similar_to").select(F.col("id").alias("compound"), F.col("next").alias("similar")).distinct()
 
 
@@ -118,7 +120,7 @@ BRANDS = [f"brand#{a}{b}" for a in range(1, 6) for b in range(1, 6)]
 
 
 def graph_vertices(spark, sf_dir):
-    return _graph(spark, sf_dir)[0]
+    return _graph(spark, sf_dir, similar=False)[0]
 
 
 def graph_edges(spark, sf_dir):
@@ -130,34 +132,36 @@ def graph_tag_counts(spark, sf_dir):
     return v.groupBy(F.col("tag").alias("name")).agg(F.count("*").alias("n")).unionByName(e.groupBy(F.col("type").alias("name")).agg(F.count("*").alias("n")))
 
 
-def _start(spark, values):
-    return spark.createDataFrame([(v,) for v in values], "id string")
+def _first(e, values, kind=None):
+    """Edges that begin at one of some values, as id and next; the values reach the tables that the edges are made of."""
+    found = e.where(F.col("src").isin(values))
+    return (found if kind is None else found.where(F.col("type") == kind)).select(F.col("src").alias("id"), F.col("dst").alias("next")).distinct()
 
 
 def match_details(spark, sf_dir):
     """From a value to its compounds, and on to all of their values."""
-    _, e = _graph(spark, sf_dir)
-    roots = G.hop(_start(spark, ["brand#13"]), e, "has_parent").select("id", F.col("next").alias("compound"))
+    _, e = _graph(spark, sf_dir, similar=False)
+    roots = _first(e, ["brand#13"], "has_parent").select("id", F.col("next").alias("compound"))
     return G.hop(roots.withColumnRenamed("id", "input").withColumnRenamed("compound", "id"), e, "has_parent", reverse=True).select("input", F.col("id").alias("compound"), F.col("next").alias("detail")).distinct()
 
 
 def match_synonyms(spark, sf_dir):
-    _, e = _graph(spark, sf_dir)
-    roots = G.hop(_start(spark, ["brand#13"]), e, "has_parent").select(F.col("next").alias("id"))
+    _, e = _graph(spark, sf_dir, similar=False)
+    roots = _first(e, ["brand#13"], "has_parent").select(F.col("next").alias("id"))
     return G.hop(roots, e, "synonym_of", reverse=True).select(F.col("id").alias("compound"), F.col("next").alias("synonym")).distinct()
 
 
 def match_indications(spark, sf_dir):
     """A value's compounds, and what they are of by edges of any type: mechanisms and indications."""
     _, e = _graph(spark, sf_dir)
-    one = G.hop(_start(spark, ["brand#22"]), e).select("id", F.col("next").alias("mid"))
+    one = _first(e, ["brand#22"]).select("id", F.col("next").alias("mid"))
     return G.hop(one.withColumnRenamed("id", "input").withColumnRenamed("mid", "id"), e).select("input", F.col("id").alias("mid"), F.col("next").alias("found")).distinct()
 
 
 def match_mechanism_targets(spark, sf_dir):
     """Value to compound, compound to mechanism, and against the edge to the target."""
-    _, e = _graph(spark, sf_dir)
-    c = G.hop(_start(spark, ["brand#13", "brand#22"]), e, "has_parent").select(F.col("next").alias("id"))
+    _, e = _graph(spark, sf_dir, similar=False)
+    c = _first(e, ["brand#13", "brand#22"], "has_parent").select(F.col("next").alias("id"))
     m = G.hop(c, e, "compound_of").select(F.col("id").alias("compound"), F.col("next").alias("id"))
     return G.hop(m, e, "target_of", reverse=True).select("compound", F.col("id").alias("mechanism"), F.col("next").alias("target")).distinct()
 
