@@ -16,31 +16,63 @@ def reduce(x: np.ndarray, dim: int) -> np.ndarray:
     return turned * np.where(sign == 0, 1, sign)
 
 
-def mixture(x: np.ndarray, k: int, turns: int = 60, floor: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Membership probabilities under k normal distributions of diagonal covariance, and the BIC; seeds are spread by
-    distance, so runs agree."""
-    n, d = x.shape
+def densities(x: np.ndarray, share: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
+    """Logarithms of each component's share times its density at every row, by Cholesky factors."""
+    low = np.linalg.cholesky(cov)
+    z = (x[None] - mean[:, None]) @ np.swapaxes(np.linalg.inv(low), 1, 2)
+    half = np.log(np.diagonal(low, axis1=1, axis2=2)).sum(axis=1)
+    return (np.log(share) - half - 0.5 * x.shape[1] * np.log(2 * np.pi))[None] - 0.5 * (z**2).sum(axis=2).T
+
+
+def _parts(x: np.ndarray, k: int, turns: int = 10) -> np.ndarray:
+    """Which of k parts every row begins in: the nearest of centres that are spread by distance, then moved to means."""
     centres = [int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())]
     gap = ((x - x[centres[0]]) ** 2).sum(axis=1)
     while len(centres) < k:
         centres.append(int(gap.argmax()))
         gap = np.minimum(gap, ((x - x[centres[-1]]) ** 2).sum(axis=1))
-    mean, var, share = x[centres].copy(), np.tile(x.var(axis=0) + floor, (k, 1)), np.full(k, 1 / k)
+    mean = x[centres].copy()
+    for _ in range(turns):
+        part = ((x[:, None] - mean) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.stack([x[part == j].mean(axis=0) if (part == j).any() else mean[j] for j in range(k)])
+        if (moved == mean).all():
+            break
+        mean = moved
+    return part
+
+
+def mixture(x: np.ndarray, k: int, turns: int = 60, floor: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Membership probabilities under k normal distributions of full covariance, and the BIC; there is no chance in it, so
+    runs agree.  Covariances have at least ``floor`` of the mean variance in every direction.
+
+    Of two beginnings the likelier end counts: parts of the rows as they are, and of the rows with equal variance in all
+    directions, where long clusters side by side come apart."""
+    ridge = (floor * float(x.var(axis=0).mean()) + 1e-12) * np.eye(x.shape[1])
+    starts = [_parts(x, k)]
+    if k > 1:
+        low = np.linalg.cholesky(np.atleast_2d(np.cov(x.T, bias=True)) + ridge)
+        starts.append(_parts(np.linalg.solve(low, (x - x.mean(axis=0)).T).T, k))
+    return min((_fitted(x, np.eye(k)[s], ridge, turns) for s in starts), key=lambda f: f[1])
+
+
+def _fitted(x: np.ndarray, p: np.ndarray, ridge: np.ndarray, turns: int) -> tuple[np.ndarray, float]:
+    (n, d), k = x.shape, p.shape[1]
     last = -np.inf
     for _ in range(turns):
-        log = np.log(share) - 0.5 * (np.log(2 * np.pi * var).sum(axis=1) + ((x[:, None, :] - mean) ** 2 / var).sum(axis=2))
+        weight = p.sum(axis=0) + 1e-10
+        mean = p.T @ x / weight[:, None]
+        off = x[None] - mean[:, None]
+        cov = np.swapaxes(off * p.T[:, :, None], 1, 2) @ off / weight[:, None, None] + ridge
+        log = densities(x, weight / weight.sum(), mean, cov)
         top = log.max(axis=1, keepdims=True)
         total = top[:, 0] + np.log(np.exp(log - top).sum(axis=1))
         p = np.exp(log - total[:, None])
-        weight = p.sum(axis=0) + 1e-12
-        mean = p.T @ x / weight[:, None]
-        var = np.maximum(p.T @ x**2 / weight[:, None] - mean**2, 0) + floor
-        share = weight / weight.sum()
         now = total.sum()
         if abs(now - last) < 1e-6 * max(1, abs(now)):
             break
         last = now
-    return p, (k - 1 + 2 * k * d) * np.log(n) - 2 * now
+    free = k - 1 + k * d + k * d * (d + 1) // 2
+    return p, free * np.log(n) - 2 * now
 
 
 def best_mixture(x: np.ndarray, most: int = 50) -> np.ndarray:
