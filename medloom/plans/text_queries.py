@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medloom.functions import text as S
+from medloom.operators import prefixes
 from medloom.operators import reshape as X
 from medloom.operators import sentences
 from medloom.operators.tasks import STATES
@@ -94,6 +95,13 @@ def prefix_encode(spark, sf_dir):
     return d.select("doc_id", S.prefix_encode(uri, PREFIXES).alias("name"))
 
 
+def prefix_longest(spark, sf_dir):
+    """Documents' addresses named by a table of namespaces: one for each customer key, some of which begin with others."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("http://example.org/"), "doc_id", F.lit("/x")).alias("uri"))
+    known = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("prefix"), F.concat(F.lit("http://example.org/"), "c_custkey").alias("namespace"))
+    return prefixes.encode(d, "uri", known).select("doc_id", "name")
+
+
 def prefix_decode(spark, sf_dir):
     return prefix_encode(spark, sf_dir).select("doc_id", S.prefix_decode("name", PREFIXES).alias("uri"))
 
@@ -181,6 +189,8 @@ ORACLE = {
     "suffix_filter": "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '.xml.gz' WHEN 1 THEN '.txt' WHEN 2 THEN '.tar.gz' WHEN 3 THEN '.md5' ELSE 'tmp' END AS suffix FROM part",
     "enum_ordinals": "SELECT event_id, CASE event_id % 6 WHEN 5 THEN NULL ELSE (event_id % 6)::INTEGER END AS state FROM events",
     "prefix_encode": f"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'exs:' || doc_id WHEN 1 THEN 'ex:' || source ELSE {_URI} END AS name FROM documents",
+    "prefix_longest": """WITH u AS (SELECT doc_id, 'http://example.org/' || doc_id || '/x' AS uri FROM documents), k AS (SELECT 'c' || c_custkey AS prefix, 'http://example.org/' || c_custkey AS head FROM customer)
+        SELECT doc_id, coalesce(prefix || ':' || substring(uri, length(head) + 1), uri) AS name FROM (SELECT doc_id, uri, prefix, head, row_number() OVER (PARTITION BY doc_id ORDER BY length(head) DESC NULLS LAST) AS r FROM u LEFT JOIN k ON starts_with(uri, head)) WHERE r = 1""",
     "prefix_decode": f"SELECT doc_id, {_URI} AS uri FROM documents",
     "explode_cartesian": """WITH x AS (SELECT p_partkey, string_split(p_name, ' ') AS a, string_split(p_type, ' ') AS b, p_size FROM part), y AS (SELECT p_partkey, unnest(a) AS a, b FROM x WHERE p_size > 10)
         SELECT p_partkey, a, unnest(b) AS b FROM y UNION ALL SELECT p_partkey, NULL, NULL FROM x WHERE p_size <= 10""",
