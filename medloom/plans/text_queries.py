@@ -34,9 +34,10 @@ def author_display_name(spark, sf_dir):
 
 
 def month_lookup(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.lower(F.regexp_extract("text", "^[^ ]*", 0)).alias("word"))
+    """How many words of each whole text are which month, or none; and the months of orders."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[^ ]+"), F.lit(0))).alias("word"))
     m = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.date_format("o_orderdate", "MMM").alias("word"))
-    return d.unionByName(m).select("doc_id", "word", S.month_number("word").alias("month"))
+    return d.unionByName(m).groupBy("doc_id", S.month_number("word").alias("month")).agg(F.count("*").alias("n"))
 
 
 def partial_date(spark, sf_dir):
@@ -176,7 +177,7 @@ ORACLE = {
         FROM (SELECT *, 'PMC' || o_orderkey AS i FROM orders)""",
     "fulltext_location": "SELECT o_orderkey, 'bulk/PMC' || substr(lpad(substr('PMC' || o_orderkey, 4, 10), 9, '0'), 1, 3) || 'xxxxxx/PMC' || o_orderkey || '.xml' AS path FROM orders",
     "author_display_name": "SELECT c_custkey, CASE c_custkey % 3 WHEN 1 THEN 'Jane ' ELSE 'JK ' END || c_name AS name FROM customer",
-    "month_lookup": f"WITH {_MONTHS}, w AS (SELECT doc_id, lower(regexp_extract(text, '^[^ ]*')) AS word FROM documents UNION ALL SELECT o_orderkey, strftime(o_orderdate, '%b') FROM orders) SELECT doc_id, word, k AS month FROM w LEFT JOIN pre ON lower(trim(word)) = p",
+    "month_lookup": f"WITH {_MONTHS}, w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^ ]+')) AS word FROM documents UNION ALL SELECT o_orderkey, strftime(o_orderdate, '%b') FROM orders) SELECT doc_id, k AS month, count(*) AS n FROM w LEFT JOIN pre ON lower(trim(word)) = p GROUP BY 1, 2",
     "partial_date": """SELECT o_orderkey, strftime(make_date(year(o_orderdate), CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE month(o_orderdate) END, CASE WHEN o_orderkey % 2 = 0 THEN day(o_orderdate) ELSE 1 END), '%Y-%m-%d') AS published FROM orders""",
     "email_extract": f"SELECT doc_id, array_to_string(m, ';') AS mails FROM (SELECT doc_id, regexp_extract_all(text, '{_MAIL}') AS m FROM documents) WHERE len(m) > 0",
     "email_strip": rf"SELECT doc_id, trim(regexp_replace(text, '\(?(?:(?:[Ee]-?mail|Electronic address):\s*)?{_MAIL}\)?', '', 'g'), ' ') AS stripped FROM documents WHERE regexp_matches(text, '{_MAIL}')",
