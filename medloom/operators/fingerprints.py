@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medloom.operators.triples import settled
+from medloom.operators.reach import settled
 
 #: Queries that are sent to every task at most.
 FEW = 2048

@@ -1,4 +1,4 @@
-"""Triples as a table: assertion, pattern access, closure, rewriting."""
+"""Triples as a table: assertion, pattern access, rewriting."""
 
 from __future__ import annotations
 
@@ -33,67 +33,6 @@ def verb_statistics(triples: DataFrame) -> DataFrame:
     return triples.groupBy("p").agg(F.count("*").alias("n"), F.count_distinct("s").alias("subjects"), F.count_distinct("o").alias("objects"), F.count("lit").alias("literals"))
 
 
-def _edges(triples: DataFrame, verbs: list[str]) -> DataFrame:
-    return triples.where(F.col("p").isin(verbs) & F.col("o").isNotNull()).select("s", "o").distinct()
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """A round's rows, computed once: written to the checkpoint folder, which ends their lineage, or kept in memory where
-    the session has none."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() or df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.persist()
-
-
-def _step(frontier: DataFrame, found: DataFrame, edges: DataFrame, frm: str, to: str) -> DataFrame:
-    """(start, node) one edge further that are not found yet."""
-    next_ = frontier.join(edges, F.col("node") == F.col(frm)).select("start", F.col(to).alias("node")).distinct()
-    return settled(next_.join(found, ["start", "node"], "left_anti"))
-
-
-def closure(triples: DataFrame, verbs: list[str], starts: DataFrame) -> DataFrame:
-    """(start, node) for all nodes reachable from each start over the verbs, the start included; cycles end it.
-
-    A frontier of new pairs is joined to the edges until none is new, however far that is.
-    """
-    edges = settled(_edges(triples, verbs))
-    found = frontier = starts.select(F.col("start"), F.col("start").alias("node")).distinct()
-    while True:
-        frontier = _step(frontier, found, edges, "s", "o")
-        if frontier.isEmpty():
-            return found
-        found = settled(found.unionByName(frontier))
-
-
-def is_related(triples: DataFrame, verbs: list[str], pairs: DataFrame) -> DataFrame:
-    """Pairs (source, target): whether the target is reached; every node reaches itself.
-
-    Two frontiers grow towards each other, one edge a round each, from the ends of pairs that have not met; they stop
-    where all have, or where neither has a new node.
-    """
-    edges = settled(_edges(triples, verbs))
-    left = pairs.select("source", "target").where("source is not null and target is not null").distinct()
-    ends = lambda c: left.select(F.col(c).alias("start"), F.col(c).alias("node")).distinct()
-    down, up = ends("source"), ends("target")
-    low, high = down, up
-    met = None
-    while True:
-        a = down.select(F.col("start").alias("source"), "node")
-        hit = left.join(a, "source").join(up.select(F.col("start").alias("target"), "node"), ["target", "node"]).select("source", "target").distinct()
-        hit = settled(hit)
-        met = hit if met is None else settled(met.unionByName(hit))
-        left = settled(left.join(hit, ["source", "target"], "left_anti"))
-        if left.isEmpty():
-            break
-        low = _step(low.join(left.select(F.col("source").alias("start")).distinct(), "start", "left_semi"), down, edges, "s", "o")
-        high = _step(high.join(left.select(F.col("target").alias("start")).distinct(), "start", "left_semi"), up, edges, "o", "s")
-        if low.isEmpty() or high.isEmpty():
-            # one side is whole: what is not met there by the other is met nowhere, but for the other's rest
-            if low.isEmpty() and high.isEmpty():
-                break
-        down, up = settled(down.unionByName(low)), settled(up.unionByName(high))
-    known = met.withColumn("hit", F.lit(True))
-    return pairs.join(known, ["source", "target"], "left").select("source", "target", F.coalesce("hit", F.col("source") == F.col("target")).alias("related"))
-
-
 def assert_and_name(triples: DataFrame, named: DataFrame) -> DataFrame:
     """``named`` (uri, s, p, o) added: an anonymous triple of the same parts gets the name, one that has that name stays as
     it is, and one of another name stands beside the new one."""

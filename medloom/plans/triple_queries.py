@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from medloom.operators import reach
 from medloom.operators import triples as T
 from medloom.session import table
 
@@ -60,13 +61,13 @@ def triples_verb_stats(spark, sf_dir):
 
 def transitive_closure(spark, sf_dir):
     starts = table(spark, sf_dir, "customer").select(_id("c:", "c_custkey").alias("start"))
-    return T.closure(triples_build(spark, sf_dir), ["broader"], starts)
+    return reach.closure(triples_build(spark, sf_dir), ["broader"], starts)
 
 
 def is_related(spark, sf_dir):
     c = table(spark, sf_dir, "supplier")
     pairs = c.select(_id("s:", "s_suppkey").alias("source"), F.concat(F.lit("r:"), (F.col("s_suppkey") % 5).cast("string")).alias("target"))
-    return T.is_related(triples_build(spark, sf_dir), ["broader"], pairs)
+    return reach.is_related(triples_build(spark, sf_dir), ["broader"], pairs)
 
 
 def replace_uri(spark, sf_dir):

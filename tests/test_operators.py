@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from medloom import schema
 from medloom.functions import text as S
-from medloom.operators import citations, clusters, graph, nodes, registry, reshape, tasks, triples, vectors
+from medloom.operators import citations, clusters, graph, nodes, reach, registry, reshape, tasks, triples, vectors
 from medloom.sinks import tables
 from medloom.sinks.keyed import KeyedTable
 from medloom.sources import articles, files, jats, rdf
@@ -138,10 +138,10 @@ def test_graph_rules(spark):
 def test_closure_ends_in_cycles(spark):
     t = spark.createDataFrame([(None, a, "up", b, None) for a, b in (("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"))] + [(None, "a", "name", None, "A")], "uri string, s string, p string, o string, lit string")
     starts = spark.createDataFrame([("a",), ("d",), ("q",)], "start string")
-    got = rows(triples.closure(t, ["up"], starts))
+    got = rows(reach.closure(t, ["up"], starts))
     assert got == [("a", "a"), ("a", "b"), ("a", "c"), ("a", "d"), ("d", "d"), ("q", "q")]
     pairs = spark.createDataFrame([("a", "d"), ("d", "a"), ("q", "q")], "source string, target string")
-    assert rows(triples.is_related(t, ["up"], pairs)) == [("a", "d", True), ("d", "a", False), ("q", "q", True)]
+    assert rows(reach.is_related(t, ["up"], pairs)) == [("a", "d", True), ("d", "a", False), ("q", "q", True)]
     named = t.limit(1).withColumn("uri", F.lit("n"))
     assert triples.assert_triples(named, t.union(t)).count() == 5
 

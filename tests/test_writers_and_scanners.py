@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medloom.functions import text as S
-from medloom.operators import fingerprints, tasks, triples, vectors
+from medloom.operators import fingerprints, reach, tasks, triples, vectors
 from medloom.sinks import tables
 from medloom.sources import rdf
 
@@ -63,13 +63,13 @@ def chain(spark, n):
 
 def test_closure_has_no_depth(spark):
     t = chain(spark, 66)
-    assert triples.closure(t, ["up"], spark.createDataFrame([("n0",)], "start string")).count() == 68
+    assert reach.closure(t, ["up"], spark.createDataFrame([("n0",)], "start string")).count() == 68
 
 
 def test_is_related_from_both_ends(spark):
     t = chain(spark, 9)
     pairs = [("n0", "n9"), ("n9", "n0"), ("m", "n3"), ("n3", "m"), ("n2", "n2"), ("x", "x"), ("x", "n1"), ("n1", "x"), ("n4", "n5")]
-    got = triples.is_related(t, ["up"], spark.createDataFrame(pairs, "source string, target string"))
+    got = reach.is_related(t, ["up"], spark.createDataFrame(pairs, "source string, target string"))
     assert {(r["source"], r["target"]): r["related"] for r in got.collect()} == dict(zip(pairs, [True, False, True, False, True, True, False, False, True], strict=True))
 
 
