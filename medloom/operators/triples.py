@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from medloom.operators import reach
+
 COLUMNS = ["uri", "s", "p", "o", "lit"]
 
 
@@ -119,6 +121,19 @@ def members(triples: DataFrame, container: str, numeric: bool = True) -> DataFra
     return m.withColumn("position", F.row_number().over(Window.partitionBy("s").orderBy(order))).select(F.col("s").alias(container), "position", F.coalesce("o", "lit").alias("member"))
 
 
+def collections(triples: DataFrame, rdf: str = "http://www.w3.org/1999/02/22-rdf-syntax-ns#") -> DataFrame:
+    """(head, position from 0, member) of lists by rdf:first and rdf:rest, of any length; an empty list (rdf:nil) has no row.
+
+    Cells point back to the cell before them; the head is the root of that forest and the position the depth in it, which takes as
+    many joins as the logarithm of the longest list.  A tail that lists share is counted to the list whose cell before it has
+    the smallest name; a circle begins at its smallest cell.
+    """
+    cells = triples.where((F.col("p") == rdf + "first") & F.col("s").isNotNull())
+    before = triples.where((F.col("p") == rdf + "rest") & (F.col("o") != rdf + "nil") & (F.col("o") != F.col("s"))).select(F.col("o").alias("s"), F.col("s").alias("o")).distinct()
+    placed = reach.labels(reach.forest(before), cells.select(F.col("s").alias("node")).distinct())
+    return cells.join(placed, F.col("s") == F.col("node")).select(F.col("root").alias("head"), F.col("depth").alias("position"), F.coalesce("o", "lit").alias("member"))
+
+
 def sequence_triples(rows: DataFrame, subject: str, items: str) -> DataFrame:
     e = rows.select(F.col(subject).alias("s"), F.posexplode(items).alias("i", "lit"))
     return e.select(F.lit(None).cast("string").alias("uri"), "s", F.concat(F.lit("rdf:_"), (F.col("i") + 1).cast("string")).alias("p"), F.lit(None).cast("string").alias("o"), "lit")

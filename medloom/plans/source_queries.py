@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from medloom.operators import clusters, nodes
 from medloom.operators import reshape as X
+from medloom.operators import triples as T
 from medloom.plans.text_queries import sentence_chunks
 from medloom.session import table
 from medloom.sinks.keyed import KeyedTable
@@ -104,6 +105,46 @@ def jsonld_parse(spark, sf_dir):
     return rdf.jsonld(spark, path).select("s", "p", "o", F.col("lit.value").alias("value"), F.col("lit.datatype").alias("datatype"))
 
 
+def _lists(found):
+    """Each subject's list, read back: (conv, position, role)."""
+    t = found.select("s", "p", "o", F.col("lit.value").alias("lit"))
+    heads = t.where("p = 'http://example.org/turns'").select(F.col("s").alias("conv"), F.col("o").alias("head"))
+    return heads.join(T.collections(t), "head").select("conv", "position", F.col("member").alias("role"))
+
+
+def turtle_lists(spark, sf_dir):
+    """Conversations as collections of their roles in Turtle, some fifty a file, parsed and read back in order."""
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    text = F.concat(F.lit("ex:v"), "conv_id", F.lit(' ex:turns ( "'), F.array_join(F.transform("t", lambda x: x["role"]), '" "'), F.lit('" ) ; ex:none ( ) .'))
+    files = c.groupBy(F.floor(F.col("conv_id") / 50).alias("part")).agg(F.array_join(F.collect_list(text), "\n").alias("x"))
+    path = folder(spark, "turtle-lists")
+    named = files.select(F.concat(F.col("part").cast("string"), F.lit(".ttl")).alias("name"), F.concat(F.lit("@prefix ex: <http://example.org/> .\n"), "x").alias("content"))
+    put_objects(named, path).write.format("noop").mode("overwrite").save()
+    return _lists(rdf.turtle(spark, path, apart=True))
+
+
+def jsonld_lists(spark, sf_dir):
+    """The same in JSON-LD, by a term of the container @list."""
+    return _lists(rdf.jsonld(spark, _talks(spark, sf_dir), apart=True))
+
+
+def _talks(spark, sf_dir) -> str:
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    terms = F.struct(F.lit("http://example.org/").alias("ex"), F.struct(F.lit("ex:turns").alias("@id"), F.lit("@list").alias("@container")).alias("turns"), F.struct(F.lit("ex:spokeIn").alias("@reverse")).alias("speakers"))
+    people = F.transform(F.array_sort(F.array_distinct(F.transform("t", lambda x: x["role"]))), lambda r: F.concat(F.lit("ex:"), r))
+    doc = F.struct(terms.alias("@context"), F.concat(F.lit("ex:v"), "conv_id").alias("@id"), F.transform("t", lambda x: x["role"]).alias("turns"), people.alias("speakers"), F.struct(F.array(F.size("t"), F.lit(0)).alias("@set")).alias("ex:sizes"))
+    path = folder(spark, "jsonld-lists")
+    named = c.select("conv_id", doc.alias("d")).groupBy(F.floor(F.col("conv_id") / 50).alias("part")).agg(F.to_json(F.collect_list("d")).alias("content"))
+    put_objects(named.select(F.concat(F.col("part").cast("string"), F.lit(".json")).alias("name"), "content"), path).write.format("noop").mode("overwrite").save()
+    return path
+
+
+def jsonld_reverse(spark, sf_dir):
+    """Speakers point to their conversations; sizes are the values of a set."""
+    t = rdf.jsonld(spark, _talks(spark, sf_dir), apart=True)
+    return t.where("p in ('http://example.org/spokeIn', 'http://example.org/sizes')").select("s", "p", "o", F.col("lit.value").cast("int").alias("value"))
+
+
 def trix_parse(spark, sf_dir):
     """Customers as TriX, a graph for each nation, in files that are cut in ranges of 64 KB."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name", "c_mktsegment", "c_acctbal")
@@ -225,7 +266,8 @@ def _isfolder(spark, path: str) -> bool:
 _CHILD = f"""{sentence_chunks("record_id", "(SELECT doc_id AS record_id, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE text END AS text FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 11 <> 0)", 512, 30)},
     made AS (SELECT record_id, count(*) AS n, count(*) FILTER (length(chunk) % 7 = 0 AND list_contains(string_split(chunk, ' '), 'the') AND list_contains(string_split(chunk, ' '), 'and')) AS bad FROM chunk GROUP BY 1),
     coded AS (SELECT doc_id AS record_id, CASE WHEN doc_id % 11 = 0 THEN -4 WHEN doc_id % 7 = 0 THEN -3 WHEN doc_id % 5 = 0 THEN -2 WHEN n IS NULL THEN -5 WHEN bad > 0 THEN -6 ELSE 1 END::SMALLINT AS code, coalesce(n, 0) AS n_nodes FROM documents LEFT JOIN made ON record_id = doc_id)"""
-NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "child_results", "child_counters", "soft_clusters", "stream_task_state", "stream_windows")
+NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "turtle_lists", "jsonld_lists", "jsonld_reverse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "child_results", "child_counters", "soft_clusters", "stream_task_state", "stream_windows")
+_TURNS = "SELECT 'http://example.org/v' || conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS position, role FROM conversations"
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 ORACLE = {
     "html_sections": r"""WITH b AS (SELECT page_id, regexp_extract_all(html, '(?is)(<(?:h[1-6]|p|li|td|title)\b[^>]*>.*?</(?:h[1-6]|p|li|td|title)>)', 1) AS blocks FROM pages),
@@ -246,6 +288,10 @@ ORACLE = {
         unnest([NULL, NULL, 'a "b" ' || c_name]) AS value, unnest([NULL, NULL, 'en']) AS lang FROM customer""",
     "jsonld_parse": """SELECT 'http://example.org/s' || s_suppkey AS s, unnest(['http://www.w3.org/1999/02/22-rdf-syntax-ns#type', 'http://example.org/name', 'http://example.org/nation']) AS p,
         unnest(['http://example.org/Supplier', NULL, NULL]) AS o, unnest([NULL, s_name, s_nationkey::VARCHAR]) AS value, unnest([NULL, 'http://www.w3.org/2001/XMLSchema#string', 'http://www.w3.org/2001/XMLSchema#integer']) AS datatype FROM supplier""",
+    "turtle_lists": _TURNS,
+    "jsonld_lists": _TURNS,
+    "jsonld_reverse": """SELECT DISTINCT 'http://example.org/' || role AS s, 'http://example.org/spokeIn' AS p, 'http://example.org/v' || conv_id AS o, NULL::INTEGER AS value FROM conversations
+        UNION ALL SELECT 'http://example.org/v' || conv_id, 'http://example.org/sizes', NULL, unnest([count(*), 0])::INTEGER FROM conversations GROUP BY conv_id""",
     "trix_parse": """SELECT 'http://example.org/n' || c_nationkey AS graph, 'http://example.org/c' || c_custkey AS s, 'http://example.org/' || unnest(['in', 'name', 'key']) AS p, unnest(['http://example.org/s' || c_mktsegment, NULL, NULL]) AS o,
         unnest([NULL, c_name || ' & <co>', c_custkey::VARCHAR]) AS value, unnest([NULL, 'en', NULL]) AS lang, unnest([NULL, NULL, 'http://www.w3.org/2001/XMLSchema#integer']) AS datatype FROM customer""",
     "article_split": r"SELECT doc_id AS identifier, 'On ' || lang AS title, md5(trim(regexp_replace(regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'))) AS text_md5 FROM documents",

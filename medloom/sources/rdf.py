@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 import io
 import json
 import re
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from medloom.sources.split import SPLIT, records
 
 SCHEMA = "graph string, uri string, s string, p string, o string, lit struct<value:string,lang:string,datatype:string>"
-TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
-STRING = "http://www.w3.org/2001/XMLSchema#string"
+RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+TYPE, FIRST, REST, NIL = RDF + "type", RDF + "first", RDF + "rest", RDF + "nil"
+XSD = "http://www.w3.org/2001/XMLSchema#"
+STRING = XSD + "string"
 _ARROW = pa.schema([("graph", pa.string()), ("uri", pa.string()), ("s", pa.string()), ("p", pa.string()), ("o", pa.string()), ("lit", pa.struct([("value", pa.string()), ("lang", pa.string()), ("datatype", pa.string())]))])
 
 
@@ -59,10 +62,20 @@ def _tokens(text: str):
             yield kind, m[0]
 
 
+_PLAIN = {"integer": re.compile(r"[+-]?\d+"), "decimal": re.compile(r"[+-]?\d*\.\d+"), "double": re.compile(r"[+-]?(?:\d+\.?\d*|\.\d+)[eE][+-]?\d+"), "boolean": re.compile("true|false")}
+
+
+def _cells(cells: list[str], graph: str) -> tuple[list[dict], str]:
+    """The rows that chain the cells of a list, and its head."""
+    rest = zip(cells, [*cells[1:], NIL], strict=False)
+    return [{"graph": graph, "uri": None, "s": a, "p": REST, "o": b, "lit": None} for a, b in rest], cells[0] if cells else NIL
+
+
 def parse_turtle(text: str) -> list[dict]:
     """Triples of a Turtle or TriG text: prefixes, ``a``, lists by ; and ,, typed, tagged and long literals, named graphs,
-    blank nodes by name (_:x) and in brackets (_:anon1, _:anon2 in the order of their opening), and subjects
-    urn:triple:s:p:o that name the triple they spell.  Collections in parentheses are an error."""
+    blank nodes by name (_:x) and in brackets (_:anon1, _:anon2 in the order of their opening), collections in parentheses
+    (a blank cell for each member, by rdf:first and rdf:rest; an empty one is rdf:nil), bare numbers and booleans as typed
+    literals, and subjects urn:triple:s:p:o that name the triple they spell."""
     prefixes: dict[str, str] = {}
     base = ""
     out: list[dict] = []
@@ -76,8 +89,15 @@ def parse_turtle(text: str) -> list[dict]:
         head, colon, rest = word.partition(":")
         return prefixes[head] + rest if colon and head in prefixes else word
 
+    def blank() -> str:
+        nonlocal anonymous
+        anonymous += 1
+        return f"_:anon{anonymous}"
+
     def node():
         nonlocal i
+        if i >= len(tokens):
+            raise ValueError("the text ends within a statement")
         kind, word = tokens[i]
         i += 1
         if kind in ("text", "long"):
@@ -95,17 +115,30 @@ def parse_turtle(text: str) -> list[dict]:
                     i += 1
             return None, lit
         if (kind, word) == ("mark", "["):
-            nonlocal anonymous
-            anonymous += 1
-            blank = f"_:anon{anonymous}"
-            if tokens[i] != ("mark", "]"):
-                parts(blank)
+            own = blank()
+            if i < len(tokens) and tokens[i] != ("mark", "]"):
+                parts(own)
             if i >= len(tokens) or tokens[i] != ("mark", "]"):
                 raise ValueError("a bracket is not closed")
             i += 1
-            return blank, None
+            return own, None
+        if (kind, word) == ("mark", "("):
+            cells = []
+            while i < len(tokens) and tokens[i] != ("mark", ")"):
+                cells.append(blank())
+                o, lit = node()
+                out.append({"graph": graph, "uri": None, "s": cells[-1], "p": FIRST, "o": o, "lit": lit})
+            if i >= len(tokens):
+                raise ValueError("a parenthesis is not closed")
+            i += 1
+            chain, head = _cells(cells, graph)
+            out.extend(chain)
+            return head, None
         if kind == "mark":
             raise ValueError(f"unexpected {word!r}")
+        bare = next((k for k, pattern in _PLAIN.items() if kind == "word" and pattern.fullmatch(word)), None)
+        if bare:
+            return None, {"value": word, "lang": None, "datatype": XSD + bare}
         return name(word), None
 
     def parts(subject: str) -> None:
@@ -181,12 +214,21 @@ def parse_trix(text: str) -> list[dict]:
 
 
 def parse_jsonld(text: str) -> list[dict]:
-    """@context with prefixes and typed terms, @id, @type, nested nodes, lists and named @graph."""
+    """@context with prefixes and typed terms, @id, @type, nested nodes and named @graph; arrays and @set are several values,
+    @list and terms of the container @list are rdf:first / rdf:rest chains of blank cells, @reverse and reverse terms swap
+    subject and object."""
     out: list[dict] = []
     count = 0
 
-    def visit(node: dict, terms: dict, graph: str) -> str:
+    def blank() -> str:
         nonlocal count
+        count += 1
+        return f"_:b{count}"
+
+    def many(value) -> list:
+        return value if isinstance(value, list) else [value]
+
+    def visit(node: dict, terms: dict, graph: str) -> str:
         terms = terms | (node.get("@context") if isinstance(node.get("@context"), dict) else {})
 
         def full(word: str) -> str:
@@ -194,39 +236,70 @@ def parse_jsonld(text: str) -> list[dict]:
                 return word
             term = terms.get(word)
             if isinstance(term, dict):
-                return full(term.get("@id", word)) if term.get("@id", word) != word else word
+                own = term.get("@id", term.get("@reverse", word))
+                return full(own) if own != word else word
             if isinstance(term, str):
                 return full(term) if term != word else word
             head, colon, rest = word.partition(":")
             return terms[head] + rest if colon and isinstance(terms.get(head), str) and not rest.startswith("//") else word
 
-        subject = full(node["@id"]) if "@id" in node else f"_:b{(count := count + 1)}"
+        def objects(item, declared: str | None) -> list[tuple[str | None, dict | None]]:
+            """What a value stands for: (resource, literal), none for null, several for a set."""
+            if isinstance(item, dict) and "@list" in item:
+                return [(listed(many(item["@list"]), declared), None)]
+            if isinstance(item, dict) and "@set" in item:
+                return [x for member in many(item["@set"]) for x in objects(member, declared)]
+            if isinstance(item, dict) and "@value" in item:
+                return [(None, {"value": str(item["@value"]), "lang": item.get("@language"), "datatype": full(item["@type"]) if "@type" in item else None})]
+            if isinstance(item, dict):
+                return [(visit(item, terms, graph), None)]
+            if isinstance(item, list):
+                return [(listed(item, declared), None)]
+            if isinstance(item, str) and (declared == "@id" or declared is None and re.match("https?://", item)):
+                return [(full(item) if declared else item, None)]
+            if item is None:
+                return []
+            kind = {bool: "boolean", int: "integer", float: "double"}.get(type(item), "string")
+            return [(None, {"value": str(item).lower() if isinstance(item, bool) else str(item), "lang": None, "datatype": full(declared) if declared else XSD + kind})]
+
+        def listed(items: list, declared: str | None) -> str:
+            cells = []
+            for item in items:
+                for o, lit in objects(item, declared):
+                    cells.append(blank())
+                    out.append({"graph": graph, "uri": None, "s": cells[-1], "p": FIRST, "o": o, "lit": lit})
+            chain, head = _cells(cells, graph)
+            out.extend(chain)
+            return head
+
+        def backwards(verb: str, value) -> None:
+            for item in many(value):
+                for s, _ in objects(item, "@id"):
+                    if s is not None:
+                        out.append({"graph": graph, "uri": None, "s": s, "p": verb, "o": subject, "lit": None})
+
+        subject = full(node["@id"]) if "@id" in node else blank()
         for key, value in node.items():
             if key in ("@context", "@id"):
                 continue
             if key == "@graph":
-                for child in value if isinstance(value, list) else [value]:
+                for child in many(value):
                     visit(child, terms, subject if "@id" in node else graph)
                 continue
-            verb = TYPE if key == "@type" else full(key)
-            declared = terms.get(key, {}).get("@type") if isinstance(terms.get(key), dict) else None
-            for item in value if isinstance(value, list) else [value]:
-                row = {"graph": graph, "uri": None, "s": subject, "p": verb, "o": None, "lit": None}
-                if key == "@type" or declared == "@id" and isinstance(item, str):
-                    row["o"] = full(item)
-                elif isinstance(item, dict) and "@value" in item:
-                    row["lit"] = {"value": str(item["@value"]), "lang": item.get("@language"), "datatype": full(item["@type"]) if "@type" in item else None}
-                elif isinstance(item, dict):
-                    row["o"] = visit(item, terms, graph)
-                elif isinstance(item, str) and declared is None and re.match("https?://", item):
-                    row["o"] = item
-                elif item is not None:
-                    kind = {bool: "boolean", int: "integer", float: "double"}.get(type(item))
-                    value_text = str(item).lower() if isinstance(item, bool) else str(item)
-                    row["lit"] = {"value": value_text, "lang": None, "datatype": full(declared) if declared else STRING.replace("string", kind) if kind else STRING}
-                else:
-                    continue
-                out.append(row)
+            if key == "@reverse":
+                for verb, items in value.items():
+                    backwards(full(verb), items)
+                continue
+            term = terms.get(key) if isinstance(terms.get(key), dict) else {}
+            if "@reverse" in term:
+                backwards(full(key), value)
+                continue
+            declared = "@id" if key == "@type" else term.get("@type")
+            if term.get("@container") == "@list" and not (isinstance(value, dict) and "@list" in value):
+                value = {"@list": value}
+            for item in many(value):
+                for o, lit in objects(item, declared):
+                    out.append({"graph": graph, "uri": None, "s": subject, "p": TYPE if key == "@type" else full(key), "o": o, "lit": lit})
         return subject
 
     data = json.loads(text)
@@ -254,17 +327,22 @@ def named_triples(rows: list[dict]) -> list[dict]:
 
 
 def _whole(parse):
-    def load(spark: SparkSession, path: str) -> DataFrame:
-        """A file is one task's work."""
+    def load(spark: SparkSession, path: str, apart: bool = False) -> DataFrame:
+        """A file is one task's work.  Blank nodes have the names that their file gives them; ``apart`` adds the file, so
+        that nodes of several files are told apart."""
 
         def run(batches):
             for batch in batches:
-                for content in batch.column("content").to_pylist():
+                for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                     rows = named_triples(parse(unpacked(content)))
+                    if apart:
+                        own = f"_:{hashlib.md5(name.encode()).hexdigest()}-"
+                        for row in rows:
+                            row |= {c: own + row[c][2:] for c in ("s", "o") if (row[c] or "").startswith("_:")}
                     for at in range(0, len(rows), 5_000):
                         yield pa.RecordBatch.from_pylist(rows[at : at + 5_000], schema=_ARROW)
 
-        return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, SCHEMA)
+        return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, SCHEMA)
 
     return load
 
