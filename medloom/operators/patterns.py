@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medloom.operators import reach
-from medloom.operators.triples import verb_statistics
 
 
 class Clause(NamedTuple):
@@ -88,7 +87,7 @@ def _in_order(clauses: Sequence[Clause], stats: dict[str, tuple[int, int, int]],
 
     left, known, out = list(clauses), set(), []
     while left:
-        near = [c for c in left if not out or c.variables() & known or not c.variables()]
+        near = [c for c in left if not out or c.variables() & known]
         if not near:
             raise ValueError("the pattern falls apart: no variable is shared")
         # a path is walked from an end that is known
@@ -122,33 +121,32 @@ def solve(triples: DataFrame, clauses: Sequence[Clause], out: Sequence[str] | No
     if stats is not None:
         verbs = [c.p for c in clauses if c.p and not _free(c.p)]
         known = {r["p"]: (r["n"], r["subjects"], r["objects"] + r["literals"]) for r in stats.where(F.col("p").isin(verbs)).collect()}
+    open_ = [c for c in clauses if c.variables()]
     found: DataFrame | None = None
     seen: set[str] = set()
-    for c in _in_order(clauses, known, values) if stats is not None else _connected(clauses):
-        terms = {"s": c.s, "p": c.p, "o": c.o}
-        if c.hops != (1, 1):
-            del terms["p"]
-            back, starts = _starts(rows, c, found, seen, values)
-            part = _given(_paths(rows, c, starts, back), terms, values)
-        else:
-            part = _given(rows, terms, values)
-        on = [v[1:] for v in c.variables() & seen]
-        if found is None:
-            found = part
-        elif not c.variables():
-            # a clause of values only: it holds or it does not
-            found = found.join(F.broadcast(part.select(F.lit(True).alias("holds_")).limit(1)), F.col("holds_"), "left_semi")
-        else:
-            found = found.join(part, on)
+    for c in _connected(open_) if stats is None else _in_order(open_, known, values):
+        part = _part(rows, c, found, seen, values)
+        found = part if found is None else found.join(part, [v[1:] for v in c.variables() & seen])
         seen |= c.variables()
+    for c in clauses:
+        # a clause of values only holds or does not
+        if not c.variables() and _part(rows, c, None, set(), values).isEmpty():
+            found = found.where(F.lit(False))
     return found.select(*wanted).distinct()
 
 
+def _part(rows: DataFrame, c: Clause, found: DataFrame | None, seen: set[str], values: dict[str, list]) -> DataFrame:
+    if c.hops == (1, 1):
+        return _given(rows, {"s": c.s, "p": c.p, "o": c.o}, values)
+    back, starts = _starts(rows, c, found, seen, values)
+    return _given(_paths(rows, c, starts, back), {"s": c.s, "o": c.o}, values)
+
+
 def _connected(clauses: Sequence[Clause]) -> list[Clause]:
     """As written, but for clauses that share nothing with those before them, which wait."""
     left, known, out = list(clauses), set(), []
     while left:
-        at = next((c for c in left if not out or c.variables() & known or not c.variables()), None)
+        at = next((c for c in left if not out or c.variables() & known), None)
         if at is None:
             raise ValueError("the pattern falls apart: no variable is shared")
         left.remove(at)
@@ -172,5 +170,3 @@ def _starts(rows: DataFrame, c: Clause, found: DataFrame | None, seen: set[str],
     # a path of no edge is at every node of the verb
     return False, ends.select(F.explode(F.array("s", "o")).alias("start")) if c.hops[0] == 0 else ends.select(F.col("s").alias("start"))
 
-
-__all__ = ["Clause", "of_edges", "solve", "verb_statistics"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from medloom.operators import graph as G
+from medloom.operators.patterns import Clause, of_edges, solve
 from medloom.plans.vector_queries import SIMILAR_SQL, tanimoto_links
 from medloom.session import table
 
@@ -109,13 +110,6 @@ def graph_similar_edges(spark, sf_dir):
     return _similar(spark, sf_dir)
 
 
-def match_similar_compounds(spark, sf_dir):
-    """A value's compounds, and those that are similar to them."""
-    _, e = _graph(spark, sf_dir)
-    c = _first(e, BRANDS, "has_parent").select(F.col("next").alias("id"))
-    return G.hop(c, e, "similar_to").select(F.col("id").alias("compound"), F.col("next").alias("similar")).distinct()
-
-
 BRANDS = [f"brand#{a}{b}" for a in range(1, 6) for b in range(1, 6)]
 
 
@@ -132,38 +126,40 @@ def graph_tag_counts(spark, sf_dir):
     return v.groupBy(F.col("tag").alias("name")).agg(F.count("*").alias("n")).unionByName(e.groupBy(F.col("type").alias("name")).agg(F.count("*").alias("n")))
 
 
-def _first(e, values, kind=None):
-    """Edges that begin at one of some values, as id and next; the values reach the tables that the edges are made of."""
-    found = e.where(F.col("src").isin(values))
-    return (found if kind is None else found.where(F.col("type") == kind)).select(F.col("src").alias("id"), F.col("dst").alias("next")).distinct()
+def _match(spark, sf_dir, clauses, out, values=None, similar=False):
+    """A pattern over the graph's edges; its first values reach the tables that the edges are made of."""
+    return solve(of_edges(_graph(spark, sf_dir, similar)[1]), [Clause(*c) for c in clauses], out, values)
+
+
+def match_similar_compounds(spark, sf_dir):
+    """A value's compounds, and those that are similar to them."""
+    return _match(spark, sf_dir, [("?brand", "has_parent", "?compound"), ("?compound", "similar_to", "?similar")], ["?compound", "?similar"], {"?brand": BRANDS}, similar=True)
 
 
 def match_details(spark, sf_dir):
     """From a value to its compounds, and on to all of their values."""
-    _, e = _graph(spark, sf_dir, similar=False)
-    roots = _first(e, ["brand#13"], "has_parent").select("id", F.col("next").alias("compound"))
-    return G.hop(roots.withColumnRenamed("id", "input").withColumnRenamed("compound", "id"), e, "has_parent", reverse=True).select("input", F.col("id").alias("compound"), F.col("next").alias("detail")).distinct()
+    return _match(spark, sf_dir, [("?input", "has_parent", "?compound"), ("?detail", "has_parent", "?compound")], ["?input", "?compound", "?detail"], {"?input": ["brand#13"]})
 
 
 def match_synonyms(spark, sf_dir):
-    _, e = _graph(spark, sf_dir, similar=False)
-    roots = _first(e, ["brand#13"], "has_parent").select(F.col("next").alias("id"))
-    return G.hop(roots, e, "synonym_of", reverse=True).select(F.col("id").alias("compound"), F.col("next").alias("synonym")).distinct()
+    return _match(spark, sf_dir, [("brand#13", "has_parent", "?compound"), ("?synonym", "synonym_of", "?compound")], ["?compound", "?synonym"])
 
 
 def match_indications(spark, sf_dir):
     """A value's compounds, and what they are of by edges of any type: mechanisms and indications."""
-    _, e = _graph(spark, sf_dir)
-    one = _first(e, ["brand#22"]).select("id", F.col("next").alias("mid"))
-    return G.hop(one.withColumnRenamed("id", "input").withColumnRenamed("mid", "id"), e).select("input", F.col("id").alias("mid"), F.col("next").alias("found")).distinct()
+    return _match(spark, sf_dir, [("?input", None, "?mid"), ("?mid", None, "?found")], ["?input", "?mid", "?found"], {"?input": ["brand#22"]}, similar=True)
 
 
 def match_mechanism_targets(spark, sf_dir):
     """Value to compound, compound to mechanism, and against the edge to the target."""
-    _, e = _graph(spark, sf_dir, similar=False)
-    c = _first(e, ["brand#13", "brand#22"], "has_parent").select(F.col("next").alias("id"))
-    m = G.hop(c, e, "compound_of").select(F.col("id").alias("compound"), F.col("next").alias("id"))
-    return G.hop(m, e, "target_of", reverse=True).select("compound", F.col("id").alias("mechanism"), F.col("next").alias("target")).distinct()
+    clauses = [("?brand", "has_parent", "?compound"), ("?compound", "compound_of", "?mechanism"), ("?target", "target_of", "?mechanism")]
+    return _match(spark, sf_dir, clauses, ["?compound", "?mechanism", "?target"], {"?brand": ["brand#13", "brand#22"]})
+
+
+def match_shared_values(spark, sf_dir):
+    """Compounds that have a target in common with those of a value: out to mechanisms, to their target and back again."""
+    clauses = [("brand#13", "has_parent", "?compound"), ("?compound", "compound_of", "?one"), ("?target", "target_of", "?one"), ("?target", "target_of", "?two"), ("?other", "compound_of", "?two")]
+    return _match(spark, sf_dir, clauses, ["?compound", "?target", "?other"])
 
 
 _PAIRS = "pairs AS (SELECT l_partkey, min(l_suppkey) AS l_suppkey, l_returnflag, l_linestatus FROM lineitem GROUP BY 1, 3, 4)"
@@ -205,6 +201,7 @@ ORACLE = {
     "match_details": f"WITH {_GRAPH} SELECT DISTINCT a.src AS input, a.dst AS compound, b.src AS detail FROM e a JOIN e b ON a.dst = b.dst AND b.type = 'has_parent' WHERE a.type = 'has_parent' AND a.src = 'brand#13'",
     "match_synonyms": f"WITH {_GRAPH} SELECT DISTINCT a.dst AS compound, b.src AS synonym FROM e a JOIN e b ON a.dst = b.dst AND b.type = 'synonym_of' WHERE a.type = 'has_parent' AND a.src = 'brand#13'",
     "match_indications": f"WITH {_GRAPH} SELECT DISTINCT a.src AS input, a.dst AS mid, b.dst AS found FROM e a JOIN e b ON a.dst = b.src WHERE a.src = 'brand#22'",
+    "match_shared_values": f"WITH {_GRAPH} SELECT DISTINCT a.dst AS compound, t1.src AS target, o.src AS other FROM e a JOIN e m ON a.dst = m.src AND m.type = 'compound_of' JOIN e t1 ON t1.dst = m.dst AND t1.type = 'target_of' JOIN e t2 ON t2.src = t1.src AND t2.type = 'target_of' JOIN e o ON o.dst = t2.dst AND o.type = 'compound_of' WHERE a.type = 'has_parent' AND a.src = 'brand#13'",
     "match_mechanism_targets": f"WITH {_GRAPH} SELECT DISTINCT a.dst AS compound, b.dst AS mechanism, c.src AS target FROM e a JOIN e b ON a.dst = b.src AND b.type = 'compound_of' JOIN e c ON b.dst = c.dst AND c.type = 'target_of' WHERE a.type = 'has_parent' AND a.src IN ('brand#13', 'brand#22')",
 }
 QUERIES = {k: globals()[k] for k in ORACLE}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from medloom.operators import reach
 from medloom.operators import triples as T
+from medloom.operators.patterns import Clause, solve
 from medloom.session import table
 
 
@@ -94,6 +95,24 @@ def resource_filter(spark, sf_dir):
     return T.resources(triples_build(spark, sf_dir), ("segment", ["BUILDING"]), ("broader", ["n:3", "n:4", "n:5"]))
 
 
+def triples_solve(spark, sf_dir):
+    """Customers of a segment with their nation and the name of its region, joined by the verbs' frequencies."""
+    t = triples_build(spark, sf_dir)
+    clauses = [Clause("?customer", "broader", "?nation"), Clause("?customer", "segment", "?segment"), Clause("?nation", "broader", "?region"), Clause("?region", "name", "?name")]
+    return solve(t, clauses, values={"?segment": ["BUILDING", "MACHINERY"]}, stats=T.verb_statistics(t))
+
+
+def triples_paths(spark, sf_dir):
+    """Who is one or two steps below the regions that are named, at whatever depth."""
+    t = triples_build(spark, sf_dir)
+    return solve(t, [Clause("?region", "name", "?name"), Clause("?below", "broader", "?region", (1, 2))], values={"?name": ["ASIA", "EUROPE"]})
+
+
+def triples_any_path(spark, sf_dir):
+    """All that customers come to, themselves included, with its name if it has one."""
+    return solve(triples_build(spark, sf_dir), [Clause("?customer", "segment", "BUILDING"), Clause("?customer", "broader", "?place", (0, None)), Clause("?place", "name", "?name")])
+
+
 _T = """t AS (SELECT 't:' || n_nationkey AS uri, 'n:' || n_nationkey AS s, 'broader' AS p, 'r:' || n_regionkey AS o, NULL::VARCHAR AS lit FROM nation
     UNION ALL SELECT NULL, 'c:' || c_custkey, 'broader', 'n:' || c_nationkey, NULL FROM customer UNION ALL SELECT NULL, 's:' || s_suppkey, 'broader', 'n:' || s_nationkey, NULL FROM supplier
     UNION ALL SELECT NULL, 'r:' || r_regionkey, 'name', NULL, r_name FROM region UNION ALL SELECT NULL, 'n:' || n_nationkey, 'name', NULL, n_name FROM nation
@@ -110,6 +129,9 @@ ORACLE = {
     "triples_verb_stats": f"{_W} SELECT p, count(*) AS n, count(DISTINCT s) AS subjects, count(DISTINCT o) AS objects, count(lit) AS literals FROM t GROUP BY 1",
     "transitive_closure": f"WITH RECURSIVE {_R} SELECT * FROM reach WHERE start LIKE 'c:%'",
     "is_related": f"WITH RECURSIVE {_R} SELECT 's:' || s_suppkey AS source, 'r:' || (s_suppkey % 5) AS target, EXISTS (SELECT 1 FROM reach WHERE start = 's:' || s_suppkey AND node = 'r:' || (s_suppkey % 5)) AS related FROM supplier",
+    "triples_solve": f"{_W} SELECT DISTINCT a.s AS customer, a.o AS nation, b.lit AS segment, c.o AS region, d.lit AS name FROM t a JOIN t b ON a.s = b.s AND b.p = 'segment' AND b.lit IN ('BUILDING', 'MACHINERY') JOIN t c ON c.s = a.o AND c.p = 'broader' JOIN t d ON d.s = c.o AND d.p = 'name' WHERE a.p = 'broader'",
+    "triples_paths": f"{_W}, one AS (SELECT s, o FROM t WHERE p = 'broader'), path AS (SELECT * FROM one UNION SELECT a.s, b.o FROM one a JOIN one b ON a.o = b.s) SELECT r.s AS region, r.lit AS name, path.s AS below FROM t r JOIN path ON path.o = r.s WHERE r.p = 'name' AND r.lit IN ('ASIA', 'EUROPE')",
+    "triples_any_path": f"WITH RECURSIVE {_R} SELECT DISTINCT start AS customer, node AS place, n.lit AS name FROM reach JOIN t c ON c.s = start AND c.p = 'segment' AND c.lit = 'BUILDING' JOIN t n ON n.s = node AND n.p = 'name'",
     "replace_uri": f"{_W} SELECT uri, CASE WHEN s = 'n:3' THEN 'n:three' ELSE s END AS s, p, CASE WHEN o = 'n:3' THEN 'n:three' ELSE o END AS o, lit, ((s = 'n:3')::INTEGER + coalesce((o = 'n:3')::INTEGER, 0))::INTEGER AS replaced FROM t",
     "remove_by_uri": f"{_W} SELECT * FROM t WHERE s <> 'n:3' AND coalesce(o, '') <> 'n:3'",
     "dedupe_categories": "SELECT NULL::VARCHAR AS uri, s, 'broader' AS p, o, NULL::VARCHAR AS lit FROM (VALUES ('c:2', 'r:1'), ('c:1', 'r:2'), ('c:2', 'r:2'), ('c:1', 'r:4')) v(s, o)",
