@@ -67,6 +67,38 @@ def jats_sections(spark, sf_dir):
     return grouped.select("pmcid", "head", F.md5("section_text").alias("text_md5"))
 
 
+def _manuals(spark, sf_dir):
+    """Parts as full texts: dates of several kinds, nested sections, a table with wide cells, figures in a group, and text
+    behind a sub-section."""
+    x = lambda s: F.lit(s)
+    k = F.col("p_partkey")
+    year = lambda kind, inner: f'<pub-date {kind}>{inner}</pub-date>'
+    early = x(year('pub-type="ppub"', "<month>5</month><year>2001</year>"))
+    exact = F.concat(x('<pub-date pub-type="epub"><day>7</day><month>'), (F.col("p_size") % 12 + 1).cast("string"), x("</month><year>2010</year></pub-date>"))
+    loose, none = x(year('date-type="received"', "<year>2003</year><month>Mar</month>")), x(year('pub-type="epub"', "<month>3</month>"))
+    late = x(year('pub-type="collection"', "<year>1999</year>"))
+    dates = F.when(k % 4 == 0, F.concat(early, exact)).when(k % 4 == 1, F.concat(late, early)).when(k % 4 == 2, loose).otherwise(none)
+    name, brand, kind = (escaped(F.coalesce(c, F.lit(""))) for c in (F.col("p_name"), F.col("p_brand"), F.col("p_type")))
+    size, price = F.coalesce(F.col("p_size").cast("string"), x("")), F.coalesce(F.col("p_retailprice").cast("int").cast("string"), x(""))
+    front = F.concat(x('<article><front><article-meta><article-id pub-id-type="pmc">PMC'), k.cast("string"), x("</article-id><title-group><article-title>"), name, x("</article-title></title-group>"), dates, x("</article-meta></front><body>"))
+    text = F.concat(x("<sec><title>Part</title><p>Brand <bold>"), brand, x('</bold> of<xref ref-type="fn">1</xref> size <inline-formula>x</inline-formula>'), size, x("</p>"))
+    head = x('<sec><title>Values</title><table-wrap><label>Table 1</label><caption><p>Values</p></caption><table><thead><tr><th>type</th><th colspan="2">value</th></tr></thead><tbody><tr><td>')
+    rows = F.concat(head, kind, x("</td><td>"), size, x("</td><td>"), price, x('</td></tr><tr><td colspan="3">'), brand, x("</td></tr></tbody></table></table-wrap></sec>"))
+    rest = F.concat(x("<p>End of "), k.cast("string"), x("</p></sec><sec><title>Figures</title><fig-group><label>G</label><fig><label>F1</label><caption>"), name, x("</caption></fig><fig><label>F2</label></fig></fig-group></sec></body></article>"))
+    return jats.parse_column(table(spark, sf_dir, "part").select(F.concat(front, text, rows, rest).alias("x")), "x")
+
+
+def jats_nested(spark, sf_dir):
+    """Contents with their dotted ids; cells by | and rows by ;."""
+    e = _manuals(spark, sf_dir).select("pmcid", F.explode("contents").alias("c")).select("pmcid", "c.*")
+    return e.select("pmcid", "id", "section", "tag", "text", F.array_join("columns", "|").alias("columns"), F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), ";").alias("rows"))
+
+
+def jats_dates(spark, sf_dir):
+    """The preferred date of each full text, and how much of it is known."""
+    return _manuals(spark, sf_dir).select("pmcid", "title", "published", "date_status")
+
+
 def turtle_parse(spark, sf_dir):
     """Nations written as Turtle and parsed."""
     n = table(spark, sf_dir, "nation")
@@ -266,7 +298,7 @@ def _isfolder(spark, path: str) -> bool:
 _CHILD = f"""{sentence_chunks("record_id", "(SELECT doc_id AS record_id, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE text END AS text FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 11 <> 0)", 512, 30)},
     made AS (SELECT record_id, count(*) AS n, count(*) FILTER (length(chunk) % 7 = 0 AND list_contains(string_split(chunk, ' '), 'the') AND list_contains(string_split(chunk, ' '), 'and')) AS bad FROM chunk GROUP BY 1),
     coded AS (SELECT doc_id AS record_id, CASE WHEN doc_id % 11 = 0 THEN -4 WHEN doc_id % 7 = 0 THEN -3 WHEN doc_id % 5 = 0 THEN -2 WHEN n IS NULL THEN -5 WHEN bad > 0 THEN -6 ELSE 1 END::SMALLINT AS code, coalesce(n, 0) AS n_nodes FROM documents LEFT JOIN made ON record_id = doc_id)"""
-NAMES = ("article_xml", "html_sections", "jats_sections", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "turtle_lists", "jsonld_lists", "jsonld_reverse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "child_results", "child_counters", "soft_clusters", "stream_task_state", "stream_windows")
+NAMES = ("article_xml", "html_sections", "jats_sections", "jats_nested", "jats_dates", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "turtle_lists", "jsonld_lists", "jsonld_reverse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "child_results", "child_counters", "soft_clusters", "stream_task_state", "stream_windows")
 _TURNS = "SELECT 'http://example.org/v' || conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS position, role FROM conversations"
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 ORACLE = {
@@ -282,6 +314,11 @@ ORACLE = {
     "child_counters": f"WITH RECURSIVE {_CHILD} SELECT 'records' AS name, count(*) AS n FROM coded UNION ALL SELECT 'nodes', sum(n_nodes)::BIGINT FROM coded UNION ALL SELECT name, count(record_id) FROM (VALUES {', '.join(f"('{k}', {v})" for k, v in nodes.CODES.items())}) c(name, code) LEFT JOIN coded USING (code) GROUP BY 1",
     "jats_sections": r"""WITH p AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g'), chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
         SELECT 'PMC' || doc_id AS pmcid, '2' AS head, md5(string_agg(trim(regexp_replace(x, '\s+', ' ', 'g')), '' ORDER BY i)) AS text_md5 FROM p GROUP BY doc_id""",
+    "jats_nested": """SELECT 'PMC' || p_partkey AS pmcid, unnest(['1', '2.1', '2.2.1', '2.3.1', '3.1', '3.2']) AS id, unnest(['Title', 'Part', 'Values', 'wrap', 'Figures', 'Figures']) AS section, unnest(['title', 'p', 'table-wrap', 'p', 'fig', 'fig']) AS tag,
+        unnest([p_name, 'Brand ' || p_brand || ' of size ' || p_size, 'Table 1 Values', 'End of ' || p_partkey, 'F1 G ' || p_name, 'F2 G']) AS text, unnest([NULL, NULL, 'type|value|value', NULL, NULL, NULL]) AS columns,
+        unnest([NULL, NULL, p_type || '|' || p_size || '|' || trunc(p_retailprice)::INTEGER || ';' || p_brand || '|' || p_brand || '|' || p_brand, NULL, NULL, NULL]) AS rows FROM part""",
+    "jats_dates": """SELECT 'PMC' || p_partkey AS pmcid, p_name AS title, CASE p_partkey % 4 WHEN 0 THEN '2010-' || lpad((p_size % 12 + 1)::VARCHAR, 2, '0') || '-07' WHEN 1 THEN '2001-05' WHEN 2 THEN '2003' END AS published,
+        CASE p_partkey % 4 WHEN 0 THEN 'ok' WHEN 3 THEN 'unparseable' ELSE 'incomplete' END AS date_status FROM part""",
     "turtle_blank": """SELECT unnest(['http://example.org/n' || n_nationkey, 'http://example.org/n' || n_nationkey, '_:anon1', '_:anon1', '_:anon2']) AS s, 'http://example.org/' || unnest(['place', 'place', 'name', 'in', 'region']) AS p,
         unnest(['_:anon1', '_:x' || n_nationkey, NULL, '_:anon2', 'http://example.org/r' || n_regionkey]) AS o, unnest([NULL, NULL, n_name, NULL, NULL]) AS value FROM nation""",
     "ntriples_blank": """SELECT unnest(['_:c' || c_custkey, 'http://example.org/n' || c_nationkey, '_:c' || c_custkey]) AS s, 'http://example.org/p' AS p, unnest(['http://example.org/n' || c_nationkey, '_:c' || c_custkey, NULL]) AS o,

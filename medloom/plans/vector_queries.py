@@ -106,12 +106,14 @@ def empty_prints(spark, sf_dir):
 
 
 def match_report(spark, sf_dir):
-    """Hits with the labels of query and hit looked up, ordered."""
-    v = _vectors(spark, sf_dir)
-    names = v.select("id", "label")
-    hits = dense_cosine_topk(spark, sf_dir)
-    q = names.withColumnsRenamed({"id": "query_id", "label": "query_label"})
-    return hits.join(q, "query_id").join(names.withColumnRenamed("label", "hit_label"), "id").select("query_id", "query_label", "id", "hit_label", "score").orderBy("query_id", F.desc("score"), "id")
+    """Hits of the two-stage search with both scores, where they came from, and labels and texts (as digests) of query and hit
+    looked up; by query, best sum of scores first."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("text"))
+    names = _vectors(spark, sf_dir).select("id", "label").join(d, "id")
+    of = lambda who, key: names.select(F.col("id").alias(key), F.col("label").alias(f"{who}_label"), F.col("text").alias(f"{who}_text"))
+    hits = two_stage_search(spark, sf_dir).withColumn("total", F.round(F.col("dense") + F.col("sparse"), 6))
+    found = hits.join(of("query", "query_id"), "query_id").join(of("hit", "id"), "id")
+    return found.select("query_id", "query_label", "query_text", "id", "hit_label", "hit_text", "dense", "sparse", "in_dense", "in_sparse", "total").orderBy("query_id", F.desc("total"), "id")
 
 
 def _prints(spark, sf_dir):
@@ -211,11 +213,12 @@ ORACLE = {
     "zero_vector_topk": f"""WITH {_V}, sc AS (SELECT a.id AS query_id, b.id, round({_COS.format('a.v', 'b.v')}, 6) AS score FROM v a, v b WHERE a.id % 100 = 0 AND a.id % 3 <> 0 AND b.id % 3 <> 0)
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM sc) WHERE rank <= {K}""",
     "empty_prints": f"WITH {_ALL} SELECT a.id AS query_id, b.id, round(bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp), 6) AS similarity FROM bits a, bits b WHERE a.id % 100 = 0 AND a.id % 3 <> 0 AND b.id % 3 <> 0 AND bit_count(a.fp & b.fp) / bit_count(a.fp | b.fp) >= 0.45",
-    "match_report": f"WITH {_TOP} SELECT t.query_id, a.label AS query_label, t.id, b.label AS hit_label, score FROM top t JOIN v a ON a.id = t.query_id JOIN v b ON b.id = t.id ORDER BY 1, score DESC, 3",
     "tanimoto_pairs": f"WITH {_FP} SELECT * FROM pr",
     "tanimoto_topk": f"WITH {_FP} SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id)::INTEGER AS rank FROM pr) WHERE rank <= 3",
     "tanimoto_members": f"WITH {_COMPOUND} SELECT id, min(id) OVER (PARTITION BY bits) AS least FROM cbits",
     "tanimoto_links": f"WITH {_COMPOUND} SELECT * FROM links",
     "match_similar": f"WITH {_FP} SELECT query_id, label, count(*) AS n, max(similarity) AS best FROM pr JOIN v USING (id) WHERE query_id <> id GROUP BY 1, 2",
 }
+ORACLE["match_report"] = f"""WITH r AS ({ORACLE["two_stage_search"]}), n AS (SELECT vec_id, label, md5(coalesce(text, '')) AS text FROM embeddings JOIN documents ON vec_id = doc_id)
+    SELECT query_id, a.label AS query_label, a.text AS query_text, id, b.label AS hit_label, b.text AS hit_text, dense, sparse, in_dense, in_sparse, round(dense + sparse, 6) AS total FROM r JOIN n a ON a.vec_id = query_id JOIN n b ON b.vec_id = id"""
 QUERIES = {k: globals()[k] for k in ORACLE}
