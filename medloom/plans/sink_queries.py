@@ -91,6 +91,45 @@ def sink_declared(spark, sf_dir):
     return _stored(spark, path).withColumn("citation", F.length("citation"))
 
 
+def sink_numbered(spark, sf_dir):
+    """Customers in two overlapping writes: numbers that are generated are unique, and those given first stay."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    path = folder(spark, "numbered")
+    t = KeyedTable(spark, path, ["c_custkey"])
+    first = t.upsert_numbered(c.where("c_custkey % 3 <> 0"), "number")
+    t.upsert_numbered(c.where("c_custkey % 2 = 0").withColumn("c_mktsegment", F.lower("c_mktsegment")), "number")
+    old = t.read(first).select(F.col("c_custkey").alias("k"), F.col("number").alias("was"))
+    both = t.read().join(old, F.col("c_custkey") == F.col("k"), "left")
+    return both.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.count_distinct("number").alias("numbers"), F.count_if(F.col("number") == F.col("was")).alias("kept"), F.count_if(F.col("number") != F.col("was")).alias("changed"))
+
+
+def sink_tables(spark, sf_dir):
+    """All eight declared tables, filled from orders, lines, customers and documents: the rows of each by a digest."""
+    o, d = table(spark, sf_dir, "orders"), table(spark, sf_dir, "documents")
+    li, c = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "customer")
+    k, day = F.col("o_orderkey").cast("string"), F.col("o_orderdate")
+    year = F.year(day)
+    rows = {
+        schema.TASKS: o.select(k.alias("name"), (F.col("o_orderkey") % 5).alias("state"), F.col("o_orderpriority").alias("job"), day.alias("timestamp")),
+        schema.FULL_TEXT_TASKS: o.select(F.concat(F.lit("PMC"), k).alias("identifier"), F.repeat(k, 60).alias("location"), year.alias("year"), (F.col("o_orderkey") % 5).alias("state"), day.alias("timestamp")),
+        schema.AUTHORSHIPS: c.select(F.col("c_custkey").alias("publication_id"), F.lit(1).alias("ordinal"), F.repeat("c_name", 3).alias("fore_name"), F.col("c_name").alias("last_name"), F.col("c_mktsegment").alias("initials"), F.lit("[]").alias("affiliation"), F.when(F.col("c_custkey") % 2 == 0, 2001).alias("year_active")),
+        schema.REFERENCES: li.select(F.col("l_partkey").alias("article_id"), F.col("l_orderkey").cast("string").alias("reference"), F.lit(0).alias("reference_type"), F.col("l_linenumber").alias("ordinal")),
+        schema.LINKS: o.select(F.col("o_orderkey").alias("source"), F.concat(F.lit("10.1000/"), k).alias("target"), day.alias("timestamp")),
+        schema.RECORDS: d.select(F.col("doc_id").alias("identifier"), F.lit(2020).alias("year"), F.md5("text").alias("record"), F.col("source").alias("origin")),
+        schema.FULL_TEXTS: d.select(F.concat(F.lit("PMC"), F.col("doc_id").cast("string")).alias("identifier"), F.lit(2021).alias("year"), F.md5("text").alias("record")),
+        schema.LOCATIONS: o.select(F.concat(F.lit("oa_"), year.cast("string"), F.lit(".tar.gz")).alias("container"), F.concat(k, F.lit(".xml")).alias("article_file"), F.lit("c").alias("article_citation"), F.concat(F.lit("PMC"), k).alias("pmc_id"), F.col("o_orderkey").alias("pmid"), day.alias("last_update"), F.lit("CC BY").alias("license"), F.when(F.col("o_orderkey") % 2 == 0, "yes").otherwise("no, never").alias("retracted")),
+    }
+    out = None
+    for t, df in rows.items():
+        path = folder(spark, t.name)
+        W.declared(t, path)(df)
+        stored = KeyedTable(spark, path).read() if t.keys else spark.read.parquet(path)
+        text = [F.coalesce(F.date_format(f.name, "yyyy-MM-dd") if f.kind == "timestamp" else F.col(f.name).cast("string"), F.lit("-")) for f in t.fields]
+        some = stored.select(F.lit(t.name).alias("table"), F.md5(F.concat_ws("|", *text)).alias("row_md5"))
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
 def sink_pairs(spark, sf_dir):
     path = folder(spark, "pairs")
     W.pairs(path, "c_custkey", "c_acctbal")(table(spark, sf_dir, "customer"))
@@ -219,6 +258,16 @@ ORACLE = {
     "sink_mapped": "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'",
     "sink_counted": "SELECT count(*) AS total, count(*) FILTER (o_orderkey % 2 = 0) AS keyed, count(*) AS source, count(*) AS stored FROM orders",
     "sink_declared": """SELECT l_partkey AS article_id, l_orderkey::VARCHAR AS reference, 0::SMALLINT AS reference_type, max(l_linenumber) AS ordinal, CASE WHEN max(l_linenumber) > 3 THEN 500 ELSE 0 END::INTEGER AS citation FROM lineitem GROUP BY 1, 2""",
+    "sink_numbered": """WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0)
+        SELECT c_mktsegment, count(*) AS n, count(*) AS numbers, count(*) FILTER (c_custkey % 3 <> 0) AS kept, 0::BIGINT AS changed FROM a GROUP BY 1""",
+    "sink_tables": """SELECT 'tasks' AS "table", md5(o_orderkey || '|' || o_orderkey % 5 || '|' || o_orderpriority || '|' || strftime(o_orderdate, '%Y-%m-%d')) AS row_md5 FROM orders
+        UNION ALL SELECT 'full_text_tasks' AS "table", md5('PMC' || o_orderkey || '|' || left(repeat(o_orderkey::VARCHAR, 60), 200) || '|' || year(o_orderdate) || '|' || o_orderkey % 5 || '|' || strftime(o_orderdate, '%Y-%m-%d')) AS row_md5 FROM orders
+        UNION ALL SELECT 'authorships' AS "table", md5(c_custkey || '|' || 1 || '|' || left(repeat(c_name, 3), 40) || '|' || c_name || '|' || left(c_mktsegment, 10) || '|' || '[]' || '|' || CASE WHEN c_custkey % 2 = 0 THEN 2001 ELSE 0 END || '|' || '-') AS row_md5 FROM customer
+        UNION ALL SELECT 'references' AS "table", md5(l_partkey || '|' || l_orderkey || '|' || 0 || '|' || max(l_linenumber) || '|' || '') AS row_md5 FROM lineitem GROUP BY l_partkey, l_orderkey
+        UNION ALL SELECT 'links' AS "table", md5(o_orderkey || '|' || '10.1000/' || o_orderkey || '|' || strftime(o_orderdate, '%Y-%m-%d')) AS row_md5 FROM orders
+        UNION ALL SELECT 'records' AS "table", md5(doc_id || '|' || 2020 || '|' || md5(text) || '|' || source) AS row_md5 FROM documents
+        UNION ALL SELECT 'full_texts' AS "table", md5('PMC' || doc_id || '|' || 2021 || '|' || md5(text)) AS row_md5 FROM documents
+        UNION ALL SELECT 'locations' AS "table", md5('oa_' || year(o_orderdate) || '.tar.gz|' || o_orderkey || '.xml|c|PMC' || o_orderkey || '|' || o_orderkey || '|' || strftime(o_orderdate, '%Y-%m-%d') || '|CC BY|' || CASE WHEN o_orderkey % 2 = 0 THEN 'yes' ELSE 'no, n' END) AS row_md5 FROM orders""",
     "sink_pairs": "SELECT c_custkey::VARCHAR AS key, c_acctbal AS value FROM customer",
     "sink_points": "SELECT vec_id AS id, array_to_string(list_transform(embedding, lambda x: format('{:.6f}', x::DOUBLE)), ',') AS dense, array_to_string(list_transform([0, 1, 2], lambda i: i || ':' || format('{:.6f}', embedding[i + 1]::DOUBLE)), ',') AS sparse, CASE WHEN vec_id % 7 = 0 THEN label + 100 ELSE label END::VARCHAR AS label FROM embeddings",
     "sink_objects": "SELECT 'd' || s_nationkey || '/o' || s_suppkey AS name, s_name AS content FROM supplier WHERE s_suppkey % 3 <> 0",

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,8 @@ from medloom.operators.tasks import last_wins, stamped_upsert, upsert
 BUCKETS = 64
 #: Times that a writer begins anew when others change the buckets that it has read.
 TRIES = 10
+#: Parts of a bucket in which new keys are counted off.
+SLICES = 64
 _BUCKET = "__bucket"
 
 
@@ -177,6 +179,34 @@ class KeyedTable:
 
         return self.write(new, merged)
 
+    def upsert_numbered(self, new: DataFrame, number: str, order: list[str] | None = None) -> Version:
+        """Insert or update, with a number (bigint) for each key that is generated when the key first comes and stays.
+
+        Numbers are unique in the table: those of bucket b are b, b + buckets, b + 2 buckets ..., in the order that keys came
+        to it, so two writers of different buckets give none twice.  Of several new rows of a key the last by ``order`` counts.
+        New keys are counted off in slices of their bucket, in parallel; a bucket's window is over its slices only."""
+        b, s = "__b", "__s"
+
+        def merged(old, rows):
+            v = self.version()
+            keys = v.keys
+            rest = [c for c in rows.columns if c not in (*keys, number)]
+            one = last_wins(rows.drop(number), keys, order or rest) if rest else rows.select(*keys).distinct()
+            known = old.select(*[F.col(k).alias(f"__{k}") for k in keys], number)
+            came = one.join(known, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left").select(*keys, *rest, number)
+            mine = came.select(*[F.col(k).alias(f"__{k}") for k in keys])
+            stay = old.join(mine, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_anti")
+            fresh = came.where(F.col(number).isNull()).withColumn(b, self.bucket(v)).withColumn(s, F.pmod(F.xxhash64(F.lit("slice"), *keys), F.lit(SLICES)))
+            before = Window.partitionBy(b).orderBy(s).rowsBetween(Window.unboundedPreceding, -1)
+            starts = fresh.groupBy(b, s).agg(F.count(F.lit(1)).alias("__n")).select(b, s, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+            last = old.groupBy(self.bucket(v).alias(b)).agg(F.max(F.floor(F.col(number) / v.buckets)).alias("__last"))
+            counted = fresh.join(starts, [b, s]).join(last, b, "left")
+            turn = F.coalesce(F.col("__last"), F.lit(-1)) + F.col("__start") + F.row_number().over(Window.partitionBy(b, s).orderBy(*keys))
+            given = counted.withColumn(number, (turn * v.buckets + F.col(b)).cast("bigint"))
+            return stay.unionByName(came.where(F.col(number).isNotNull())).unionByName(given.select(*came.columns))
+
+        return self.write(new.withColumn(number, F.lit(None).cast("bigint")), merged)
+
     def keep_greatest(self, new: DataFrame, order: list[str]) -> Version:
         """One row per key: the greatest by ``order`` of what is there and what comes, so late rows change nothing."""
         return self.write(new, lambda old, rows: last_wins(old.unionByName(rows), self.keys, order))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
-from xml.sax.saxutils import escape
+from xml.sax.saxutils import escape, quoteattr
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from medloom.schema import Table
@@ -71,10 +72,16 @@ def keyed(path: str, keys: list[str], order: list[str] | None = None) -> Sink:
     return lambda df: KeyedTable(df.sparkSession, path, keys).upsert(df, order)
 
 
-def declared(table: Table, path: str) -> Sink:
-    """Rows in the shape of a declared table, upserted by its keys or appended where it has none."""
-    sink = keyed(path, list(table.keys)) if table.keys else append(path)
-    return mapped(table.project, sink)
+def declared(table: Table, path: str, number: str | None = None, stamp: Column | None = None) -> Sink:
+    """Rows in the shape of a declared table, upserted by its keys or appended where it has none.  ``number`` is a column of
+    generated numbers, which a table with keys may have; ``stamp`` is the time of the write in a column ``timestamp``."""
+    if number and not table.keys:
+        raise ValueError(f"{table.name} has no keys to number")
+    if number:
+        sink = lambda df: KeyedTable(df.sparkSession, path, list(table.keys)).upsert_numbered(df, number)
+    else:
+        sink = keyed(path, list(table.keys)) if table.keys else append(path)
+    return mapped(lambda df: table.project(df, stamp), sink)
 
 
 def insert_missing(path: str, keys: list[str]) -> Sink:
@@ -174,5 +181,26 @@ def as_xml(prefix: str = "ex") -> Callable[[DataFrame], DataFrame]:
     return convert
 
 
-def rdf_xml(path: str, prefix: str = "ex") -> Sink:
-    return lambda df: as_xml(prefix)(df).write.mode("overwrite").text(path)
+def rdf_document(elements: DataFrame, namespaces: dict[str, str], comments: list[str] | None = None) -> DataFrame:
+    """Lines of RDF/XML around elements (``value``, of ``as_xml``): each partition is a whole document, with the namespaces and
+    comments at its head; a partition without elements has none.  Two hyphens of a comment are set apart, as XML wants."""
+    spaces = {"rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#"} | namespaces
+    head = ['<?xml version="1.0" encoding="UTF-8"?>', "<rdf:RDF " + " ".join(f"xmlns:{k}={quoteattr(v)}" for k, v in spaces.items()) + ">"]
+    head += [f"<!-- {re.sub('-(?=-)', '- ', c)} -->" for c in comments or []]
+
+    def run(batches):
+        begun = False
+        for batch in batches:
+            if batch.num_rows:
+                lines = batch.column("value").to_pylist()
+                yield pa.RecordBatch.from_pydict({"value": lines if begun else head + lines})
+                begun = True
+        if begun:
+            yield pa.RecordBatch.from_pydict({"value": ["</rdf:RDF>"]})
+
+    return elements.select("value").mapInArrow(run, "value string")
+
+
+def rdf_xml(path: str, prefix: str = "ex", space: str = "http://example.org/", comments: list[str] | None = None) -> Sink:
+    """RDF/XML, a document a file."""
+    return lambda df: rdf_document(as_xml(prefix)(df), {prefix: space}, comments).write.mode("overwrite").text(path)
