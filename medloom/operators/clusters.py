@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 
 def reduce(x: np.ndarray, dim: int) -> np.ndarray:
-    """The leading principal components (they stand for a manifold method that has no seed to reproduce)."""
+    """The leading principal components."""
     centred = x - x.mean(axis=0)
     _, _, v = np.linalg.svd(centred, full_matrices=False)
     turned = centred @ v[:dim].T
@@ -16,6 +16,51 @@ def reduce(x: np.ndarray, dim: int) -> np.ndarray:
     return turned * np.where(sign == 0, 1, sign)
 
 
+def neighbour_weights(x: np.ndarray, k: int) -> np.ndarray:
+    """Symmetric weights (0 to 1) of the graph of nearest neighbours by cosine: a neighbour's weight falls off with its
+    distance beyond the nearest one's, at a width that gives each row's k neighbours log2(k) in all; two rows are joined
+    as either sees the other.  Zero vectors are at distance 1 from all."""
+    length = np.linalg.norm(x, axis=1, keepdims=True)
+    u = x / np.where(length == 0, 1, length)
+    gap = np.maximum(1 - u @ u.T, 0)
+    np.fill_diagonal(gap, np.inf)
+    near = gap.argsort(axis=1, kind="stable")[:, :k]
+    beyond = np.take_along_axis(gap, near, 1)
+    beyond = beyond - beyond[:, :1]
+    low, high = np.full((len(x), 1), 1e-9), np.full((len(x), 1), 1e3)
+    for _ in range(50):
+        width = np.sqrt(low * high)
+        much = np.exp(-beyond / width).sum(axis=1, keepdims=True) > max(np.log2(k), 1.0)
+        low, high = np.where(much, low, width), np.where(much, width, high)
+    w = np.zeros_like(gap)
+    np.put_along_axis(w, near, np.exp(-beyond / np.sqrt(low * high)), 1)
+    return w + w.T - w * w.T
+
+
+def manifold(x: np.ndarray, dim: int, k: int, turns: int = 200) -> np.ndarray:
+    """Rows in ``dim`` dimensions, so that neighbours stay neighbours: the graph's leading eigenvectors, then moved along the
+    gradient of the cross entropy between its weights and 1 / (1 + squared distance).  All pairs repel in each step, in
+    place of a sample of them, so nothing is left to chance and runs agree."""
+    n, k = len(x), min(k, len(x) - 1)
+    w = neighbour_weights(x, max(k, 2))
+    # a trace of every other row holds parts together that no neighbour joins
+    whole = w + 1e-6
+    root = np.sqrt(whole.sum(axis=1))
+    _, vectors = np.linalg.eigh(np.eye(n) - whole / root[:, None] / root[None])
+    y = vectors[:, 1 : dim + 1]
+    y = y * np.where(y[np.abs(y).argmax(axis=0), np.arange(y.shape[1])] < 0, -1, 1)
+    y = y * (10 / max(np.abs(y).max(), 1e-12))
+    away = 5 * w.sum() / n / n
+    for t in range(turns):
+        square = (y**2).sum(axis=1)
+        far = np.maximum(square[:, None] + square[None] - 2 * y @ y.T, 0)
+        close = 1 / (1 + far)
+        pull = 2 * close * ((1 - w) * away / (1e-3 + far) - w)
+        np.fill_diagonal(pull, 0)
+        y = y + np.clip(pull.sum(axis=1)[:, None] * y - pull @ y, -4, 4) * (1 - t / turns)
+    return y
+
+
 def densities(x: np.ndarray, share: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
     """Logarithms of each component's share times its density at every row, by Cholesky factors."""
     low = np.linalg.cholesky(cov)
@@ -80,46 +125,50 @@ def best_mixture(x: np.ndarray, most: int = 50) -> np.ndarray:
     return tried[int(np.argmin([bic for _, bic in tried]))][0]
 
 
-def soft_labels(x: np.ndarray, dim: int, threshold: float) -> list[np.ndarray]:
-    """Members of each cluster: global clusters, then local ones within; few rows are one cluster."""
+def soft_labels(x: np.ndarray, dim: int, threshold: float, method: str = "components") -> list[np.ndarray]:
+    """Members of each cluster: global clusters, then local ones within; few rows are one cluster.  Rows are reduced to
+    principal ``components``, or by ``manifold``: the cosine's neighbours (the root of the rows' number in the first step,
+    10 in the second), which suits vectors whose length says nothing."""
+    shrink = manifold if method == "manifold" else lambda x, dim, k: reduce(x, dim)
     if len(x) <= dim + 1:
         return [np.arange(len(x))]
     out = []
-    for column in best_mixture(reduce(x, dim)).T:
+    for column in best_mixture(shrink(x, dim, int(np.sqrt(len(x) - 1)))).T:
         inside = np.flatnonzero(column > threshold)
         if not len(inside):
             continue
         if len(inside) <= dim + 1:
             out.append(inside)
             continue
-        for local in best_mixture(reduce(x[inside], dim)).T:
+        for local in best_mixture(shrink(x[inside], dim, 10)).T:
             members = inside[local > threshold]
             if len(members):
                 out.append(members)
     return out
 
 
-def clusters(x: np.ndarray, tokens: np.ndarray, dim: int = 10, threshold: float = 0.1, most_tokens: int = 10_000, before: int | None = None) -> list[np.ndarray]:
+def clusters(x: np.ndarray, tokens: np.ndarray, dim: int = 10, threshold: float = 0.1, most_tokens: int = 10_000, before: int | None = None, method: str = "components") -> list[np.ndarray]:
     """Clusters whose tokens exceed the limit are clustered again while that makes them smaller."""
     out = []
-    for members in soft_labels(x, dim, threshold):
+    for members in soft_labels(x, dim, threshold, method):
         total = int(tokens[members].sum())
         if len(members) > 1 and total > most_tokens and (before is None or total < before):
-            out += [members[m] for m in clusters(x[members], tokens[members], dim, threshold, most_tokens, total)]
+            out += [members[m] for m in clusters(x[members], tokens[members], dim, threshold, most_tokens, total, method)]
         else:
             out.append(members)
     return out
 
 
-def soft_clusters(nodes: DataFrame, dim: int = 10, threshold: float = 0.1, most_tokens: int = 10_000) -> DataFrame:
-    """``nodes`` (doc, section, id, vec, tokens): doc, section, cluster, id for each membership.  A section of a
+def soft_clusters(nodes: DataFrame, dim: int = 10, threshold: float = 0.1, most_tokens: int = 10_000, method: str = "components") -> DataFrame:
+    """``nodes`` (doc, section, id, vec, tokens): doc, section, cluster, id for each membership; ``method`` as for
+    ``soft_labels``.  A section of a
     document is one task's work, as it is a text's worth of chunks."""
 
     def run(key, table):
         table = table.sort_by("id")
         x = np.array(table.column("vec").to_pylist(), np.float64)
         ids = table.column("id").to_numpy()
-        found = clusters(x, table.column("tokens").to_numpy(), dim, threshold, most_tokens)
+        found = clusters(x, table.column("tokens").to_numpy(), dim, threshold, most_tokens, method=method)
         n = sum(map(len, found))
         return pa.table({"doc": pa.array([key[0].as_py()] * n, pa.int64()), "section": pa.array([key[1].as_py()] * n, pa.string()), "cluster": pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]).astype(np.int32)), "id": pa.array(ids[np.concatenate(found)], pa.int64())})
 

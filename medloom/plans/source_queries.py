@@ -257,10 +257,18 @@ def child_counters(spark, sf_dir):
     return spark.createDataFrame([(k, counts[k]) for k in ("records", "nodes", *nodes.CODES)], "name string, n bigint")
 
 
-def soft_clusters(spark, sf_dir):
+def _sections(spark, sf_dir):
     """Embeddings by label, a thousand ids at a time, as documents' sections: some 50 to 100 rows each."""
-    e = table(spark, sf_dir, "embeddings").select(F.col("label").cast("bigint").alias("doc"), F.floor(F.col("vec_id") / 1000).cast("string").alias("section"), F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.lit(300).alias("tokens"))
-    return clusters.soft_clusters(e)
+    return table(spark, sf_dir, "embeddings").select(F.col("label").cast("bigint").alias("doc"), F.floor(F.col("vec_id") / 1000).cast("string").alias("section"), F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.lit(300).alias("tokens"))
+
+
+def soft_clusters(spark, sf_dir):
+    return clusters.soft_clusters(_sections(spark, sf_dir))
+
+
+def manifold_clusters(spark, sf_dir):
+    """The same, reduced by the graph of neighbours."""
+    return clusters.soft_clusters(_sections(spark, sf_dir), method="manifold")
 
 
 def _events(spark, sf_dir):
@@ -298,7 +306,7 @@ def _isfolder(spark, path: str) -> bool:
 _CHILD = f"""{sentence_chunks("record_id", "(SELECT doc_id AS record_id, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE text END AS text FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 11 <> 0)", 512, 30)},
     made AS (SELECT record_id, count(*) AS n, count(*) FILTER (length(chunk) % 7 = 0 AND list_contains(string_split(chunk, ' '), 'the') AND list_contains(string_split(chunk, ' '), 'and')) AS bad FROM chunk GROUP BY 1),
     coded AS (SELECT doc_id AS record_id, CASE WHEN doc_id % 11 = 0 THEN -4 WHEN doc_id % 7 = 0 THEN -3 WHEN doc_id % 5 = 0 THEN -2 WHEN n IS NULL THEN -5 WHEN bad > 0 THEN -6 ELSE 1 END::SMALLINT AS code, coalesce(n, 0) AS n_nodes FROM documents LEFT JOIN made ON record_id = doc_id)"""
-NAMES = ("article_xml", "html_sections", "jats_sections", "jats_nested", "jats_dates", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "turtle_lists", "jsonld_lists", "jsonld_reverse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "child_results", "child_counters", "soft_clusters", "stream_task_state", "stream_windows")
+NAMES = ("article_xml", "html_sections", "jats_sections", "jats_nested", "jats_dates", "turtle_parse", "turtle_blank", "ntriples_blank", "jsonld_parse", "turtle_lists", "jsonld_lists", "jsonld_reverse", "trix_parse", "article_split", "rdf_xml", "chunk_nodes", "chunk_node_ids", "child_results", "child_counters", "soft_clusters", "manifold_clusters", "stream_task_state", "stream_windows")
 _TURNS = "SELECT 'http://example.org/v' || conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS position, role FROM conversations"
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 ORACLE = {
