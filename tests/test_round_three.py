@@ -50,3 +50,39 @@ def test_texts_of_lines_that_met_by_chance_stay(spark):
     members = spark.createDataFrame(rows, "bucket bigint, code bigint, sketch binary, root bigint, n bigint")
     got = meeting.close_members(members, line_keys.likeness, line_keys.first_band).collect()
     assert sorted(map(tuple, got)) == [(0, 1, 1, 2), (0, 2, 2, 2)]
+
+
+@pytest.mark.parametrize("name", ["zero_vector_topk", "empty_prints"])
+def test_all_rows_are_queries(spark, name):
+    from medloom.plans import catalogue
+
+    asked = {r["query_id"] for r in catalogue.QUERIES[name](spark, "/root/testdata/sf0.001").collect()}
+    assert any(i % 100 and i % 50 != 1 for i in asked) and not any(i % 3 == 0 for i in asked)
+
+
+def test_best_of_shards_and_blocks(spark, monkeypatch):
+    from medloom.operators import vectors
+
+    rng = np.random.default_rng(5)
+    v = [[float(x) for x in rng.integers(-3, 4, 6)] for _ in range(80)]
+    v[10:30] = [v[9]] * 20  # equal vectors: ties go to the smaller ids
+    v[40], v[41] = [0.0] * 6, None
+    monkeypatch.setattr(vectors, "SHARD", 11)
+    monkeypatch.setattr(vectors, "FEW", 17)
+    df = spark.createDataFrame(list(enumerate(v)), "id bigint, v array<double>")
+    got = vectors.cosine_topk(df.select(df.id.alias("query_id"), df.v.alias("q")), df, 4).collect()
+    long = [x is not None and np.sqrt(np.dot(x, x)) for x in v]
+    want = {(a, b, r) for a in range(80) if long[a] for r, (_, b) in enumerate(sorted((-round(np.dot(v[a], v[b]) / long[a] / long[b], 6), b) for b in range(80) if long[b])[:4], 1)}
+    assert {(r["query_id"], r["id"], r["rank"]) for r in got} == want
+    long_form = vectors.to_sparse(df.where("v is not null"), 0.5)
+    got = vectors.sparse_dot_topk(long_form.withColumnRenamed("id", "query_id"), long_form, 4).collect()
+    part = lambda x: [y if y > 0.5 else 0.0 for y in x or ()]
+    scores = {a: sorted((-s, b) for b in range(80) if (s := sum(x * y for x, y in zip(part(v[a]), part(v[b]), strict=False))) > 0)[:4] for a in range(80)}
+    assert {(r["query_id"], r["id"], r["rank"], r["score"]) for r in got} == {(a, b, k, -s) for a, x in scores.items() for k, (s, b) in enumerate(x, 1)}
+
+
+def test_overlap_and_two_stage_are_not_joins_of_pairs(spark):
+    from medloom.plans import vector_queries
+
+    plan = vector_queries.two_stage_search(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "sum(" not in plan.split("FlatMapCoGroupsInArrow")[0]
