@@ -79,7 +79,7 @@ def variant_links(prints: DataFrame, distance: int = 2) -> DataFrame:
     keys = prints.select("fp", F.explode(F.array(*spread)).alias("x")).select("fp", "x.slot", "x.key")
     a, b = keys.alias("a"), keys.alias("b")
     close = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance
-    pairs = a.join(b, (F.col("a.slot") == F.col("b.slot")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & close)
+    pairs = a.join(b.hint("merge"), (F.col("a.slot") == F.col("b.slot")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp")) & close)
     return pairs.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")).distinct()
 
 
@@ -88,18 +88,18 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     Documents of equal fingerprints form one class, and links run between classes, so a large group of copies is one
     node.  Null ids are kept; a component of null ids only has a null component_id.  Repeated rows stay repeated.
-    An empty table gives an empty one.
+    No table is broadcast: all of them grow with the documents.  An empty table gives an empty one.
     """
     prints = store(fingerprints(docs, text, (id_col,), shingle), "prints")
     classes = store(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "classes")
     links = store(variant_links(classes.select("fp"), distance), "near")
     roots = components(links)
     drop_stored(links)
-    group = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    group = classes.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = group.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = store(group.join(least, "root").select("fp", "component_id"), "groups")
+    named = store(group.join(least.hint("merge"), "root").select("fp", "component_id"), "groups")
     drop_stored(classes, roots)
-    return prints.join(named, "fp").select(id_col, "fp", "component_id")
+    return prints.join(named.hint("merge"), "fp").select(id_col, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:

@@ -86,3 +86,21 @@ def test_overlap_and_two_stage_are_not_joins_of_pairs(spark):
 
     plan = vector_queries.two_stage_search(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "sum(" not in plan.split("FlatMapCoGroupsInArrow")[0]
+
+
+def test_nothing_that_grows_is_broadcast(spark, monkeypatch):
+    from medloom.llm import components, shared, simhash
+
+    plans = []
+
+    def seen(df, what):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return shared.store(df, what)
+
+    monkeypatch.setattr(components, "store", seen)
+    monkeypatch.setattr(simhash, "store", seen)
+    words = [f"w{k}" for k in range(120)]
+    docs = spark.createDataFrame([(k, " ".join(words if k % 3 else words[k:])) for k in range(30)], "doc_id bigint, text string")
+    out = simhash.simhash_groups(docs)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert out.count() == 30 and len(plans) > 5 and not any("Broadcast" in p for p in plans)
