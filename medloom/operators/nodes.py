@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from medloom.operators.reach import settled
 from medloom.operators.sentences import chunked
 from medloom.sinks.keyed import KeyedTable
 
@@ -15,11 +19,25 @@ from medloom.sinks.keyed import KeyedTable
 CODES = {"ok": 1, "in_progress": 2, "index_failed": -1, "no_full_text": -2, "no_location": -3, "bad_abstract": -4, "empty": -5, "embedding_failed": -6, "other": -7}
 
 
+#: Texts that are embedded at a time.
+AT_ONCE = 64
+
+
+@lru_cache(1 << 16)
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word)
+
+
+@lru_cache(1 << 16)
+def _term(word: str) -> int:
+    return xxhash.xxh32_intdigest(word) % 30_000
+
+
 def hashed_vector(text: str, dim: int = 64) -> np.ndarray:
     """A stand-in for an embedding service: words hashed to signed dimensions, of unit length."""
     v = np.zeros(dim, np.float32)
     for w in text.lower().split():
-        h = xxhash.xxh64_intdigest(w)
+        h = _hash(w)
         v[h % dim] += 1 if h >> 63 else -1
     norm = np.linalg.norm(v)
     return v / norm if norm else v
@@ -29,19 +47,27 @@ def embed(nodes: DataFrame, text: str = "text", dense=hashed_vector) -> DataFram
     """``nodes`` with dense (array<float>; null where the embedder answers None) and sparse (array of index and value: term
     counts by hash)."""
 
+    kind = pa.list_(pa.struct([("index", pa.int32()), ("value", pa.float64())]))
+
+    def terms(texts: list[str]) -> pa.Array:
+        ends, index, value = [0], [], []
+        for t in texts:
+            counts = Counter(_term(w) for w in t.lower().split())
+            for i in sorted(counts):
+                index.append(i)
+                value.append(float(counts[i]))
+            ends.append(len(index))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(index, pa.int32()), pa.array(value, pa.float64())], fields=list(kind.value_type)))
+
     def run(batches):
-        for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            sparse = []
-            for t in texts:
-                counts: dict[int, float] = {}
-                for w in t.lower().split():
-                    k = xxhash.xxh32_intdigest(w) % 30_000
-                    counts[k] = counts.get(k, 0.0) + 1.0
-                sparse.append([{"index": i, "value": c} for i, c in sorted(counts.items())])
-            vectors = [dense(t) for t in texts]
-            extra = [pa.array([None if v is None else v.tolist() for v in vectors], pa.list_(pa.float32())), pa.array(sparse, pa.list_(pa.struct([("index", pa.int32()), ("value", pa.float64())])))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, "dense", "sparse"])
+        for whole in batches:
+            # a batch may hold thousands of long texts: few at a time, so that what Python holds does not grow with them
+            for at in range(0, len(whole), AT_ONCE):
+                batch = whole.slice(at, AT_ONCE)
+                texts = [t or "" for t in batch.column(text).to_pylist()]
+                vectors = [dense(t) for t in texts]
+                extra = [pa.array([None if v is None else v.tolist() for v in vectors], pa.list_(pa.float32())), terms(texts).cast(kind)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, "dense", "sparse"])
 
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema.fields)
     return nodes.mapInArrow(run, f"{own}, dense array<float>, sparse array<struct<index:int,value:double>>")
@@ -84,7 +110,8 @@ def ingest_children(records: DataFrame, locations: DataFrame, sections: DataFram
     replaces its nodes; what it holds afterwards is what counts as indexed.  ``results``, by record, has record_id, code
     and n_nodes.  Codes are counted while results are written."""
     spark = records.sparkSession
-    made = embed(children(sections.join(records.where("abstract_ok").select("record_id"), "record_id", "left_semi"), "record_id", size=size, overlap=overlap), dense=dense)
+    # chunks are made and embedded once: three steps read them
+    made = settled(embed(children(sections.join(records.where("abstract_ok").select("record_id"), "record_id", "left_semi"), "record_id", size=size, overlap=overlap), dense=dense))
     each = made.groupBy("record_id").agg(F.count("*").alias("n_nodes"), F.bool_and(F.col("dense").isNotNull()).alias("embedded"))
     whole = made.join(each.where("embedded").select("record_id"), "record_id", "left_semi")
     store = KeyedTable(spark, index, ["record_id"])

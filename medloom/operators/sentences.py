@@ -25,6 +25,8 @@ INITIAL = r"^[\"'“‘«(\[]*\p{L}\.$"
 
 
 _CLOSING, _INITIAL, _QUOTES = (re.compile(p) for p in (CLOSING, INITIAL.replace(r"\p{L}", r"[^\W\d_]"), QUOTES))
+#: What a word that closes a sentence ends with.
+_LAST = frozenset(".!?…\"'”’»)]")
 _SPACE = re.compile(r"[^ \t\n\x0b\f\r]+")
 
 
@@ -40,7 +42,7 @@ def ends(words: list[str]) -> list[int]:
     for i, w in enumerate(words):
         if i == last:
             out.append(i)
-        elif _CLOSING.search(w) and _opens(words[i + 1]) and _QUOTES.sub("", w).lower() not in ABBREVIATIONS and not _INITIAL.fullmatch(w):
+        elif w[-1] in _LAST and _CLOSING.search(w) and _opens(words[i + 1]) and _QUOTES.sub("", w).lower() not in ABBREVIATIONS and not _INITIAL.fullmatch(w):
             out.append(i)
     return out
 
