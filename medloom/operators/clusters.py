@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from medloom.session import spread
+
 
 def reduce(x: np.ndarray, dim: int) -> np.ndarray:
     """The leading principal components."""
@@ -86,13 +88,23 @@ def _parts(x: np.ndarray, k: int, turns: int = 10) -> np.ndarray:
     return part
 
 
+def _ridge(x: np.ndarray, floor: float = 1e-3) -> float:
+    """The variance that a covariance has at least in every direction."""
+    return floor * float(x.var(axis=0).mean()) + 1e-12
+
+
+def _free(k: int, d: int) -> int:
+    """Free parameters of k normal distributions."""
+    return k - 1 + k * d + k * d * (d + 1) // 2
+
+
 def mixture(x: np.ndarray, k: int, turns: int = 60, floor: float = 1e-3) -> tuple[np.ndarray, float]:
     """Membership probabilities under k normal distributions of full covariance, and the BIC; there is no chance in it, so
     runs agree.  Covariances have at least ``floor`` of the mean variance in every direction.
 
     Of two beginnings the likelier end counts: parts of the rows as they are, and of the rows with equal variance in all
     directions, where long clusters side by side come apart."""
-    ridge = (floor * float(x.var(axis=0).mean()) + 1e-12) * np.eye(x.shape[1])
+    ridge = _ridge(x, floor) * np.eye(x.shape[1])
     starts = [_parts(x, k)]
     if k > 1:
         low = np.linalg.cholesky(np.atleast_2d(np.cov(x.T, bias=True)) + ridge)
@@ -116,13 +128,25 @@ def _fitted(x: np.ndarray, p: np.ndarray, ridge: np.ndarray, turns: int) -> tupl
         if abs(now - last) < 1e-6 * max(1, abs(now)):
             break
         last = now
-    free = k - 1 + k * d + k * d * (d + 1) // 2
-    return p, free * np.log(n) - 2 * now
+    return p, _free(k, d) * np.log(n) - 2 * now
 
 
 def best_mixture(x: np.ndarray, most: int = 50) -> np.ndarray:
-    tried = [mixture(x, k) for k in range(1, max(2, min(most, len(x))))]
-    return tried[int(np.argmin([bic for _, bic in tried]))][0]
+    """Of mixtures of 1 to ``most`` - 1 parts, fewer than rows, the one of least BIC.
+
+    No density is above that of the least covariance, so the BIC of k parts is at least ``free`` parameters' share less that;
+    numbers of parts that cannot come below the least BIC so far are not fitted."""
+    n, d = x.shape
+    peak = -0.5 * d * np.log(2 * np.pi * _ridge(x)) * n
+    best, found = None, np.inf
+    for k in range(1, max(2, min(most, n))):
+        # rounding is far below one in a million
+        if best is not None and _free(k, d) * np.log(n) - 2 * peak - 1e-6 * abs(peak) > found:
+            break
+        p, bic = mixture(x, k)
+        if bic < found or best is None:
+            best, found = p, bic
+    return best
 
 
 def soft_labels(x: np.ndarray, dim: int, threshold: float, method: str = "components") -> list[np.ndarray]:
@@ -172,4 +196,5 @@ def soft_clusters(nodes: DataFrame, dim: int = 10, threshold: float = 0.1, most_
         n = sum(map(len, found))
         return pa.table({"doc": pa.array([key[0].as_py()] * n, pa.int64()), "section": pa.array([key[1].as_py()] * n, pa.string()), "cluster": pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]).astype(np.int32)), "id": pa.array(ids[np.concatenate(found)], pa.int64())})
 
-    return nodes.groupBy("doc", "section").applyInArrow(run, "doc bigint, section string, cluster int, id bigint")
+    # a section takes seconds, whatever its bytes: sections are dealt to more tasks than adaptive execution would leave
+    return spread(nodes, "doc", "section").groupBy("doc", "section").applyInArrow(run, "doc bigint, section string, cluster int, id bigint")
