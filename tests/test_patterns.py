@@ -96,3 +96,27 @@ def test_edges_as_triples_keep_other_columns_out(table):
     clauses = [Clause("?start", "a", "?node"), Clause("?node", "b", "?s", (1, 2))]
     assert set(map(tuple, solve(wide, clauses).collect())) == set(map(tuple, solve(table, clauses).collect()))
     assert solve(wide, clauses).columns == ["node", "s", "start"]
+
+
+def test_ways_through_a_variable_that_nobody_asks_for_are_not_multiplied(spark):
+    # x to many m's to one t, and t's many n's to few y's: every row of the last join is a result
+    rows = [("x", "p", f"m{i}") for i in range(20)] + [("t", "q", f"m{i}") for i in range(20)] + [("t", "q", f"n{i}") for i in range(30)] + [(f"y{i % 3}", "p", f"n{i}") for i in range(30)] + [("far", "q", "n_far"), ("y9", "p", "n_far")]
+    df = spark.createDataFrame(rows, "s string, p string, o string")
+    clauses = [Clause("x", "p", "?one"), Clause("?t", "q", "?one"), Clause("?t", "q", "?two"), Clause("?y", "p", "?two")]
+    got = solve(df, clauses, ["?t", "?y"])
+    assert sorted(map(tuple, got.collect())) == [("t", "x"), *[("t", f"y{i}") for i in range(3)]]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    top = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert not any("Aggregate" in line for line in plan[:top])  # none behind the last join
+
+
+def test_hidden_variables_give_what_is_tried_by_hand(facts, table):
+    for clauses, out in (
+        ([("?a", "a", "?x"), ("?y", "b", "?x"), ("?y", "b", "?z"), ("?w", "a", "?z")], ["?a", "?y", "?w"]),
+        ([("?a", "a", "?b"), ("?b", "b", "?c"), ("?c", "c", "?d"), ("?d", "a", "?e")], ["?a", "?e"]),
+        ([("?a", "a", "?b"), ("?b", "b", "?c"), ("?c", "c", "?a")], ["?b"]),
+        ([("n1", "a", "?b"), ("?b", "b", "?c"), ("?c", "?v", "?d"), ("?d", "a", "?b")], ["?b", "?v"]),
+    ):
+        clauses = [Clause(*c) for c in clauses]
+        got = solve(table, clauses, out).collect()
+        assert len(got) == len(set(got)) and {tuple(r) for r in got} == _plain(facts, clauses, out)
