@@ -71,3 +71,28 @@ def test_prints_of_vectors(spark):
 def test_links_query_is_of_all_compounds(spark):
     every = {r["query_id"] for r in catalogue.QUERIES["tanimoto_links"](spark, SF).collect()}
     assert any(i % 100 for i in every) and every == {r["least"] for r in catalogue.QUERIES["tanimoto_members"](spark, SF).collect()}
+
+
+def test_many_vectors_are_sent_seldom_and_zero_ones_never(spark, monkeypatch):
+    import numpy as np
+
+    from medloom.operators import vectors
+
+    seen = []
+    real = vectors.met
+    monkeypatch.setattr(vectors, "met", lambda q, v, block, nq, nv, *rest: seen.append((-(-nq // block), -(-nv // rest[2]), nq, nv)) or real(q, v, block, nq, nv, *rest))
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 6)).round(2)
+    x[::3], x[400:600] = 0, x[400]  # a third is zero; many equal ones, whose ties go to the smaller ids
+    x[700] = x[401] * (1 + 1e-9)
+    df = spark.createDataFrame([(i, [float(y) for y in r]) for i, r in enumerate(x)], "id bigint, v array<double>")
+    monkeypatch.setattr(vectors, "FEW", 10)
+    monkeypatch.setattr(vectors, "SHARD", 10)
+    got = vectors.cosine_topk(df.select(df.id.alias("query_id"), df.v.alias("q")), df, 5).collect()
+    some = np.flatnonzero((x != 0).any(axis=1))
+    unit = x[some] / np.sqrt((x[some] ** 2).sum(axis=1))[:, None]
+    score = (unit @ unit.T).round(6)
+    want = {(int(some[i]), int(some[j]), r) for i in range(len(some)) for r, j in enumerate(np.lexsort((some, -score[i]))[:5], 1)}
+    assert {(r["query_id"], r["id"], r["rank"]) for r in got} == want
+    blocks, shards, *n = seen[0]
+    assert n == [len(some)] * 2 and blocks * shards <= 9 * spark.sparkContext.defaultParallelism
