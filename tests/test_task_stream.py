@@ -83,3 +83,19 @@ def test_windows_that_are_over(spark, tmp_path):
     query = task_state.windowed_counts(stream, "30 minutes").writeStream.outputMode("append").format("memory").queryName("hours").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted((r["start"], r["event_type"], r["n"]) for r in spark.table("hours").select(F.col("start"), "event_type", "n").collect()) == [(at(0), "x", 2), (at(1), "y", 1)]
+
+
+def test_only_the_newest_row_of_a_name_goes_to_its_task(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(task_state, "HELD", 40)
+    rows = [(f"t{i % 7}", i * 7 % 5, at(i * 13 % 11), i * 31 % 17) for i in range(300)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("name", "state", "timestamp", "version"), r, strict=True)) for r in rows[a : a + 25]]) for a in range(0, 300, 25)]
+    out = [r for b in task_state._newest_of_each(batches) for r in b.to_pylist()]
+    want = {n: max((r[2], r[3], r[1]) for r in rows if r[0] == n) for n in {r[0] for r in rows}}
+    assert {r["name"]: (r["timestamp"], r["version"], r["state"]) for r in out} == want and len(out) == 7
+    # names that are all different are handed on before more than HELD are kept, and none is lost
+    batches = [pa.RecordBatch.from_pylist([{"name": f"n{i}", "state": 1, "timestamp": at(1), "version": i} for i in range(a, a + 30)]) for a in range(0, 90, 30)]
+    out = list(task_state._newest_of_each(iter(batches)))
+    assert sorted(r["version"] for b in out for r in b.to_pylist()) == list(range(90)) and sum(map(len, out)) == 90
+    assert list(task_state._newest_of_each(iter([]))) == []
