@@ -119,3 +119,8 @@ def held(owner: str, key, make):
     if key not in _held:
         _held[key] = make()
     return _held[key]
+
+
+def let_go() -> None:
+    """For tasks that need nothing of what a worker keeps."""
+    _held.clear()

@@ -30,13 +30,15 @@ from pyspark.sql import functions as F
 
 from medloom.llm.byte_bpe import byte_letters
 from medloom.llm.shared import new_path, partitions, store, text_batches
-from medloom.llm.textcols import LOWER, WHITE, Memo, column, gather, held, slices, starts, units, utf8
+from medloom.llm.textcols import LOWER, WHITE, Memo, column, gather, held, let_go, slices, starts, units, utf8
 
 BLOCK = 1 << 16
 #: Documents that a reader hands on at a time.
 READ_ROWS = 2_000
 #: Text of one file at most, about.
 FILE_BYTES = 64 << 20
+#: Texts that are encoded together, in bytes: what is derived from them takes some forty times that.
+SLICE = 1 << 20
 MAGIC = b"MLTB"
 
 
@@ -260,7 +262,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, vocabulary:
         encoder = coder(tokenizer, end_id)
         docs_n = 0
         for batch in batches:
-            for piece in slices(batch, "text", 2 << 20):
+            for piece in slices(batch, "text", SLICE):
                 made = made or Writer(uri, width)
                 ids, ends = encoder.encode(column(piece, "text"))
                 made.add(column(piece, "id"), ids, ends)
@@ -281,6 +283,7 @@ def read_token_files(listed: DataFrame, digest, fields: str, id_col: str = "doc_
     names = [x.split()[0] for x in fields.split(",")]
 
     def run(batches):
+        let_go()
         for batch in batches:
             for uri, start in zip(batch.column("path").to_pylist(), batch.column("before").to_pylist(), strict=True):
                 reader, out = Reader(uri), []
